@@ -72,7 +72,7 @@ def keep_zones() -> Column:
 
 def keep_not_trivial(max_distance: float = C.TRIVIAL_SAME_ZONE_DISTANCE_MILES) -> Column:
     same = F.col("PULocationID") == F.col("DOLocationID")
-    near = F.col("trip_distance") <= F.lit(max_distance)
+    near = F.coalesce(F.col("trip_distance") <= F.lit(max_distance), F.lit(False))  # NaN/null compares false
     return ~(same & near)
 
 

@@ -20,6 +20,7 @@ from zonepace.operators import clean as CL
 from zonepace.operators import features as FE
 from zonepace.sources import fixtures as FX
 from zonepace.sources import trips as TR
+from zonepace.functions import scalar as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -107,3 +108,158 @@ def q_slowest_cells(spark, sf_dir):
         .limit(15)
         .select(*C.CELL_KEY, "avg_speed_mph", "trip_density", "speed_deviation")
     )
+
+
+# ---- step 2: sources, single rules, projections ----------------------------
+
+def _renamed_raw(spark, sf_dir, mapping: dict[str, str], drop: list[str] = ()):
+    raw = FX.raw_trips(spark, sf_dir)
+    return raw.withColumnsRenamed(mapping).drop(*drop)
+
+
+@register("scan_trips")
+def q_scan_trips(spark, sf_dir):
+    """A yellow-cab vintage (tpep_ names) resolved, coerced and given durations."""
+    raw = _renamed_raw(spark, sf_dir, {"pickup_datetime": "tpep_pickup_datetime",
+                                       "dropoff_datetime": "tpep_dropoff_datetime"})
+    return norm(TR.add_trip_duration(TR.cast_dtypes(TR.standardize_columns(raw))))
+
+
+@register("standardize_columns")
+def q_standardize_columns(spark, sf_dir):
+    """A green-cab vintage (lpep_ names) without passenger_count: optional column filled with nulls."""
+    raw = _renamed_raw(spark, sf_dir, {"pickup_datetime": "lpep_pickup_datetime",
+                                       "dropoff_datetime": "lpep_dropoff_datetime"}, drop=["passenger_count"])
+    return norm(TR.standardize_columns(raw))
+
+
+@register("cast_dtypes")
+def q_cast_dtypes(spark, sf_dir):
+    """Every canonical column arrives as text; coercion restores types, junk → null."""
+    raw = FX.raw_trips(spark, sf_dir)
+    texts = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    # Text junk the coercion must null out: fractional zone ids and non-numbers.
+    texts = texts.withColumn(
+        "PULocationID",
+        F.when(F.col("passenger_count") == "3", F.concat(F.col("PULocationID"), F.lit(".5"))).otherwise(F.col("PULocationID")),
+    ).withColumn(
+        "fare_amount", F.when(F.col("passenger_count") == "4", F.lit("n/a")).otherwise(F.col("fare_amount")),
+    )
+    return norm(TR.cast_dtypes(TR.standardize_columns(texts)))
+
+
+@register("trip_duration")
+def q_trip_duration(spark, sf_dir):
+    return norm(std_trips(spark, sf_dir).select("pickup_datetime", "dropoff_datetime", "trip_duration"))
+
+
+@register("parse_year_month")
+def q_parse_year_month(spark, sf_dir):
+    """Month stamps parsed from per-month file names (S6); names without a stamp give ''."""
+    raw = FX.raw_trips(spark, sf_dir)
+    name = F.when(F.substring("file_ym", 6, 2).cast("int") % 2 == 0,
+                  F.concat(F.lit("yellow_tripdata_"), F.col("file_ym"), F.lit(".parquet"))
+                  ).otherwise(F.concat(F.lit("trips_part_"), F.substring("file_ym", 6, 2), F.lit(".parquet")))
+    named = raw.select(name.alias("file_name"))
+    return norm(named.groupBy("file_name").agg(F.count(F.lit(1)).alias("trips"))
+                .withColumn("year_month", TR.parse_year_month_expr("file_name")))
+
+
+@register("modal_month")
+def q_modal_month(spark, sf_dir):
+    """Fallback stamp: most frequent pickup month of each file."""
+    t = std_trips(spark, sf_dir)
+    return norm(TR.modal_month(t, "file_ym").withColumnRenamed("_modal_ym", "modal_ym"))
+
+
+def _rule_key(name: str, pred_fn):
+    @register(name)
+    def q(spark, sf_dir):
+        t = std_trips(spark, sf_dir)
+        return norm(t.where(pred_fn()))
+    return q
+
+
+_rule_key("remove_nulls", CL.keep_not_null)
+_rule_key("remove_invalid_timestamps", CL.keep_timestamps)
+_rule_key("remove_wrong_month", CL.keep_month)
+_rule_key("remove_invalid_distance", CL.keep_distance)
+_rule_key("remove_invalid_duration", CL.keep_duration)
+_rule_key("remove_speed_outliers", CL.keep_speed)
+_rule_key("remove_invalid_zones", CL.keep_zones)
+_rule_key("remove_trivial_same_zone", CL.keep_not_trivial)
+_rule_key("remove_invalid_quality", CL.keep_quality)
+
+
+@register("remove_duplicates")
+def q_remove_duplicates(spark, sf_dir):
+    return norm(CL.remove_duplicates(std_trips(spark, sf_dir)))
+
+
+@register("iqr_fence")
+def q_iqr_fence(spark, sf_dir):
+    """Per-zone speed fences, k = 3, zones with ≥ 100 cleaned trips, whole table."""
+    return norm(CL.iqr_fences(clean_trips(spark, sf_dir), k=3.0, min_trips_per_zone=100, scope=[]))
+
+
+@register("clean_trips_iqr")
+def q_clean_trips_iqr(spark, sf_dir):
+    """Chain with the fence on: k = 1.5, zones with ≥ 100 trips, whole table."""
+    c = clean_trips(spark, sf_dir)
+    return norm(CL.remove_iqr_speed_outliers_by_zone(c, k=1.5, min_trips_per_zone=100, scope=[]))
+
+
+@register("clean_retention")
+def q_clean_retention(spark, sf_dir):
+    """Kept / input percent per month file."""
+    t = std_trips(spark, sf_dir)
+    n_in = t.groupBy("file_ym").agg(F.count(F.lit(1)).alias("rows_in"))
+    n_out = clean_trips(spark, sf_dir).groupBy("file_ym").agg(F.count(F.lit(1)).alias("rows_kept"))
+    j = n_in.join(n_out, "file_ym", "left").fillna(0, ["rows_kept"])
+    return norm(j.withColumn("retention_pct", F.lit(100.0) * F.col("rows_kept") / F.col("rows_in")))
+
+
+@register("time_features")
+def q_time_features(spark, sf_dir):
+    t = FE.add_time_features(clean_trips(spark, sf_dir))
+    return norm(t.select("pickup_datetime", "PULocationID", "hour_of_day", "day_of_week", "is_weekend", "month"))
+
+
+@register("speed_feature")
+def q_speed_feature(spark, sf_dir):
+    t = FE.add_speed_feature(std_trips(spark, sf_dir))
+    return norm(t.select("pickup_datetime", "dropoff_datetime", "trip_distance", "trip_duration", "speed_mph"))
+
+
+@register("engineer_features")
+def q_engineer_features(spark, sf_dir):
+    return norm(FE.engineer_features(clean_trips(spark, sf_dir)))
+
+
+@register("cyclic_hour")
+def q_cyclic_hour(spark, sf_dir):
+    return norm(cells(spark, sf_dir).select(*C.CELL_KEY, "hour_sin", "hour_cos"))
+
+
+@register("log_density")
+def q_log_density(spark, sf_dir):
+    return norm(cells(spark, sf_dir).select(*C.CELL_KEY, "trip_density", "log_trip_density"))
+
+
+@register("zone_attributes")
+def q_zone_attributes(spark, sf_dir):
+    return norm(cells(spark, sf_dir).select(*C.CELL_KEY, "is_airport", "is_cbd", "is_rush_hour"))
+
+
+@register("cyclic_distance")
+def q_cyclic_distance(spark, sf_dir):
+    """Circular vs linear distance of each cell's hour from 23:00."""
+    c = cells(spark, sf_dir)
+    return norm(c.select(*C.CELL_KEY,
+                         F.abs(F.col("hour_of_day") - 23).alias("linear_distance"),
+                         S.circular_hour_distance("hour_of_day", 23).alias("circular_distance")))
+
+
+@register("cells_summary")
+def q_cells_summary(spark, sf_dir):
+    return norm(FE.cells_summary(cells(spark, sf_dir)))

@@ -185,3 +185,124 @@ ORACLE["slowest_cells"] = chain_upto("cells") + f"""
 select {CELL_KEY_SQL}, {r6('avg_speed_mph')} as avg_speed_mph, cast(trip_density as bigint) as trip_density,
        {r6('speed_deviation')} as speed_deviation
 from cells order by speed_deviation asc, zone_id, hour_of_day, day_of_week, is_weekend limit 15"""
+
+
+# ---- step 2 -----------------------------------------------------------------
+
+ORACLE["scan_trips"] = chain_upto("trips") + f"\nselect {CLEAN_COLS} from trips"
+
+ORACLE["standardize_columns"] = chain_upto("trips_raw") + f"""
+select {ts('pickup_datetime')}, {ts('dropoff_datetime')}, {r6('trip_distance')} as trip_distance,
+       cast(PULocationID as bigint) as PULocationID, cast(DOLocationID as bigint) as DOLocationID,
+       {r6('fare_amount')} as fare_amount, cast(null as bigint) as passenger_count, file_ym
+from trips_raw"""
+
+ORACLE["cast_dtypes"] = chain_upto("trips_raw") + f"""
+select {ts('pickup_datetime')}, {ts('dropoff_datetime')}, {r6('trip_distance')} as trip_distance,
+       cast(case when passenger_count = 3 then null else PULocationID end as bigint) as PULocationID,
+       cast(DOLocationID as bigint) as DOLocationID,
+       {r6('case when passenger_count = 4 then null else fare_amount end')} as fare_amount,
+       cast(passenger_count as bigint) as passenger_count, file_ym
+from trips_raw"""
+
+ORACLE["trip_duration"] = chain_upto("trips") + f"""
+select {ts('pickup_datetime')}, {ts('dropoff_datetime')}, {r6('trip_duration')} as trip_duration from trips"""
+
+ORACLE["parse_year_month"] = chain_upto("trips_raw") + r"""
+select file_name, cast(count(*) as bigint) as trips, regexp_extract(file_name, '(\d{4}-\d{2})', 1) as year_month
+from (select case when cast(substr(file_ym, 6, 2) as int) % 2 = 0 then 'yellow_tripdata_' || file_ym || '.parquet'
+                  else 'trips_part_' || substr(file_ym, 6, 2) || '.parquet' end as file_name
+      from trips_raw) t
+group by file_name"""
+
+ORACLE["modal_month"] = chain_upto("trips") + """
+select file_ym, ym as modal_ym from (
+  select file_ym, ym, row_number() over (partition by file_ym order by n desc, ym asc) as rn
+  from (select file_ym, strftime(pickup_datetime, '%Y-%m') as ym, count(*) as n
+        from trips where pickup_datetime is not null group by 1, 2) a
+) b where rn = 1"""
+
+RULE_SQL = {
+    "remove_nulls": "pickup_datetime is not null and dropoff_datetime is not null and trip_distance is not null "
+                    "and trip_duration is not null and PULocationID is not null and DOLocationID is not null",
+    "remove_invalid_timestamps": "pickup_datetime < dropoff_datetime",
+    "remove_wrong_month": "strftime(pickup_datetime, '%Y-%m') = file_ym",
+    "remove_invalid_distance": f"trip_distance between {C.MIN_DISTANCE_MILES!r}::double and {C.MAX_DISTANCE_MILES!r}::double",
+    "remove_invalid_duration": f"trip_duration between {C.MIN_DURATION_SECONDS} and {C.MAX_DURATION_SECONDS}",
+    "remove_speed_outliers": f"{SPEED} between {C.MIN_SPEED_MPH!r}::double and {C.MAX_SPEED_MPH!r}::double",
+    "remove_invalid_zones": f"PULocationID between {C.MIN_ZONE_ID} and {C.MAX_ZONE_ID} and DOLocationID between {C.MIN_ZONE_ID} and {C.MAX_ZONE_ID}",
+    "remove_trivial_same_zone": f"not (PULocationID = DOLocationID and coalesce(trip_distance <= {C.TRIVIAL_SAME_ZONE_DISTANCE_MILES!r}::double, false))",
+    "remove_invalid_quality": "coalesce(fare_amount >= 0, false) and (passenger_count is null or passenger_count > 0)",
+}
+for _k, _w in RULE_SQL.items():
+    ORACLE[_k] = chain_upto("trips") + f"\nselect {CLEAN_COLS} from trips where {_w}"
+
+ORACLE["remove_duplicates"] = chain_upto("dedup") + f"\nselect {CLEAN_COLS} from dedup"
+
+
+def fences_sql(k: float, min_n: int) -> str:
+    return f"""
+fences as (
+  select PULocationID, q1, q3, n, q1 - cast({k!r} as double) * (q3 - q1) as lower,
+         q3 + cast({k!r} as double) * (q3 - q1) as upper
+  from (select PULocationID, quantile_cont(s, 0.25) as q1, quantile_cont(s, 0.75) as q3, count(*) as n
+        from (select PULocationID, {SPEED} as s from clean) x where s is not null and not isnan(s)
+        group by PULocationID) q
+  where n >= {min_n}
+)"""
+
+
+ORACLE["iqr_fence"] = chain_upto("clean") + "," + fences_sql(3.0, 100) + f"""
+select cast(PULocationID as bigint) as PULocationID, {r6('lower')} as lower, {r6('upper')} as upper from fences"""
+
+ORACLE["clean_trips_iqr"] = chain_upto("clean") + "," + fences_sql(1.5, 100) + f"""
+select {CLEAN_COLS} from (
+  select c.*, f.lower, f.upper from clean c left join fences f on c.PULocationID = f.PULocationID
+) j
+where {SPEED} is null or ({SPEED} >= coalesce(lower, cast('-inf' as double)) and {SPEED} <= coalesce(upper, cast('inf' as double)))"""
+
+ORACLE["clean_retention"] = chain_upto("clean") + f"""
+select i.file_ym, cast(i.n as bigint) as rows_in, cast(coalesce(k.n, 0) as bigint) as rows_kept,
+       {r6('100.0::double * coalesce(k.n, 0) / i.n')} as retention_pct
+from (select file_ym, count(*) as n from trips group by 1) i
+left join (select file_ym, count(*) as n from clean group by 1) k on i.file_ym = k.file_ym"""
+
+ORACLE["time_features"] = chain_upto("clean") + f"""
+select {ts('pickup_datetime')}, cast(PULocationID as bigint) as PULocationID,
+       cast(hour(pickup_datetime) as bigint) as hour_of_day, cast(isodow(pickup_datetime) - 1 as bigint) as day_of_week,
+       isodow(pickup_datetime) - 1 >= 5 as is_weekend, cast(month(pickup_datetime) as bigint) as month
+from clean"""
+
+ORACLE["speed_feature"] = chain_upto("trips") + f"""
+select {ts('pickup_datetime')}, {ts('dropoff_datetime')}, {r6('trip_distance')} as trip_distance,
+       {r6('trip_duration')} as trip_duration, {r6(SPEED)} as speed_mph
+from trips"""
+
+ORACLE["engineer_features"] = chain_upto("feat") + f"""
+select {CLEAN_COLS}, cast(hour_of_day as bigint) as hour_of_day, cast(day_of_week as bigint) as day_of_week,
+       is_weekend, cast(month as bigint) as month, {r6('speed_mph')} as speed_mph, cast(zone_id as bigint) as zone_id
+from feat"""
+
+ORACLE["cyclic_hour"] = chain_upto("cells") + f"""
+select {CELL_KEY_SQL}, {r6('hour_sin')} as hour_sin, {r6('hour_cos')} as hour_cos from cells"""
+
+ORACLE["log_density"] = chain_upto("cells") + f"""
+select {CELL_KEY_SQL}, cast(trip_density as bigint) as trip_density, {r6('log_trip_density')} as log_trip_density from cells"""
+
+ORACLE["zone_attributes"] = chain_upto("cells") + f"""
+select {CELL_KEY_SQL}, is_airport, is_cbd, is_rush_hour from cells"""
+
+ORACLE["cyclic_distance"] = chain_upto("cells") + f"""
+select {CELL_KEY_SQL}, cast(abs(hour_of_day - 23) as bigint) as linear_distance,
+       cast(least(abs(hour_of_day - 23), 24 - abs(hour_of_day - 23)) as bigint) as circular_distance
+from cells"""
+
+ORACLE["cells_summary"] = chain_upto("cells") + f"""
+select cast(count(distinct zone_id) as bigint) as unique_zones, cast(count(distinct hour_of_day) as bigint) as hours_covered,
+       cast(count(*) as bigint) as n_rows, {r6('avg(speed_deviation)')} as speed_dev_mean,
+       {r6('stddev_samp(speed_deviation)')} as speed_dev_std, {r6('avg(log_trip_density)')} as log_density_mean,
+       cast(count(*) filter (where is_airport) as bigint) as airport_rows,
+       cast(count(*) filter (where is_cbd) as bigint) as cbd_rows,
+       cast(count(*) filter (where is_rush_hour) as bigint) as rush_hour_rows,
+       cast(min(hour_of_day) as bigint) as hour_min, cast(max(hour_of_day) as bigint) as hour_max
+from cells"""
