@@ -263,3 +263,264 @@ def q_cyclic_distance(spark, sf_dir):
 @register("cells_summary")
 def q_cells_summary(spark, sf_dir):
     return norm(FE.cells_summary(cells(spark, sf_dir)))
+
+
+# ---- step 3: fixed labels → mart, chart tables, dashboard -------------------
+
+from zonepace.operators import dashboard as DB  # noqa: E402
+from zonepace.operators import marts as MA  # noqa: E402
+
+VIEW = DB.ViewParams(hour=8, day_filter="Weekdays Only", days=[1, 2, 3], focus_level=-1)
+
+
+def labelled_cells(spark, sf_dir) -> DataFrame:
+    """Cells with a deterministic raw labelling (hour band of 6 h) ranked into levels.
+
+    Lets every downstream table be checked by SQL independently of a
+    random K-Means start.
+    """
+    c = cells(spark, sf_dir).withColumn("raw_cluster", F.floor(F.col("hour_of_day") / 6).cast("int"))
+    return MA.assign_semantic_labels(c)
+
+
+def mart(spark, sf_dir) -> DataFrame:
+    return MA.build_viz_data(labelled_cells(spark, sf_dir))
+
+
+def zone_centroids(spark, sf_dir) -> DataFrame:
+    """Centroid dimension for the zones seen in the data; every 50th zone has none."""
+    z = cells(spark, sf_dir).select("zone_id").distinct().where(F.col("zone_id") % 50 != 0)
+    return z.select("zone_id", (F.lit(40.5) + F.col("zone_id") * 0.002).alias("latitude"),
+                    (F.lit(-74.25) + ((F.col("zone_id") * 37) % 263) * 0.002).alias("longitude"))
+
+
+@register("semantic_labels")
+def q_semantic_labels(spark, sf_dir):
+    return norm(labelled_cells(spark, sf_dir).select(*C.CELL_KEY, "avg_speed_mph", "congestion_level"))
+
+
+@register("viz_mart")
+def q_viz_mart(spark, sf_dir):
+    return norm(mart(spark, sf_dir))
+
+
+@register("level_lookup")
+def q_level_lookup(spark, sf_dir):
+    m = labelled_cells(spark, sf_dir)
+    return norm(m.select("congestion_level").distinct().select(
+        "congestion_level", S.level_label().alias("congestion_label"), S.level_hex().alias("color_hex")))
+
+
+@register("severity_dim")
+def q_severity_dim(spark, sf_dir):
+    return norm(DB.severity_dim(mart(spark, sf_dir)))
+
+
+@register("hourly_trend")
+def q_hourly_trend(spark, sf_dir):
+    return norm(MA.hourly_trend(mart(spark, sf_dir)))
+
+
+@register("cluster_distribution")
+def q_cluster_distribution(spark, sf_dir):
+    return norm(MA.cluster_distribution(mart(spark, sf_dir)))
+
+
+@register("day_hour_heatmap")
+def q_day_hour_heatmap(spark, sf_dir):
+    return norm(MA.day_hour_heatmap(mart(spark, sf_dir)))
+
+
+@register("day_hour_speed")
+def q_day_hour_speed(spark, sf_dir):
+    """Weekday × hour mean trip speed over cleaned trips."""
+    return norm(MA.day_hour_heatmap(FE.engineer_features(clean_trips(spark, sf_dir)), value="speed_mph"))
+
+
+@register("top_congested_zones")
+def q_top_congested_zones(spark, sf_dir):
+    return norm(MA.top_congested_zones(mart(spark, sf_dir), 20))
+
+
+@register("zone_hour_heatmap")
+def q_zone_hour_heatmap(spark, sf_dir):
+    return norm(MA.zone_hour_heatmap(mart(spark, sf_dir), 40, by="density"))
+
+
+@register("zone_hour_heatmap_app")
+def q_zone_hour_heatmap_app(spark, sf_dir):
+    return norm(MA.zone_hour_heatmap(mart(spark, sf_dir), 25, by="level"))
+
+
+@register("cluster_profile")
+def q_cluster_profile(spark, sf_dir):
+    return norm(MA.cluster_profile(labelled_cells(spark, sf_dir)))
+
+
+@register("cluster_summary")
+def q_cluster_summary(spark, sf_dir):
+    return norm(MA.cluster_summary(mart(spark, sf_dir)))
+
+
+@register("centroid_means")
+def q_centroid_means(spark, sf_dir):
+    return norm(MA.centroid_means(labelled_cells(spark, sf_dir)))
+
+
+@register("mart_header")
+def q_mart_header(spark, sf_dir):
+    return norm(MA.mart_header(mart(spark, sf_dir)))
+
+
+@register("feature_correlation")
+def q_feature_correlation(spark, sf_dir):
+    return norm(MA.feature_correlation(cells(spark, sf_dir)))
+
+
+def features_df(spark, sf_dir):
+    return FE.engineer_features(clean_trips(spark, sf_dir))
+
+
+@register("describe_trips")
+def q_describe_trips(spark, sf_dir):
+    return norm(MA.describe(features_df(spark, sf_dir), ["trip_distance", "trip_duration", "speed_mph"]))
+
+
+@register("hist_distance")
+def q_hist_distance(spark, sf_dir):
+    return norm(MA.histogram(features_df(spark, sf_dir), S.clip("trip_distance", 0, 30), 80))
+
+
+@register("hist_log_distance")
+def q_hist_log_distance(spark, sf_dir):
+    return norm(MA.histogram(features_df(spark, sf_dir), F.log1p("trip_distance"), 80))
+
+
+@register("hist_duration")
+def q_hist_duration(spark, sf_dir):
+    return norm(MA.histogram(features_df(spark, sf_dir), S.clip(F.col("trip_duration") / 60.0, 0, 90), 80))
+
+
+@register("box_duration")
+def q_box_duration(spark, sf_dir):
+    t = features_df(spark, sf_dir).where(F.col("trip_duration") / 60.0 < 120)
+    return norm(MA.box_stats(t, F.col("trip_duration") / 60.0))
+
+
+@register("hist_speed")
+def q_hist_speed(spark, sf_dir):
+    return norm(MA.histogram(features_df(spark, sf_dir), S.clip("speed_mph", 0, 100), 100))
+
+
+@register("hist_deviation")
+def q_hist_deviation(spark, sf_dir):
+    return norm(MA.histogram(cells(spark, sf_dir), S.clip("speed_deviation", -20, 20), 80))
+
+
+@register("hist_density")
+def q_hist_density(spark, sf_dir):
+    return norm(MA.histogram(cells(spark, sf_dir), F.col("trip_density"), 60))
+
+
+@register("hist_log_density")
+def q_hist_log_density(spark, sf_dir):
+    return norm(MA.histogram(cells(spark, sf_dir), F.col("log_trip_density"), 60))
+
+
+@register("feature_distributions")
+def q_feature_distributions(spark, sf_dir):
+    """Density-normalised 40-bin histogram per (feature, level), each group's own range (H2)."""
+    lc = labelled_cells(spark, sf_dir)
+    stack = ", ".join(f"'{c}', cast(`{c}` as double)" for c in C.CLUSTER_FEATURES)
+    long = lc.selectExpr("congestion_level", f"stack({len(C.CLUSTER_FEATURES)}, {stack}) as (feature, value)")
+    return norm(MA.histogram(long, F.col("value"), 40, group_cols=["feature", "congestion_level"], density=True))
+
+
+@register("deviation_histogram")
+def q_deviation_histogram(spark, sf_dir):
+    return norm(MA.deviation_histogram(mart(spark, sf_dir)))
+
+
+@register("density_deviation_points")
+def q_density_deviation_points(spark, sf_dir):
+    return norm(MA.density_deviation_points(mart(spark, sf_dir)))
+
+
+@register("monthly_trend")
+def q_monthly_trend(spark, sf_dir):
+    return norm(MA.monthly_trend(features_df(spark, sf_dir)))
+
+
+@register("hourly_counts")
+def q_hourly_counts(spark, sf_dir):
+    return norm(features_df(spark, sf_dir).groupBy("hour_of_day").agg(F.count(F.lit(1)).alias("trips")))
+
+
+@register("hourly_speed_weekend")
+def q_hourly_speed_weekend(spark, sf_dir):
+    t = features_df(spark, sf_dir)
+    return norm(t.groupBy("hour_of_day", "is_weekend").agg(F.avg(S.clip("speed_mph", 1, 100)).alias("avg_speed")))
+
+
+@register("top_zones_volume")
+def q_top_zones_volume(spark, sf_dir):
+    t = features_df(spark, sf_dir)
+    return norm(MA._top_k(t, "PULocationID", F.count(F.lit(1)), 20).withColumnRenamed("_m", "trips"))
+
+
+@register("slowest_zones")
+def q_slowest_zones(spark, sf_dir):
+    t = features_df(spark, sf_dir)
+    return norm(MA._top_k(t, "PULocationID", F.avg(S.clip("speed_mph", 1, 100)), 20, desc=False)
+                .withColumnRenamed("_m", "avg_speed"))
+
+
+@register("eda_cluster_summary")
+def q_eda_cluster_summary(spark, sf_dir):
+    """Mean and std (ddof 1) per level of speed, density and deviation, rounded half-even to 3."""
+    lc = labelled_cells(spark, sf_dir)
+    feats = ["avg_speed_mph", "trip_density", "speed_deviation"]
+    r3 = lambda x: F.rint(x * 1000.0) / 1000.0
+    return norm(lc.groupBy("congestion_level").agg(
+        *[r3(F.avg(f)).alias(f"{f}_mean") for f in feats],
+        *[r3(F.stddev_samp(f)).alias(f"{f}_std") for f in feats]))
+
+
+@register("dashboard_filter")
+def q_dashboard_filter(spark, sf_dir):
+    return norm(DB.apply_filters(mart(spark, sf_dir), VIEW))
+
+
+@register("dashboard_focus")
+def q_dashboard_focus(spark, sf_dir):
+    return norm(DB.apply_filters(mart(spark, sf_dir), DB.ViewParams(hour=17, day_filter="Weekends Only", focus_level=3)))
+
+
+@register("insights")
+def q_insights(spark, sf_dir):
+    return norm(DB.insights(mart(spark, sf_dir)))
+
+
+@register("kpi_row")
+def q_kpi_row(spark, sf_dir):
+    return norm(DB.kpi_row(mart(spark, sf_dir), VIEW))
+
+
+@register("auto_story")
+def q_auto_story(spark, sf_dir):
+    return norm(DB.auto_story(mart(spark, sf_dir), VIEW))
+
+
+@register("top_zones_dashboard")
+def q_top_zones_dashboard(spark, sf_dir):
+    return norm(DB.top_zones_dashboard(mart(spark, sf_dir), VIEW))
+
+
+@register("map_points")
+def q_map_points(spark, sf_dir):
+    return norm(DB.map_points(mart(spark, sf_dir), zone_centroids(spark, sf_dir), VIEW))
+
+
+@register("filtered_table")
+def q_filtered_table(spark, sf_dir):
+    return norm(DB.filtered_table(mart(spark, sf_dir), VIEW))

@@ -306,3 +306,365 @@ select cast(count(distinct zone_id) as bigint) as unique_zones, cast(count(disti
        cast(count(*) filter (where is_rush_hour) as bigint) as rush_hour_rows,
        cast(min(hour_of_day) as bigint) as hour_min, cast(max(hour_of_day) as bigint) as hour_max
 from cells"""
+
+
+# ---- step 3: labelled cells, mart, charts, dashboard -------------------------
+
+from zonepace.operators import dashboard as _DB  # noqa: E402
+
+
+def _lst(xs) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+
+
+def _case_map(col: str, mapping: dict, default: str) -> str:
+    whens = " ".join(f"when {k} then '{v}'" for k, v in mapping.items())
+    return f"case {col} {whens} else {default} end"
+
+
+LEVEL_LABEL = _case_map("congestion_level", C.CONGESTION_LABELS, "'L' || cast(congestion_level as varchar)")
+LEVEL_HEX = _case_map("congestion_level", C.CONGESTION_HEX_COLORS, f"'{C.DEFAULT_HEX}'")
+DAY_NAME = (f"case when day_of_week between 0 and 6 then {_lst(C.DAY_NAMES_SHORT)}[day_of_week + 1] "
+            "else cast(day_of_week as varchar) end")
+
+LABELLED = """
+lab0 as (select *, cast(floor(hour_of_day / 6) as int) as raw_cluster from cells),
+remap as (select raw_cluster, row_number() over (order by avg(avg_speed_mph) desc, raw_cluster asc) - 1 as congestion_level
+          from lab0 group by raw_cluster),
+labelled as (select lab0.* exclude (raw_cluster), remap.congestion_level from lab0 join remap on lab0.raw_cluster = remap.raw_cluster)"""
+
+MART = f""",
+mart as (
+  select *, {LEVEL_LABEL} as congestion_label, {LEVEL_HEX} as color_hex, {DAY_NAME} as day_name from (
+    select zone_id, hour_of_day, day_of_week, is_weekend, mode(congestion_level) as congestion_level,
+           avg(avg_speed_mph) as avg_speed_mph, sum(trip_density) as trip_density,
+           avg(speed_deviation) as speed_deviation, first(is_airport) as is_airport, first(is_cbd) as is_cbd,
+           first(is_rush_hour) as is_rush_hour
+    from labelled group by zone_id, hour_of_day, day_of_week, is_weekend) g
+)"""
+
+
+def with_mart() -> str:
+    return chain_upto("cells") + "," + LABELLED + MART
+
+
+def _pal_sql() -> str:
+    canon = "(k = 3 and mn = 0 and mx = 2)"
+    rgba_cfg = "case congestion_level " + " ".join(
+        f"when {lv} then {v}" for lv, v in C.CONGESTION_RGBA_COLORS.items()) + " end"
+    return f""",
+lv as (select congestion_level, row_number() over (order by congestion_level) - 1 as pos,
+              count(*) over () as k, min(congestion_level) over () as mn, max(congestion_level) over () as mx
+       from (select distinct congestion_level from mart) d),
+pal0 as (
+  select congestion_level, {canon} as canon, rgba_cfg,
+    case when {canon} then {LEVEL_LABEL}
+         when k = 3 then {_lst(_DB.LABELS_3)}[pos + 1]
+         when k = 4 then {_lst(_DB.LABELS_4)}[pos + 1]
+         when pos < {len(_DB.DESCRIPTORS)} then {_lst(_DB.DESCRIPTORS)}[pos + 1]
+         else 'Level ' || cast(congestion_level as varchar) end as label,
+    case when {canon} then {LEVEL_HEX}
+         when k = 4 then {_lst(_DB.RAMP_4)}[pos + 1]
+         when k = 6 then {_lst(_DB.RAMP_6)}[pos + 1]
+         when k <= {len(_DB.DISTINCT_SEVERITY_PALETTE)} then {_lst(_DB.DISTINCT_SEVERITY_PALETTE)}[pos + 1]
+         when pos < {len(_DB.QUALITATIVE_24)} then {_lst(_DB.QUALITATIVE_24)}[pos + 1]
+         else '{C.DEFAULT_HEX}' end as hex
+  from (select *, {rgba_cfg} as rgba_cfg from lv) x
+),
+palette as (
+  select congestion_level, label, hex,
+         case when canon then rgba_cfg[1] else cast(('0x' || substr(hex, 2, 2)) as integer) end as r,
+         case when canon then rgba_cfg[2] else cast(('0x' || substr(hex, 4, 2)) as integer) end as g,
+         case when canon then rgba_cfg[3] else cast(('0x' || substr(hex, 6, 2)) as integer) end as b,
+         case when canon then rgba_cfg[4] else {_DB.PALETTE_ALPHA} end as a
+  from pal0
+)"""
+
+
+PALETTE = _pal_sql()
+MART_COLS = (CELL_KEY_SQL + ", cast(congestion_level as bigint) as congestion_level, "
+             f"{r6('avg_speed_mph')} as avg_speed_mph, cast(trip_density as bigint) as trip_density, "
+             f"{r6('speed_deviation')} as speed_deviation, is_airport, is_cbd, is_rush_hour, "
+             "congestion_label, color_hex, day_name")
+
+ORACLE["semantic_labels"] = chain_upto("cells") + "," + LABELLED + f"""
+select {CELL_KEY_SQL}, {r6('avg_speed_mph')} as avg_speed_mph, cast(congestion_level as bigint) as congestion_level from labelled"""
+
+ORACLE["viz_mart"] = with_mart() + f"\nselect {MART_COLS} from mart"
+
+ORACLE["level_lookup"] = chain_upto("cells") + "," + LABELLED + f"""
+select cast(congestion_level as bigint) as congestion_level, {LEVEL_LABEL} as congestion_label, {LEVEL_HEX} as color_hex
+from (select distinct congestion_level from labelled) d"""
+
+ORACLE["severity_dim"] = with_mart() + PALETTE + """
+select cast(congestion_level as bigint) as congestion_level, label, hex, cast(r as bigint) as r, cast(g as bigint) as g,
+       cast(b as bigint) as b, cast(a as bigint) as a from palette"""
+
+ORACLE["hourly_trend"] = with_mart() + f"""
+select cast(hour_of_day as bigint) as hour_of_day, {r6('avg(avg_speed_mph)')} as avg_speed,
+       {r6('avg(trip_density)')} as avg_density, {r6('avg(speed_deviation)')} as avg_deviation
+from mart group by hour_of_day"""
+
+ORACLE["cluster_distribution"] = with_mart() + f"""
+select cast(congestion_level as bigint) as congestion_level, cast(count(*) as bigint) as count,
+       {LEVEL_LABEL} as label, {LEVEL_HEX} as color
+from mart group by congestion_level"""
+
+
+def _pivot24(value: str, src: str, key: str) -> str:
+    cols = ", ".join(f"{r6(f'avg({value}) filter (where hour_of_day = {h})')} as h{h:02d}" for h in range(24))
+    return f"select {key}, {cols} from {src} group by {key.split(' as ')[-1] if ' as ' not in key else 'day_of_week'}"
+
+
+ORACLE["day_hour_heatmap"] = with_mart() + f"""
+select cast(day_of_week as bigint) as day_of_week, {DAY_NAME} as day_name, {", ".join(f"{r6(f'avg(congestion_level) filter (where hour_of_day = {h})')} as h{h:02d}" for h in range(24))}
+from mart group by day_of_week"""
+
+ORACLE["day_hour_speed"] = chain_upto("feat") + f"""
+select cast(day_of_week as bigint) as day_of_week, {DAY_NAME} as day_name, {", ".join(f"{r6(f'avg(speed_mph) filter (where hour_of_day = {h})')} as h{h:02d}" for h in range(24))}
+from feat group by day_of_week"""
+
+ORACLE["top_congested_zones"] = with_mart() + f"""
+select cast(zone_id as bigint) as zone_id, {r6('m')} as congestion_level, cast(rank as bigint) as rank,
+       case least(2, cast(round_even(m, 0) as int)) {" ".join(f"when {k} then '{v}'" for k, v in C.CONGESTION_HEX_COLORS.items())} else '{C.DEFAULT_HEX}' end as color
+from (select zone_id, avg(congestion_level) as m, row_number() over (order by avg(congestion_level) desc, zone_id asc) as rank
+      from mart group by zone_id) t where rank <= 20"""
+
+
+def _zone_heat(metric: str, n: int) -> str:
+    cols = ", ".join(f"{r6(f'avg(m.congestion_level) filter (where m.hour_of_day = {h})')} as h{h:02d}" for h in range(24))
+    return with_mart() + f""",
+top as (select zone_id, row_number() over (order by {metric} desc, zone_id asc) as zone_rank from mart group by zone_id)
+select cast(t.zone_rank as bigint) as zone_rank, cast(t.zone_id as bigint) as zone_id, {cols}
+from top t join mart m on t.zone_id = m.zone_id where t.zone_rank <= {n} group by t.zone_rank, t.zone_id"""
+
+
+ORACLE["zone_hour_heatmap"] = _zone_heat("sum(trip_density)", 40)
+ORACLE["zone_hour_heatmap_app"] = _zone_heat("avg(congestion_level)", 25)
+
+_PROFILE = ["avg_speed_mph", "speed_deviation", "log_trip_density", "trip_density", "hour_of_day"]
+ORACLE["cluster_profile"] = chain_upto("cells") + "," + LABELLED + f""",
+means as (select congestion_level, {", ".join(f"cast(floor(avg({f}) * cast(1e9 as double) + cast(0.5 as double)) as double) / cast(1e9 as double) as {f}" for f in _PROFILE)} from labelled group by congestion_level)
+select cast(congestion_level as bigint) as congestion_level, {", ".join(
+    r6(f"({f} - avg({f}) over ()) / case when stddev_pop({f}) over () = 0 then 1 else stddev_pop({f}) over () end") + f" as z_{f}"
+    for f in _PROFILE)}
+from means"""
+
+ORACLE["cluster_summary"] = with_mart() + f"""
+select cast(congestion_level as bigint) as congestion_level, cast(count(*) as bigint) as n_obs,
+       cast(count(distinct zone_id) as bigint) as n_zones, {r6('avg(avg_speed_mph)')} as avg_speed,
+       {r6('avg(speed_deviation)')} as avg_dev, {r6('avg(trip_density)')} as avg_density,
+       {r6('avg(cast(is_weekend as double))')} as wknd_share
+from mart group by congestion_level"""
+
+
+def _r3e(x: str) -> str:
+    return f"(round_even(({x}) * cast(1000 as double), 0) / cast(1000 as double))"
+
+
+_CM = C.CLUSTER_FEATURES + ["avg_speed_mph", "trip_density"]
+ORACLE["centroid_means"] = chain_upto("cells") + "," + LABELLED + f"""
+select cast(congestion_level as bigint) as congestion_level, {", ".join(r6(_r3e(f'avg(cast({f} as double))')) + f' as {f}' for f in _CM)}
+from labelled group by congestion_level"""
+
+ORACLE["mart_header"] = with_mart() + """
+select cast(count(*) as bigint) as n_rows, cast(count(distinct zone_id) as bigint) as n_zones,
+       cast(count(distinct congestion_level) as bigint) as k,
+       array_to_string(list_sort(list(distinct congestion_level)), ',') as levels
+from mart"""
+
+_CORR = ["avg_speed_mph", "trip_density", "speed_deviation", "hour_of_day"]
+ORACLE["feature_correlation"] = chain_upto("cells") + "\n" + "\nunion all\n".join(
+    f"select '{a}' as feature_a, '{b}' as feature_b, {r6(f'corr(cast({a} as double), cast({b} as double))')} as r from cells"
+    for a in _CORR for b in _CORR)
+
+_DESC = ["trip_distance", "trip_duration", "speed_mph"]
+_P = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+ORACLE["describe_trips"] = chain_upto("feat") + ",\nlong as (" + "\nunion all\n".join(
+    f"select '{c}' as col, cast({c} as double) as v from feat" for c in _DESC) + f""")
+select col as "column", cast(count(*) as bigint) as count, {r6('avg(v)')} as mean, {r6('stddev_samp(v)')} as std,
+       {r6('min(v)')} as min, {r6('max(v)')} as max,
+       {", ".join(r6(f'quantile_cont(v, {p})') + f' as p{int(round(p * 100)):02d}' for p in _P)}
+from long where v is not null and not isnan(v) group by col"""
+
+
+def hist_sql(src: str, value: str, bins: int, groups: list[str] | None = None, density: bool = False) -> str:
+    """Equal-width histogram over the group's own min/max, every bin listed."""
+    g = groups or []
+    gsel = "".join(f"{c}, " for c in g)
+    gjoin = " and ".join(f"s.{c} is not distinct from r.{c}" for c in g) or "true"
+    gby = ", ".join(g)
+    gout = "".join(f"d.{c}, " for c in g)
+    dj = "".join(f" and d.{c} is not distinct from c.{c}" for c in g)
+    dens = ""
+    if density:
+        dens = f", {r6(f'coalesce(c.n, 0) / (sum(coalesce(c.n, 0)) over (partition by {', '.join('d.' + c for c in g) or 1}) * ((d.hi - d.lo) / cast({bins} as double)))')} as density"
+    return f""",
+h_src as (select {gsel}x from (select {gsel}cast({value} as double) as x from {src}) t where x is not null and not isnan(x)),
+h_rng as (select {gsel}case when min(x) = max(x) then min(x) - 0.5 else min(x) end as lo,
+                 case when min(x) = max(x) then max(x) + 0.5 else max(x) end as hi
+          from h_src {'group by ' + gby if g else ''}),
+h_cnt as (select {''.join(f's.{c}, ' for c in g)}least(floor((x - lo) * (cast({bins} as double) / (hi - lo))), {bins - 1}) as bin, count(*) as n
+          from h_src s join h_rng r on {gjoin} group by all),
+h_dim as (select {''.join(f'r.{c}, ' for c in g)}r.lo, r.hi, b.range as bin from h_rng r cross join range(0, {bins}) b)
+select {''.join(f'{"cast(d." + c + " as bigint)" if c == "congestion_level" else "d." + c} as {c}, ' for c in g)}cast(d.bin as bigint) as bin, cast(coalesce(c.n, 0) as bigint) as count,
+       {r6(f'd.lo + d.bin * ((d.hi - d.lo) / cast({bins} as double))')} as bin_lo,
+       {r6(f'case when d.bin = {bins - 1} then d.hi else d.lo + (d.bin + 1) * ((d.hi - d.lo) / cast({bins} as double)) end')} as bin_hi{dens}
+from h_dim d left join h_cnt c on d.bin = c.bin{dj}"""
+
+
+ORACLE["hist_distance"] = chain_upto("feat") + hist_sql("feat", "least(greatest(trip_distance, 0), 30)", 80)
+ORACLE["hist_log_distance"] = chain_upto("feat") + hist_sql("feat", "ln(1 + trip_distance)", 80)
+ORACLE["hist_duration"] = chain_upto("feat") + hist_sql("feat", "least(greatest(trip_duration / cast(60 as double), 0), 90)", 80)
+ORACLE["hist_speed"] = chain_upto("feat") + hist_sql("feat", "least(greatest(speed_mph, 0), 100)", 100)
+ORACLE["hist_deviation"] = chain_upto("cells") + hist_sql("cells", "least(greatest(speed_deviation, -20), 20)", 80)
+ORACLE["hist_density"] = chain_upto("cells") + hist_sql("cells", "trip_density", 60)
+ORACLE["hist_log_density"] = chain_upto("cells") + hist_sql("cells", "log_trip_density", 60)
+
+ORACLE["feature_distributions"] = chain_upto("cells") + "," + LABELLED + ",\nlongf as (" + "\nunion all\n".join(
+    f"select '{f}' as feature, congestion_level, cast({f} as double) as value from labelled" for f in C.CLUSTER_FEATURES
+) + ")" + hist_sql("longf", "value", 40, ["feature", "congestion_level"], density=True)
+
+ORACLE["box_duration"] = chain_upto("feat") + f""",
+v as (select trip_duration / cast(60 as double) as x from feat where trip_duration / cast(60 as double) < 120),
+q as (select quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.5) as median, quantile_cont(x, 0.75) as q3, count(*) as n from v)
+select {r6('q1')} as q1, {r6('median')} as median, {r6('q3')} as q3, cast(n as bigint) as n,
+       {r6('min(x) filter (where x >= q1 - 1.5 * (q3 - q1))')} as whisker_lo,
+       {r6('max(x) filter (where x <= q3 + 1.5 * (q3 - q1))')} as whisker_hi,
+       cast(count(*) filter (where x < q1 - 1.5 * (q3 - q1) or x > q3 + 1.5 * (q3 - q1)) as bigint) as n_fliers,
+       {r6('avg(x)')} as mean
+from v cross join q group by q1, median, q3, n"""
+
+ORACLE["deviation_histogram"] = with_mart() + f""",
+q as (select quantile_cont(speed_deviation, 0.005) as lo, quantile_cont(speed_deviation, 0.995) as hi from mart)
+select cast(congestion_level as bigint) as congestion_level,
+       cast(least(floor((speed_deviation - lo) * (cast(59 as double) / (hi - lo))), 58) as bigint) as bin,
+       cast(count(*) as bigint) as count
+from mart cross join q where speed_deviation >= lo and speed_deviation <= hi group by all"""
+
+ORACLE["density_deviation_points"] = with_mart() + f""",
+q as (select quantile_cont(trip_density, 0.99) as p99 from mart)
+select {CELL_KEY_SQL}, cast(congestion_level as bigint) as congestion_level,
+       {r6('least(greatest(cast(trip_density as double), 0), p99)')} as density_clipped,
+       {r6('speed_deviation')} as speed_deviation
+from mart cross join q"""
+
+ORACLE["monthly_trend"] = chain_upto("feat") + f"""
+select file_ym, {r6('avg(speed_mph)')} as avg_speed, cast(count(speed_mph) as bigint) as n_trips,
+       {r6('quantile_cont(speed_mph, 0.5)')} as median_speed
+from feat group by file_ym"""
+
+ORACLE["hourly_counts"] = chain_upto("feat") + """
+select cast(hour_of_day as bigint) as hour_of_day, cast(count(*) as bigint) as trips from feat group by hour_of_day"""
+
+ORACLE["hourly_speed_weekend"] = chain_upto("feat") + f"""
+select cast(hour_of_day as bigint) as hour_of_day, is_weekend, {r6('avg(least(greatest(speed_mph, 1), 100))')} as avg_speed
+from feat group by hour_of_day, is_weekend"""
+
+ORACLE["top_zones_volume"] = chain_upto("feat") + """
+select cast(PULocationID as bigint) as PULocationID, cast(trips as bigint) as trips, cast(rank as bigint) as rank
+from (select PULocationID, count(*) as trips, row_number() over (order by count(*) desc, PULocationID asc) as rank
+      from feat group by PULocationID) t where rank <= 20"""
+
+ORACLE["slowest_zones"] = chain_upto("feat") + f"""
+select cast(PULocationID as bigint) as PULocationID, {r6('s')} as avg_speed, cast(rank as bigint) as rank
+from (select PULocationID, avg(least(greatest(speed_mph, 1), 100)) as s,
+             row_number() over (order by avg(least(greatest(speed_mph, 1), 100)) asc, PULocationID asc) as rank
+      from feat group by PULocationID) t where rank <= 20"""
+
+_EDA = ["avg_speed_mph", "trip_density", "speed_deviation"]
+ORACLE["eda_cluster_summary"] = chain_upto("cells") + "," + LABELLED + f"""
+select cast(congestion_level as bigint) as congestion_level,
+       {", ".join(r6(_r3e(f'avg({f})')) + f' as {f}_mean' for f in _EDA)},
+       {", ".join(r6(_r3e(f'stddev_samp({f})')) + f' as {f}_std' for f in _EDA)}
+from labelled group by congestion_level"""
+
+VIEW_WHERE = "hour_of_day = 8 and not is_weekend and day_of_week in (1, 2, 3)"
+ORACLE["dashboard_filter"] = with_mart() + f"\nselect {MART_COLS} from mart where {VIEW_WHERE}"
+ORACLE["dashboard_focus"] = with_mart() + f"\nselect {MART_COLS} from mart where hour_of_day = 17 and is_weekend and congestion_level = 3"
+
+ORACLE["insights"] = with_mart() + f"""
+select 'peak_hour' as insight, cast(rank as bigint) as rank, cast(hour_of_day as bigint) as key, {r6('v')} as value
+from (select hour_of_day, avg(congestion_level) as v, row_number() over (order by avg(congestion_level) desc, hour_of_day) as rank
+      from mart group by hour_of_day) a where rank <= 3
+union all
+select 'top_zone', cast(rank as bigint), cast(zone_id as bigint), {r6('v')}
+from (select zone_id, avg(congestion_level) as v, row_number() over (order by avg(congestion_level) desc, zone_id) as rank
+      from mart group by zone_id) b where rank <= 5
+union all
+select 'level_pct', cast(null as bigint), cast(congestion_level as bigint), {r6('100.0::double * count(*) / sum(count(*)) over ()')}
+from mart group by congestion_level
+union all select 'overall_avg_speed', cast(null as bigint), cast(null as bigint), {r6('avg(avg_speed_mph)')} from mart
+union all select 'total_density', cast(null as bigint), cast(null as bigint), {r6('cast(sum(trip_density) as double)')} from mart"""
+
+ORACLE["kpi_row"] = with_mart() + f""",
+info as (select list_sort(list(distinct congestion_level)) as levels, avg(avg_speed_mph) as overall from mart),
+thr as (select levels[cast(floor(len(levels) * 0.66::double) as int) + 1] as t, overall from info),
+f as (select * from mart where {VIEW_WHERE})
+select cast(count(*) as bigint) as n_obs, cast(count(distinct zone_id) as bigint) as n_zones,
+       {r6('coalesce(avg(avg_speed_mph), 0)')} as avg_speed_filtered, {r6('any_value(thr.overall)')} as avg_speed_overall,
+       {r6('coalesce(avg(avg_speed_mph), 0) - any_value(thr.overall)')} as delta_speed,
+       cast(any_value(thr.t) as bigint) as high_threshold,
+       {r6('100.0::double * count(*) filter (where congestion_level >= thr.t) / greatest(count(*), 1)')} as pct_high,
+       cast(coalesce(sum(trip_density), 0) as bigint) as total_trips
+from thr left join f on true"""
+
+_R1 = "(floor(({x}) * cast(10 as double) + cast(0.5 as double)) / cast(10 as double))"
+ORACLE["auto_story"] = with_mart() + PALETTE + f""",
+allm as (select avg(avg_speed_mph) as a, max(congestion_level) as mx from mart),
+f as (select * from mart where {VIEW_WHERE}),
+facts as (
+  select count(distinct zone_id) as n_zones, avg(avg_speed_mph) as avg_speed, avg(avg_speed_mph) - any_value(a) as delta,
+         avg(speed_deviation) as avg_dev,
+         (select congestion_level from f group by congestion_level order by count(*) desc, congestion_level asc limit 1) as dom_level,
+         100.0::double * count(*) filter (where congestion_level >= mx - 1) / count(*) as pct_high
+  from f cross join allm
+),
+phr as (
+  select facts.*, coalesce(p.label, 'Level ' || cast(dom_level as varchar)) as dom_label,
+    case when delta > 1 then printf('%.1f mph faster than the all-day average', {_R1.format(x='abs(delta)')})
+         when delta < -1 then printf('%.1f mph slower than the all-day average', {_R1.format(x='abs(delta)')})
+         else 'close to the all-day average' end as speed_phrase,
+    case when avg_dev > 1 then 'zones are moving above their typical baseline — uncongested'
+         when avg_dev < -1 then 'zones are moving below their typical baseline — congested'
+         else 'zones are at their typical baseline speed' end as dev_phrase
+  from facts left join palette p on p.congestion_level = facts.dom_level
+)
+select cast(n_zones as bigint) as n_zones, {r6('avg_speed')} as avg_speed, {r6('delta')} as delta, {r6('avg_dev')} as avg_dev,
+       cast(dom_level as bigint) as dom_level, dom_label, {r6('pct_high')} as pct_high, speed_phrase, dev_phrase,
+       printf('At %02d:00 (%s), %d zones are active. Average speed is %.1f mph, %s, and %s. The dominant cluster is %s, and %.0f%% of observations sit in the highest one-or-two congestion levels.',
+              8, 'weekdays only', n_zones, {_R1.format(x='avg_speed')}, speed_phrase, dev_phrase, dom_label,
+              floor(pct_high + 0.5)) as story
+from phr"""
+
+ORACLE["top_zones_dashboard"] = with_mart() + PALETTE + f""",
+f as (select * from mart where {VIEW_WHERE}),
+rng as (select min(congestion_level) as lo, max(congestion_level) as hi from palette),
+agg as (select zone_id, avg(congestion_level) as avg_level, avg(avg_speed_mph) as avg_speed, sum(trip_density) as density,
+               row_number() over (order by avg(congestion_level) desc, zone_id asc) as rank
+        from f group by zone_id),
+top as (select agg.*, least(greatest(cast(round_even(avg_level, 0) as int), lo), hi) as lvl_int from agg cross join rng where rank <= 15)
+select cast(rank as bigint) as rank, cast(zone_id as bigint) as zone_id, {r6('avg_level')} as avg_level, {r6('avg_speed')} as avg_speed,
+       cast(density as bigint) as density, cast(lvl_int as bigint) as lvl_int, coalesce(p.hex, '#e74c3c') as color,
+       'Zone ' || cast(zone_id as varchar) as label
+from top left join palette p on p.congestion_level = top.lvl_int"""
+
+ORACLE["map_points"] = with_mart() + PALETTE + f""",
+cent as (select zone_id, 40.5::double + zone_id * 0.002::double as latitude,
+                -74.25::double + ((zone_id * 37) % 263) * 0.002::double as longitude
+         from (select distinct zone_id from cells) z where zone_id % 50 <> 0),
+m as (select f.*, c.latitude, c.longitude from mart f join cent c on f.zone_id = c.zone_id where {VIEW_WHERE.replace('hour_of_day', 'f.hour_of_day').replace('is_weekend', 'f.is_weekend').replace('day_of_week', 'f.day_of_week')}),
+mx as (select max(trip_density) as mx from m)
+select {CELL_KEY_SQL}, cast(m.congestion_level as bigint) as congestion_level, {r6('latitude')} as latitude,
+       {r6('longitude')} as longitude, cast(trip_density as bigint) as trip_density,
+       cast(coalesce(p.r, {_DB.DEFAULT_RGBA[0]}) as bigint) as r, cast(coalesce(p.g, {_DB.DEFAULT_RGBA[1]}) as bigint) as g,
+       cast(coalesce(p.b, {_DB.DEFAULT_RGBA[2]}) as bigint) as b, cast(coalesce(p.a, {_DB.DEFAULT_RGBA[3]}) as bigint) as a,
+       coalesce(p.label, cast(m.congestion_level as varchar)) as label,
+       {r6('case when mx > 0 then least(greatest(trip_density / cast(mx as double) * 350.0::double + 140.0::double, 140.0::double), 580.0::double) else 180.0::double end')} as radius
+from m cross join mx left join palette p on p.congestion_level = m.congestion_level"""
+
+ORACLE["filtered_table"] = with_mart() + PALETTE + f"""
+select cast(zone_id as bigint) as zone_id, cast(hour_of_day as bigint) as hour_of_day, day_name,
+       p.label as congestion_label_dynamic, {r6('avg_speed_mph')} as avg_speed_mph, cast(trip_density as bigint) as trip_density,
+       {r6('speed_deviation')} as speed_deviation, cast(m.congestion_level as bigint) as congestion_level
+from mart m left join palette p on p.congestion_level = m.congestion_level where {VIEW_WHERE}"""
