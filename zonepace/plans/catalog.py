@@ -524,3 +524,101 @@ def q_map_points(spark, sf_dir):
 @register("filtered_table")
 def q_filtered_table(spark, sf_dir):
     return norm(DB.filtered_table(mart(spark, sf_dir), VIEW))
+
+
+# ---- step 4: feature matrix, scaling, quality on fixed labels ---------------
+
+from zonepace.operators import quality as QU  # noqa: E402
+from zonepace.operators import scaling as SC  # noqa: E402
+
+FEATS = C.CLUSTER_FEATURES
+
+
+def feature_table(spark, sf_dir) -> DataFrame:
+    """Labelled cells with the five features as doubles (M1)."""
+    return SC.prepare_features(labelled_cells(spark, sf_dir))
+
+
+def scaled_table(spark, sf_dir, kind: str = "standard") -> DataFrame:
+    scaled, _ = SC.scale_features(feature_table(spark, sf_dir), FEATS, kind)
+    return scaled
+
+
+@register("feature_matrix")
+def q_feature_matrix(spark, sf_dir):
+    return norm(feature_table(spark, sf_dir).select(*C.CELL_KEY[:3], *FEATS))
+
+
+@register("scale_standard")
+def q_scale_standard(spark, sf_dir):
+    return norm(scaled_table(spark, sf_dir, "standard").select(*C.CELL_KEY[:3], *FEATS))
+
+
+@register("scale_robust")
+def q_scale_robust(spark, sf_dir):
+    return norm(scaled_table(spark, sf_dir, "robust").select(*C.CELL_KEY[:3], *FEATS))
+
+
+@register("davies_bouldin")
+def q_davies_bouldin(spark, sf_dir):
+    return norm(QU.davies_bouldin(scaled_table(spark, sf_dir), FEATS, "congestion_level"))
+
+
+@register("calinski_harabasz")
+def q_calinski_harabasz(spark, sf_dir):
+    return norm(QU.calinski_harabasz(scaled_table(spark, sf_dir), FEATS, "congestion_level"))
+
+
+@register("cv_intra")
+def q_cv_intra(spark, sf_dir):
+    return norm(QU.cv_intra(labelled_cells(spark, sf_dir)))
+
+
+@register("ari")
+def q_ari(spark, sf_dir):
+    """ARI between the hour-band levels and a second labeling (zone + hour) mod 4."""
+    lc = labelled_cells(spark, sf_dir).withColumn("second", (F.col("zone_id") + F.col("hour_of_day")) % 4)
+    return norm(QU.adjusted_rand(lc, "congestion_level", "second"))
+
+
+@register("ari_identical")
+def q_ari_identical(spark, sf_dir):
+    """ARI of a labeling with a relabelled copy of itself is exactly 1."""
+    lc = labelled_cells(spark, sf_dir).withColumn("copy", F.lit(10) - F.col("congestion_level"))
+    return norm(QU.adjusted_rand(lc, "congestion_level", "copy"))
+
+
+def _silhouette(spark, sf_dir):
+    sc = scaled_table(spark, sf_dir)
+    key = C.CELL_KEY[:3]
+    sample = QU.silhouette_sample(sc, key)
+    per_row = QU.silhouette_samples(sample, FEATS, ["congestion_level"], key)
+    return sc, sample, per_row
+
+
+@register("silhouette_overall")
+def q_silhouette_overall(spark, sf_dir):
+    sc, sample, per_row = _silhouette(spark, sf_dir)
+    overall, _ = QU.silhouette_scores(per_row, sample, "congestion_level", C.CELL_KEY[:3])
+    return norm(overall)
+
+
+@register("silhouette_per_cluster")
+def q_silhouette_per_cluster(spark, sf_dir):
+    sc, sample, per_row = _silhouette(spark, sf_dir)
+    _, per = QU.silhouette_scores(per_row, sample, "congestion_level", C.CELL_KEY[:3])
+    return norm(per)
+
+
+@register("silhouette_samples")
+def q_silhouette_samples(spark, sf_dir):
+    sc, sample, per_row = _silhouette(spark, sf_dir)
+    j = per_row.join(sample.select(*C.CELL_KEY[:3], "congestion_level"), C.CELL_KEY[:3])
+    return norm(QU.level_window_rank(j, "congestion_level", "sil_congestion_level"))
+
+
+@register("cluster_quality")
+def q_cluster_quality(spark, sf_dir):
+    """Metrics document as a long table on the fixed labels, including the KPI gate (Q9)."""
+    sc = scaled_table(spark, sf_dir)
+    return norm(QU.cluster_quality(sc, labelled_cells(spark, sf_dir), FEATS, C.CELL_KEY[:3]))

@@ -668,3 +668,84 @@ select cast(zone_id as bigint) as zone_id, cast(hour_of_day as bigint) as hour_o
        p.label as congestion_label_dynamic, {r6('avg_speed_mph')} as avg_speed_mph, cast(trip_density as bigint) as trip_density,
        {r6('speed_deviation')} as speed_deviation, cast(m.congestion_level as bigint) as congestion_level
 from mart m left join palette p on p.congestion_level = m.congestion_level where {VIEW_WHERE}"""
+
+
+# ---- step 4 -------------------------------------------------------------------
+
+_F = C.CLUSTER_FEATURES
+_K3 = ("cast(zone_id as bigint) as zone_id, cast(hour_of_day as bigint) as hour_of_day, "
+       "cast(day_of_week as bigint) as day_of_week")
+FEATM = chain_upto("cells") + "," + LABELLED + """,
+fm as (select zone_id, hour_of_day, day_of_week, congestion_level, avg_speed_mph,
+              cast(hour_sin as double) as hour_sin, cast(hour_cos as double) as hour_cos,
+              cast(cast(is_weekend as int) as double) as is_weekend, cast(speed_deviation as double) as speed_deviation,
+              cast(log_trip_density as double) as log_trip_density
+       from labelled where hour_sin is not null and hour_cos is not null and is_weekend is not null
+         and speed_deviation is not null and log_trip_density is not null)"""
+
+ORACLE["feature_matrix"] = FEATM + f"\nselect {_K3}, {', '.join(r6(f) + ' as ' + f for f in _F)} from fm"
+
+STD_STATS = ",\nst as (select " + ", ".join(
+    f"avg({f}) as {f}_c, case when stddev_pop({f}) = 0 then 1 else stddev_pop({f}) end as {f}_s" for f in _F) + " from fm)"
+SCALED = STD_STATS + ",\nsc as (select fm.zone_id, fm.hour_of_day, fm.day_of_week, fm.congestion_level, " + ", ".join(
+    f"(fm.{f} - st.{f}_c) / st.{f}_s as {f}" for f in _F) + " from fm cross join st)"
+
+ORACLE["scale_standard"] = FEATM + SCALED + f"\nselect {_K3}, {', '.join(r6(f) + ' as ' + f for f in _F)} from sc"
+
+ORACLE["scale_robust"] = FEATM + ",\nrs as (select " + ", ".join(
+    f"quantile_cont({f}, 0.5) as {f}_c, case when quantile_cont({f}, 0.75) - quantile_cont({f}, 0.25) = 0 then 1 "
+    f"else quantile_cont({f}, 0.75) - quantile_cont({f}, 0.25) end as {f}_s" for f in _F) + " from fm)" + f"""
+select {_K3}, {', '.join(r6(f'(fm.{f} - rs.{f}_c) / rs.{f}_s') + ' as ' + f for f in _F)} from fm cross join rs"""
+
+_CEN = ",\ncen as (select congestion_level, " + ", ".join(f"avg({f}) as c_{f}" for f in _F) + \
+       ", count(*) as n from sc group by congestion_level)"
+_DIST = " + ".join(f"(sc.{f} - cen.c_{f})^2" for f in _F)
+ORACLE["davies_bouldin"] = FEATM + SCALED + _CEN + f""",
+s as (select sc.congestion_level, avg(sqrt({_DIST})) as s from sc join cen on sc.congestion_level = cen.congestion_level group by 1),
+cs as (select cen.*, s.s from cen join s on cen.congestion_level = s.congestion_level),
+r as (select a.congestion_level, max(case when sqrt({' + '.join(f'(a.c_{f} - b.c_{f})^2' for f in _F)}) = 0 then cast('inf' as double)
+              else (a.s + b.s) / sqrt({' + '.join(f'(a.c_{f} - b.c_{f})^2' for f in _F)}) end) as r
+      from cs a join cs b on a.congestion_level <> b.congestion_level group by 1)
+select {r6("case when (select count(*) from cen) between 2 and (select sum(n) from cen) - 1 then (select avg(r) from r) else cast('nan' as double) end")} as davies_bouldin"""
+
+ORACLE["calinski_harabasz"] = FEATM + SCALED + _CEN + f""",
+m as (select {', '.join(f'avg({f}) as m_{f}' for f in _F)} from sc),
+w as (select sum({_DIST}) as W from sc join cen on sc.congestion_level = cen.congestion_level),
+b as (select sum(n * ({' + '.join(f'(c_{f} - m_{f})^2' for f in _F)})) as B, count(*) as k, sum(n) as n from cen cross join m)
+select {r6("case when k between 2 and n - 1 then case when W = 0 then 1.0 else (B / (k - 1)) / (W / (n - k)) end else cast('nan' as double) end")} as calinski_harabasz
+from b cross join w"""
+
+ORACLE["cv_intra"] = chain_upto("cells") + "," + LABELLED + f"""
+select cast(congestion_level as bigint) as congestion_level,
+       {r6("case when avg(avg_speed_mph) > 0 then stddev_pop(avg_speed_mph) / avg(avg_speed_mph) else cast('nan' as double) end")} as cv
+from labelled group by congestion_level"""
+
+
+def _ari_sql(b_expr: str) -> str:
+    return chain_upto("cells") + "," + LABELLED + f""",
+ct as (select congestion_level as a, {b_expr} as b, cast(count(*) as double) as nij from labelled group by 1, 2),
+sa as (select sum(ai * (ai - 1) / 2) as sum_a from (select a, sum(nij) as ai from ct group by a) x),
+sb as (select sum(bj * (bj - 1) / 2) as sum_b from (select b, sum(nij) as bj from ct group by b) y),
+sij as (select sum(nij * (nij - 1) / 2) as sum_ij, sum(nij) as n from ct),
+e as (select sum_ij, sum_a * sum_b / (n * (n - 1) / 2) as ex, (sum_a + sum_b) / 2 as mx from sij, sa, sb)
+select {r6("case when mx - ex = 0 then 1.0 else (sum_ij - ex) / (mx - ex) end")} as ari from e"""
+
+
+ORACLE["ari"] = _ari_sql("(zone_id + hour_of_day) % 4")
+ORACLE["ari_identical"] = _ari_sql("10 - congestion_level")
+
+ORACLE["cluster_quality"] = FEATM + SCALED + _CEN + f""",
+s as (select sc.congestion_level, avg(sqrt({_DIST})) as s from sc join cen on sc.congestion_level = cen.congestion_level group by 1),
+cs as (select cen.*, s.s from cen join s on cen.congestion_level = s.congestion_level),
+r as (select a.congestion_level, max((a.s + b.s) / sqrt({' + '.join(f'(a.c_{f} - b.c_{f})^2' for f in _F)})) as r
+      from cs a join cs b on a.congestion_level <> b.congestion_level group by 1),
+m as (select {', '.join(f'avg({f}) as m_{f}' for f in _F)} from sc),
+w as (select sum({_DIST}) as W from sc join cen on sc.congestion_level = cen.congestion_level),
+b as (select sum(n * ({' + '.join(f'(c_{f} - m_{f})^2' for f in _F)})) as B, count(*) as k, sum(n) as n from cen cross join m),
+cv as (select congestion_level, case when avg(avg_speed_mph) > 0 then stddev_pop(avg_speed_mph) / avg(avg_speed_mph)
+              else cast('nan' as double) end as cv from fm group by 1)
+select 'davies_bouldin' as metric, cast(null as bigint) as level, {r6('(select avg(r) from r)')} as value
+union all select 'calinski_harabasz', null, {r6('(B / (k - 1)) / (W / (n - k))')} from b cross join w
+union all select 'cv_intra', cast(congestion_level as bigint), {r6('cv')} from cv
+union all select 'cluster_size', cast(congestion_level as bigint), cast(count(*) as double) from fm group by congestion_level
+union all select 'kpi_pass', null, 0.0::double"""
