@@ -622,3 +622,156 @@ def q_cluster_quality(spark, sf_dir):
     """Metrics document as a long table on the fixed labels, including the KPI gate (Q9)."""
     sc = scaled_table(spark, sf_dir)
     return norm(QU.cluster_quality(sc, labelled_cells(spark, sf_dir), FEATS, C.CELL_KEY[:3]))
+
+
+# ---- steps 5–7: K-Means, DBSCAN, PCA, geometry, freshness -------------------
+
+from zonepace.operators import dbscan as DS  # noqa: E402
+from zonepace.operators import geo as GE  # noqa: E402
+from zonepace.operators import kmeans as KM  # noqa: E402
+from zonepace.operators import pca as PC  # noqa: E402
+
+KEY3 = C.CELL_KEY[:3]
+# Restarts per fit for the registered keys (the library default is 10).
+QUERY_N_INIT = 2
+
+
+def cell_scaled(spark, sf_dir) -> DataFrame:
+    """Real cells (not the fixed labels), scaled with the standard scaler."""
+    feats = SC.prepare_features(cells(spark, sf_dir))
+    scaled, _ = SC.scale_features(feats, FEATS, "standard")
+    return scaled
+
+
+@register("kmeans_labels")
+def q_kmeans_labels(spark, sf_dir):
+    """K-Means at the default k, levels ranked by speed (M5 + W8); invariants in tests."""
+    data = KM.stable_input(cell_scaled(spark, sf_dir), KEY3, FEATS)
+    fit = KM.train_kmeans(data, C.DEFAULT_K, n_init=QUERY_N_INIT)
+    return norm(MA.assign_semantic_labels(KM.predict(fit, data)).select(*KEY3, "avg_speed_mph", "congestion_level"))
+
+
+@register("k_sweep")
+def q_k_sweep(spark, sf_dir):
+    """Inertia and silhouette for k = 2..10, elbow and chosen k flagged."""
+    chosen, sweep, info = KM.choose_k(cell_scaled(spark, sf_dir), KEY3, FEATS, n_init=1)
+    return norm(sweep.withColumns({
+        "is_elbow": F.col("k") == info["elbow_k"], "is_silhouette_argmax": F.col("k") == info["silhouette_argmax_k"],
+        "chosen": F.col("k") == chosen, "elbow_source": F.lit(info["elbow_source"])}))
+
+
+@register("stability")
+def q_stability(spark, sf_dir):
+    """Pairwise ARI over 5 seeds at the default k (Q8)."""
+    st = KM.stability(cell_scaled(spark, sf_dir), KEY3, C.DEFAULT_K, n_init=1)
+    return spark.createDataFrame([(st["ari_mean"], st["ari_min"], st["ari_pass"])],
+                                 "ari_mean double, ari_min double, ari_pass boolean")
+
+
+def fixed_partition_sweep(spark, sf_dir) -> DataFrame:
+    """Within-cluster SSE of the hour split into k equal bands, k = 2..10 (data-derived curve for W9)."""
+    sc = scaled_table(spark, sf_dir)
+    ks = spark.range(C.K_RANGE[0], C.K_RANGE[1]).select(F.col("id").cast("int").alias("k"))
+    lab = sc.crossJoin(F.broadcast(ks)).withColumn("band", F.floor(F.col("hour_of_day") * F.col("k") / 24))
+    cen = lab.groupBy("k", "band").agg(*[F.avg(f).alias(f"c_{f}") for f in FEATS])
+    sse = lab.join(cen, ["k", "band"]).groupBy("k").agg(
+        F.sum(sum((F.col(f) - F.col(f"c_{f}")) ** 2 for f in FEATS)).alias("inertia"))
+    return sse
+
+
+@register("elbow_second_diff")
+def q_elbow_second_diff(spark, sf_dir):
+    return norm(KM.elbow_second_diff_table(fixed_partition_sweep(spark, sf_dir)))
+
+
+@register("fixed_sweep")
+def q_fixed_sweep(spark, sf_dir):
+    return norm(fixed_partition_sweep(spark, sf_dir))
+
+
+@register("eps_neighbors")
+def q_eps_neighbors(spark, sf_dir):
+    """ε-neighbour counts (self included) and core flags on the scaled cells."""
+    return norm(DS.neighbour_counts(cell_scaled(spark, sf_dir), KEY3, FEATS))
+
+
+@register("dbscan_core")
+def q_dbscan_core(spark, sf_dir):
+    nc = DS.neighbour_counts(cell_scaled(spark, sf_dir), KEY3, FEATS)
+    return norm(nc.agg(F.count_if("is_core").alias("n_core"), F.count(F.lit(1)).alias("n_points"),
+                       F.sum("neighbors").alias("n_pairs")))
+
+
+@register("dbscan_labels")
+def q_dbscan_labels(spark, sf_dir):
+    return norm(DS.dbscan(cell_scaled(spark, sf_dir), KEY3, FEATS))
+
+
+@register("dbscan_metrics")
+def q_dbscan_metrics(spark, sf_dir):
+    return norm(DS.dbscan_metrics(DS.dbscan(cell_scaled(spark, sf_dir), KEY3, FEATS)))
+
+
+@register("pca_covariance")
+def q_pca_covariance(spark, sf_dir):
+    return norm(PC.covariance(scaled_table(spark, sf_dir), FEATS))
+
+
+@register("pca_projection")
+def q_pca_projection(spark, sf_dir):
+    """2-D projection of at most 15,000 scaled cells (hash-ordered sample), with levels."""
+    sample = QU.silhouette_sample(scaled_table(spark, sf_dir), KEY3, cap=15_000, seed=0)
+    proj, ratio, _ = PC.pca_projection(sample, FEATS, keep=[*KEY3, "congestion_level"])
+    return norm(proj.withColumns({"explained_pc1": F.lit(ratio[0]), "explained_pc2": F.lit(ratio[1])}))
+
+
+@register("eda_quick_clusters")
+def q_eda_quick_clusters(spark, sf_dir):
+    """Quick look: ≤ 20k cells, 3 raw features standardised, k = 3, levels by speed (M9)."""
+    feats3 = ["avg_speed_mph", "trip_density", "speed_deviation"]
+    c = cells(spark, sf_dir).select(*KEY3, *feats3)
+    sample = QU.silhouette_sample(c, KEY3, cap=20_000)
+    scaled, _ = SC.scale_features(SC.prepare_features(sample, feats3), feats3, "standard")
+    scaled = scaled.join(sample.select(*KEY3, F.col("avg_speed_mph").alias("speed_raw")), KEY3)
+    data = KM.stable_input(scaled, KEY3, feats3)
+    fit = KM.train_kmeans(data, 3, n_init=QUERY_N_INIT)
+    lab = MA.assign_semantic_labels(KM.predict(fit, data), speed_col="speed_raw")
+    return norm(lab.select(*KEY3, F.col("speed_raw").alias("avg_speed_mph"), "congestion_level"))
+
+
+def zone_vertices(spark, sf_dir) -> DataFrame:
+    """Planar polygons for the zones seen in the data: squares, triangles for every
+    third zone, and a square hole (opposite winding) in every tenth zone."""
+    z = cells(spark, sf_dir).select("zone_id").distinct()
+    cx = (F.col("zone_id") % 20) * 10.0
+    cy = F.floor(F.col("zone_id") / 20) * 10.0
+    sq = [(0, 0), (4, 0), (4, 4), (0, 4)]
+    tri = [(0, 0), (6, 0), (0, 3)]
+    hole = [(1, 1), (1, 2), (2, 2), (2, 1)]
+    def ring(pts, ring_id):
+        return F.array(*[F.struct(F.lit(ring_id).alias("ring"), F.lit(i).alias("seq"), F.lit(float(x)).alias("dx"),
+                                  F.lit(float(y)).alias("dy")) for i, (x, y) in enumerate(pts)])
+    shape = F.when(F.col("zone_id") % 3 == 0, ring(tri, 0)).otherwise(ring(sq, 0))
+    shape = F.when(F.col("zone_id") % 10 == 0, F.concat(ring(sq, 0), ring(hole, 1))).otherwise(shape)
+    v = z.select("zone_id", cx.alias("cx"), cy.alias("cy"), F.explode(shape).alias("p"))
+    return v.select("zone_id", F.col("p.ring").alias("ring"), F.col("p.seq").alias("seq"),
+                    (F.col("cx") + F.col("p.dx")).alias("x"), (F.col("cy") + F.col("p.dy")).alias("y"))
+
+
+@register("zone_centroids")
+def q_zone_centroids(spark, sf_dir):
+    return norm(GE.polygon_centroids(zone_vertices(spark, sf_dir)))
+
+
+# FIXED VALUE: the evaluation clock for the freshness check (a parameter of the query).
+FRESHNESS_NOW = "1998-12-01 00:00:00"
+
+
+@register("data_freshness")
+def q_data_freshness(spark, sf_dir):
+    """Lag between the newest cleaned pickup and a fixed 'now', against the 24 h target."""
+    t = clean_trips(spark, sf_dir)
+    mx = t.agg(F.max("pickup_datetime").alias("latest_pickup"))
+    lag = F.expr(f"timestampdiff(SECOND, latest_pickup, timestamp_ntz'{FRESHNESS_NOW}')") / 3600.0
+    return norm(mx.select("latest_pickup", lag.alias("lag_hours"),
+                          (lag < C.TARGET_FRESHNESS_HOURS).alias("fresh")))

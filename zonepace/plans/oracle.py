@@ -749,3 +749,75 @@ union all select 'calinski_harabasz', null, {r6('(B / (k - 1)) / (W / (n - k))')
 union all select 'cv_intra', cast(congestion_level as bigint), {r6('cv')} from cv
 union all select 'cluster_size', cast(congestion_level as bigint), cast(count(*) as double) from fm group by congestion_level
 union all select 'kpi_pass', null, 0.0::double"""
+
+
+# ---- steps 5–7 ------------------------------------------------------------------
+
+# Real cells scaled (standard) — for DBSCAN.
+CELLSC = chain_upto("cells") + """,
+fm as (select zone_id, hour_of_day, day_of_week, cast(hour_sin as double) as hour_sin, cast(hour_cos as double) as hour_cos,
+              cast(cast(is_weekend as int) as double) as is_weekend, cast(speed_deviation as double) as speed_deviation,
+              cast(log_trip_density as double) as log_trip_density from cells)""" + STD_STATS + """,
+sc as (select fm.zone_id, fm.hour_of_day, fm.day_of_week, """ + ", ".join(
+    f"(fm.{f} - st.{f}_c) / st.{f}_s as {f}" for f in _F) + " from fm cross join st)"
+
+_EPS = C.DBSCAN_EPS
+_OFFS = "offs as (select " + ", ".join(f"o{i}.range as o{i}" for i in range(5)) + " from " + ", ".join(
+    f"range(-1, 2) o{i}" for i in range(5)) + ")"
+EPS_NB = CELLSC + f""",
+pts as (select *, {', '.join(f'floor({f} / {_EPS!r}::double) as b{i}' for i, f in enumerate(_F))} from sc),
+{_OFFS},
+nb as (select p.zone_id, p.hour_of_day, p.day_of_week, count(*) as neighbors
+       from pts p cross join offs join pts q on {' and '.join(f'q.b{i} = p.b{i} + o{i}' for i in range(5))}
+       where sqrt({' + '.join(f'(p.{f} - q.{f})^2' for f in _F)}) <= {_EPS!r}::double
+       group by p.zone_id, p.hour_of_day, p.day_of_week)"""
+
+ORACLE["eps_neighbors"] = EPS_NB + f"""
+select {_K3}, cast(neighbors as bigint) as neighbors, neighbors >= {C.DBSCAN_MIN_SAMPLES} as is_core from nb"""
+
+ORACLE["dbscan_core"] = EPS_NB + f"""
+select cast(count(*) filter (where neighbors >= {C.DBSCAN_MIN_SAMPLES}) as bigint) as n_core, cast(count(*) as bigint) as n_points,
+       cast(sum(neighbors) as bigint) as n_pairs from nb"""
+
+FIXED_SWEEP = FEATM + SCALED + f""",
+ks as (select range as k from range({C.K_RANGE[0]}, {C.K_RANGE[1]})),
+lab as (select sc.*, ks.k, floor(hour_of_day * ks.k / 24) as band from sc cross join ks),
+cen as (select k, band, {', '.join(f'avg({f}) as c_{f}' for f in _F)} from lab group by k, band),
+sweep as (select lab.k, sum({' + '.join(f'(lab.{f} - cen.c_{f})^2' for f in _F)}) as inertia
+          from lab join cen on lab.k = cen.k and lab.band = cen.band group by lab.k)"""
+
+ORACLE["fixed_sweep"] = FIXED_SWEEP + f"\nselect cast(k as bigint) as k, {r6('inertia')} as inertia from sweep"
+
+ORACLE["elbow_second_diff"] = FIXED_SWEEP + f""",
+d2 as (select k, lead(inertia) over (order by k) - 2 * inertia + lag(inertia) over (order by k) as d2 from sweep)
+select cast(case when (select count(*) from sweep) >= 3 then (select k from d2 where d2 is not null order by d2 desc, k asc limit 1)
+            else {C.DEFAULT_K} end as bigint) as elbow_k,
+       case when (select count(*) from sweep) >= 3 then '2nd-derivative' else 'default-k (too-few-points)' end as source"""
+
+ORACLE["pca_covariance"] = FEATM + SCALED + "\n" + "\nunion all\n".join(
+    f"select '{a}' as feature_a, '{b}' as feature_b, {r6(f'covar_samp({a}, {b})')} as cov from sc" for a in _F for b in _F)
+
+ORACLE["zone_centroids"] = chain_upto("cells") + """,
+z as (select distinct zone_id from cells),
+shape as (
+  select zone_id, (zone_id % 20) * 10.0::double as cx, floor(zone_id / 20) * 10.0::double as cy,
+         case when zone_id % 10 = 0 then [{'r':0,'s':0,'dx':0.0,'dy':0.0},{'r':0,'s':1,'dx':4.0,'dy':0.0},{'r':0,'s':2,'dx':4.0,'dy':4.0},{'r':0,'s':3,'dx':0.0,'dy':4.0},
+                                          {'r':1,'s':0,'dx':1.0,'dy':1.0},{'r':1,'s':1,'dx':1.0,'dy':2.0},{'r':1,'s':2,'dx':2.0,'dy':2.0},{'r':1,'s':3,'dx':2.0,'dy':1.0}]
+              when zone_id % 3 = 0 then [{'r':0,'s':0,'dx':0.0,'dy':0.0},{'r':0,'s':1,'dx':6.0,'dy':0.0},{'r':0,'s':2,'dx':0.0,'dy':3.0}]
+              else [{'r':0,'s':0,'dx':0.0,'dy':0.0},{'r':0,'s':1,'dx':4.0,'dy':0.0},{'r':0,'s':2,'dx':4.0,'dy':4.0},{'r':0,'s':3,'dx':0.0,'dy':4.0}] end as pts
+  from z),
+v as (select zone_id, p.r as ring, p.s as seq, cx + p.dx as x, cy + p.dy as y from (select zone_id, cx, cy, unnest(pts) as p from shape) u),
+e as (select zone_id, x, y,
+             coalesce(lead(x) over (partition by zone_id, ring order by seq), first_value(x) over (partition by zone_id, ring order by seq)) as x2,
+             coalesce(lead(y) over (partition by zone_id, ring order by seq), first_value(y) over (partition by zone_id, ring order by seq)) as y2
+      from v),
+a as (select zone_id, sum(x * y2 - x2 * y) / 2 as area, sum((x + x2) * (x * y2 - x2 * y)) as cxs,
+             sum((y + y2) * (x * y2 - x2 * y)) as cys from e group by zone_id)
+select cast(zone_id as bigint) as zone_id, """ + r6("area") + " as area, " + r6("cxs / (6 * area)") + " as longitude, " + \
+    r6("cys / (6 * area)") + " as latitude from a"
+
+ORACLE["data_freshness"] = chain_upto("clean") + f"""
+select strftime(max(pickup_datetime), '%Y-%m-%d %H:%M:%S') as latest_pickup,
+       {r6(f"date_diff('second', max(pickup_datetime), timestamp '1998-12-01 00:00:00') / 3600.0::double")} as lag_hours,
+       date_diff('second', max(pickup_datetime), timestamp '1998-12-01 00:00:00') / 3600.0::double < {C.TARGET_FRESHNESS_HOURS} as fresh
+from clean"""
