@@ -57,22 +57,32 @@ def neighbour_counts(df: DataFrame, key: list[str], features: list[str], eps: fl
 def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> DataFrame:
     """(node, comp) with comp = smallest node id in the component.
 
-    ``edges`` (i, j) should be symmetric; ``nodes`` has column ``node``.
-    Each round: comp(i) = min over neighbours and itself, then one pointer
-    jump comp(i) = comp(comp(i)).  Stops when a round changes nothing.
+    Contracting min-label propagation: each round every node takes the
+    smallest label among itself and its neighbours, labels are pointer-
+    jumped once (label of label), and the edge list is rewritten onto the
+    new labels with self-loops and duplicates dropped.  The edge list
+    shrinks as components merge, so late rounds touch few rows; the loop
+    ends when no edge is left.  Labels and edges are checkpointed every
+    round (reliable storage) to cut lineage.
     """
-    lab = nodes.select(F.col("node"), F.col("node").alias("comp")).checkpoint(eager=True)
+    lab = nodes.select("node", F.col("node").alias("comp"))
+    e = edges.where(F.col("i") != F.col("j")).select("i", "j")
+    e = e.unionByName(e.select(F.col("j").alias("i"), F.col("i").alias("j"))).distinct().checkpoint(eager=True)
     for _ in range(max_rounds):
-        via = edges.join(lab.withColumnRenamed("node", "j"), "j").groupBy("i").agg(F.min("comp").alias("c1"))
-        step = lab.join(via.withColumnRenamed("i", "node"), "node", "left").select(
-            "node", F.least(F.col("comp"), F.coalesce(F.col("c1"), F.col("comp"))).alias("comp"))
-        jump = step.join(step.select(F.col("node").alias("comp"), F.col("comp").alias("c2")), "comp", "left") \
-            .select("node", F.least(F.col("comp"), F.coalesce(F.col("c2"), F.col("comp"))).alias("comp"))
-        new = jump.checkpoint(eager=True)
-        changed = new.join(lab.withColumnRenamed("comp", "old"), "node").where(F.col("comp") != F.col("old")).limit(1).count()
-        lab = new
-        if changed == 0:
+        if e.limit(1).count() == 0:
             break
+        # m(c) = min over c and its neighbours in the contracted graph.
+        m = e.groupBy("i").agg(F.min("j").alias("mn")).select(
+            F.col("i").alias("c"), F.least(F.col("i"), F.col("mn")).alias("m"))
+        m = m.join(m.select(F.col("c").alias("m"), F.col("m").alias("m2")), "m", "left").select(
+            "c", F.least(F.col("m"), F.coalesce(F.col("m2"), F.col("m"))).alias("m")).checkpoint(eager=True)
+        lab = lab.join(m.withColumnRenamed("c", "comp"), "comp", "left").select(
+            "node", F.coalesce(F.col("m"), F.col("comp")).alias("comp")).checkpoint(eager=True)
+        mi = m.select(F.col("c").alias("i"), F.col("m").alias("mi"))
+        mj = m.select(F.col("c").alias("j"), F.col("m").alias("mj"))
+        e = (e.join(mi, "i", "left").join(mj, "j", "left")
+             .select(F.coalesce(F.col("mi"), F.col("i")).alias("i"), F.coalesce(F.col("mj"), F.col("j")).alias("j"))
+             .where(F.col("i") != F.col("j")).distinct().checkpoint(eager=True))
     return lab
 
 
@@ -81,8 +91,9 @@ def dbscan(df: DataFrame, key: list[str], features: list[str], eps: float = C.DB
     """Key columns + ``dbscan_label`` (−1 = noise)."""
     pairs = eps_pairs(df, key, features, eps).checkpoint(eager=True)
     cnt = pairs.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
-    core = cnt.where(F.col("n") >= min_samples).select(F.col("i").alias("node"))
-    core_edges = pairs.join(core.withColumnRenamed("node", "i"), "i", "left_semi") \
+    core = cnt.where(F.col("n") >= min_samples).select(F.col("i").alias("node")).checkpoint(eager=True)
+    # One direction of each core–core edge is enough; the component step symmetrises.
+    core_edges = pairs.where(F.col("i") < F.col("j")).join(core.withColumnRenamed("node", "i"), "i", "left_semi") \
         .join(core.withColumnRenamed("node", "j"), "j", "left_semi")
     comps = connected_components(core_edges, core)
     # Cluster numbers in order of each component's smallest member (the component id itself).

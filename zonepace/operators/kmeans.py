@@ -31,12 +31,20 @@ class KMeansFit:
     n_iter: int
 
 
+ROWS_PER_PARTITION = 200_000
+
+
 def stable_input(df: DataFrame, key: list[str], features: list[str], partitions: int | None = None) -> DataFrame:
-    """Vector column + a fixed row order and partition count."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Vector column + a fixed row order and a partition count that depends only on
+    the row count (T15), checkpointed so every fit and restart sees identical
+    partitions.  ~200k rows per partition: a 44k-cell table is one task per
+    Lloyd iteration, a billion-row feature table spreads over thousands."""
     vec = prepare_features(df, features, with_vector=True)
-    return vec.repartitionByRange(n, *[F.col(k) for k in key]).sortWithinPartitions(*key)
+    if partitions is None:
+        n_rows = vec.count()
+        partitions = max(1, -(-n_rows // ROWS_PER_PARTITION))
+    return vec.repartitionByRange(partitions, *[F.col(k) for k in key]).sortWithinPartitions(*key) \
+        .checkpoint(eager=True)
 
 
 def train_kmeans(df: DataFrame, k: int, seed: int = C.KMEANS_RANDOM_STATE, n_init: int = C.KMEANS_N_INIT,

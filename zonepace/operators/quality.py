@@ -92,7 +92,10 @@ def silhouette_samples(df: DataFrame, features: list[str], label_cols: list[str]
                 out[f"sil_{c}"] = res[c]
             yield pd.DataFrame(out)
 
-    return df.select(*cols).mapInPandas(run, schema)
+    # The capped sample usually arrives as one partition (top-n); spread it
+    # so every core scores a share of the rows.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(*cols).repartition(parts).mapInPandas(run, schema)
 
 
 def silhouette_scores(samples: DataFrame, labelled: DataFrame, label_col: str, key: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -18,6 +18,7 @@ from zonepace import config as C
 from zonepace.config import CleanConfig
 from zonepace.operators import clean as CL
 from zonepace.operators import features as FE
+from zonepace.plans import stages as ST
 from zonepace.sources import fixtures as FX
 from zonepace.sources import trips as TR
 from zonepace.functions import scalar as S
@@ -63,11 +64,15 @@ def std_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_trips(spark: SparkSession, sf_dir: str, cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    return CL.clean_trips(std_trips(spark, sf_dir), cfg)
+    """Cleaned trips; the default chain is a stage table built once per session."""
+    if cfg != CleanConfig():
+        return CL.clean_trips(std_trips(spark, sf_dir), cfg)
+    return ST.stage(spark, "clean_trips", sf_dir, lambda: CL.clean_trips(std_trips(spark, sf_dir), cfg))
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FE.build_cells(clean_trips(spark, sf_dir))
+    """The zone-hour cell table (stage table built from the cleaned-trips stage)."""
+    return ST.stage(spark, "cells", sf_dir, lambda: FE.build_cells(clean_trips(spark, sf_dir)))
 
 
 # ---- step 1: the minimum slice ---------------------------------------------
