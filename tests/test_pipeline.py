@@ -25,7 +25,7 @@ def test_every_query_has_oracle_or_is_listed():
     no_oracle = set(E.queries()) - set(E.oracle_sql())
     assert no_oracle <= {
         "silhouette_overall", "silhouette_per_cluster", "silhouette_samples", "kmeans_labels", "k_sweep",
-        "stability", "dbscan_labels", "dbscan_metrics", "pca_projection", "eda_quick_clusters",
+        "stability", "dbscan_labels", "dbscan_metrics", "pca_projection", "eda_quick_clusters", "silhouette_sample",
     }
 
 

@@ -217,3 +217,38 @@ def level_window_rank(df: DataFrame, label: str, value: str) -> DataFrame:
     """Rank of each row's silhouette within its level (for the sorted silhouette bands, Q3)."""
     w = Window.partitionBy(label).orderBy(F.col(value).desc())
     return df.withColumn("band_rank", F.row_number().over(w))
+
+
+def scorecard(db: DataFrame, ch: DataFrame, ari_min: DataFrame, ari_mean: DataFrame,
+              silhouette: DataFrame | None = None) -> DataFrame:
+    """Metric, target, observed (as printed) and pass flag.
+
+    Inputs are one-row tables; numbers are rounded half-up before printing
+    so the text is the same in every engine.
+    """
+    r3 = lambda c: F.format_string("%.3f", F.floor(F.col(c) * 1000.0 + 0.5) / 1000.0)
+    rows = []
+    if silhouette is not None:
+        rows.append(silhouette.select(F.lit(1).alias("ord"), F.lit("Silhouette").alias("metric"),
+                                      F.lit("> 0.50").alias("target"), r3("silhouette").alias("observed"),
+                                      (F.col("silhouette") > C.TARGET_SILHOUETTE).alias("pass")))
+    rows.append(db.select(F.lit(2).alias("ord"), F.lit("Davies–Bouldin").alias("metric"), F.lit("< 1.00").alias("target"),
+                          r3("davies_bouldin").alias("observed"),
+                          (F.col("davies_bouldin") < C.TARGET_DAVIES_BOULDIN).alias("pass")))
+    rows.append(ch.select(F.lit(3).alias("ord"), F.lit("Calinski–Harabasz").alias("metric"),
+                          F.lit("higher better").alias("target"),
+                          F.format_number(F.floor(F.col("calinski_harabasz") + 0.5), 0).alias("observed"),
+                          F.lit(None).cast("boolean").alias("pass")))
+    rows.append(ari_min.select(F.lit(4).alias("ord"), F.lit("ARI seed stability (min)").alias("metric"),
+                               F.lit("≥ 0.80").alias("target"), r3("ari").alias("observed"),
+                               (F.col("ari") >= C.TARGET_ARI_MIN).alias("pass")))
+    rows.append(ari_mean.select(F.lit(5).alias("ord"), F.lit("ARI seed stability (mean)").alias("metric"),
+                                F.lit("≥ 0.90").alias("target"), r3("ari").alias("observed"),
+                                (F.col("ari") >= C.TARGET_ARI_MEAN).alias("pass")))
+    rows.append(ari_min.select(F.lit(6).alias("ord"), F.lit("Stability gate").alias("metric"), F.lit("PASS").alias("target"),
+                               F.when(F.col("ari") >= C.STABILITY_ARI_MIN, "PASS").otherwise("FAIL").alias("observed"),
+                               (F.col("ari") >= C.STABILITY_ARI_MIN).alias("pass")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out

@@ -780,3 +780,20 @@ def q_data_freshness(spark, sf_dir):
     lag = F.expr(f"timestampdiff(SECOND, latest_pickup, timestamp_ntz'{FRESHNESS_NOW}')") / 3600.0
     return norm(mx.select("latest_pickup", lag.alias("lag_hours"),
                           (lag < C.TARGET_FRESHNESS_HOURS).alias("fresh")))
+
+
+@register("silhouette_sample")
+def q_silhouette_sample(spark, sf_dir):
+    """The capped, hash-ordered sample the silhouette is defined on (Q1)."""
+    return norm(QU.silhouette_sample(scaled_table(spark, sf_dir), KEY3).select(*KEY3, "congestion_level"))
+
+
+@register("scorecard")
+def q_scorecard(spark, sf_dir):
+    """Scorecard on the fixed labels; the ARI rows compare the levels with the
+    second labeling (zone + hour) mod 4, a stand-in for seed-to-seed agreement."""
+    sc = scaled_table(spark, sf_dir)
+    lc = labelled_cells(spark, sf_dir).withColumn("second", (F.col("zone_id") + F.col("hour_of_day")) % 4)
+    ari = QU.adjusted_rand(lc, "congestion_level", "second")
+    return norm(QU.scorecard(QU.davies_bouldin(sc, FEATS, "congestion_level"),
+                             QU.calinski_harabasz(sc, FEATS, "congestion_level"), ari, ari))

@@ -821,3 +821,27 @@ select strftime(max(pickup_datetime), '%Y-%m-%d %H:%M:%S') as latest_pickup,
        {r6(f"date_diff('second', max(pickup_datetime), timestamp '1998-12-01 00:00:00') / 3600.0::double")} as lag_hours,
        date_diff('second', max(pickup_datetime), timestamp '1998-12-01 00:00:00') / 3600.0::double < {C.TARGET_FRESHNESS_HOURS} as fresh
 from clean"""
+
+
+_R3T = "printf('%.3f', floor(({x}) * cast(1000 as double) + cast(0.5 as double)) / cast(1000 as double))"
+ORACLE["scorecard"] = FEATM + SCALED + _CEN + f""",
+s as (select sc.congestion_level, avg(sqrt({_DIST})) as s from sc join cen on sc.congestion_level = cen.congestion_level group by 1),
+cs as (select cen.*, s.s from cen join s on cen.congestion_level = s.congestion_level),
+r as (select a.congestion_level, max((a.s + b.s) / sqrt({' + '.join(f'(a.c_{f} - b.c_{f})^2' for f in _F)})) as r
+      from cs a join cs b on a.congestion_level <> b.congestion_level group by 1),
+dbv as (select avg(r) as db from r),
+m as (select {', '.join(f'avg({f}) as m_{f}' for f in _F)} from sc),
+w as (select sum({_DIST}) as W from sc join cen on sc.congestion_level = cen.congestion_level),
+b as (select sum(n * ({' + '.join(f'(c_{f} - m_{f})^2' for f in _F)})) as B, count(*) as k, sum(n) as n from cen cross join m),
+chv as (select (B / (k - 1)) / (W / (n - k)) as ch from b cross join w),
+ct as (select congestion_level as a, (zone_id + hour_of_day) % 4 as bb, cast(count(*) as double) as nij from fm group by 1, 2),
+sa as (select sum(ai * (ai - 1) / 2) as sum_a from (select a, sum(nij) as ai from ct group by a) x),
+sb as (select sum(bj * (bj - 1) / 2) as sum_b from (select bb, sum(nij) as bj from ct group by bb) y),
+sij as (select sum(nij * (nij - 1) / 2) as sum_ij, sum(nij) as n from ct),
+e as (select sum_ij, sum_a * sum_b / (n * (n - 1) / 2) as ex, (sum_a + sum_b) / 2 as mx from sij, sa, sb),
+ariv as (select case when mx - ex = 0 then 1.0 else (sum_ij - ex) / (mx - ex) end as ari from e)
+select 2 as ord, 'Davies–Bouldin' as metric, '< 1.00' as target, {_R3T.format(x='db')} as observed, db < 1.0 as pass from dbv
+union all select 3, 'Calinski–Harabasz', 'higher better', format('{{:,.0f}}', floor(ch + 0.5)), cast(null as boolean) from chv
+union all select 4, 'ARI seed stability (min)', '≥ 0.80', {_R3T.format(x='ari')}, ari >= 0.8 from ariv
+union all select 5, 'ARI seed stability (mean)', '≥ 0.90', {_R3T.format(x='ari')}, ari >= 0.9 from ariv
+union all select 6, 'Stability gate', 'PASS', case when ari >= {C.STABILITY_ARI_MIN} then 'PASS' else 'FAIL' end, ari >= {C.STABILITY_ARI_MIN} from ariv"""
