@@ -129,7 +129,7 @@ def reject_reason(df: DataFrame, cfg: CleanConfig = CleanConfig(),
 # ---- duplicate rule ---------------------------------------------------------
 
 def remove_duplicates(df: DataFrame, scope: list[str] | None = None,
-                      order_cols: list[str] | None = None) -> DataFrame:
+                      order_cols: list[str] | None = None, with_copies: bool = False) -> DataFrame:
     """Distinct on the natural key within each file, keeping the first row (F2).
 
     With ``order_cols`` (file name + row index captured at the scan) the
@@ -141,13 +141,18 @@ def remove_duplicates(df: DataFrame, scope: list[str] | None = None,
     if scope is None:
         scope = ["file_ym"] if "file_ym" in df.columns else []
     key = [*scope, *C.DEDUP_KEY]
-    if not order_cols:
+    if not order_cols and not with_copies:
         return df.dropDuplicates(key)
     rest = [c for c in df.columns if c not in key]
-    picked = df.groupBy(*key).agg(
-        F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order_cols])).alias("_first")
-    )
-    return picked.select(*key, *[F.col("_first")[c].alias(c) for c in rest]).select(*df.columns)
+    row = F.struct(*[F.col(c) for c in rest])
+    # One whole row, never a mix of rows; deterministic so Spark can reuse the exchange.
+    first = (F.min_by(row, F.struct(*[F.col(c) for c in order_cols])) if order_cols
+             else F.min(row)).alias("_first")
+    aggs = [first] + ([F.count(F.lit(1)).alias("_copies")] if with_copies else [])
+    picked = df.groupBy(*key).agg(*aggs)
+    cols = [*df.columns] + (["_copies"] if with_copies else [])
+    return picked.select(*key, *[F.col("_first")[c].alias(c) for c in rest],
+                         *(["_copies"] if with_copies else [])).select(*cols)
 
 
 # ---- per-zone IQR fence -----------------------------------------------------
@@ -191,11 +196,27 @@ def remove_iqr_speed_outliers_by_zone(df: DataFrame, k: float = C.IQR_FENCE_K,
 
 # ---- the chain --------------------------------------------------------------
 
+def key_rules(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> Column:
+    """Conjunction of every row rule that reads only the duplicate key (or values
+    derived from it: duration, speed) — all copies of a key pass or fail together."""
+    keep = keep_not_null() & keep_timestamps()
+    if cfg.check_month and "file_ym" in df.columns:
+        keep = keep & keep_month()
+    keep = keep & keep_distance() & keep_duration() & keep_speed() & keep_zones() & keep_not_trivial()
+    return F.coalesce(keep, F.lit(False))
+
+
 def clean_trips(df: DataFrame, cfg: CleanConfig = CleanConfig(),
                 has_fare: bool | None = None, has_passengers: bool | None = None,
                 order_cols: list[str] | None = None) -> DataFrame:
-    """Whole chain: dedup → row rules → optional IQR fence."""
-    d = remove_duplicates(df, order_cols=order_cols)
+    """Whole chain: dedup → row rules → optional IQR fence.
+
+    Rules on key columns run before the duplicate shuffle (same result: a key's
+    copies share the outcome), so rejected rows never cross the network; the
+    quality rule, which reads non-key columns, runs on the kept copy after it.
+    """
+    pre = df.where(key_rules(df, cfg))
+    d = remove_duplicates(pre, order_cols=order_cols)
     out = d.where(reject_reason(d, cfg, has_fare, has_passengers).isNull())
     if cfg.use_iqr_filter:
         out = remove_iqr_speed_outliers_by_zone(out, cfg.iqr_k, cfg.iqr_min_trips)
@@ -207,22 +228,21 @@ def clean_audit(df: DataFrame, cfg: CleanConfig = CleanConfig(),
                 order_cols: list[str] | None = None) -> DataFrame:
     """Rows removed per rule, plus input, duplicates and kept counts.
 
-    Output (step, rows): one row per rule in chain order; ``step_order``
-    gives the order.
+    One scan: the duplicate rule keeps a copy count per surviving row, the
+    reject reason is computed on the survivors, and a single aggregate by
+    reason yields every figure (input = Σ copies, duplicates = Σ copies − rows).
+    Output (step_order, step, rows) in chain order.
     """
     spark = df.sparkSession
-    n_in = df.groupBy().agg(F.count(F.lit(1)).alias("rows")).select(F.lit("input").alias("step"), "rows")
-    d = remove_duplicates(df, order_cols=order_cols)
-    reasons = d.select(reject_reason(d, cfg, has_fare, has_passengers).alias("step"))
-    by_reason = reasons.groupBy("step").agg(F.count(F.lit(1)).alias("rows"))
-    n_dedup = by_reason.groupBy().agg(F.sum("rows").alias("rows"))
-    dups = n_in.crossJoin(n_dedup.withColumnRenamed("rows", "_d")).select(
-        F.lit("duplicates").alias("step"), (F.col("rows") - F.col("_d")).alias("rows"))
+    d = remove_duplicates(df, order_cols=order_cols, with_copies=True)
+    by = d.select(reject_reason(d, cfg, has_fare, has_passengers).alias("step"), "_copies").groupBy("step").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("_copies").alias("copies"))
+    tot = by.agg(F.sum("copies").alias("input"), (F.sum("copies") - F.sum("rows")).alias("duplicates"))
+    head = tot.selectExpr("stack(2, 'input', input, 'duplicates', duplicates) as (step, rows)")
+    named = by.select(F.coalesce(F.col("step"), F.lit("kept")).alias("step"), "rows")
     steps = ["input", "duplicates", *RULES, "kept"]
     order = spark.createDataFrame([(s, i) for i, s in enumerate(steps)], "step string, step_order int")
-    named = by_reason.select(F.coalesce(F.col("step"), F.lit("kept")).alias("step"), "rows")
-    allrows = n_in.unionByName(dups).unionByName(named)
     return (
-        F.broadcast(order).join(allrows, on="step", how="left")
+        F.broadcast(order).join(head.unionByName(named), on="step", how="left")
         .select("step_order", "step", F.coalesce(F.col("rows"), F.lit(0)).cast("long").alias("rows"))
     )

@@ -23,14 +23,27 @@ from pyspark.sql import functions as F
 from zonepace import config as C
 
 
-def _id(key: list[str]):
-    return F.struct(*[F.col(k) for k in key])
+def _id(key: list[str], id_col: str | None = None):
+    """Point id: a caller-supplied unique, order-preserving long, else the key as a struct."""
+    return F.col(id_col) if id_col else F.struct(*[F.col(k) for k in key])
 
 
-def eps_pairs(df: DataFrame, key: list[str], features: list[str], eps: float = C.DBSCAN_EPS) -> DataFrame:
+def _unkey(df: DataFrame, key: list[str], id_col: str | None, col: str = "i") -> list:
+    return [F.col(col).alias(id_col)] if id_col else [F.col(col)[k].alias(k) for k in key]
+
+
+def _with_key(out: DataFrame, df: DataFrame, key: list[str], id_col: str | None) -> DataFrame:
+    """Bring the key columns back when points were identified by ``id_col``."""
+    if not id_col:
+        return out
+    return out.join(df.select(id_col, *key), id_col).drop(id_col)
+
+
+def eps_pairs(df: DataFrame, key: list[str], features: list[str], eps: float = C.DBSCAN_EPS,
+              id_col: str | None = None) -> DataFrame:
     """(i, j) point-id pairs with Euclidean distance ≤ eps, i = j included."""
     spark = df.sparkSession
-    pts = df.select(_id(key).alias("pid"), *[F.col(f).cast("double").alias(f) for f in features])
+    pts = df.select(_id(key, id_col).alias("pid"), *[F.col(f).cast("double").alias(f) for f in features])
     pts = pts.withColumns({f"_b{i}": F.floor(F.col(f) / F.lit(eps)) for i, f in enumerate(features)})
     d = len(features)
     offs = spark.createDataFrame(list(itertools.product([-1, 0, 1], repeat=d)),
@@ -46,15 +59,17 @@ def eps_pairs(df: DataFrame, key: list[str], features: list[str], eps: float = C
 
 
 def neighbour_counts(df: DataFrame, key: list[str], features: list[str], eps: float = C.DBSCAN_EPS,
-                     min_samples: int = C.DBSCAN_MIN_SAMPLES, pairs: DataFrame | None = None) -> DataFrame:
+                     min_samples: int = C.DBSCAN_MIN_SAMPLES, pairs: DataFrame | None = None,
+                     id_col: str | None = None) -> DataFrame:
     """Key columns + neighbours (self included) + is_core."""
-    pairs = pairs if pairs is not None else eps_pairs(df, key, features, eps)
+    pairs = pairs if pairs is not None else eps_pairs(df, key, features, eps, id_col)
     cnt = pairs.groupBy("i").agg(F.count(F.lit(1)).alias("neighbors"))
-    return cnt.select(*[F.col("i")[k].alias(k) for k in key], "neighbors",
-                      (F.col("neighbors") >= min_samples).alias("is_core"))
+    out = cnt.select(*_unkey(df, key, id_col), "neighbors", (F.col("neighbors") >= min_samples).alias("is_core"))
+    return _with_key(out, df, key, id_col)
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200,
+                         symmetric: bool = False) -> DataFrame:
     """(node, comp) with comp = smallest node id in the component.
 
     Contracting min-label propagation: each round every node takes the
@@ -67,7 +82,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 2
     """
     lab = nodes.select("node", F.col("node").alias("comp"))
     e = edges.where(F.col("i") != F.col("j")).select("i", "j")
-    e = e.unionByName(e.select(F.col("j").alias("i"), F.col("i").alias("j"))).distinct().checkpoint(eager=True)
+    if not symmetric:  # ε-pairs already hold both directions
+        e = e.unionByName(e.select(F.col("j").alias("i"), F.col("i").alias("j"))).distinct()
+    e = e.checkpoint(eager=True)
     for _ in range(max_rounds):
         if e.limit(1).count() == 0:
             break
@@ -87,25 +104,30 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 2
 
 
 def dbscan(df: DataFrame, key: list[str], features: list[str], eps: float = C.DBSCAN_EPS,
-           min_samples: int = C.DBSCAN_MIN_SAMPLES) -> DataFrame:
-    """Key columns + ``dbscan_label`` (−1 = noise)."""
-    pairs = eps_pairs(df, key, features, eps).checkpoint(eager=True)
+           min_samples: int = C.DBSCAN_MIN_SAMPLES, id_col: str | None = None) -> DataFrame:
+    """Key columns + ``dbscan_label`` (−1 = noise).
+
+    ``id_col``: optional unique long whose order equals the key order (cheaper
+    joins than the struct key); cluster numbering is the same either way.
+    """
+    pairs = eps_pairs(df, key, features, eps, id_col).checkpoint(eager=True)
     cnt = pairs.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
     core = cnt.where(F.col("n") >= min_samples).select(F.col("i").alias("node")).checkpoint(eager=True)
-    # One direction of each core–core edge is enough; the component step symmetrises.
-    core_edges = pairs.where(F.col("i") < F.col("j")).join(core.withColumnRenamed("node", "i"), "i", "left_semi") \
+    # ε-pairs hold both directions of every edge already.
+    core_edges = pairs.join(core.withColumnRenamed("node", "i"), "i", "left_semi") \
         .join(core.withColumnRenamed("node", "j"), "j", "left_semi")
-    comps = connected_components(core_edges, core)
+    comps = connected_components(core_edges, core, symmetric=True)
     # Cluster numbers in order of each component's smallest member (the component id itself).
     numbers = comps.select("comp").distinct().withColumn(
         "cluster", (F.dense_rank().over(Window.orderBy("comp")) - 1).cast("int"))
     core_lab = comps.join(numbers, "comp").select(F.col("node").alias("j"), "cluster")
     border = pairs.join(core_lab, "j").groupBy("i").agg(F.min("cluster").alias("cluster"))
-    pts = df.select(_id(key).alias("i"))
+    pts = df.select(_id(key, id_col).alias("i"))
     lab = pts.join(core_lab.withColumnRenamed("j", "i").withColumnRenamed("cluster", "core_cluster"), "i", "left") \
         .join(border, "i", "left")
-    return lab.select(*[F.col("i")[k].alias(k) for k in key],
-                      F.coalesce(F.col("core_cluster"), F.col("cluster"), F.lit(-1)).alias("dbscan_label"))
+    out = lab.select(*_unkey(df, key, id_col),
+                     F.coalesce(F.col("core_cluster"), F.col("cluster"), F.lit(-1)).alias("dbscan_label"))
+    return _with_key(out, df, key, id_col)
 
 
 def dbscan_metrics(labels: DataFrame, eps: float = C.DBSCAN_EPS, min_samples: int = C.DBSCAN_MIN_SAMPLES) -> DataFrame:

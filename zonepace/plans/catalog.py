@@ -642,10 +642,12 @@ QUERY_N_INIT = 2
 
 
 def cell_scaled(spark, sf_dir) -> DataFrame:
-    """Real cells (not the fixed labels), scaled with the standard scaler."""
+    """Real cells (not the fixed labels), scaled with the standard scaler, plus
+    ``cell_id`` = zone·1000 + hour·10 + weekday (unique, ordered like the key)."""
     feats = SC.prepare_features(cells(spark, sf_dir))
     scaled, _ = SC.scale_features(feats, FEATS, "standard")
-    return scaled
+    return scaled.withColumn("cell_id", F.col("zone_id").cast("long") * 1000 + F.col("hour_of_day") * 10
+                             + F.col("day_of_week"))
 
 
 @register("kmeans_labels")
@@ -697,24 +699,24 @@ def q_fixed_sweep(spark, sf_dir):
 @register("eps_neighbors")
 def q_eps_neighbors(spark, sf_dir):
     """ε-neighbour counts (self included) and core flags on the scaled cells."""
-    return norm(DS.neighbour_counts(cell_scaled(spark, sf_dir), KEY3, FEATS))
+    return norm(DS.neighbour_counts(cell_scaled(spark, sf_dir), KEY3, FEATS, id_col="cell_id"))
 
 
 @register("dbscan_core")
 def q_dbscan_core(spark, sf_dir):
-    nc = DS.neighbour_counts(cell_scaled(spark, sf_dir), KEY3, FEATS)
+    nc = DS.neighbour_counts(cell_scaled(spark, sf_dir), KEY3, FEATS, id_col="cell_id")
     return norm(nc.agg(F.count_if("is_core").alias("n_core"), F.count(F.lit(1)).alias("n_points"),
                        F.sum("neighbors").alias("n_pairs")))
 
 
 @register("dbscan_labels")
 def q_dbscan_labels(spark, sf_dir):
-    return norm(DS.dbscan(cell_scaled(spark, sf_dir), KEY3, FEATS))
+    return norm(DS.dbscan(cell_scaled(spark, sf_dir), KEY3, FEATS, id_col="cell_id"))
 
 
 @register("dbscan_metrics")
 def q_dbscan_metrics(spark, sf_dir):
-    return norm(DS.dbscan_metrics(DS.dbscan(cell_scaled(spark, sf_dir), KEY3, FEATS)))
+    return norm(DS.dbscan_metrics(DS.dbscan(cell_scaled(spark, sf_dir), KEY3, FEATS, id_col="cell_id")))
 
 
 @register("pca_covariance")
