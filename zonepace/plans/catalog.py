@@ -58,9 +58,13 @@ def norm(df: DataFrame) -> DataFrame:
 # ---- shared stages (lazy plans; Catalyst dedups nothing across queries) ----
 
 def std_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adapter → canonical names → coerced types → trip_duration."""
-    raw = FX.raw_trips(spark, sf_dir)
-    return TR.add_trip_duration(TR.cast_dtypes(TR.standardize_columns(raw)))
+    """Adapter → canonical names → coerced types → trip_duration, written once as the
+    load-stage table (the batch job's stage 1 output), so later rules read stored
+    columns instead of re-deriving them per predicate."""
+    def build():
+        raw = FX.raw_trips(spark, sf_dir)
+        return TR.add_trip_duration(TR.cast_dtypes(TR.standardize_columns(raw)))
+    return ST.stage(spark, "std_trips", sf_dir, build)
 
 
 def clean_trips(spark: SparkSession, sf_dir: str, cfg: CleanConfig = CleanConfig()) -> DataFrame:
