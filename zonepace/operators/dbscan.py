@@ -39,22 +39,35 @@ def _with_key(out: DataFrame, df: DataFrame, key: list[str], id_col: str | None)
     return out.join(df.select(id_col, *key), id_col).drop(id_col)
 
 
+# Broadcast the point table into the ε-join only below this many points
+# (~100 bytes a point); larger tables use the shuffle join.
+BROADCAST_POINTS = 500_000
+
+
 def eps_pairs(df: DataFrame, key: list[str], features: list[str], eps: float = C.DBSCAN_EPS,
               id_col: str | None = None) -> DataFrame:
-    """(i, j) point-id pairs with Euclidean distance ≤ eps, i = j included."""
-    spark = df.sparkSession
+    """(i, j) point-id pairs with Euclidean distance ≤ eps, i = j included.
+
+    The point table is checkpointed once (it feeds both sides) and counted;
+    a proven-small table is broadcast so the 3^d-expanded probe side is
+    never shuffled.
+    """
     pts = df.select(_id(key, id_col).alias("pid"), *[F.col(f).cast("double").alias(f) for f in features])
     pts = pts.withColumns({f"_b{i}": F.floor(F.col(f) / F.lit(eps)) for i, f in enumerate(features)})
+    pts = pts.checkpoint(eager=True)
+    small = pts.count() <= BROADCAST_POINTS
     d = len(features)
-    offs = spark.createDataFrame(list(itertools.product([-1, 0, 1], repeat=d)),
-                                 ", ".join(f"_o{i} long" for i in range(d)))  # 3^d rows
-    probe = pts.crossJoin(F.broadcast(offs)).select(
+    # The 3^d neighbouring bucket offsets as a literal array, exploded in-stage.
+    offs = F.array(*[F.struct(*[F.lit(o).alias(f"o{n}") for n, o in enumerate(combo)])
+                     for combo in itertools.product([-1, 0, 1], repeat=d)])
+    probe = pts.select("*", F.explode(offs).alias("_off")).select(
         F.col("pid").alias("i"), *[F.col(f).alias(f"i_{f}") for f in features],
-        *[(F.col(f"_b{n}") + F.col(f"_o{n}")).alias(f"_b{n}") for n in range(d)])
+        *[(F.col(f"_b{n}") + F.col(f"_off.o{n}")).alias(f"_b{n}") for n in range(d)])
     build = pts.select(F.col("pid").alias("j"), *[F.col(f).alias(f"j_{f}") for f in features],
                        *[F.col(f"_b{n}") for n in range(d)])
-    joined = probe.join(build, [f"_b{n}" for n in range(d)])
-    dist2 = sum((F.col(f"i_{f}") - F.col(f"j_{f}")) ** 2 for f in features)
+    joined = probe.join(F.broadcast(build) if small else build, [f"_b{n}" for n in range(d)])
+    diff = [F.col(f"i_{f}") - F.col(f"j_{f}") for f in features]
+    dist2 = sum(x * x for x in diff)
     return joined.where(F.sqrt(dist2) <= F.lit(eps)).select("i", "j")
 
 
