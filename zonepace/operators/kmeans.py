@@ -145,12 +145,13 @@ def choose_k(df: DataFrame, key: list[str], features: list[str] | None = None,
     data = stable_input(df, key, feats).persist()
     ks = list(range(*k_range))
     fits = {k: train_kmeans(data, k, seed, n_init) for k in ks}
-    sample = QU.silhouette_sample(data.drop("features"), key)
+    sample = QU.silhouette_sample(data.drop("features"), key).checkpoint(eager=True)
     labelled = sample
     sample_vec = stable_input(sample, key, feats)
     for k in ks:
         lab = fits[k].model.transform(sample_vec).select(*key, F.col("raw_cluster").alias(f"k{k}"))
         labelled = labelled.join(lab, key)
+    labelled = labelled.checkpoint(eager=True)
     per_row = QU.silhouette_samples(labelled, feats, [f"k{k}" for k in ks], key)
     sil_row = per_row.agg(*[F.avg(f"sil_k{k}").alias(f"k{k}") for k in ks]).collect()[0]  # one row of k numbers
     sils = [float(sil_row[f"k{k}"]) if sil_row[f"k{k}"] is not None else float("nan") for k in ks]

@@ -600,7 +600,8 @@ def q_ari_identical(spark, sf_dir):
 def _silhouette(spark, sf_dir):
     sc = scaled_table(spark, sf_dir)
     key = C.CELL_KEY[:3]
-    sample = QU.silhouette_sample(sc, key)
+    # The capped sample feeds the broadcast, the scoring pass and the join: cut it once.
+    sample = QU.silhouette_sample(sc, key).checkpoint(eager=True)
     per_row = QU.silhouette_samples(sample, FEATS, ["congestion_level"], key)
     return sc, sample, per_row
 

@@ -102,7 +102,7 @@ def run_clustering(spark: SparkSession, cells: DataFrame, out_dir: str, cfg: Clu
     data = KM.stable_input(scaled, key, feats)
     fit = KM.train_kmeans(data, k, cfg.seed, cfg.n_init, cfg.max_iter)
     labelled = MA.assign_semantic_labels(KM.predict(fit, data)).drop("features").checkpoint(eager=True)
-    sample = QU.silhouette_sample(labelled, key)
+    sample = QU.silhouette_sample(labelled, key).checkpoint(eager=True)
     per_row = QU.silhouette_samples(sample, feats, ["congestion_level"], key)
     overall, per = QU.silhouette_scores(per_row, sample, "congestion_level", key)
     # Quality in original units for CV / centroid means; scaled for the distance scores.
