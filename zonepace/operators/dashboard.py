@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonepace import config as C
+from zonepace.functions.frames import attach_row
 
 # FIXED VALUES: severity palettes and level descriptors of the dashboard.
 DISTINCT_SEVERITY_PALETTE = [
@@ -150,9 +151,9 @@ def kpi_row(mart: DataFrame, p: ViewParams) -> DataFrame:
     sorted level list; an empty filter gives 0.0 speed and 0 %.
     """
     f = apply_filters(mart, p)
-    info = _levels_info(mart).crossJoin(mart.agg(F.avg("avg_speed_mph").alias("avg_speed_overall")))
+    info = attach_row(_levels_info(mart), mart.agg(F.avg("avg_speed_mph").alias("avg_speed_overall")))
     thr = F.element_at(F.col("_levels"), (F.floor(F.size("_levels") * F.lit(0.66)) + 1).cast("int"))
-    fj = f.crossJoin(F.broadcast(info.select("avg_speed_overall", thr.alias("_thr"))))
+    fj = attach_row(f, info.select("avg_speed_overall", thr.alias("_thr")))
     agg = fj.agg(
         F.count(F.lit(1)).alias("n_obs"),
         F.count_distinct("zone_id").alias("n_zones"),
@@ -160,7 +161,7 @@ def kpi_row(mart: DataFrame, p: ViewParams) -> DataFrame:
         F.count_if(F.col("congestion_level") >= F.col("_thr")).alias("_n_high"),
         F.sum("trip_density").alias("_trips"),
     )
-    return agg.crossJoin(info.select("avg_speed_overall", thr.alias("high_threshold"))).select(
+    return attach_row(agg, info.select("avg_speed_overall", thr.alias("high_threshold"))).select(
         "n_obs", "n_zones",
         F.coalesce(F.col("_avg"), F.lit(0.0)).alias("avg_speed_filtered"),
         "avg_speed_overall",
@@ -176,7 +177,7 @@ def auto_story(mart: DataFrame, p: ViewParams, labels: DataFrame | None = None)
     f = apply_filters(mart, p)
     labels = labels if labels is not None else severity_dim(mart)
     overall = mart.agg(F.avg("avg_speed_mph").alias("_all"), F.max("congestion_level").alias("_maxlvl"))
-    facts = f.crossJoin(F.broadcast(overall)).groupBy("_all", "_maxlvl").agg(
+    facts = attach_row(f, overall).groupBy("_all", "_maxlvl").agg(
         F.count_distinct("zone_id").alias("n_zones"),
         F.avg("avg_speed_mph").alias("avg_speed"),
         F.avg("speed_deviation").alias("avg_dev"),
@@ -216,7 +217,7 @@ def top_zones_dashboard(mart: DataFrame, p: ViewParams, labels: DataFrame | None
                                    F.sum("trip_density").alias("density"))
     order = [F.col("avg_level").desc(), F.col("zone_id").asc()]
     top = agg.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-    top = top.crossJoin(F.broadcast(rng)).withColumn(
+    top = attach_row(top, rng).withColumn(
         "lvl_int", F.least(F.greatest(F.rint("avg_level").cast("int"), F.col("_lo")), F.col("_hi")))
     top = top.join(F.broadcast(labels.select(F.col("congestion_level").alias("lvl_int"), F.col("hex"))), "lvl_int", "left")
     return top.select("rank", "zone_id", "avg_level", "avg_speed", "density", "lvl_int",
@@ -237,7 +238,7 @@ def map_points(mart: DataFrame, centroids: DataFrame, p: ViewParams, labels: Dat
     m = f.join(F.broadcast(centroids.select("zone_id", "latitude", "longitude")), "zone_id", "inner")
     m = m.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     mx = m.agg(F.max("trip_density").alias("_max"))
-    m = m.crossJoin(F.broadcast(mx)).join(
+    m = attach_row(m, mx).join(
         F.broadcast(labels.select("congestion_level", "label", "r", "g", "b", "a")), "congestion_level", "left")
     radius = F.when(F.col("_max") > 0, F.least(F.greatest(
         F.col("trip_density") / F.col("_max") * 350.0 + 140.0, F.lit(140.0)), F.lit(580.0))).otherwise(F.lit(180.0))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonepace import config as C
+from zonepace.functions.frames import attach_row
 
 
 def _id(key: list[str], id_col: str | None = None):
@@ -151,7 +152,7 @@ def dbscan_metrics(labels: DataFrame, eps: float = C.DBSCAN_EPS, min_samples: in
                   F.median("size").alias("smed"),
                   F.min_by("dbscan_label", F.struct(-F.col("size"), F.col("dbscan_label"))).alias("largest"))
     frac = F.col("n_noise") / F.col("n")
-    return tot.crossJoin(s).select(
+    return attach_row(tot, s).select(
         F.col("n_hotspots").cast("long").alias("n_hotspots"),
         F.col("n_noise").cast("long").alias("n_noise"),
         (F.rint(frac * 1e4) / 1e4).alias("noise_fraction"),

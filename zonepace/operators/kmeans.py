@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from zonepace import config as C
 from zonepace.operators import quality as QU
 from zonepace.operators.scaling import prepare_features
+from zonepace.functions.frames import attach_row
 
 
 @dataclass
@@ -126,7 +127,7 @@ def elbow_second_diff_table(sweep: DataFrame) -> DataFrame:
     d2 = sweep.withColumn("d2", F.lead("inertia").over(w) - 2 * F.col("inertia") + F.lag("inertia").over(w))
     n = sweep.agg(F.count(F.lit(1)).alias("n"))
     best = d2.where(F.col("d2").isNotNull()).agg(F.max_by("k", F.struct(F.col("d2"), -F.col("k"))).alias("elbow_k"))
-    return n.crossJoin(best).select(
+    return attach_row(n, best).select(
         F.when(F.col("n") >= 3, F.col("elbow_k")).otherwise(F.lit(C.DEFAULT_K)).alias("elbow_k"),
         F.when(F.col("n") >= 3, F.lit("2nd-derivative")).otherwise(F.lit("default-k (too-few-points)")).alias("source"))
 

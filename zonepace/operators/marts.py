@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from zonepace import config as C
 from zonepace.functions import scalar as S
 from zonepace.operators.quantile import exact_quantiles
+from zonepace.functions.frames import attach_row
 
 
 # ---- labels and the mart ----------------------------------------------------
@@ -204,7 +205,7 @@ def histogram(df: DataFrame, value: Column, bins: int, lo: float | None = None,
         rng = rng.select(*g,
                          F.when(F.col("_lo0") == F.col("_hi0"), F.col("_lo0") - 0.5).otherwise(F.col("_lo0")).alias("_lo"),
                          F.when(F.col("_lo0") == F.col("_hi0"), F.col("_hi0") + 0.5).otherwise(F.col("_hi0")).alias("_hi"))
-        v = v.join(F.broadcast(rng), g) if g else v.crossJoin(F.broadcast(rng))
+        v = v.join(F.broadcast(rng), g) if g else attach_row(v, rng)
     else:
         rng = None
         v = v.withColumns({"_lo": F.lit(float(lo)), "_hi": F.lit(float(hi))})
@@ -216,7 +217,7 @@ def histogram(df: DataFrame, value: Column, bins: int, lo: float | None = None,
         dims = df.sparkSession.range(bins).select(F.col("id").alias("bin"),
                                                   F.lit(float(lo)).alias("_lo"), F.lit(float(hi)).alias("_hi"))
         if g:
-            dims = v.select(*g).distinct().crossJoin(dims)
+            dims = v.select(*g).distinct().crossJoin(dims)  # groups × bins: the histogram's own size
     else:
         dims = rng.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("_b")) \
             .withColumn("bin", F.col("_b").cast("long")).drop("_b")
@@ -236,7 +237,7 @@ def box_stats(df: DataFrame, value: Column) -> DataFrame:
     """Box-plot numbers: quartiles, 1.5·IQR whiskers at the extreme data inside, fliers (H4)."""
     v = df.select(value.cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     q = exact_quantiles(v, [], "_x", [0.25, 0.5, 0.75], ["q1", "median", "q3"], with_count=True)
-    j = v.crossJoin(F.broadcast(q))
+    j = attach_row(v, q)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     return j.groupBy("q1", "median", "q3", "n").agg(
@@ -263,7 +264,7 @@ def deviation_histogram(viz: DataFrame, bins: int = 59) -> DataFrame:
     """
     qs = viz.agg(F.percentile("speed_deviation", [0.005, 0.995]).alias("_q"))
     lo, hi = F.col("_q")[0], F.col("_q")[1]
-    v = viz.crossJoin(F.broadcast(qs)).select("congestion_level", "speed_deviation", lo.alias("_lo"), hi.alias("_hi"))
+    v = attach_row(viz, qs).select("congestion_level", "speed_deviation", lo.alias("_lo"), hi.alias("_hi"))
     v = v.where((F.col("speed_deviation") >= F.col("_lo")) & (F.col("speed_deviation") <= F.col("_hi")))
     idx = F.least(F.floor((F.col("speed_deviation") - F.col("_lo")) * (F.lit(float(bins)) / (F.col("_hi") - F.col("_lo")))),
                   F.lit(bins - 1))
@@ -273,7 +274,7 @@ def deviation_histogram(viz: DataFrame, bins: int = 59) -> DataFrame:
 def density_deviation_points(viz: DataFrame) -> DataFrame:
     """Scatter rows: density clipped at the global p99, deviation, level (H7)."""
     p99 = viz.agg(F.percentile("trip_density", 0.99).alias("_p99"))
-    return viz.crossJoin(F.broadcast(p99)).select(
+    return attach_row(viz, p99).select(
         *C.CELL_KEY, "congestion_level",
         F.least(F.greatest(F.col("trip_density").cast("double"), F.lit(0.0)), F.col("_p99")).alias("density_clipped"),
         "speed_deviation")

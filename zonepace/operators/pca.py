@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonepace import config as C
+from zonepace.functions.frames import attach_row
 
 
 def covariance(df: DataFrame, features: list[str]) -> DataFrame:
@@ -30,7 +31,7 @@ def pca_projection(df: DataFrame, features: list[str] | None = None, k: int = 2,
     """(rows with pc1..pck, explained variance ratios, loadings d×k)."""
     feats = features or C.CLUSTER_FEATURES
     means = df.agg(*[F.avg(f).alias(f"_m_{f}") for f in feats])
-    centred = df.crossJoin(F.broadcast(means)).withColumns(
+    centred = attach_row(df, means).withColumns(
         {f"_c_{f}": F.col(f).cast("double") - F.col(f"_m_{f}") for f in feats})
     vec = VectorAssembler(inputCols=[f"_c_{f}" for f in feats], outputCol="_v").transform(centred)
     model = PCA(k=k, inputCol="_v", outputCol="_pc").fit(vec)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonepace import config as C
+from zonepace.functions.frames import attach_row
 
 SIL_BLOCK = 256
 
@@ -125,7 +126,7 @@ def davies_bouldin(df: DataFrame, features: list[str], label: str) -> DataFrame:
     per = pairs.groupBy(f"a_{label}").agg(F.max(ratio).alias("r"))
     k = cen.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
     score = per.agg(F.avg("r").alias("db"))
-    return k.crossJoin(score).select(
+    return attach_row(k, score).select(
         F.when((F.col("k") >= 2) & (F.col("k") <= F.col("n") - 1), F.coalesce(F.col("db"), F.lit(0.0)))
         .otherwise(F.lit(float("nan"))).alias("davies_bouldin"))
 
@@ -136,10 +137,10 @@ def calinski_harabasz(df: DataFrame, features: list[str], label: str) -> DataFra
     overall = df.agg(*[F.avg(f).alias(f"m_{f}") for f in features])
     w = df.join(F.broadcast(cen), label).agg(
         F.sum(sum((F.col(f) - F.col(f"c_{f}")) ** 2 for f in features)).alias("W"))
-    b = cen.crossJoin(overall).agg(
+    b = attach_row(cen, overall).agg(
         F.sum(F.col("n") * sum((F.col(f"c_{f}") - F.col(f"m_{f}")) ** 2 for f in features)).alias("B"),
         F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
-    j = b.crossJoin(w)
+    j = attach_row(b, w)
     ch = F.when(F.col("W") == 0, F.lit(1.0)).otherwise(
         (F.col("B") / (F.col("k") - 1)) / (F.col("W") / (F.col("n") - F.col("k"))))
     return j.select(F.when((F.col("k") >= 2) & (F.col("k") <= F.col("n") - 1), ch)
@@ -165,7 +166,7 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
     sa = cont.groupBy(a).agg(F.sum("nij").alias("ai")).agg(F.sum(c2(F.col("ai"))).alias("sum_a"))
     sb = cont.groupBy(b).agg(F.sum("nij").alias("bj")).agg(F.sum(c2(F.col("bj"))).alias("sum_b"))
     sij = cont.agg(F.sum(c2(F.col("nij"))).alias("sum_ij"), F.sum("nij").alias("n"))
-    j = sij.crossJoin(sa).crossJoin(sb)
+    j = attach_row(attach_row(sij, sa), sb)
     expected = F.col("sum_a") * F.col("sum_b") / c2(F.col("n"))
     max_idx = (F.col("sum_a") + F.col("sum_b")) / 2.0
     denom = max_idx - expected
@@ -207,7 +208,7 @@ def cluster_quality(scaled: DataFrame, labelled: DataFrame, features: list[str],
                                             F.lit(False))).alias("sil_ok"))
               if silhouette is not None else labelled.sparkSession.range(1).select(F.lit(False).alias("sil_ok")))
     cv_ok = cv.agg(F.min(F.coalesce(~F.isnan("cv") & (F.col("cv") < C.TARGET_CVINTRA), F.lit(False)).cast("int")).alias("_c"))
-    gate = sil_ok.crossJoin(cv_ok).select(
+    gate = attach_row(sil_ok, cv_ok).select(
         F.lit("kpi_pass").alias("metric"), F.lit(None).cast("long").alias("level"),
         (F.col("sil_ok") & (F.col("_c") == 1)).cast("double").alias("value"))
     return out.unionByName(gate)

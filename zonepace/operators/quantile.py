@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from zonepace.functions.frames import attach_row
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
@@ -89,5 +90,5 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
         *[F.max(F.when(F.col("_pi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
     )
     if with_count:
-        wide = wide.join(totals, on=g) if g else wide.crossJoin(totals)
+        wide = wide.join(totals, on=g) if g else attach_row(wide, totals)
     return wide

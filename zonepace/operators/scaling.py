@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from zonepace import config as C
 from zonepace.operators.quantile import exact_quantiles
+from zonepace.functions.frames import attach_row
 
 
 class UnknownScalerError(ValueError):
@@ -75,6 +76,6 @@ def scale_features(df: DataFrame, features: list[str] | None = None, kind: str =
     """(scaled table, stats row): (x − center) / scale for each feature (M3, M4)."""
     feats = features or C.CLUSTER_FEATURES
     stats = stats if stats is not None else scaler_stats(df, feats, kind)
-    j = df.crossJoin(F.broadcast(stats))
+    j = attach_row(df, stats)
     scaled = j.withColumns({f: (F.col(f) - F.col(f"{f}_center")) / F.col(f"{f}_scale") for f in feats})
     return scaled.drop(*[f"{f}_center" for f in feats], *[f"{f}_scale" for f in feats]), stats

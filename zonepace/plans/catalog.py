@@ -684,7 +684,8 @@ def fixed_partition_sweep(spark, sf_dir) -> DataFrame:
     """Within-cluster SSE of the hour split into k equal bands, k = 2..10 (data-derived curve for W9)."""
     sc = scaled_table(spark, sf_dir)
     ks = spark.range(C.K_RANGE[0], C.K_RANGE[1]).select(F.col("id").cast("int").alias("k"))
-    lab = sc.crossJoin(F.broadcast(ks)).withColumn("band", F.floor(F.col("hour_of_day") * F.col("k") / 24))
+    lab = sc.crossJoin(F.broadcast(ks)).withColumn(  # ks: the 9 values of k, a fixed fan-out
+        "band", F.floor(F.col("hour_of_day") * F.col("k") / 24))
     cen = lab.groupBy("k", "band").agg(*[F.avg(f).alias(f"c_{f}") for f in FEATS])
     sse = lab.join(cen, ["k", "band"]).groupBy("k").agg(
         F.sum(sum((F.col(f) - F.col(f"c_{f}")) ** 2 for f in FEATS)).alias("inertia"))
