@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,8 +180,11 @@ def scan_raw_trips(spark: SparkSession, raw_dir: str | list[str],
     if not files:
         raise FileNotFoundError(f"No .parquet files found in {raw_dir}.")
     by_schema: dict[str, list[str]] = {}
-    for f in files:
-        key = spark.read.parquet(f).schema.json()  # footer only
+    # Footer reads only (no data); issued concurrently so thousands of files
+    # do not serialise on the driver.
+    with ThreadPoolExecutor(max_workers=min(32, len(files))) as pool:
+        keys = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
+    for f, key in zip(files, keys):
         by_schema.setdefault(key, []).append(f)
     parts = []
     for key, paths in by_schema.items():
