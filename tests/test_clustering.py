@@ -197,3 +197,11 @@ def test_pca_centred_and_signed(spark, cells_df):
     assert np.allclose(pcs.mean(0), 0, atol=1e-9)
     assert ratio[0] >= ratio[1] > 0
     assert (load[np.abs(load).argmax(axis=0), [0, 1]] > 0).all()
+
+
+def test_ari_pairs_match_single(spark, cells_df):
+    df = cells_df.withColumn("a", F.col("zone_id") % 3).withColumn("b", F.col("zone_id") % 5) \
+        .withColumn("c", (F.col("zone_id") * 7) % 4)
+    got = {(r["a"], r["b"]): r["ari"] for r in QU.adjusted_rand_pairs(df, ["a", "b", "c"]).collect()}
+    for x, y in (("a", "b"), ("a", "c"), ("b", "c")):
+        assert abs(got[(x, y)] - QU.adjusted_rand(df, x, y).first()["ari"]) < 1e-12

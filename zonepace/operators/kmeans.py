@@ -184,12 +184,8 @@ def stability(df: DataFrame, key: list[str], k: int, features: list[str] | None
     for s in range(n_seeds):
         fit = train_kmeans(data, k, seed=s * 1000, n_init=n_init)
         table = table.join(fit.model.transform(data).select(*key, F.col("raw_cluster").alias(f"s{s}")), key)
-    table = table.persist()
-    aris = []
-    for i in range(n_seeds):
-        for j in range(i + 1, n_seeds):
-            aris.append(float(QU.adjusted_rand(table, f"s{i}", f"s{j}").collect()[0]["ari"]))
-    table.unpersist()
+    # One job for all n(n−1)/2 pairs; the result has that many rows.
+    aris = [float(r["ari"]) for r in QU.adjusted_rand_pairs(table, [f"s{s}" for s in range(n_seeds)]).collect()]
     data.unpersist()
     if not aris:
         return {"ari_mean": float("nan"), "ari_min": float("nan"), "ari_pass": False, "aris": []}

@@ -174,6 +174,30 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
                     .otherwise((F.col("sum_ij") - expected) / denom).alias("ari"))
 
 
+def adjusted_rand_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
+    """ARI for every pair of labelings in ``cols`` in one job: (a, b, ari).
+
+    The pairs are stacked into (pair, la, lb) rows, so one grouped count
+    builds every contingency table at once.
+    """
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "a string, b string, ari double")
+    stack = ", ".join(f"'{a}', '{b}', cast(`{a}` as bigint), cast(`{b}` as bigint)" for a, b in pairs)
+    long = df.selectExpr(f"stack({len(pairs)}, {stack}) as (a, b, la, lb)")
+
+    def c2(x):
+        return x * (x - 1) / 2.0
+    cont = long.groupBy("a", "b", "la", "lb").agg(F.count(F.lit(1)).cast("double").alias("nij"))
+    sa = cont.groupBy("a", "b", "la").agg(F.sum("nij").alias("ai")).groupBy("a", "b").agg(F.sum(c2(F.col("ai"))).alias("sum_a"))
+    sb = cont.groupBy("a", "b", "lb").agg(F.sum("nij").alias("bj")).groupBy("a", "b").agg(F.sum(c2(F.col("bj"))).alias("sum_b"))
+    sij = cont.groupBy("a", "b").agg(F.sum(c2(F.col("nij"))).alias("sum_ij"), F.sum("nij").alias("n"))
+    j = sij.join(sa, ["a", "b"]).join(sb, ["a", "b"])
+    expected = F.col("sum_a") * F.col("sum_b") / c2(F.col("n"))
+    denom = (F.col("sum_a") + F.col("sum_b")) / 2.0 - expected
+    return j.select("a", "b", F.when(denom == 0, F.lit(1.0)).otherwise((F.col("sum_ij") - expected) / denom).alias("ari"))
+
+
 def cluster_sizes(df: DataFrame, label: str = "congestion_level") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("size"))
 
