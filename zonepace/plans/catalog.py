@@ -19,6 +19,7 @@ from zonepace.config import CleanConfig
 from zonepace.operators import clean as CL
 from zonepace.operators import features as FE
 from zonepace.plans import stages as ST
+from zonepace.sources import io as IO
 from zonepace.sources import fixtures as FX
 from zonepace.sources import trips as TR
 from zonepace.functions import scalar as S
@@ -527,7 +528,8 @@ def q_top_zones_dashboard(spark, sf_dir):
 
 @register("map_points")
 def q_map_points(spark, sf_dir):
-    return norm(DB.map_points(mart(spark, sf_dir), zone_centroids(spark, sf_dir), VIEW))
+    cent = IO.load_centroids(spark, centroid_csv(spark, sf_dir))  # the dashboard reads the CSV dimension
+    return norm(DB.map_points(mart(spark, sf_dir), cent, VIEW))
 
 
 @register("filtered_table")
@@ -805,3 +807,24 @@ def q_scorecard(spark, sf_dir):
     ari = QU.adjusted_rand(lc, "congestion_level", "second")
     return norm(QU.scorecard(QU.davies_bouldin(sc, FEATS, "congestion_level"),
                              QU.calinski_harabasz(sc, FEATS, "congestion_level"), ari, ari))
+
+
+
+def centroid_csv(spark, sf_dir) -> str:
+    """The centroid dimension written as CSV with the alternate headers (LocationID, lat, lon)."""
+    from zonepace.session import scratch_path
+    import hashlib
+    path = scratch_path(spark, f"stages/{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}/centroids_csv")
+    key = (spark.sparkContext.applicationId, "centroids_csv", sf_dir)
+    if key not in ST._BUILT:
+        z = zone_centroids(spark, sf_dir).select(F.col("zone_id").alias("LocationID"),
+                                                 F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+        z.write.mode("overwrite").option("header", True).csv(path)
+        ST._BUILT[key] = path
+    return ST._BUILT[key]
+
+
+@register("load_centroids")
+def q_load_centroids(spark, sf_dir):
+    """Centroid CSV source with header aliases (S16), read back from the written file."""
+    return norm(IO.load_centroids(spark, centroid_csv(spark, sf_dir)))

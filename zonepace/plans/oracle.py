@@ -845,3 +845,8 @@ union all select 3, 'Calinski–Harabasz', 'higher better', format('{{:,.0f}}',
 union all select 4, 'ARI seed stability (min)', '≥ 0.80', {_R3T.format(x='ari')}, ari >= 0.8 from ariv
 union all select 5, 'ARI seed stability (mean)', '≥ 0.90', {_R3T.format(x='ari')}, ari >= 0.9 from ariv
 union all select 6, 'Stability gate', 'PASS', case when ari >= {C.STABILITY_ARI_MIN} then 'PASS' else 'FAIL' end, ari >= {C.STABILITY_ARI_MIN} from ariv"""
+
+ORACLE["load_centroids"] = chain_upto("cells") + f"""
+select cast(zone_id as bigint) as zone_id, {r6('40.5::double + zone_id * 0.002::double')} as latitude,
+       {r6('-74.25::double + ((zone_id * 37) % 263) * 0.002::double')} as longitude
+from (select distinct zone_id from cells) z where zone_id % 50 <> 0"""
