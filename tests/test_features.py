@@ -56,3 +56,17 @@ def test_deviation_sign(spark):
                                      "avg_speed_mph double, trip_density long, avg_trip_duration double")
     out = {r["day_of_week"]: r["speed_deviation"] for r in FE.compute_speed_deviation(df).collect()}
     assert out[0] == -10.0 and out[1] == 10.0
+
+
+def test_duration_and_stamps_ignore_session_zone(spark):
+    """A naive 01:50 → 02:10 trip on a spring-forward day lasts 20 minutes in any session zone."""
+    from zonepace.functions import scalar as S
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        r = spark.sql("select timestamp_ntz'1995-04-02 01:50:00' as p, timestamp_ntz'1995-04-02 02:10:00' as d").select(
+            S.duration_seconds("p", "d").alias("s"), S.year_month("d").alias("ym"), S.timestamp_text("d").alias("t"),
+            S.hour_of_day("d").alias("h")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["s"] == 1200.0 and r["ym"] == "1995-04" and r["t"] == "1995-04-02 02:10:00" and r["h"] == 2

@@ -40,9 +40,18 @@ def to_timestamp_ntz(c: str | Column) -> Column:
     return col(c).try_cast("timestamp_ntz")
 
 
-def duration_seconds(pickup: str = "pickup_datetime", dropoff: str = "dropoff_datetime") -> Column:
-    """Fractional seconds between two timestamp columns."""
-    return F.expr(f"timestampdiff(MICROSECOND, `{pickup}`, `{dropoff}`)") / F.lit(1e6)
+def duration_seconds(pickup: str | Column = "pickup_datetime", dropoff: str | Column = "dropoff_datetime") -> Column:
+    """Fractional seconds between two naive timestamps.
+
+    The difference of two TIMESTAMP_NTZ values is a zone-free day-time
+    interval; its fields are summed to seconds.  (``timestampdiff`` resolves
+    naive values through the session zone and gains or loses an hour across
+    a daylight-saving change.)
+    """
+    iv = col(dropoff) - col(pickup)
+    secs = (F.extract(F.lit("DAY"), iv) * 86400 + F.extract(F.lit("HOUR"), iv) * 3600
+            + F.extract(F.lit("MINUTE"), iv) * 60 + F.extract(F.lit("SECOND"), iv))
+    return secs.cast("double")
 
 
 def speed_mph(distance: str | Column = "trip_distance",
@@ -66,7 +75,15 @@ def is_weekend(dow: str | Column = "day_of_week") -> Column:
 
 
 def year_month(ts: str | Column = "pickup_datetime") -> Column:
-    return F.date_format(col(ts), "yyyy-MM")
+    """``YYYY-MM`` from the date parts (``date_format`` would pass naive values
+    through the session zone and move times inside a daylight-saving gap)."""
+    x = col(ts)
+    return F.format_string("%04d-%02d", F.year(x), F.month(x))
+
+
+def timestamp_text(ts: str | Column) -> Column:
+    """``YYYY-MM-DD HH:MM:SS`` of a naive timestamp, zone-free."""
+    return F.substring(col(ts).cast("string"), 1, 19)
 
 
 def valid_year_month(ym: str | Column) -> Column:

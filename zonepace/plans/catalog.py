@@ -50,7 +50,7 @@ def norm(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             out.append(c.cast("long").alias(f.name))
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            out.append(F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(f.name))
+            out.append(S.timestamp_text(c).alias(f.name))
         else:
             out.append(c)
     return df.select(*out)
@@ -787,7 +787,7 @@ def q_data_freshness(spark, sf_dir):
     """Lag between the newest cleaned pickup and a fixed 'now', against the 24 h target."""
     t = clean_trips(spark, sf_dir)
     mx = t.agg(F.max("pickup_datetime").alias("latest_pickup"))
-    lag = F.expr(f"timestampdiff(SECOND, latest_pickup, timestamp_ntz'{FRESHNESS_NOW}')") / 3600.0
+    lag = S.duration_seconds(F.col("latest_pickup"), F.expr(f"timestamp_ntz'{FRESHNESS_NOW}'")) / 3600.0
     return norm(mx.select("latest_pickup", lag.alias("lag_hours"),
                           (lag < C.TARGET_FRESHNESS_HOURS).alias("fresh")))
 
