@@ -828,3 +828,17 @@ def centroid_csv(spark, sf_dir) -> str:
 def q_load_centroids(spark, sf_dir):
     """Centroid CSV source with header aliases (S16), read back from the written file."""
     return norm(IO.load_centroids(spark, centroid_csv(spark, sf_dir)))
+
+
+@register("hist_deviation_raw")
+def q_hist_deviation_raw(spark, sf_dir):
+    """70-bin histogram of the unclipped deviation over its own range (H6, notebook form)."""
+    return norm(MA.histogram(cells(spark, sf_dir), F.col("speed_deviation"), 70))
+
+
+@register("deviation_stats")
+def q_deviation_stats(spark, sf_dir):
+    """Range and mean ± std (ddof 1) of the deviation, printed beside that histogram (H6)."""
+    c = cells(spark, sf_dir)
+    return norm(c.agg(F.min("speed_deviation").alias("dev_min"), F.max("speed_deviation").alias("dev_max"),
+                      F.avg("speed_deviation").alias("dev_mean"), F.stddev_samp("speed_deviation").alias("dev_std")))

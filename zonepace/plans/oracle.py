@@ -850,3 +850,8 @@ ORACLE["load_centroids"] = chain_upto("cells") + f"""
 select cast(zone_id as bigint) as zone_id, {r6('40.5::double + zone_id * 0.002::double')} as latitude,
        {r6('-74.25::double + ((zone_id * 37) % 263) * 0.002::double')} as longitude
 from (select distinct zone_id from cells) z where zone_id % 50 <> 0"""
+
+ORACLE["hist_deviation_raw"] = chain_upto("cells") + hist_sql("cells", "speed_deviation", 70)
+ORACLE["deviation_stats"] = chain_upto("cells") + f"""
+select {r6('min(speed_deviation)')} as dev_min, {r6('max(speed_deviation)')} as dev_max,
+       {r6('avg(speed_deviation)')} as dev_mean, {r6('stddev_samp(speed_deviation)')} as dev_std from cells"""
