@@ -60,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder (HDFS/S3/…) on a cluster")
+        # Local runs and tests only: a private scratch folder.
         configured = tempfile.mkdtemp(prefix="zonepace-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", configured)
