@@ -48,15 +48,32 @@ def stable_input(df: DataFrame, key: list[str], features: list[str], partitions:
         .checkpoint(eager=True)
 
 
+def spark_tol(df: DataFrame, tol: float = 1e-4) -> float:
+    """Spark's absolute per-centre shift threshold matching a relative tolerance.
+
+    The relative rule stops when Σ‖Δcentre‖² ≤ tol · mean feature variance;
+    Spark stops when every centre moved ≤ ε, so ε = √(tol · mean variance)
+    (any state passing the relative rule passes this one).
+    """
+    from pyspark.ml.stat import Summarizer
+    var = df.select(Summarizer.variance(F.col("features")).alias("v")).first()["v"].toArray()
+    n = df.count()
+    mean_var = float(np.mean(var)) * (n - 1) / n if n > 1 else 0.0  # population variance
+    return float(np.sqrt(tol * mean_var)) if mean_var > 0 else tol
+
+
 def train_kmeans(df: DataFrame, k: int, seed: int = C.KMEANS_RANDOM_STATE, n_init: int = C.KMEANS_N_INIT,
                  max_iter: int = C.KMEANS_MAX_ITER, tol: float = 1e-4) -> KMeansFit:
     """Best of ``n_init`` fits (seeds seed, seed+1, …) by training cost (M5).
 
     ``df`` must carry a ``features`` vector (see :func:`stable_input`).
+    ``tol`` is relative to the data's mean feature variance, as in the
+    original; it is converted once to Spark's absolute threshold.
     """
     best: KMeansFit | None = None
+    eps = spark_tol(df, tol)
     for i in range(max(1, n_init)):
-        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features",
+        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=eps, featuresCol="features",
                     predictionCol="raw_cluster", initMode="k-means||")
         model = km.fit(df)
         s = model.summary
