@@ -58,18 +58,28 @@ def eps_pairs(df: DataFrame, key: list[str], features: list[str], eps: float = C
     pts = pts.checkpoint(eager=True)
     small = pts.count() <= BROADCAST_POINTS
     d = len(features)
-    # The 3^d neighbouring bucket offsets as a literal array, exploded in-stage.
-    offs = F.array(*[F.struct(*[F.lit(o).alias(f"o{n}") for n, o in enumerate(combo)])
-                     for combo in itertools.product([-1, 0, 1], repeat=d)])
+    # Half of the 3^d neighbouring bucket offsets: zero, and those whose first
+    # non-zero component is +1.  Each pair of distinct buckets is then probed
+    # once and its pairs are emitted in both directions; pairs inside one
+    # bucket are found from both ends already.  Same output, half the probes.
+    half = [o for o in itertools.product([-1, 0, 1], repeat=d)
+            if all(x == 0 for x in o) or next(x for x in o if x != 0) == 1]
+    offs = F.array(*[F.struct(F.lit(all(x == 0 for x in combo)).alias("same"),
+                              *[F.lit(o).alias(f"o{n}") for n, o in enumerate(combo)])
+                     for combo in half])
     probe = pts.select("*", F.explode(offs).alias("_off")).select(
-        F.col("pid").alias("i"), *[F.col(f).alias(f"i_{f}") for f in features],
+        F.col("pid").alias("i"), F.col("_off.same").alias("_same"), *[F.col(f).alias(f"i_{f}") for f in features],
         *[(F.col(f"_b{n}") + F.col(f"_off.o{n}")).alias(f"_b{n}") for n in range(d)])
     build = pts.select(F.col("pid").alias("j"), *[F.col(f).alias(f"j_{f}") for f in features],
                        *[F.col(f"_b{n}") for n in range(d)])
     joined = probe.join(F.broadcast(build) if small else build, [f"_b{n}" for n in range(d)])
     diff = [F.col(f"i_{f}") - F.col(f"j_{f}") for f in features]
     dist2 = sum(x * x for x in diff)
-    return joined.where(F.sqrt(dist2) <= F.lit(eps)).select("i", "j")
+    near = joined.where(F.sqrt(dist2) <= F.lit(eps))
+    both = F.when(F.col("_same"), F.array(F.struct(F.col("i").alias("i"), F.col("j").alias("j")))).otherwise(
+        F.array(F.struct(F.col("i").alias("i"), F.col("j").alias("j")),
+                F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    return near.select(F.explode(both).alias("_p")).select("_p.i", "_p.j")
 
 
 def neighbour_counts(df: DataFrame, key: list[str], features: list[str], eps: float = C.DBSCAN_EPS,
