@@ -203,7 +203,9 @@ def key_rules(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> Column:
     if cfg.check_month and "file_ym" in df.columns:
         keep = keep & keep_month()
     keep = keep & keep_distance() & keep_duration() & keep_speed() & keep_zones() & keep_not_trivial()
-    return F.coalesce(keep, F.lit(False))
+    # A plain conjunction: in a WHERE a null drops the row just like false, and
+    # Catalyst can hand each simple range conjunct to the Parquet reader.
+    return keep
 
 
 def clean_trips(df: DataFrame, cfg: CleanConfig = CleanConfig(),
