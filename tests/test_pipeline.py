@@ -64,3 +64,26 @@ def test_streaming_ingest_matches_batch(spark):
     q = ingest_new_files(spark, raw, schema, f"{out}/clean", checkpoint=f"{out}/ck")
     q.awaitTermination(120)
     assert spark.read.parquet(f"{out}/clean").count() == 300
+
+
+def test_streaming_ingest_one_file_per_batch(spark):
+    """Two monthly files, one per micro-batch: per-file dedup and month rule stay exact."""
+    from datetime import timedelta
+
+    from zonepace.streaming.ingest import ingest_new_files
+    raw = tempfile.mkdtemp(prefix="zp-stream2-raw-")
+    out = tempfile.mkdtemp(prefix="zp-stream2-out-")
+    jan = make_trips(100, seed=3).drop(columns=["trip_duration"])
+    jan = pd.concat([jan, jan.iloc[:2]], ignore_index=True)           # 2 duplicates
+    feb = make_trips(50, seed=4).drop(columns=["trip_duration"])
+    feb["pickup_datetime"] = feb["pickup_datetime"] + timedelta(days=31)
+    feb["dropoff_datetime"] = feb["dropoff_datetime"] + timedelta(days=31)
+    feb.loc[0, ["pickup_datetime", "dropoff_datetime"]] = [jan.loc[0, "pickup_datetime"], jan.loc[0, "dropoff_datetime"]]  # wrong month
+    jan.to_parquet(os.path.join(raw, "yellow_tripdata_2023-01.parquet"), index=False, coerce_timestamps="us")
+    feb.to_parquet(os.path.join(raw, "yellow_tripdata_2023-02.parquet"), index=False, coerce_timestamps="us")
+    schema = spark.read.parquet(raw).schema
+    q = ingest_new_files(spark, raw, schema, f"{out}/clean", checkpoint=f"{out}/ck", max_files_per_trigger=1)
+    q.awaitTermination(180)
+    got = {r["file_ym"]: r["n"] for r in spark.read.parquet(f"{out}/clean").groupBy("file_ym").count()
+           .withColumnRenamed("count", "n").collect()}
+    assert got == {"2023-01": 100, "2023-02": 49}
