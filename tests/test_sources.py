@@ -86,3 +86,17 @@ def test_centroid_csv_aliases(spark):
     pd.DataFrame({"LocationID": [1, 2], "lat": [40.1, 40.2], "lon": [-73.9, -74.0]}).to_csv(f"{d}/c.csv", index=False)
     out = IO.load_centroids(spark, f"{d}/c.csv").orderBy("zone_id").collect()
     assert out[1]["zone_id"] == 2 and out[1]["latitude"] == 40.2 and out[0]["longitude"] == -73.9
+
+
+def test_month_from_partition_folder(spark, trips_pdf):
+    """Spark-written files are named part-…; the stamp comes from the parent folder."""
+    import glob
+    d = tempfile.mkdtemp(prefix="zp-part-")
+    p = trips_pdf.drop(columns=["trip_duration"]).copy()
+    p["file_ym"] = "2023-01"
+    spark.createDataFrame(p).write.mode("overwrite").partitionBy("file_ym").parquet(f"{d}/raw")
+    files = sorted(glob.glob(f"{d}/raw/file_ym=*/*.parquet"))
+    assert files and all("2023" not in os.path.basename(f) for f in files)
+    out = TR.scan_raw_trips(spark, [f"file://{f}" for f in files])
+    assert {r["file_ym"] for r in out.select("file_ym").distinct().collect()} == {"2023-01"}
+    assert out.count() == 200

@@ -120,15 +120,18 @@ def with_file_month(df: DataFrame, file_col: str = "_src_file", path_col: str |
                     need_modal: bool = True) -> DataFrame:
     """Stamp each row with its file's month.
 
-    Order: stamp in the file name → stamp in the parent directory (Spark
-    writes ``…/file_ym=2025-01/part-….parquet``) → the file's modal pickup
-    month, with ties going to the earliest month.
+    Order: a Hive-style partition value (``…/file_ym=2025-01/part-….parquet``)
+    → a stamp in the file name (Spark's ``part-…`` names never count: their
+    UUIDs can look like ``0000-70``) → a stamp in the parent folder name → the
+    file's modal pickup month, ties going to the earliest month.
     """
-    stamped = parse_year_month_expr(file_col)
+    name = F.when(F.col(file_col).startswith("part-"), F.lit("")).otherwise(parse_year_month_expr(file_col))
+    stamped = name
     if path_col and path_col in df.columns:
+        part = F.regexp_extract(F.col(path_col), r"=(\d{4}-\d{2})/[^/]*$", 1)
         parent = F.regexp_extract(F.col(path_col), r"(\d{4}-\d{2})[^/]*/[^/]*$", 1)
-        stamped = F.when(stamped != "", stamped).otherwise(parent)
-    if not need_modal:  # every file name carries a stamp: no extra pass
+        stamped = F.when(part != "", part).when(name != "", name).otherwise(parent)
+    if not need_modal:  # every file carries a stamp: no extra pass
         return df.withColumn("file_ym", stamped)
     df = df.withColumn("_ym_name", stamped)
     modal = modal_month(df.filter(F.col("_ym_name") == ""), file_col)
@@ -139,6 +142,24 @@ def with_file_month(df: DataFrame, file_col: str = "_src_file", path_col: str |
     )
 
 
+def _path_stamp(path: str) -> str:
+    """Driver-side twin of the stamp order in :func:`with_file_month` (without the modal step)."""
+    m = re.search(r"=(\d{4}-\d{2})/[^/]*$", path)
+    if m:
+        return m.group(1)
+    parts = path.rsplit("/", 2)
+    base = parts[-1]
+    if not base.startswith("part-"):
+        m = _YM_RE.search(base)
+        if m:
+            return m.group(1)
+    if len(parts) >= 2:
+        m = _YM_RE.search(parts[-2])
+        if m:
+            return m.group(1)
+    return ""
+
+
 def modal_month(df: DataFrame, group_col: str) -> DataFrame:
     """Most frequent pickup month per group; ties → earliest month.
 
@@ -206,5 +227,5 @@ def scan_raw_trips(spark: SparkSession, raw_dir: str | list[str],
     for p in parts[1:]:
         out = out.unionByName(p)
     out = add_trip_duration(cast_dtypes(out))
-    unstamped = [f for f in files if not _YM_RE.search(f.rsplit("/", 2)[-1]) and not _YM_RE.search(f.rsplit("/", 2)[-2] if f.count("/") >= 1 else "")]
+    unstamped = [f for f in files if not _path_stamp(f)]
     return with_file_month(out, need_modal=bool(unstamped))
