@@ -87,3 +87,14 @@ def test_streaming_ingest_one_file_per_batch(spark):
     got = {r["file_ym"]: r["n"] for r in spark.read.parquet(f"{out}/clean").groupBy("file_ym").count()
            .withColumnRenamed("count", "n").collect()}
     assert got == {"2023-01": 100, "2023-02": 49}
+
+
+def test_dashboard_empty_view(spark):
+    from zonepace.operators import dashboard as DB
+    from zonepace.plans import catalog as K
+    m = K.mart(spark, SF_SMALL)
+    view = DB.ViewParams(hour=99)
+    story = DB.auto_story(m, view).collect()
+    assert len(story) == 1 and story[0]["story"] == "No data matches this filter."
+    kpi = DB.kpi_row(m, view).first()
+    assert kpi["n_obs"] == 0 and kpi["avg_speed_filtered"] == 0.0 and kpi["pct_high"] == 0.0 and kpi["total_trips"] == 0

@@ -177,12 +177,16 @@ def auto_story(mart: DataFrame, p: ViewParams, labels: DataFrame | None = None)
     f = apply_filters(mart, p)
     labels = labels if labels is not None else severity_dim(mart)
     overall = mart.agg(F.avg("avg_speed_mph").alias("_all"), F.max("congestion_level").alias("_maxlvl"))
-    facts = attach_row(f, overall).groupBy("_all", "_maxlvl").agg(
+    # A global aggregate: one row even for an empty view.
+    facts = attach_row(f, overall).agg(
+        F.count(F.lit(1)).alias("_n"),
         F.count_distinct("zone_id").alias("n_zones"),
         F.avg("avg_speed_mph").alias("avg_speed"),
         F.avg("speed_deviation").alias("avg_dev"),
         F.mode("congestion_level", deterministic=True).alias("dom_level"),
-        (F.lit(100.0) * F.count_if(F.col("congestion_level") >= F.col("_maxlvl") - 1) / F.count(F.lit(1))).alias("pct_high"),
+        F.try_divide(F.lit(100.0) * F.count_if(F.col("congestion_level") >= F.col("_maxlvl") - 1),
+                     F.count(F.lit(1))).alias("pct_high"),
+        F.first("_all").alias("_all"),
     ).withColumn("delta", F.col("avg_speed") - F.col("_all"))
     facts = facts.join(F.broadcast(labels.select(F.col("congestion_level").alias("dom_level"),
                                                  F.col("label").alias("dom_label"))), "dom_level", "left")
@@ -201,9 +205,12 @@ def auto_story(mart: DataFrame, p: ViewParams, labels: DataFrame | None = None)
         "The dominant cluster is %s, and %.0f%% of observations sit in the highest one-or-two congestion levels.",
         F.lit(p.hour), F.lit(p.day_filter.lower()), F.col("n_zones"), r1(F.col("avg_speed")), speed_phrase,
         dev_phrase, dom_label, F.floor(F.col("pct_high") + 0.5).cast("double"))
-    return facts.select("n_zones", "avg_speed", "delta", "avg_dev", "dom_level", dom_label.alias("dom_label"),
-                        "pct_high", speed_phrase.alias("speed_phrase"), dev_phrase.alias("dev_phrase"),
-                        story.alias("story"))
+    empty = F.col("_n") == 0
+    return facts.select("n_zones", "avg_speed", "delta", "avg_dev", "dom_level",
+                        F.when(empty, F.lit(None)).otherwise(dom_label).alias("dom_label"),
+                        "pct_high", F.when(empty, F.lit(None)).otherwise(speed_phrase).alias("speed_phrase"),
+                        F.when(empty, F.lit(None)).otherwise(dev_phrase).alias("dev_phrase"),
+                        F.when(empty, F.lit("No data matches this filter.")).otherwise(story).alias("story"))
 
 
 def top_zones_dashboard(mart: DataFrame, p: ViewParams, labels: DataFrame | None = None, n: int = 15) -> DataFrame:
