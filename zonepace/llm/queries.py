@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from zonepace.llm.common import load
 from zonepace.llm.exact_dedup import exact_dedup
 from zonepace.llm.license_scan import scan_licenses
+from zonepace.llm.near_dedup import near_classes
 from zonepace.llm.url_filter import judge_urls, rules_table
 
 # The URL rules of the query, (host, path, verdict).
@@ -23,6 +24,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(load(spark, sf_dir, "pages"), rules_table(spark, URL_RULES))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(load(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(load(spark, sf_dir, "documents"))
 
@@ -31,4 +36,4 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op7_exact_dedup, op9_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op4_near_dedup, op7_exact_dedup, op9_license_scan)}
