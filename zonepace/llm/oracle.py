@@ -70,4 +70,26 @@ SELECT d.doc_id, b.t_id AS license, b.t_family AS family, b.dice AS dice, CAST(b
 FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id AND b.rn = 1 LEFT JOIN s ON s.doc_id = d.doc_id
 """
 
-ORACLE = {"op1_url_filter": OP1, "op7_exact_dedup": OP7, "op9_license_scan": OP9}
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+OP8 = f"""
+WITH i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS gram
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM i WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dw AS (
+  SELECT doc_id, size, p, array_to_string(w[p:p + size - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p
+        FROM d, (SELECT DISTINCT size FROM iw) s WHERE len(w) >= size)),
+m AS (SELECT doc_id, p, size, item_id FROM dw JOIN iw USING (size, gram)),
+h AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+      FROM (SELECT doc_id, unnest(range(p, p + size)) AS word FROM (SELECT DISTINCT doc_id, p, size FROM m)) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT CAST(item_id AS VARCHAR)) AS n_items,
+             string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(t.items, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+ORACLE = {"op1_url_filter": OP1, "op7_exact_dedup": OP7, "op8_decontamination": OP8, "op9_license_scan": OP9}

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonepace.llm.common import load
+from zonepace.llm.decontamination import find_matches
 from zonepace.llm.exact_dedup import exact_dedup
 from zonepace.llm.license_scan import scan_licenses
 from zonepace.llm.near_dedup import near_classes
@@ -32,8 +34,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(load(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_matches(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_near_dedup, op7_exact_dedup, op9_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op4_near_dedup, op7_exact_dedup, op8_decontamination, op9_license_scan)}
