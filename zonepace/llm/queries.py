@@ -10,6 +10,7 @@ from zonepace.llm.decontamination import find_matches
 from zonepace.llm.exact_dedup import exact_dedup
 from zonepace.llm.license_scan import scan_licenses
 from zonepace.llm.near_dedup import near_classes
+from zonepace.llm.substring_dedup import repeated_passages
 from zonepace.llm.url_filter import judge_urls, rules_table
 
 # The URL rules of the query, (host, path, verdict).
@@ -44,4 +45,8 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_near_dedup, op7_exact_dedup, op8_decontamination, op9_license_scan)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op4_near_dedup, op7_exact_dedup, op8_decontamination, op9_license_scan, op10_substring_dedup)}
