@@ -197,12 +197,12 @@ def signatures(docs: DataFrame, tables, width: int, bands: int, rows: int) -> Da
                             key = W.mix(key * U(31) + x)
                         keys[k, part] = key
                 start = stop
-            yield pa.record_batch([b.column("doc_id"), pa.array(h1), pa.array(h2), pa.array(count.astype(np.int32)),
+            yield pa.record_batch([b.column("doc_id"), b.column("text_hash"), pa.array(h1), pa.array(h2), pa.array(count.astype(np.int32)),
                                    *[pa.array(k.view(np.int64)) for k in keys]],
-                                  names=["doc_id", "h1", "h2", "n", *[f"b{k}" for k in range(bands)]])
+                                  names=["doc_id", "text_hash", "h1", "h2", "n", *[f"b{k}" for k in range(bands)]])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, h1 long, h2 long, n int, " + ", ".join(f"b{k} long" for k in range(bands))
+    schema = f"doc_id {kind}, text_hash long, h1 long, h2 long, n int, " + ", ".join(f"b{k} long" for k in range(bands))
     return written(docs.mapInArrow(sign, schema).withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
@@ -339,16 +339,16 @@ def _block_links(members: DataFrame, sizes: DataFrame, texts: DataFrame, tables,
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                  threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, class_id, class_size, kept): one row per row of ``docs``.
+    """(doc_id, class_id, class_size, kept, text_hash): one row per row of ``docs``.
 
-    ``class_id`` is the smallest id in the class; the row that has it stays (of
-    several, the first in scan order).  Texts without a word (null, empty,
-    signs only) are classes of their own.  Rows with the same word sequence are
-    in one class.  Other columns are not read.
+    ``class_id`` is the smallest id in the class; rows that have it stay.  Texts
+    without a word (null, empty, signs only) are classes of their own.  Rows with
+    the same word sequence are in one class.  ``text_hash`` (xxhash64) tells rows
+    apart that repeat an id with another text.  Other columns are not read.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text"))
+    docs = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     counts, n = frequency_sketch(docs, width)
     tables = idf_tables(counts, n)
     sig = signatures(docs, tables, width, bands, rows)
@@ -377,14 +377,17 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      .select("h1", "h2", "root", "least", "copies"), "digest-classes")
     classes = written(digest.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
                       .filter("class_size > 1"), "classes")
-    labelled = written(digest.join(classes, "root").select("h1", "h2", "root", "class_id", "class_size"), "labelled")
-    merged = sig.filter("n > 0").select("doc_id", "row", "h1", "h2").join(labelled, ["h1", "h2"], "left")
-    alone = sig.filter("n = 0").select("doc_id", "row")
-    table = written(merged.select("doc_id", "row", "root", "class_id", "class_size")
-                    .unionByName(alone, allowMissingColumns=True), "rows")
-    # Of the rows that carry the class id, the first stays.
-    stays = written(table.filter("root IS NOT NULL AND doc_id <=> class_id").groupBy("root").agg(F.min("row").alias("stay")), "stays")
-    return (table.join(stays, "root", "left")
-            .select("doc_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-                    F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
-                    (F.col("root").isNull() | (F.col("row") == F.col("stay"))).alias("kept")))
+    labelled = written(digest.join(classes, "root").select("h1", "h2", "class_id", "class_size"), "labelled")
+    merged = sig.filter("n > 0").select("doc_id", "text_hash", "h1", "h2").join(labelled, ["h1", "h2"], "left")
+    own = F.when(F.col("class_size").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
+    table = (merged.select("doc_id", "text_hash", "class_id", "class_size")
+             .unionByName(sig.filter("n = 0").select("doc_id", "text_hash"), allowMissingColumns=True))
+    return table.select("doc_id", own.alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
+                        F.col("doc_id").eqNullSafe(own).alias("kept"), "text_hash")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that stay: one document of each class."""
+    found = near_classes(docs, id_col, text_col, **options)
+    gone = written(found.filter("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")), "near-copies")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone.gone_id) & (F.xxhash64(text_of(docs, text_col)) == gone.gone_hash), "left_anti")
