@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +10,17 @@ from zonepace.llm.common import load
 from zonepace.llm.decontamination import find_matches
 from zonepace.llm.exact_dedup import exact_dedup
 from zonepace.llm.license_scan import scan_licenses
+from zonepace.llm.mixing import domain_labels, mixing_rates
 from zonepace.llm.near_dedup import near_classes
+from zonepace.llm.quality import fit_quality, score_quality
 from zonepace.llm.substring_dedup import repeated_passages
+from zonepace.llm.token_count import count_tokens
+from zonepace.llm.training_order import training_order
 from zonepace.llm.url_filter import judge_urls, rules_table
 
+COUNT_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+ID_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 # The URL rules of the query, (host, path, verdict).
 URL_RULES = [
     ("com", "/", "allow"),
@@ -27,10 +35,28 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(load(spark, sf_dir, "pages"), rules_table(spark, URL_RULES))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(load(spark, sf_dir, "documents"), COUNT_VOCABULARY)
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, load(spark, sf_dir, "labels")))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(load(spark, sf_dir, "documents"))
 
 
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(load(spark, sf_dir, "documents"), ID_VOCABULARY)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return mixing_rates(docs, domain_labels(docs, load(spark, sf_dir, "labels")))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(load(spark, sf_dir, "documents"))
 
@@ -49,4 +75,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_near_dedup, op7_exact_dedup, op8_decontamination, op9_license_scan, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op2_token_counts, op3_quality_classifier, op4_near_dedup, op5_training_order, op6_mixing,
+    op7_exact_dedup, op8_decontamination, op9_license_scan, op10_substring_dedup)}

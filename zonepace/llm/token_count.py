@@ -148,15 +148,14 @@ class Counter:
     def count(self, texts: list[str]) -> list[int]:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        known, out = self.known, []
-        for text in texts:
-            words, specials = self.split(text)
-            got = list(map(known.get, words))
-            if None in got:
-                self.learn(set(words) - known.keys())
-                got = map(known.get, words)
-            out.append(sum(got) + specials)
-        return out
+        known = self.known
+        split = [self.split(text) for text in texts]
+        got = [list(map(known.get, words)) for words, _ in split]
+        new = {w for (words, _), counts in zip(split, got) if None in counts for w, c in zip(words, counts) if c is None}
+        if new:
+            self.learn(new)
+        return [sum(counts if None not in counts else map(known.get, words)) + specials
+                for (words, specials), counts in zip(split, got)]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
