@@ -370,7 +370,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     first = written(components(links, "node", "leader"), "components-1")
     placed = written(others.join(first, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "placed")
     more = _block_links(placed, nodes.select("node", "n"), texts, tables, width, threshold)
-    rooted = links.join(first, "node").select(F.col("node"), F.col("root").alias("leader"))
+    rooted = first.select("node", F.col("root").alias("leader"))
     final = written(components(rooted.unionByName(more), "node", "leader"), "components")
 
     digest = written(nodes.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
