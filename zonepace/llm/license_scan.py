@@ -45,6 +45,8 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
 
 def template_rows(spark: SparkSession, templates: list[tuple[str, str, str]]) -> list[tuple]:
     """(number, id, family, bigrams) of each template that has a bigram."""
+    if not templates:
+        return []
     rows = [F.struct(F.lit(i).alias("t_no"), F.lit(a).alias("t_id"), F.lit(b).alias("t_family"), F.lit(c).alias("t_text"))
             for i, (a, b, c) in enumerate(templates)]
     table = spark.range(1).select(F.inline(F.array(*rows)))
