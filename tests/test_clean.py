@@ -6,6 +6,7 @@ from datetime import timedelta
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from zonepace.config import CleanConfig
@@ -13,7 +14,11 @@ from zonepace.operators import clean as CL
 
 
 def _count_kept(spark, pdf, cfg=CleanConfig(use_quality_gate=True, check_month=False), **kw):
-    return CL.clean_trips(spark.createDataFrame(pdf), cfg, **kw).count()
+    return CL.clean_trips(_numbered(spark, pdf), cfg, **kw).count()
+
+
+def _numbered(spark, pdf):
+    return spark.createDataFrame(pdf.assign(_row_index=range(len(pdf))))
 
 
 def test_full_chain_keeps_valid_rows(spark, trips_pdf):
@@ -71,8 +76,27 @@ def test_duplicates_keep_first_in_file_order(spark, trips_pdf):
     p["fare_amount"] = [5.0, 7.0]
     p["_src_file"] = "a.parquet"
     p["_row_index"] = [1, 0]
-    out = CL.remove_duplicates(spark.createDataFrame(p), scope=[], order_cols=["_src_file", "_row_index"]).collect()
+    df = spark.createDataFrame(p)
+    out = CL.remove_duplicates(df).collect()
     assert len(out) == 1 and out[0]["fare_amount"] == 7.0
+    assert "SortAggregate" not in CL.remove_duplicates(df)._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        CL.remove_duplicates(df.drop("_row_index"))
+
+
+def test_duplicates_are_per_file(spark, trips_pdf):
+    p = pd.concat([trips_pdf.iloc[:1], trips_pdf.iloc[:1]], ignore_index=True)
+    p["file_ym"], p["_row_index"], p["_src_file"] = "2023-01", [0, 0], ["yellow.parquet", "green.parquet"]
+    assert CL.remove_duplicates(spark.createDataFrame(p)).count() == 2
+
+
+def test_audit_agrees_with_chain_on_differing_copies(spark, trips_pdf):
+    first, second = trips_pdf.iloc[:2], trips_pdf.iloc[:2]
+    p = pd.concat([first, second], ignore_index=True)
+    p["fare_amount"], p["passenger_count"] = [10.0, -3.0, -10.0, 3.0], 1
+    cfg = CleanConfig(check_month=False)
+    rows = {r["step"]: r["rows"] for r in CL.clean_audit(_numbered(spark, p), cfg).collect()}
+    assert rows["kept"] == CL.clean_trips(_numbered(spark, p), cfg).count() == 1 and rows["quality"] == 1 and rows["duplicates"] == 2
 
 
 def test_wrong_month(spark, trips_pdf):
@@ -143,7 +167,7 @@ def test_audit_adds_up(spark, trips_pdf):
     p = trips_pdf.copy()
     p.loc[0, "PULocationID"] = 0
     p = pd.concat([p, p.iloc[5:7]], ignore_index=True)
-    rows = {r["step"]: r["rows"] for r in CL.clean_audit(spark.createDataFrame(p), CleanConfig(check_month=False)).collect()}
+    rows = {r["step"]: r["rows"] for r in CL.clean_audit(_numbered(spark, p), CleanConfig(check_month=False)).collect()}
     assert rows["input"] == 202 and rows["duplicates"] == 2 and rows["zones"] == 1 and rows["kept"] == 199
     assert sum(v for k, v in rows.items() if k not in ("input",)) == 202
 

@@ -205,3 +205,22 @@ def test_ari_pairs_match_single(spark, cells_df):
     got = {(r["a"], r["b"]): r["ari"] for r in QU.adjusted_rand_pairs(df, ["a", "b", "c"]).collect()}
     for x, y in (("a", "b"), ("a", "c"), ("b", "c")):
         assert abs(got[(x, y)] - QU.adjusted_rand(df, x, y).first()["ari"]) < 1e-12
+
+
+def test_stable_input_places_rows_alike(spark, cells_df):
+    """The same rows lie in the same partitions however the input was dealt, with more than one partition."""
+    def places(df):
+        part = KM.stable_input(df, KEY, FEATS, partitions=4)
+        return sorted(part.select(F.spark_partition_id().alias("p"), *KEY).collect())
+    first = places(cells_df)
+    assert len({r["p"] for r in first}) > 1
+    assert first == places(cells_df.repartition(7)) == places(cells_df)
+
+
+def test_row_numbers_across_partitions(spark):
+    from zonepace.functions.ranking import row_numbers
+    df = spark.range(500).select((F.col("id") % 3).alias("g"), F.xxhash64("id").alias("v"))
+    got = {(r["g"], r["v"]): r["n"] for r in row_numbers(df, ["g"], ["v"], "n").collect()}
+    for g in range(3):
+        vs = sorted(v for gg, v in got if gg == g)
+        assert [got[(g, v)] for v in vs] == list(range(1, len(vs) + 1))

@@ -128,31 +128,31 @@ def reject_reason(df: DataFrame, cfg: CleanConfig = CleanConfig(),
 
 # ---- duplicate rule ---------------------------------------------------------
 
-def remove_duplicates(df: DataFrame, scope: list[str] | None = None,
-                      order_cols: list[str] | None = None, with_copies: bool = False) -> DataFrame:
-    """Distinct on the natural key within each file, keeping the first row (F2).
-
-    With ``order_cols`` (file name + row index captured at the scan) the
-    first row in file order wins via ``min_by``; otherwise rows that agree on
-    the key are taken as interchangeable and ``dropDuplicates`` is used.
-    Both are hash aggregates with a map-side partial step, so a heavily
-    duplicated key collapses before the shuffle.
+ROW_ORDER = "_row_index"
+
+
+def remove_duplicates(df: DataFrame, scope: list[str] | None = None, order_col: str = ROW_ORDER,
+                      with_copies: bool = False) -> DataFrame:
+    """Distinct on the natural key within each file, keeping the file's first row (F2).
+
+    ``order_col`` is the row's place in its file (unique there, fixed at the
+    scan); without it "first" has no meaning and the call fails.  The scope is the
+    source file where it is known, else the month stamp.  The kept row's
+    columns are taken by ``min_by`` the order, all fixed-width, so this is a hash
+    aggregate with a map-side partial step: a heavily duplicated key
+    collapses before the shuffle.
     """
+    if order_col not in df.columns:
+        raise ValueError(f"remove_duplicates needs the row order column {order_col!r}")
     if scope is None:
-        scope = ["file_ym"] if "file_ym" in df.columns else []
-    key = [*scope, *C.DEDUP_KEY]
-    if not order_cols and not with_copies:
-        return df.dropDuplicates(key)
-    rest = [c for c in df.columns if c not in key]
-    row = F.struct(*[F.col(c) for c in rest])
-    # One whole row, never a mix of rows; deterministic so Spark can reuse the exchange.
-    first = (F.min_by(row, F.struct(*[F.col(c) for c in order_cols])) if order_cols
-             else F.min(row)).alias("_first")
-    aggs = [first] + ([F.count(F.lit(1)).alias("_copies")] if with_copies else [])
-    picked = df.groupBy(*key).agg(*aggs)
-    cols = [*df.columns] + (["_copies"] if with_copies else [])
-    return picked.select(*key, *[F.col("_first")[c].alias(c) for c in rest],
-                         *(["_copies"] if with_copies else [])).select(*cols)
+        scope = [c for c in ("_src_file",) if c in df.columns] or [c for c in ("file_ym",) if c in df.columns]
+    # Text columns describe the file, not the row: they are the same for all copies in a scope.
+    texts = [f.name for f in df.schema if f.dataType.simpleString() == "string" and f.name not in (*scope, *C.DEDUP_KEY)]
+    key = [*scope, *texts, *C.DEDUP_KEY]
+    rest = [c for c in df.columns if c not in key and c != order_col]
+    picked = df.groupBy(*key).agg(F.min(order_col).alias(order_col), *[F.min_by(c, order_col).alias(c) for c in rest],
+                                  *([F.count(F.lit(1)).alias("_copies")] if with_copies else []))
+    return picked.select(*df.columns, *(["_copies"] if with_copies else []))
 
 
 # ---- per-zone IQR fence -----------------------------------------------------
@@ -210,7 +210,7 @@ def key_rules(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> Column:
 
 def clean_trips(df: DataFrame, cfg: CleanConfig = CleanConfig(),
                 has_fare: bool | None = None, has_passengers: bool | None = None,
-                order_cols: list[str] | None = None) -> DataFrame:
+                order_col: str = ROW_ORDER) -> DataFrame:
     """Whole chain: dedup → row rules → optional IQR fence.
 
     Rules on key columns run before the duplicate shuffle (same result: a key's
@@ -218,7 +218,7 @@ def clean_trips(df: DataFrame, cfg: CleanConfig = CleanConfig(),
     quality rule, which reads non-key columns, runs on the kept copy after it.
     """
     pre = df.where(key_rules(df, cfg))
-    d = remove_duplicates(pre, order_cols=order_cols)
+    d = remove_duplicates(pre, order_col=order_col)
     out = d.where(reject_reason(d, cfg, has_fare, has_passengers).isNull())
     if cfg.use_iqr_filter:
         out = remove_iqr_speed_outliers_by_zone(out, cfg.iqr_k, cfg.iqr_min_trips)
@@ -227,7 +227,7 @@ def clean_trips(df: DataFrame, cfg: CleanConfig = CleanConfig(),
 
 def clean_audit(df: DataFrame, cfg: CleanConfig = CleanConfig(),
                 has_fare: bool | None = None, has_passengers: bool | None = None,
-                order_cols: list[str] | None = None) -> DataFrame:
+                order_col: str = ROW_ORDER) -> DataFrame:
     """Rows removed per rule, plus input, duplicates and kept counts.
 
     One scan: the duplicate rule keeps a copy count per surviving row, the
@@ -236,7 +236,7 @@ def clean_audit(df: DataFrame, cfg: CleanConfig = CleanConfig(),
     Output (step_order, step, rows) in chain order.
     """
     spark = df.sparkSession
-    d = remove_duplicates(df, order_cols=order_cols, with_copies=True)
+    d = remove_duplicates(df, order_col=order_col, with_copies=True)
     by = d.select(reject_reason(d, cfg, has_fare, has_passengers).alias("step"), "_copies").groupBy("step").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("_copies").alias("copies"))
     tot = by.agg(F.sum("copies").alias("input"), (F.sum("copies") - F.sum("rows")).alias("duplicates"))

@@ -84,8 +84,9 @@ def severity_dim(mart: DataFrame) -> DataFrame:
                            F.count(F.lit(1)).over(Window.partitionBy()).alias("k"),
                            F.min("congestion_level").over(Window.partitionBy()).alias("_min"),
                            F.max("congestion_level").over(Window.partitionBy()).alias("_max"))
-    max_k = 64  # palette rule rows for k = 1..64 (k > 64 levels falls to grey)
-    rule = [(k, *r) for k in range(1, max_k + 1) for r in _palette_rows(k)]
+    # The rule depends on k alone; its rows are as many as the mart has levels.
+    k_levels = levels.count()
+    rule = [(k_levels, *r) for r in _palette_rows(k_levels)]
     pal = spark.createDataFrame(rule, "k int, pos int, label string, hex string, alpha int")
     j = ranked.join(F.broadcast(pal), ["k", "pos"], "left")
     canonical = (F.col("k") == 3) & (F.col("_min") == 0) & (F.col("_max") == 2)

@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonepace import config as C
 from zonepace.functions.frames import attach_row
+from zonepace.functions.ranking import row_numbers
 
 
 def _id(key: list[str], id_col: str | None = None):
@@ -40,23 +41,16 @@ def _with_key(out: DataFrame, df: DataFrame, key: list[str], id_col: str | None)
     return out.join(df.select(id_col, *key), id_col).drop(id_col)
 
 
-# Broadcast the point table into the ε-join only below this many points
-# (~100 bytes a point); larger tables use the shuffle join.
-BROADCAST_POINTS = 500_000
-
-
 def eps_pairs(df: DataFrame, key: list[str], features: list[str], eps: float = C.DBSCAN_EPS,
               id_col: str | None = None) -> DataFrame:
     """(i, j) point-id pairs with Euclidean distance ≤ eps, i = j included.
 
-    The point table is checkpointed once (it feeds both sides) and counted;
-    a proven-small table is broadcast so the 3^d-expanded probe side is
-    never shuffled.
+    The point table is checkpointed once (it feeds both sides); whether a side
+    is broadcast is left to the planner's size estimate.
     """
     pts = df.select(_id(key, id_col).alias("pid"), *[F.col(f).cast("double").alias(f) for f in features])
     pts = pts.withColumns({f"_b{i}": F.floor(F.col(f) / F.lit(eps)) for i, f in enumerate(features)})
     pts = pts.checkpoint(eager=True)
-    small = pts.count() <= BROADCAST_POINTS
     d = len(features)
     # Half of the 3^d neighbouring bucket offsets: zero, and those whose first
     # non-zero component is +1.  Each pair of distinct buckets is then probed
@@ -72,7 +66,7 @@ def eps_pairs(df: DataFrame, key: list[str], features: list[str], eps: float = C
         *[(F.col(f"_b{n}") + F.col(f"_off.o{n}")).alias(f"_b{n}") for n in range(d)])
     build = pts.select(F.col("pid").alias("j"), *[F.col(f).alias(f"j_{f}") for f in features],
                        *[F.col(f"_b{n}") for n in range(d)])
-    joined = probe.join(F.broadcast(build) if small else build, [f"_b{n}" for n in range(d)])
+    joined = probe.join(build, [f"_b{n}" for n in range(d)])
     diff = [F.col(f"i_{f}") - F.col(f"j_{f}") for f in features]
     dist2 = sum(x * x for x in diff)
     near = joined.where(F.sqrt(dist2) <= F.lit(eps))
@@ -92,8 +86,7 @@ def neighbour_counts(df: DataFrame, key: list[str], features: list[str], eps: fl
     return _with_key(out, df, key, id_col)
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200,
-                         symmetric: bool = False) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame, symmetric: bool = False) -> DataFrame:
     """(node, comp) with comp = smallest node id in the component.
 
     Contracting min-label propagation: each round every node takes the
@@ -109,9 +102,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 2
     if not symmetric:  # ε-pairs already hold both directions
         e = e.unionByName(e.select(F.col("j").alias("i"), F.col("i").alias("j"))).distinct()
     e = e.checkpoint(eager=True)
-    for _ in range(max_rounds):
-        if e.limit(1).count() == 0:
-            break
+    while not e.isEmpty():
         # m(c) = min over c and its neighbours in the contracted graph.
         m = e.groupBy("i").agg(F.min("j").alias("mn")).select(
             F.col("i").alias("c"), F.least(F.col("i"), F.col("mn")).alias("m"))
@@ -142,8 +133,7 @@ def dbscan(df: DataFrame, key: list[str], features: list[str], eps: float = C.DB
         .join(core.withColumnRenamed("node", "j"), "j", "left_semi")
     comps = connected_components(core_edges, core, symmetric=True)
     # Cluster numbers in order of each component's smallest member (the component id itself).
-    numbers = comps.select("comp").distinct().withColumn(
-        "cluster", (F.dense_rank().over(Window.orderBy("comp")) - 1).cast("int"))
+    numbers = row_numbers(comps.select("comp").distinct(), [], ["comp"], "cluster").withColumn("cluster", F.col("cluster") - 1)
     core_lab = comps.join(numbers, "comp").select(F.col("node").alias("j"), "cluster")
     border = pairs.join(core_lab, "j").groupBy("i").agg(F.min("cluster").alias("cluster"))
     pts = df.select(_id(key, id_col).alias("i"))

@@ -2,14 +2,17 @@
 
 Spark ML's ``KMeans`` (k-means‖ init, Lloyd iterations, distributed) does
 the fitting.  Its result depends on how rows are partitioned, so the input
-is put into a fixed order and partition count first; the reference's
-``n_init`` restarts become one fit per seed, keeping the lowest cost.
+is dealt by a hash of the key into a constant number of partitions and sorted
+in each: the same rows then always lie in the same place.  The
+``n_init`` restarts are one fit per seed, keeping the lowest cost; the fits of
+different seeds and k run side by side on the one input.
 Raw cluster ids are never compared across fits — only the speed-ranked
 levels (W8) or partition-invariant scores (ARI).
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,20 +35,17 @@ class KMeansFit:
     n_iter: int
 
 
-ROWS_PER_PARTITION = 200_000
+# Partitions of the fitting input: a constant, so that a fit never depends on size or cluster.
+# The cell table (at most 44,184 rows) needs no more; callers with a larger table pass their own number.
+PARTITIONS = 8
+# Fits that run side by side (each is a series of small Spark jobs).
+PARALLEL_FITS = 8
 
 
-def stable_input(df: DataFrame, key: list[str], features: list[str], partitions: int | None = None) -> DataFrame:
-    """Vector column + a fixed row order and a partition count that depends only on
-    the row count (T15), checkpointed so every fit and restart sees identical
-    partitions.  ~200k rows per partition: a 44k-cell table is one task per
-    Lloyd iteration, a billion-row feature table spreads over thousands."""
+def stable_input(df: DataFrame, key: list[str], features: list[str], partitions: int = PARTITIONS) -> DataFrame:
+    """Vector column; rows dealt by key hash into ``partitions`` and sorted by key (T15), checkpointed."""
     vec = prepare_features(df, features, with_vector=True)
-    if partitions is None:
-        n_rows = vec.count()
-        partitions = max(1, -(-n_rows // ROWS_PER_PARTITION))
-    return vec.repartitionByRange(partitions, *[F.col(k) for k in key]).sortWithinPartitions(*key) \
-        .checkpoint(eager=True)
+    return vec.repartition(partitions, *[F.col(k) for k in key]).sortWithinPartitions(*key).checkpoint(eager=True)
 
 
 def spark_tol(df: DataFrame, tol: float = 1e-4) -> float:
@@ -62,27 +62,39 @@ def spark_tol(df: DataFrame, tol: float = 1e-4) -> float:
     return float(np.sqrt(tol * mean_var)) if mean_var > 0 else tol
 
 
-def train_kmeans(df: DataFrame, k: int, seed: int = C.KMEANS_RANDOM_STATE, n_init: int = C.KMEANS_N_INIT,
-                 max_iter: int = C.KMEANS_MAX_ITER, tol: float = 1e-4) -> KMeansFit:
-    """Best of ``n_init`` fits (seeds seed, seed+1, …) by training cost (M5).
+def _fit(df: DataFrame, k: int, seed: int, max_iter: int, eps: float) -> KMeansFit:
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="features", predictionCol="raw_cluster",
+                   initMode="k-means||").fit(df)
+    return KMeansFit(model, k, seed, float(model.summary.trainingCost), int(model.summary.numIter))
+
+
+def fit_many(df: DataFrame, starts: dict, n_init: int, max_iter: int = C.KMEANS_MAX_ITER, tol: float = 1e-4) -> dict:
+    """Best of ``n_init`` fits for every entry name → (k, first seed), all restarts side by side.
 
-    ``df`` must carry a ``features`` vector (see :func:`stable_input`).
-    ``tol`` is relative to the data's mean feature variance, as in the
-    original; it is converted once to Spark's absolute threshold.
+    Ties of the cost go to the smaller seed.  ``df`` must carry a ``features``
+    vector (see :func:`stable_input`); ``tol`` is relative to its mean feature variance.
     """
-    best: KMeansFit | None = None
     eps = spark_tol(df, tol)
-    for i in range(max(1, n_init)):
-        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=eps, featuresCol="features",
-                    predictionCol="raw_cluster", initMode="k-means||")
-        model = km.fit(df)
-        s = model.summary
-        fit = KMeansFit(model, k, seed + i, float(s.trainingCost), int(s.numIter))
-        if best is None or fit.inertia < best.inertia:
-            best = fit
+    jobs = [(name, k, seed + i) for name, (k, seed) in starts.items() for i in range(max(1, n_init))]
+    df = df.persist()
+    try:
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+            fits = list(pool.map(lambda j: _fit(df, j[1], j[2], max_iter, eps), jobs))
+    finally:
+        df.unpersist()
+    best: dict = {}
+    for (name, _, _), fit in zip(jobs, fits):
+        if name not in best or fit.inertia < best[name].inertia:
+            best[name] = fit
     return best
 
 
+def train_kmeans(df: DataFrame, k: int, seed: int = C.KMEANS_RANDOM_STATE, n_init: int = C.KMEANS_N_INIT,
+                 max_iter: int = C.KMEANS_MAX_ITER, tol: float = 1e-4) -> KMeansFit:
+    """Best of ``n_init`` fits (seeds seed, seed+1, …) by training cost (M5)."""
+    return fit_many(df, {k: (k, seed)}, n_init, max_iter, tol)[k]
+
+
 def predict(fit: KMeansFit, df: DataFrame) -> DataFrame:
     return fit.model.transform(df)
 
@@ -155,21 +167,18 @@ def choose_k(df: DataFrame, key: list[str], features: list[str] | None = None,
     """Sweep k: inertia per k and one silhouette pass for all k at once (M6, M8).
 
     Returns (chosen k, sweep DataFrame (k, inertia, silhouette), info dict).
-    The silhouette of every k comes from a single blockwise pass over the
-    capped sample with the k labelings stacked.
+    The silhouette of every k comes from a single blockwise pass over all
+    rows with the labelings stacked.
     """
     feats = features or C.CLUSTER_FEATURES
     spark = df.sparkSession
-    data = stable_input(df, key, feats).persist()
+    data = stable_input(df, key, feats)
     ks = list(range(*k_range))
-    fits = {k: train_kmeans(data, k, seed, n_init) for k in ks}
-    sample = QU.silhouette_sample(data.drop("features"), key).checkpoint(eager=True)
-    labelled = sample
-    sample_vec = stable_input(sample, key, feats)
-    for k in ks:
-        lab = fits[k].model.transform(sample_vec).select(*key, F.col("raw_cluster").alias(f"k{k}"))
-        labelled = labelled.join(lab, key)
-    labelled = labelled.checkpoint(eager=True)
+    fits = fit_many(data, {k: (k, seed) for k in ks}, n_init)
+    labelled = data
+    for k in ks:  # one pass: each model adds its column
+        labelled = fits[k].model.transform(labelled).withColumnRenamed("raw_cluster", f"k{k}")
+    labelled = labelled.drop("features").checkpoint(eager=True)
     per_row = QU.silhouette_samples(labelled, feats, [f"k{k}" for k in ks], key)
     sil_row = per_row.agg(*[F.avg(f"sil_k{k}").alias(f"k{k}") for k in ks]).collect()[0]  # one row of k numbers
     sils = [float(sil_row[f"k{k}"]) if sil_row[f"k{k}"] is not None else float("nan") for k in ks]
@@ -183,7 +192,6 @@ def choose_k(df: DataFrame, key: list[str], features: list[str] | None = None,
         chosen = elbow_k
     sweep = spark.createDataFrame([(k, i, s) for k, i, s in zip(ks, inertias, sils)],
                                   "k int, inertia double, silhouette double")
-    data.unpersist()
     info = {"ks": ks, "inertias": inertias, "silhouettes": sils, "elbow_k": elbow_k,
             "elbow_source": source, "silhouette_argmax_k": sil_k, "chosen": chosen, "fits": fits}
     return chosen, sweep, info
@@ -196,14 +204,14 @@ def stability(df: DataFrame, key: list[str], k: int, features: list[str] | None
     Labels of all seeds sit as columns of one table keyed by the cell key.
     """
     feats = features or C.CLUSTER_FEATURES
-    data = stable_input(df, key, feats).persist()
-    table = data.select(*key)
+    data = stable_input(df, key, feats)
+    fits = fit_many(data, {s: (k, s * 1000) for s in range(n_seeds)}, n_init)
+    table = data
     for s in range(n_seeds):
-        fit = train_kmeans(data, k, seed=s * 1000, n_init=n_init)
-        table = table.join(fit.model.transform(data).select(*key, F.col("raw_cluster").alias(f"s{s}")), key)
+        table = fits[s].model.transform(table).withColumnRenamed("raw_cluster", f"s{s}")
+    table = table.select(*key, *[f"s{s}" for s in range(n_seeds)]).checkpoint(eager=True)
     # One job for all n(n−1)/2 pairs; the result has that many rows.
     aris = [float(r["ari"]) for r in QU.adjusted_rand_pairs(table, [f"s{s}" for s in range(n_seeds)]).collect()]
-    data.unpersist()
     if not aris:
         return {"ari_mean": float("nan"), "ari_min": float("nan"), "ari_pass": False, "aris": []}
     return {"ari_mean": float(np.mean(aris)), "ari_min": float(np.min(aris)),

@@ -2,34 +2,36 @@
 
 Centroid-based scores (DB, CH, CV) are grouped aggregates plus k×k
 tables.  The silhouette needs, for every row, the sum of Euclidean
-distances to every cluster; it runs on the capped sample (≤ 50,000 rows,
-the reference's own cap) which is broadcast as numpy arrays — its size
-is bounded by the cap, not by the data — while the rows themselves stay
-partitioned: each task walks its rows in blocks of 256 against the
-broadcast sample, so memory per task is 256 × cap doubles.
+distances to every cluster, over all rows: the points are dealt into blocks,
+each pair of blocks meets in one task, and a task returns one row of partial
+sums per point, which are added up.  Nothing is collected and no task holds
+more than two blocks; the work stays quadratic in the number of points, so a
+caller may pass a sample (``silhouette_sample`` with a cap).
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonepace import config as C
 from zonepace.functions.frames import attach_row
+from zonepace.functions.ranking import row_numbers
 
-SIL_BLOCK = 256
+SIL_BLOCK = 4096  # points per block
 
 
-def silhouette_sample(df: DataFrame, key: list[str], cap: int = C.SILHOUETTE_SAMPLE_SIZE,
+def silhouette_sample(df: DataFrame, key: list[str], cap: int | None = None,
                       seed: int = C.KMEANS_RANDOM_STATE) -> DataFrame:
-    """Deterministic sample of at most ``cap`` rows (Q1).
+    """All rows, or with ``cap`` a deterministic sample of at most that many (Q1).
 
-    Rows are ranked by a seeded hash of the key, so the same rows are
-    chosen however the table is partitioned.  The limit is the feature:
-    the silhouette is defined on this sample.
+    Sampled rows are ranked by a seeded hash of the key, so the same rows are
+    chosen however the table is partitioned.
     """
+    if cap is None:
+        return df
     h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
     return df.orderBy(h, *[F.col(k) for k in key]).limit(cap)
 
@@ -38,65 +40,56 @@ def silhouette_samples(df: DataFrame, features: list[str], label_cols: list[str]
                        key: list[str]) -> DataFrame:
     """Per-row silhouette for one or several labelings of the same rows (Q2, Q3).
 
-    ``label_cols`` lets one pass serve a whole k sweep: the distance block
-    is computed once and multiplied by each labeling's one-hot matrix.
+    ``label_cols`` lets one pass serve a whole k sweep: a block of distances
+    is computed once and multiplied by the stacked one-hot matrix of all labelings.
     Output: key + one ``sil_{label}`` column per labeling.  A singleton
     cluster gives 0; a labeling with one cluster gives null.
     """
-    spark = df.sparkSession
     cols = key + features + label_cols
-    local = df.select(*cols).toPandas()  # bounded by the sample cap
-    X = local[features].to_numpy(dtype=np.float64)
-    labs = {c: local[c].to_numpy() for c in label_cols}
-    bX = spark.sparkContext.broadcast(X)
-    bL = spark.sparkContext.broadcast(labs)
-
-    schema = ", ".join([f"`{k}` {t}" for k, t in df.select(*key).dtypes] + [f"sil_{c} double" for c in label_cols])
-
-    def run(batches):
-        Xa = bX.value
-        L = bL.value
-        onehots = {}
-        for c, lab in L.items():
-            uniq, inv = np.unique(lab, return_inverse=True)
-            oh = np.zeros((len(lab), len(uniq)))
-            oh[np.arange(len(lab)), inv] = 1.0
-            onehots[c] = (uniq, oh, oh.sum(axis=0))
-        sq = (Xa ** 2).sum(axis=1)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            out = {k: pdf[k].to_numpy() for k in key}
-            xs = pdf[features].to_numpy(dtype=np.float64)
-            res = {c: np.empty(len(pdf)) for c in label_cols}
-            for s in range(0, len(pdf), SIL_BLOCK):
-                xb = xs[s:s + SIL_BLOCK]
-                d2 = (xb ** 2).sum(axis=1)[:, None] + sq[None, :] - 2.0 * xb @ Xa.T
-                d = np.sqrt(np.maximum(d2, 0.0))
-                for c in label_cols:
-                    uniq, oh, sizes = onehots[c]
-                    own = pdf[c].to_numpy()[s:s + SIL_BLOCK]
-                    sums = d @ oh  # (block, k)
-                    if len(uniq) < 2:
-                        res[c][s:s + SIL_BLOCK] = np.nan
-                        continue
-                    idx = np.searchsorted(uniq, own)
-                    n_own = sizes[idx]
-                    a = np.where(n_own > 1, sums[np.arange(len(idx)), idx] / np.maximum(n_own - 1, 1), 0.0)
-                    mean_other = sums / sizes[None, :]
-                    mean_other[np.arange(len(idx)), idx] = np.inf
-                    b = mean_other.min(axis=1)
-                    sil = (b - a) / np.maximum(a, b)
-                    sil = np.where(n_own > 1, sil, 0.0)
-                    res[c][s:s + SIL_BLOCK] = np.nan_to_num(sil, nan=0.0)
-            for c in label_cols:
-                out[f"sil_{c}"] = res[c]
-            yield pd.DataFrame(out)
-
-    # The capped sample usually arrives as one partition (top-n); spread it
-    # so every core scores a share of the rows.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.select(*cols).repartition(parts).mapInPandas(run, schema)
+    n = df.count()
+    blocks = max(1, -(-n // SIL_BLOCK))
+    # The clusters of every labeling with their sizes: k rows a labeling.
+    sizes = {c: {r[0]: r[1] for r in df.groupBy(c).count().collect()} for c in label_cols}
+    slots = [(c, lv) for c in label_cols for lv in sorted(sizes[c])]
+    dealt = df.select(*cols).withColumn("_own", F.pmod(F.xxhash64(*key), F.lit(blocks)).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    rows = dealt.select(*cols, F.col("_own").alias("_a"), others.alias("_b"), F.lit(True).alias("_left")).unionByName(
+        dealt.select(*cols, others.alias("_a"), F.col("_own").alias("_b"), F.lit(False).alias("_left")))
+    schema = ", ".join([f"`{k}` {t}" for k, t in df.select(*key).dtypes] + [f"_s{i} double" for i in range(len(slots))])
+
+    def pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        side = pdf["_left"].to_numpy(bool)
+        left, right = pdf[side], pdf[~side]
+        x, y = left[features].to_numpy(np.float64), right[features].to_numpy(np.float64)
+        hot = np.column_stack([(right[c].to_numpy() == lv).astype(float) for c, lv in slots])
+        sums = np.empty((len(x), len(slots)))
+        for s in range(0, len(x), 512):
+            d2 = (x[s:s + 512] ** 2).sum(axis=1)[:, None] + (y ** 2).sum(axis=1)[None, :] - 2.0 * x[s:s + 512] @ y.T
+            sums[s:s + 512] = np.sqrt(np.maximum(d2, 0.0)) @ hot
+        out = left[key].copy()
+        for i in range(len(slots)):
+            out[f"_s{i}"] = sums[:, i]
+        return out
+
+    parts = rows.groupBy("_a", "_b").applyInPandas(pair, schema)
+    total = parts.groupBy(*key).agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(slots))])
+    scored = df.select(*key, *label_cols).join(total, key)
+    out = []
+    for c in label_cols:
+        mine = [(i, lv) for i, (cc, lv) in enumerate(slots) if cc == c]
+        if len(mine) < 2:
+            out.append(F.lit(None).cast("double").alias(f"sil_{c}"))
+            continue
+        own_n = F.lit(None).cast("long")
+        within = F.lit(None).cast("double")
+        for i, lv in mine:
+            own_n = F.when(F.col(c) == lv, F.lit(sizes[c][lv])).otherwise(own_n)
+            within = F.when(F.col(c) == lv, F.col(f"_s{i}")).otherwise(within)
+        a_mean = within / (own_n - 1)
+        b_mean = F.least(*[F.when(F.col(c) != lv, F.col(f"_s{i}") / F.lit(float(sizes[c][lv]))) for i, lv in mine], F.lit(float("inf")))
+        most = F.greatest(a_mean, b_mean)
+        out.append(F.when(own_n <= 1, 0.0).when(most == 0, 0.0).otherwise((b_mean - a_mean) / F.when(most != 0, most)).alias(f"sil_{c}"))
+    return scored.select(*key, *out)
 
 
 def silhouette_scores(samples: DataFrame, labelled: DataFrame, label_col: str, key: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -238,10 +231,10 @@ def cluster_quality(scaled: DataFrame, labelled: DataFrame, features: list[str],
     return out.unionByName(gate)
 
 
-def level_window_rank(df: DataFrame, label: str, value: str) -> DataFrame:
-    """Rank of each row's silhouette within its level (for the sorted silhouette bands, Q3)."""
-    w = Window.partitionBy(label).orderBy(F.col(value).desc())
-    return df.withColumn("band_rank", F.row_number().over(w))
+def level_window_rank(df: DataFrame, label: str, value: str, key: list[str]) -> DataFrame:
+    """Rank of each row's silhouette within its level, largest first (for the sorted silhouette bands, Q3)."""
+    ranked = row_numbers(df.withColumn("_down", -F.col(value)), [label], ["_down", *key], "band_rank")
+    return ranked.drop("_down")
 
 
 def scorecard(db: DataFrame, ch: DataFrame, ari_min: DataFrame, ari_mean: DataFrame,

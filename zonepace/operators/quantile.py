@@ -2,19 +2,16 @@
 
 Spark's ``percentile`` aggregate keeps every distinct value of a group in
 one buffer, so a zone holding a third of all trips would land in one task.
-This operator never gathers a group:
+This operator never gathers a group, and ties collapse before they move:
 
-1. project to (group, value), drop nulls; count rows per group (partial agg);
-2. range-partition on (group, value) and sort within partitions — the
-   range partitioner splits a hot group over many tasks;
-3. number rows inside each partition, checkpoint that narrow table
-   (reliable storage, so a lost executor cannot re-sample different
-   range bounds and shift the numbering);
-4. per (partition, group) block counts → running offsets with a window over
-   that small table (one row per block, at most #partitions per group);
-5. global rank = offset + position in block; keep only the ≤ 2 rows per
-   (group, probability) that the interpolation needs (equi-join on
-   (group, rank)) and interpolate.
+1. project to (group, value), drop nulls, and count each (group, value) with a
+   map-side partial aggregate, so a value that a third of the rows share is
+   one row per task;
+2. range-partition the distinct values and add up the counts before each
+   (``functions/ranking.py``): a value covers the ranks [before, before + count);
+3. every probability asks for at most two ranks per group; these few
+   targets are first placed in their (partition, group) block, then joined to
+   the values of that block, and interpolated.
 
 For inputs bounded by construction (the zone-hour cell table) callers use
 ``F.percentile`` directly; ``approx=True`` switches to ``percentile_approx``.
@@ -22,9 +19,11 @@ For inputs bounded by construction (the zone-hour cell table) callers use
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
 from zonepace.functions.frames import attach_row
+from zonepace.functions.ranking import running_counts
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
@@ -48,47 +47,34 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
         cols = [F.col("_qs")[i].alias(n) for i, n in enumerate(names)]
         return out.select(*g, *cols, *(["n"] if with_count else []))
 
-    spark = df.sparkSession
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (
-        v.repartitionByRange(nparts, *[F.col(c) for c in g], F.col("_v"))
-        .sortWithinPartitions(*g, "_v")
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id() - (F.col("_pid").cast("long") * F.lit(1 << 33)))
-        .checkpoint(eager=True)
-    )
-    blocks = ranked.groupBy("_pid", *g).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first")
-    )
-    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    totals = blocks.groupBy(*g).agg(F.sum("_cnt").alias("n"))
+    counted = v.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
+    values = running_counts(counted, g, ["_v"], "_cnt")
+    blocks = values.groupBy("_pid", *g).agg(F.min("_before").alias("_lo"), F.max(F.col("_before") + F.col("_cnt")).alias("_hi"))
+    totals = blocks.groupBy(*g).agg(F.max("_hi").alias("n"))
 
     # Interpolation: q = v[lo] + (v[hi] − v[lo]) · frac, ranks 0-based.
-    targets = []
+    wanted = []
     for i, p in enumerate(probs):
         h = (F.col("n") - 1) * F.lit(float(p))
         lo = F.floor(h).cast("long")
-        frac = (h - F.floor(h)).alias("_frac")
-        targets.append(totals.select(*g, F.lit(i).alias("_pi"), F.lit(0).alias("_role"), lo.alias("_rank"), frac))
-        targets.append(totals.select(*g, F.lit(i).alias("_pi"), F.lit(1).alias("_role"),
-                                     F.least(lo + 1, F.col("n") - 1).alias("_rank"), frac))
-    tgt = targets[0]
-    for t in targets[1:]:
-        tgt = tgt.unionByName(t)
-
-    rows = (
-        ranked.join(blocks.select("_pid", *g, "_first", "_off"), on=["_pid", *g])
-        .select(*g, "_v", (F.col("_off") + F.col("_pos") - F.col("_first")).alias("_rank"))
-    )
-    picked = rows.join(tgt, on=[*g, "_rank"]).groupBy(*g, "_pi").agg(
-        F.max(F.when(F.col("_role") == 0, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_role") == 1, F.col("_v"))).alias("_hi"),
-        F.max("_frac").alias("_frac"),
-    ).select(*g, "_pi", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("_q"))
+        for role, rank in ((0, lo), (1, F.least(lo + 1, F.col("n") - 1))):
+            wanted.append(F.struct(F.lit(i).alias("_pi"), F.lit(role).alias("_role"), rank.alias("_rank"), (h - F.floor(h)).alias("_frac")))
+    targets = totals.select(*g, F.inline(F.array(*wanted)))
+    at = (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi"))
+    placed = (blocks.join(targets, g) if g else attach_all(blocks, targets)).where(at).drop("_lo", "_hi")
+    picked = (values.join(placed, ["_pid", *g])
+              .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_cnt")))
+              .groupBy(*g, "_pi").agg(F.max(F.when(F.col("_role") == 0, F.col("_v"))).alias("_lo"),
+                                      F.max(F.when(F.col("_role") == 1, F.col("_v"))).alias("_hi"), F.max("_frac").alias("_frac"))
+              .select(*g, "_pi", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("_q")))
     wide = picked.groupBy(*g).agg(
         *[F.max(F.when(F.col("_pi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
     )
     if with_count:
         wide = wide.join(totals, on=g) if g else attach_row(wide, totals)
     return wide
+
+
+def attach_all(blocks: DataFrame, targets: DataFrame) -> DataFrame:
+    """Ungrouped case: one block per partition against two targets per probability, both tiny."""
+    return blocks.crossJoin(F.broadcast(targets))

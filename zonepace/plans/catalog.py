@@ -41,9 +41,11 @@ def round6(x):
 
 
 def norm(df: DataFrame) -> DataFrame:
-    """Round doubles to 6 places, widen integers, timestamps as text."""
+    """Round doubles to 6 places, widen integers, timestamps as text; leave out ``_`` columns (file, row order)."""
     out = []
     for f in df.schema.fields:
+        if f.name.startswith("_"):
+            continue
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             out.append(round6(c.cast("double")).alias(f.name))
@@ -602,7 +604,7 @@ def q_ari_identical(spark, sf_dir):
 def _silhouette(spark, sf_dir):
     sc = scaled_table(spark, sf_dir)
     key = C.CELL_KEY[:3]
-    # The capped sample feeds the broadcast, the scoring pass and the join: cut it once.
+    # The rows feed the scoring pass and the join: cut them once.
     sample = QU.silhouette_sample(sc, key).checkpoint(eager=True)
     per_row = QU.silhouette_samples(sample, FEATS, ["congestion_level"], key)
     return sc, sample, per_row
@@ -626,7 +628,7 @@ def q_silhouette_per_cluster(spark, sf_dir):
 def q_silhouette_samples(spark, sf_dir):
     sc, sample, per_row = _silhouette(spark, sf_dir)
     j = per_row.join(sample.select(*C.CELL_KEY[:3], "congestion_level"), C.CELL_KEY[:3])
-    return norm(QU.level_window_rank(j, "congestion_level", "sil_congestion_level"))
+    return norm(QU.level_window_rank(j, "congestion_level", "sil_congestion_level", C.CELL_KEY[:3]))
 
 
 @register("cluster_quality")
@@ -644,9 +646,6 @@ from zonepace.operators import kmeans as KM  # noqa: E402
 from zonepace.operators import pca as PC  # noqa: E402
 
 KEY3 = C.CELL_KEY[:3]
-# Restarts per fit for the registered keys (the library default is 10).
-QUERY_N_INIT = 2
-
 
 def cell_scaled(spark, sf_dir) -> DataFrame:
     """Real cells (not the fixed labels), scaled with the standard scaler, plus
@@ -661,14 +660,14 @@ def cell_scaled(spark, sf_dir) -> DataFrame:
 def q_kmeans_labels(spark, sf_dir):
     """K-Means at the default k, levels ranked by speed (M5 + W8); invariants in tests."""
     data = KM.stable_input(cell_scaled(spark, sf_dir), KEY3, FEATS)
-    fit = KM.train_kmeans(data, C.DEFAULT_K, n_init=QUERY_N_INIT)
+    fit = KM.train_kmeans(data, C.DEFAULT_K)
     return norm(MA.assign_semantic_labels(KM.predict(fit, data)).select(*KEY3, "avg_speed_mph", "congestion_level"))
 
 
 @register("k_sweep")
 def q_k_sweep(spark, sf_dir):
     """Inertia and silhouette for k = 2..10, elbow and chosen k flagged."""
-    chosen, sweep, info = KM.choose_k(cell_scaled(spark, sf_dir), KEY3, FEATS, n_init=1)
+    chosen, sweep, info = KM.choose_k(cell_scaled(spark, sf_dir), KEY3, FEATS)
     return norm(sweep.withColumns({
         "is_elbow": F.col("k") == info["elbow_k"], "is_silhouette_argmax": F.col("k") == info["silhouette_argmax_k"],
         "chosen": F.col("k") == chosen, "elbow_source": F.lit(info["elbow_source"])}))
@@ -677,7 +676,7 @@ def q_k_sweep(spark, sf_dir):
 @register("stability")
 def q_stability(spark, sf_dir):
     """Pairwise ARI over 5 seeds at the default k (Q8)."""
-    st = KM.stability(cell_scaled(spark, sf_dir), KEY3, C.DEFAULT_K, n_init=1)
+    st = KM.stability(cell_scaled(spark, sf_dir), KEY3, C.DEFAULT_K)
     return spark.createDataFrame([(st["ari_mean"], st["ari_min"], st["ari_pass"])],
                                  "ari_mean double, ari_min double, ari_pass boolean")
 
@@ -734,22 +733,19 @@ def q_pca_covariance(spark, sf_dir):
 
 @register("pca_projection")
 def q_pca_projection(spark, sf_dir):
-    """2-D projection of at most 15,000 scaled cells (hash-ordered sample), with levels."""
-    sample = QU.silhouette_sample(scaled_table(spark, sf_dir), KEY3, cap=15_000, seed=0)
-    proj, ratio, _ = PC.pca_projection(sample, FEATS, keep=[*KEY3, "congestion_level"])
+    """2-D projection of all scaled cells, with levels."""
+    proj, ratio, _ = PC.pca_projection(scaled_table(spark, sf_dir), FEATS, keep=[*KEY3, "congestion_level"])
     return norm(proj.withColumns({"explained_pc1": F.lit(ratio[0]), "explained_pc2": F.lit(ratio[1])}))
 
 
 @register("eda_quick_clusters")
 def q_eda_quick_clusters(spark, sf_dir):
-    """Quick look: ≤ 20k cells, 3 raw features standardised, k = 3, levels by speed (M9)."""
+    """Quick look over all cells: 3 raw features standardised, k = 3, levels by speed (M9)."""
     feats3 = ["avg_speed_mph", "trip_density", "speed_deviation"]
-    c = cells(spark, sf_dir).select(*KEY3, *feats3)
-    sample = QU.silhouette_sample(c, KEY3, cap=20_000)
-    scaled, _ = SC.scale_features(SC.prepare_features(sample, feats3), feats3, "standard")
-    scaled = scaled.join(sample.select(*KEY3, F.col("avg_speed_mph").alias("speed_raw")), KEY3)
+    c = SC.prepare_features(cells(spark, sf_dir).select(*KEY3, *feats3), feats3).withColumn("speed_raw", F.col("avg_speed_mph"))
+    scaled, _ = SC.scale_features(c, feats3, "standard")
     data = KM.stable_input(scaled, KEY3, feats3)
-    fit = KM.train_kmeans(data, 3, n_init=QUERY_N_INIT)
+    fit = KM.train_kmeans(data, 3)
     lab = MA.assign_semantic_labels(KM.predict(fit, data), speed_col="speed_raw")
     return norm(lab.select(*KEY3, F.col("speed_raw").alias("avg_speed_mph"), "congestion_level"))
 
@@ -794,7 +790,7 @@ def q_data_freshness(spark, sf_dir):
 
 @register("silhouette_sample")
 def q_silhouette_sample(spark, sf_dir):
-    """The capped, hash-ordered sample the silhouette is defined on (Q1)."""
+    """The rows the silhouette is defined on: all of them, unless a caller passes a cap (Q1)."""
     return norm(QU.silhouette_sample(scaled_table(spark, sf_dir), KEY3).select(*KEY3, "congestion_level"))
 
 
@@ -814,8 +810,9 @@ def centroid_csv(spark, sf_dir) -> str:
     """The centroid dimension written as CSV with the alternate headers (LocationID, lat, lon)."""
     from zonepace.session import scratch_path
     import hashlib
-    path = scratch_path(spark, f"stages/{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}/centroids_csv")
-    key = (spark.sparkContext.applicationId, "centroids_csv", sf_dir)
+    state = sf_dir + ST.source_state(spark, sf_dir)
+    path = scratch_path(spark, f"stages/{hashlib.sha1(state.encode()).hexdigest()[:12]}/centroids_csv")
+    key = (spark.sparkContext.applicationId, "centroids_csv", state)
     if key not in ST._BUILT:
         z = zone_centroids(spark, sf_dir).select(F.col("zone_id").alias("LocationID"),
                                                  F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))

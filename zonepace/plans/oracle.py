@@ -28,16 +28,18 @@ trips_raw as (
               else l_extendedprice / cast(5000 as double) - cast(0.18 as double) end as trip_distance,
          cast(l_partkey % 266 as int) as PULocationID,
          cast((l_partkey + (l_linenumber - 1) * 37) % 266 as int) as DOLocationID,
-         l_extendedprice * (l_discount - cast(0.01 as double)) as fare_amount,
-         case when l_tax = 0.05 then null else l_linenumber - 1 end as passenger_count,
+         l_extendedprice * (l_discount - cast(0.01 as double)) - copy * cast(3 as double) as fare_amount,
+         case when l_tax = 0.05 then null else l_linenumber - 1 + copy end as passenger_count,
+         l_orderkey * 100 + l_linenumber * 10
+           + case when copy = 0 then 5 when l_orderkey % 2 = 0 then 1 else 9 end as row_index,
          strftime(l_shipdate, '%Y-%m') as file_ym
-  from (select * from lineitem union all select * from lineitem where l_orderkey % 97 = 0) t
+  from (select *, 0 as copy from lineitem union all select *, 1 as copy from lineitem where l_orderkey % 97 = 0) t
 )"""
 
 TRIPS_STD = """
 trips as (
   select pickup_datetime, dropoff_datetime, trip_distance, PULocationID, DOLocationID,
-         fare_amount, cast(passenger_count as smallint) as passenger_count, file_ym,
+         fare_amount, cast(passenger_count as smallint) as passenger_count, file_ym, row_index,
          date_diff('microsecond', pickup_datetime, dropoff_datetime) / cast(1000000 as double) as trip_duration
   from trips_raw
 )"""
@@ -46,8 +48,9 @@ SPEED = "(trip_distance / nullif(trip_duration / cast(3600 as double), 0))"
 
 DEDUP = """
 dedup as (
-  select distinct on (file_ym, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_distance) *
-  from trips
+  select * from trips
+  qualify row_number() over (partition by file_ym, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_distance
+                             order by row_index) = 1
 )"""
 
 
@@ -797,6 +800,52 @@ select cast(case when (select count(*) from sweep) >= 3 then (select k from d2 w
 ORACLE["pca_covariance"] = FEATM + SCALED + "\n" + "\nunion all\n".join(
     f"select '{a}' as feature_a, '{b}' as feature_b, {r6(f'covar_samp({a}, {b})')} as cov from sc" for a in _F for b in _F)
 
+
+
+def _pca_sql(squarings: int = 45) -> str:
+    """Two components by repeated squaring of the covariance matrix (power 2^45), the second after deflation;
+    sign by the largest loading."""
+    n = range(len(_F))
+    cov = ", ".join(f"covar_samp({_F[i]}, {_F[j]}) as c{i}{j}" for i in n for j in n)
+    times = lambda m, v: [" + ".join(f"{m}.c{i}{j} * {v}.v{j}" for j in n) for i in n]
+
+    def iterate(name: str, matrix: str) -> str:
+        square = ", ".join(" + ".join(f"c{i}{h} * c{h}{j}" for h in n) + f" as q{i}{j}" for i in n for j in n)
+        most = f"greatest({', '.join(f'abs(q{i}{j})' for i in n for j in n)})"
+        start = [" + ".join(f"c{i}{j} * {1.0 + 0.1 * j}" for j in n) for i in n]
+        length = f"sqrt({' + '.join(f'w{i} * w{i}' for i in n)})"
+        return f"""
+{name}_it as (
+  select 0 as step, {', '.join(f'c{i}{j}' for i in n for j in n)} from {matrix}
+  union all
+  select step + 1, {', '.join(f'q{i}{j} / {most}' for i in n for j in n)}
+  from (select step, {square} from {name}_it where step < {squarings}) q),
+{name}_v as (
+  select {', '.join(f'w{i} / {length} as v{i}' for i in n)}
+  from (select {', '.join(f'{e} as w{i}' for i, e in enumerate(start))} from {name}_it where step = {squarings}) w),
+{name} as (
+  select p.*, {' + '.join(f'p.v{i} * ({e})' for i, e in enumerate(times('m', 'p')))} as lambda,
+         list_transform([{', '.join(f'p.v{i}' for i in n)}], lambda x: abs(x)) as sizes
+  from {name}_v p, {matrix} m),
+{name}_s as (
+  select *, sign([{', '.join(f'v{i}' for i in n)}][list_position(sizes, list_max(sizes))]) as sg from {name})"""
+
+    deflated = ", ".join(f"c.c{i}{j} - a.lambda * a.v{i} * a.v{j} as c{i}{j}" for i in n for j in n)
+    score = lambda a: f"{a}.sg * (" + " + ".join(f"(sc.{f} - mu.m{i}) * {a}.v{i}" for i, f in enumerate(_F)) + ")"
+    trace = " + ".join(f"cov.c{i}{i}" for i in n)
+    return (FEATM + SCALED).replace("with ", "with recursive ", 1) + f""",
+cov as (select {cov} from sc),
+mu as (select {', '.join(f'avg({f}) as m{i}' for i, f in enumerate(_F))} from sc),{iterate('pa', 'cov')},
+cov2 as (select {deflated} from cov c, pa a),{iterate('pb', 'cov2')}
+select {_K3}, cast(congestion_level as bigint) as congestion_level, {r6(score('pa_s'))} as pc1, {r6(score('pb_s'))} as pc2,
+       {r6(f'pa_s.lambda / ({trace})')} as explained_pc1, {r6(f'pb_s.lambda / ({trace})')} as explained_pc2
+from sc, mu, cov, pa_s, pb_s"""
+
+
+ORACLE["pca_projection"] = _pca_sql()
+
+ORACLE["silhouette_sample"] = FEATM + SCALED + f"\nselect {_K3}, cast(congestion_level as bigint) as congestion_level from sc"
+
 ORACLE["zone_centroids"] = chain_upto("cells") + """,
 z as (select distinct zone_id from cells),
 shape as (

@@ -37,6 +37,7 @@ class StageFlags:
     skip_features: bool = False
     skip_cluster: bool = False
     only_viz: bool = False
+    skip_viz: bool = False
 
 
 @dataclass
@@ -70,8 +71,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str, flags: StageF
         _timed_write(rep, "load", raw, p["raw_trips"], ["file_ym"])
     if not flags.skip_clean:
         raw = IO.read_parquet_safe(spark, p["raw_trips"], "load")
-        order = ["_src_file", "_row_index"] if "_row_index" in raw.columns else None
-        cleaned = CL.clean_trips(raw, clean_cfg, order_cols=order).drop(
+        cleaned = CL.clean_trips(raw, clean_cfg).drop(
             "_src_file", "_src_path", "_row_index", "_has_fare", "_has_passengers")
         _timed_write(rep, "clean", cleaned, p["clean_trips"], ["file_ym"])
     if not flags.skip_features:
@@ -80,8 +80,9 @@ def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str, flags: StageF
     if not flags.skip_cluster:
         cells = IO.read_parquet_safe(spark, p["cells"], "features")
         rep.metrics = run_clustering(spark, cells, p["model"], cluster_cfg, rep)
-    labels = IO.read_parquet_safe(spark, f"{p['model']}/cluster_labels", "clustering")
-    _timed_write(rep, "viz", MA.build_viz_data(labels), p["viz"])
+    if not flags.skip_viz:
+        labels = IO.read_parquet_safe(spark, f"{p['model']}/cluster_labels", "clustering")
+        _timed_write(rep, "viz", MA.build_viz_data(labels), p["viz"])
     return rep
 
 
@@ -100,7 +101,8 @@ def run_clustering(spark: SparkSession, cells: DataFrame, out_dir: str, cfg: Clu
     if k is None:
         k, _sweep, info = KM.choose_k(scaled, key, feats, cfg.k_range, cfg.n_init, cfg.seed, cfg.k_rule)
     data = KM.stable_input(scaled, key, feats)
-    fit = KM.train_kmeans(data, k, cfg.seed, cfg.n_init, cfg.max_iter)
+    # The sweep has fitted the chosen k with the same seeds already.
+    fit = info["fits"][k] if info and k in info["fits"] else KM.train_kmeans(data, k, cfg.seed, cfg.n_init, cfg.max_iter)
     labelled = MA.assign_semantic_labels(KM.predict(fit, data)).drop("features").checkpoint(eager=True)
     sample = QU.silhouette_sample(labelled, key).checkpoint(eager=True)
     per_row = QU.silhouette_samples(sample, feats, ["congestion_level"], key)
@@ -111,6 +113,7 @@ def run_clustering(spark: SparkSession, cells: DataFrame, out_dir: str, cfg: Clu
     metrics = {"k": int(k), "features": list(feats), "inertia": fit.inertia, "n_iter": fit.n_iter,
                "quality": [r.asDict() for r in quality.collect()],  # ≤ 4k + 6 rows
                "centroid_means": [r.asDict() for r in MA.centroid_means(orig, feats).collect()]}
+    metrics["stability"] = KM.stability(scaled, key, k, feats, n_init=cfg.n_init)
     if info:
         metrics["k_selection"] = {x: info[x] for x in ("ks", "inertias", "silhouettes", "elbow_k",
                                                        "elbow_source", "silhouette_argmax_k", "chosen")}

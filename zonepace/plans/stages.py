@@ -6,7 +6,9 @@ cell table are built once per session and input directory, written under
 the shared checkpoint folder (``spark.checkpoint.dir``), and read back.
 Downstream queries then start from the table instead of re-running the
 cleaning chain, and a lost executor re-reads files instead of recomputing
-lineage.
+lineage.  A stage belongs to the state of its source: the list of its files with
+sizes and modification times is part of the key, so rewritten input is
+read anew.
 """
 
 from __future__ import annotations
@@ -21,13 +23,26 @@ from zonepace.session import scratch_path
 _BUILT: dict[tuple[str, str, str], str] = {}
 
 
+def source_state(spark: SparkSession, source: str) -> str:
+    """The files under ``source`` (two levels, as tables are laid out) with size and modification time, as one digest."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(source)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    seen = []
+    for entry in fs.listStatus(path):
+        inner = fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+        seen += [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in inner]
+    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def stage(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Return stage ``name`` for ``source``; build and write it on first use in this session."""
     app = spark.sparkContext.applicationId
-    key = (app, name, source)
+    state = source_state(spark, source)
+    key = (app, name, source + state)
     path = _BUILT.get(key)
     if path is None:
-        tag = hashlib.sha1(source.encode()).hexdigest()[:12]
+        tag = hashlib.sha1((source + state).encode()).hexdigest()[:12]
         path = scratch_path(spark, f"stages/{tag}/{name}")
         build().write.mode("overwrite").parquet(path)
         _BUILT[key] = path

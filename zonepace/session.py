@@ -31,6 +31,7 @@ def get_session(master: str | None = None, app_name: str = "zonepace",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if master and master.startswith("local"):  # a cluster keeps its own addresses and names its shared folder
         builder = builder.config("spark.driver.host", "127.0.0.1")
         builder = builder.config("spark.driver.bindAddress", "127.0.0.1")
         builder = builder.config("spark.driver.memory", os.environ.get("ZONEPACE_DRIVER_MEMORY", "16g"))

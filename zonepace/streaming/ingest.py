@@ -31,14 +31,17 @@ def ingest_new_files(spark: SparkSession, raw_dir: str, raw_schema: StructType,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(raw_dir).select("*", F.col("_metadata.file_name").alias("_src_file"),
-                                      F.col("_metadata.file_path").alias("_src_path"))
+                                      F.col("_metadata.file_path").alias("_src_path"),
+                                      F.col("_metadata.row_index").alias("_row_index"))
     present = TR.source_has_quality_columns(raw)
 
     def clean_batch(batch: DataFrame, epoch_id: int) -> None:
         std = TR.add_trip_duration(TR.cast_dtypes(TR.standardize_columns(batch)))
         std = TR.with_file_month(std, need_modal=True)
         out = CL.clean_trips(std, cfg, has_fare=present["fare_amount"], has_passengers=present["passenger_count"])
-        out.drop("_src_file", "_src_path").write.mode("append").partitionBy("file_ym").parquet(out_path)
+        # A batch owns its folder: a retried batch overwrites what its first try wrote.
+        (out.drop("_src_file", "_src_path", "_row_index").write.mode("overwrite").partitionBy("file_ym")
+         .parquet(f"{out_path}/batch={epoch_id}"))
 
     ck = checkpoint or scratch_path(spark, "streams/ingest")
     return (raw.writeStream.foreachBatch(clean_batch).option("checkpointLocation", ck)
