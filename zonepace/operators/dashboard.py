@@ -106,18 +106,23 @@ def severity_dim(mart: DataFrame) -> DataFrame:
     )
 
 
-def apply_filters(mart: DataFrame, p: ViewParams) -> DataFrame:
-    """Hour, weekday/weekend type, weekday list, cluster focus."""
-    f = mart.where(F.col("hour_of_day") == p.hour)
+def view_predicate(p: ViewParams):
+    """Hour, weekday/weekend type, weekday list, cluster focus as one condition."""
+    keep = F.col("hour_of_day") == p.hour
     if p.day_filter == "Weekdays Only":
-        f = f.where(~F.col("is_weekend"))
+        keep = keep & ~F.col("is_weekend")
     elif p.day_filter == "Weekends Only":
-        f = f.where(F.col("is_weekend"))
+        keep = keep & F.col("is_weekend")
     if p.days:
-        f = f.where(F.col("day_of_week").isin(list(p.days)))
+        keep = keep & F.col("day_of_week").isin(list(p.days))
     if p.focus_level >= 0:
-        f = f.where(F.col("congestion_level") == p.focus_level)
-    return f
+        keep = keep & (F.col("congestion_level") == p.focus_level)
+    return keep
+
+
+def apply_filters(mart: DataFrame, p: ViewParams) -> DataFrame:
+    """The rows of a view."""
+    return mart.where(view_predicate(p))
 
 
 def insights(mart: DataFrame) -> DataFrame:
@@ -140,29 +145,24 @@ def insights(mart: DataFrame) -> DataFrame:
         .unionByName(shares).unionByName(tail)
 
 
-def _levels_info(mart: DataFrame) -> DataFrame:
-    """One row: the sorted distinct level list of the whole mart (k values)."""
-    return mart.agg(F.array_sort(F.collect_set("congestion_level")).alias("_levels"))
-
-
 def kpi_row(mart: DataFrame, p: ViewParams) -> DataFrame:
     """Filter mean speed, delta to all, zones, high-level share, total trips.
 
     High threshold = the level at position int(0.66·#levels) of the
     sorted level list; an empty filter gives 0.0 speed and 0 %.
     """
-    f = apply_filters(mart, p)
-    info = attach_row(_levels_info(mart), mart.agg(F.avg("avg_speed_mph").alias("avg_speed_overall")))
+    info = mart.agg(F.array_sort(F.collect_set("congestion_level")).alias("_levels"), F.avg("avg_speed_mph").alias("_all"))
     thr = F.element_at(F.col("_levels"), (F.floor(F.size("_levels") * F.lit(0.66)) + 1).cast("int"))
-    fj = attach_row(f, info.select("avg_speed_overall", thr.alias("_thr")))
-    agg = fj.agg(
-        F.count(F.lit(1)).alias("n_obs"),
-        F.count_distinct("zone_id").alias("n_zones"),
-        F.avg("avg_speed_mph").alias("_avg"),
-        F.count_if(F.col("congestion_level") >= F.col("_thr")).alias("_n_high"),
-        F.sum("trip_density").alias("_trips"),
-    )
-    return attach_row(agg, info.select("avg_speed_overall", thr.alias("high_threshold"))).select(
+    # One pass over the facts' row and one over the mart: the view is a condition inside the aggregate.
+    keep = view_predicate(p)
+    return attach_row(mart, info.select("_all", thr.alias("_thr"))).agg(
+        F.count_if(keep).alias("n_obs"),
+        F.count_distinct(F.when(keep, F.col("zone_id"))).alias("n_zones"),
+        F.avg(F.when(keep, F.col("avg_speed_mph"))).alias("_avg"),
+        F.count_if(keep & (F.col("congestion_level") >= F.col("_thr"))).alias("_n_high"),
+        F.sum(F.when(keep, F.col("trip_density"))).alias("_trips"),
+        F.max("_all").alias("avg_speed_overall"), F.max("_thr").alias("high_threshold"),
+    ).select(
         "n_obs", "n_zones",
         F.coalesce(F.col("_avg"), F.lit(0.0)).alias("avg_speed_filtered"),
         "avg_speed_overall",

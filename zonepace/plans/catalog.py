@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -291,12 +291,15 @@ def labelled_cells(spark, sf_dir) -> DataFrame:
     Lets every downstream table be checked by SQL independently of a
     random K-Means start.
     """
-    c = cells(spark, sf_dir).withColumn("raw_cluster", F.floor(F.col("hour_of_day") / 6).cast("int"))
-    return MA.assign_semantic_labels(c)
+    def build():
+        c = cells(spark, sf_dir).withColumn("raw_cluster", F.floor(F.col("hour_of_day") / 6).cast("int"))
+        return MA.assign_semantic_labels(c)
+    return ST.stage(spark, "labelled_cells", sf_dir, build)
 
 
 def mart(spark, sf_dir) -> DataFrame:
-    return MA.build_viz_data(labelled_cells(spark, sf_dir))
+    """The viz mart as a stage table: every panel reads it instead of building it."""
+    return ST.stage(spark, "mart", sf_dir, lambda: MA.build_viz_data(labelled_cells(spark, sf_dir)))
 
 
 def zone_centroids(spark, sf_dir) -> DataFrame:
@@ -553,8 +556,8 @@ def feature_table(spark, sf_dir) -> DataFrame:
 
 
 def scaled_table(spark, sf_dir, kind: str = "standard") -> DataFrame:
-    scaled, _ = SC.scale_features(feature_table(spark, sf_dir), FEATS, kind)
-    return scaled
+    """Labelled cells with scaled features, as a stage table (the quality scores read it several times)."""
+    return ST.stage(spark, f"scaled_{kind}", sf_dir, lambda: SC.scale_features(feature_table(spark, sf_dir), FEATS, kind)[0])
 
 
 @register("feature_matrix")
@@ -650,10 +653,10 @@ KEY3 = C.CELL_KEY[:3]
 def cell_scaled(spark, sf_dir) -> DataFrame:
     """Real cells (not the fixed labels), scaled with the standard scaler, plus
     ``cell_id`` = zone·1000 + hour·10 + weekday (unique, ordered like the key)."""
-    feats = SC.prepare_features(cells(spark, sf_dir))
-    scaled, _ = SC.scale_features(feats, FEATS, "standard")
-    return scaled.withColumn("cell_id", F.col("zone_id").cast("long") * 1000 + F.col("hour_of_day") * 10
-                             + F.col("day_of_week"))
+    def build():
+        scaled, _ = SC.scale_features(SC.prepare_features(cells(spark, sf_dir)), FEATS, "standard")
+        return scaled.withColumn("cell_id", F.col("zone_id").cast("long") * 1000 + F.col("hour_of_day") * 10 + F.col("day_of_week"))
+    return ST.stage(spark, "cell_scaled", sf_dir, build)
 
 
 @register("kmeans_labels")
@@ -664,6 +667,25 @@ def q_kmeans_labels(spark, sf_dir):
     return norm(MA.assign_semantic_labels(KM.predict(fit, data)).select(*KEY3, "avg_speed_mph", "congestion_level"))
 
 
+@register("kmeans_facts")
+def q_kmeans_facts(spark, sf_dir):
+    """What any right fit must satisfy: all rows labelled, levels 0..k-1 without gaps, level speeds falling, every row
+    with its nearest centre, and the reported cost equal to the one recomputed from the labels (M5, W8)."""
+    data = KM.stable_input(cell_scaled(spark, sf_dir), KEY3, FEATS)
+    fit = KM.train_kmeans(data, C.DEFAULT_K)
+    dist = [sum((F.col(f) - F.lit(float(x))) ** 2 for f, x in zip(FEATS, c)) for c in fit.model.clusterCenters()]
+    own = F.element_at(F.array(*dist), F.col("raw_cluster") + 1)
+    lab = MA.assign_semantic_labels(KM.predict(fit, data).withColumns({"d_own": own, "d_min": F.least(*dist)}))
+    levels = lab.groupBy("congestion_level").agg(F.avg("avg_speed_mph").alias("speed"), F.count(F.lit(1)).alias("n"),
+                                                 F.count_if(F.col("d_own") <= F.col("d_min") + 1e-9).alias("near"), F.sum("d_own").alias("cost"))
+    ahead = F.lag("speed").over(Window.orderBy("congestion_level"))  # k rows
+    table = levels.withColumn("falls", F.coalesce(F.col("speed") < ahead, F.lit(True)))
+    return norm(table.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_levels"),
+                          (F.max("congestion_level") - F.min("congestion_level") + 1).alias("level_span"),
+                          F.min("falls").alias("speeds_fall"), (F.sum("near") == F.sum("n")).alias("all_nearest"),
+                          (F.abs(F.sum("cost") / F.lit(fit.inertia) - 1) < 1e-6).alias("cost_agrees")))
+
+
 @register("k_sweep")
 def q_k_sweep(spark, sf_dir):
     """Inertia and silhouette for k = 2..10, elbow and chosen k flagged."""

@@ -844,6 +844,10 @@ from sc, mu, cov, pa_s, pb_s"""
 
 ORACLE["pca_projection"] = _pca_sql()
 
+ORACLE["kmeans_facts"] = chain_upto("cells") + f"""
+select cast(count(*) as bigint) as n_rows, cast({C.DEFAULT_K} as bigint) as n_levels, cast({C.DEFAULT_K} as bigint) as level_span,
+       true as speeds_fall, true as all_nearest, true as cost_agrees from cells"""
+
 ORACLE["silhouette_sample"] = FEATM + SCALED + f"\nselect {_K3}, cast(congestion_level as bigint) as congestion_level from sc"
 
 ORACLE["zone_centroids"] = chain_upto("cells") + """,
