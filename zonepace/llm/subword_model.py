@@ -27,7 +27,7 @@ from zonepace.llm.words import U, mix
 
 BITS, DIM, GRAMS = 18, 8, (3, 4, 5)
 MAX_TRAIN = 4000
-EPOCHS, RATE, SEED = 4, 0.1, 11
+EPOCHS, LEAST_STEPS, RATE, SEED = 4, 12_000, 0.1, 11
 CACHE_WORDS = 500_000
 END, AGAIN = "\n", "\n\n"  # the end and repetition marks: no white-space word can be equal to them
 
@@ -74,9 +74,12 @@ def text_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return kind.astype(np.int32), (total / total.sum()).astype(np.float32)
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, epochs: int = EPOCHS,
+def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, epochs: int | None = None,
           rate: float = RATE, seed: int = SEED) -> np.ndarray:
-    """Per-feature logits, 2^BITS x classes.  Without rows of two classes: the smoothed class shares for any text."""
+    """Per-feature logits, 2^BITS x classes.  Without rows of two classes: the smoothed class shares for any text.
+
+    By default EPOCHS passes, or as many as make LEAST_STEPS steps, so that a few hundred texts teach enough too.
+    """
     prior = np.bincount(labels, minlength=classes) + 1.0
     prior /= prior.sum()
     if len(np.unique(labels)) < 2:
@@ -84,6 +87,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     layer, bias = np.zeros((DIM, classes), np.float32), np.log(prior).astype(np.float32)
+    epochs = epochs or max(EPOCHS, -(-LEAST_STEPS // len(rows)))
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
