@@ -39,11 +39,15 @@ WHITE = "\t-\r \x85\xa0  -     　"
 ODD_WHITE = re.compile("[\x1c-\x1f]")
 
 
-def _ranges(major: str) -> str:
-    """The character-class body of all characters of a Unicode major category."""
+BMP = 0xFFFF
+ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+
+
+def _ranges(major: str, top: int) -> str:
+    """The character-class body of all characters up to ``top`` of a Unicode major category."""
     out, start = [], None
-    for c in range(sys.maxunicode + 2):
-        inside = c <= sys.maxunicode and unicodedata.category(chr(c))[0] == major
+    for c in range(top + 2):
+        inside = c <= top and unicodedata.category(chr(c))[0] == major
         if inside and start is None:
             start = c
         elif not inside and start is not None:
@@ -52,6 +56,21 @@ def _ranges(major: str) -> str:
     return "".join(out)
 
 
+class Pieces:
+    """All matches of a pattern with the classes {letters}, {numbers} and {white}.
+
+    Up to U+FFFF a class is one table look-up; the hundreds of ranges beyond are tried one by one, so
+    only texts that have such characters get the full classes.
+    """
+
+    def __init__(self, pattern: str):
+        self.low, self.full = (re.compile(pattern.format(letters=_ranges("L", top), numbers=_ranges("N", top), white=WHITE))
+                               for top in (BMP, sys.maxunicode))
+
+    def __call__(self, text: str) -> list[str]:
+        return (self.full if ASTRAL.search(text) else self.low).findall(text)
+
+
 class Merges:
     """Symbols and ranked merges of a vocabulary file."""
 
@@ -120,9 +139,8 @@ class Counter:
 
     def __init__(self, merges: Merges):
         self.merges, self.known = merges, {}
-        letters, numbers = _ranges("L"), _ranges("N")
         # The vocabulary's pre-token pattern.
-        self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+")
+        self.pieces = Pieces("'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{white}{letters}{numbers}]+")
         self.words = re.compile(f"[^{WHITE}]+")
         self.special = re.compile("|".join(map(re.escape, merges.specials))) if merges.specials else None
 
@@ -138,7 +156,7 @@ class Counter:
         for i, w in enumerate(words):
             if not w.isascii():
                 w = unicodedata.normalize("NFC", w).replace("Σ", "σ")
-            for t in self.pieces.findall(w.lower()):
+            for t in self.pieces(w.lower()):
                 tokens.append(t.encode())
                 owner.append(i)
         counts = self.merges.count(tokens)

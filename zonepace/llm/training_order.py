@@ -16,7 +16,6 @@
 from __future__ import annotations
 
 import base64
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonepace.llm.common import at_most, small_batches, text_of, written
-from zonepace.llm.token_count import WHITE, _ranges
+from zonepace.llm.token_count import Pieces
 from zonepace.llm.words import U, mix
 
 LENGTH, PER_SHARD, KEY, ROUNDS = 2048, 2048, 20240601, 6
@@ -67,28 +66,38 @@ class Encoder:
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        letters, numbers = _ranges("L"), _ranges("N")
         # The vocabulary's pre-token pattern.
-        self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{WHITE}{letters}{numbers}]+"
-                                 f"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-        self.end = max(ranks.values()) + 1
-        self.one = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+        self.pieces = Pieces("'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{white}{letters}{numbers}]+"
+                             "|[{white}]+(?![^{white}])|[{white}]+")
+        self.end = (max(ranks.values()) + 1).to_bytes(2, "little")
+        self.stop = ranks[b"\0"]
+        # Two ways to encode given pre-tokens: many at once between zero bytes, or one that holds such a byte.
+        self.many = tiktoken.Encoding("many", pat_str=r"\x00|[^\x00]+", mergeable_ranks=ranks, special_tokens={})
+        self.one = tiktoken.Encoding("one", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
         self.known: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        """Ids of the text and the end-of-text id."""
+    def learn(self, pieces: set[str]) -> None:
+        plain = [p for p in pieces if "\0" not in p]
+        ids = np.array(self.many.encode_ordinary("\0".join(plain)), "<u2")
+        stops = np.flatnonzero(ids == self.stop)
+        raw = ids.tobytes()
+        starts, ends = [0, *(2 * stops + 2).tolist()], [*(2 * stops).tolist(), len(raw)]
+        self.known.update(zip(plain, [raw[a:b] for a, b in zip(starts, ends)]))
+        for p in pieces:
+            if "\0" in p:
+                self.known[p] = np.array(self.one.encode_ordinary(p), "<u2").tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text and the end-of-text id."""
+        if len(self.known) > CACHE_TOKENS:
+            self.known.clear()
         known = self.known
-        pieces = self.pieces.findall(text)
-        try:
-            got = b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            if len(known) > CACHE_TOKENS:
-                known.clear()
-            for p in set(pieces):
-                if p not in known:
-                    known[p] = np.array(self.one.encode_ordinary(p), "<u2").tobytes()
-            got = b"".join(map(known.__getitem__, pieces))
-        return got + int(self.end).to_bytes(2, "little")
+        split = list(map(self.pieces, texts))
+        got = [list(map(known.get, pieces)) for pieces in split]
+        new = {p for pieces, ids in zip(split, got) if None in ids for p, i in zip(pieces, ids) if i is None}
+        if new:
+            self.learn(new)
+        return [b"".join(ids if None not in ids else map(known.__getitem__, pieces)) + self.end for pieces, ids in zip(split, got)]
 
 
 def tokenised(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -100,7 +109,7 @@ def tokenised(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col
     def encode(batches):
         encoder, part, at = Encoder(vocabulary), TaskContext.get().partitionId(), 0
         for b in batches:
-            ids = [encoder.encode(t) for t in b.column("text").to_pylist()]
+            ids = encoder.encode(b.column("text").to_pylist())
             n = np.array([len(x) // 2 for x in ids], np.int64)
             starts = at + np.cumsum(n) - n
             at += int(n.sum())
