@@ -6,8 +6,8 @@ and its character 3- to 5-grams inside ``<word>``, each hashed to one of 2^18
 rows of a learned embedding table.  A text is the mean of its features'
 vectors; a linear softmax layer gives the class probabilities.  Table and layer are
 trained together by plain stochastic gradient descent in numpy, text by text, on a
-sample of at most ``MAX_TRAIN`` labelled texts (features are built by Spark tasks; only
-their hashed counts come to the driver).
+sample of at most ``MAX_TRAIN`` labelled texts: Spark tasks build the features, one task gets their
+hashed counts (a bounded number of rows) and trains, and the finished logits come to the driver.
 
 A text's logits are means of per-feature numbers, so scoring needs one row of
 logits per distinct word and no embedding: words are looked up in a bounded cache.
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, classes: int, max_train: int = MAX_T
     """Per-feature logits from (doc_id, text) and (doc_id, label): labels of one id are averaged and rounded half up.
 
     At most ``max_train`` labelled ids, those with the smallest hash, are used; the bound
-    also bounds the broadcast id list and what comes to the driver.
+    also bounds the broadcast id list and the training task.
     """
     one = (labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id")
            .agg(F.floor(F.avg("label") + 0.5).cast("int").alias("label")))
@@ -162,11 +162,16 @@ def fit(docs: DataFrame, labels: DataFrame, classes: int, max_train: int = MAX_T
                                    "feature": pa.array([f.tobytes() for f, _ in made], pa.binary()),
                                    "share": pa.array([s.tobytes() for _, s in made], pa.binary())})
 
+    def learn(batches):
+        # A repeated row counts once, and the order of rows must not matter.
+        rows = sorted({row for b in batches for row in zip(*(c.to_pylist() for c in b.columns))})[:max_train]
+        logits = train([(np.frombuffer(f, np.int32), np.frombuffer(s, np.float32)) for _, _, f, s in rows],
+                       np.array([label for _, label, _, _ in rows], np.int64), classes, **options)
+        yield pa.record_batch({"logits": pa.array([logits.tobytes()], pa.binary())})
+
     sample = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
-    got = sample.mapInArrow(build, "doc_id string, label int, feature binary, share binary").collect()
-    # A repeated id counts once, and the order of rows must not matter.
-    rows = sorted({(r["doc_id"], bytes(r["feature"]), bytes(r["share"]), r["label"]) for r in got})
-    if len(rows) > max_train:
-        rows = rows[:max_train]
-    return train([(np.frombuffer(f, np.int32), np.frombuffer(s, np.float32)) for _, f, s, _ in rows],
-                 np.array([label for *_, label in rows], np.int64), classes, **options)
+    made = (sample.mapInArrow(build, "doc_id string, label int, feature binary, share binary")
+            .repartition(1).mapInArrow(learn, "logits binary").collect())
+    if not made:
+        return train([], np.zeros(0, np.int64), classes)
+    return np.frombuffer(made[0]["logits"], np.float32).reshape(1 << BITS, classes)
