@@ -67,6 +67,26 @@ def test_near_classes_against_brute_force(docs, texts):
     assert sorted(r.doc_id for r in left.collect()) == sorted(set(want))
 
 
+def test_large_near_copy_group_against_plain_jaccard(spark, docs, texts, monkeypatch):
+    """A third of all rows are near copies: idf alone leaves half of them as classes of their own."""
+    up = {}
+    for floor in (N.FLOOR, 1 - 1e-9):  # the second: idf 1 for every shingle
+        monkeypatch.setattr(N, "FLOOR", floor)
+        for i, c in enumerate(brute_classes(texts)):
+            _join(up, i, c)
+    monkeypatch.undo()
+    want = [_find(up, i) for i in range(len(texts))]
+    assert max(Counter(want).values()) > 40
+    assert {r.doc_id: r.class_id for r in N.near_classes(docs, plain=True).collect()} == dict(enumerate(want))
+    # Two near copies of a text that has many exact copies.
+    rng = random.Random(8)
+    base = [f"h{i}" for i in range(100)]
+    near = [" ".join([*base[:k], "new", *base[k + 1:]]) for k in (30, 60)]
+    rows = [" ".join(base)] * 60 + near + [" ".join(f"o{rng.randrange(10**6)}" for _ in range(50)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert Counter(r.class_size for r in N.near_classes(df, plain=True).collect()) == {62: 62, 1: 60}
+
+
 def test_near_classes_edges(spark):
     kind = "doc_id long, text string"
     assert N.near_classes(spark.createDataFrame([], kind)).count() == 0

@@ -45,7 +45,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_classes(load(spark, sf_dir, "documents"))
+    return near_classes(load(spark, sf_dir, "documents"), plain=True)
 
 
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
