@@ -250,3 +250,26 @@ def test_repeated_passages(spark):
         assert len(piece) == r.n_bytes and piece in text[r.first_doc_id].encode()
         assert r.removed == (r.removed_bytes > 0) == (r.doc_id != r.first_doc_id)
     assert S.repeated_passages(df.limit(0)).count() == 0
+
+
+def test_passages_of_51_short_words_are_all_found(spark):
+    """Passages of 51 words and 150 to 250 bytes, whose shared chunks often are too short a run."""
+    rng = random.Random(3)
+    make = lambda n, most: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(1, most))) for _ in range(n))
+    rows, at = [], {}
+    for i in range(60):
+        p = make(51, 4 + i % 4)
+        for k in range(2):
+            before = make(60, 9) + " "
+            rows.append((2 * i + k, before + p + " " + make(60, 9)))
+            at[2 * i + k] = (len(before), len(before) + len(p))
+    rows += [(1000 + i, make(30, 9) + " " + " ".join(f"same{j}" for j in range(9)) + " " + make(30, 9)) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = S.repeated_passages(df).collect()
+    assert {r.doc_id for r in got} == set(at)
+    text = dict(rows)
+    for r in got:
+        a, b = at[r.doc_id]
+        assert text[r.doc_id][r.start:r.start + r.n_bytes] in text[r.first_doc_id]
+        assert r.n_chunks or (a, b) == (r.start, r.start + r.n_bytes)
+        assert r.removed == (r.removed_bytes > 0) == (r.doc_id != r.first_doc_id)

@@ -11,9 +11,16 @@
    bytes or more are repeated passages; shorter ones (single lines, notices) are
    left alone.  A run needs several equal digests in a row or one long chunk, so a chance
    collision of two digests makes none.
+4. A passage loses what lies before its first and behind its last cut, so one of
+   just over 50 words can leave a run that is too short.  So runs of SEED words are
+   sampled where their hash is the smallest of the SEED-grams in some WORDS words
+   (winnowing): equal stretches of WORDS words share a sample whatever their length
+   in bytes.  Around samples that occur twice and lie outside a long run somewhere, all
+   windows of WORDS words are hashed and counted; windows that occur twice and touch no long run
+   of their row are repeated passages too, joined where they follow each other.
 
 Runs start and end at chunk cuts, so up to about a chunk at either end of a
-passage stays.  Counting folds map-side; the join back to a chunk that a third
+passage with a long run stays.  Counting folds map-side; the join back to a chunk that a third
 of the documents share is a plain sort-merge join that AQE splits.
 """
 
@@ -28,6 +35,7 @@ from zonepace.llm import words as W
 from zonepace.llm.common import small_batches, text_of, written
 
 REACH, MAX_CHUNK, MIN_RUN = 24, 256, 112
+WORDS, SEED = 51, 13  # a passage of over 50 words; words of a sample
 SPAN = 16  # bytes that the gear hash looks back
 U = W.U
 
@@ -105,10 +113,16 @@ def chunk_digests(data: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
     return out
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text, key): ``key`` is equal for equal ids and texts."""
+    rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text"))
+    return rows.withColumn("key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+
+
 def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, row, seq, start, length, digest): every chunk of every row, written."""
+    """(doc_id, row, key, seq, start, length, digest): every chunk of every row, written."""
     small_batches(docs.sparkSession)
-    source = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text")).withColumn("row", F.monotonically_increasing_id())
+    source = keyed(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
 
     def cut(batches):
         for b in batches:
@@ -119,12 +133,93 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             count = np.bincount(text, minlength=b.num_rows)
             seq = np.arange(len(starts)) - np.repeat(np.cumsum(count) - count, count)
             at = pa.array(text)
-            yield pa.record_batch([b.column("doc_id").take(at), b.column("row").take(at), pa.array(seq.astype(np.int32)),
+            yield pa.record_batch([b.column("doc_id").take(at), b.column("row").take(at), b.column("key").take(at), pa.array(seq.astype(np.int32)),
                                    pa.array(starts - offsets[text]), pa.array(length.astype(np.int32)), pa.array(digest.view(np.int64))],
-                                  names=["doc_id", "row", "seq", "start", "length", "digest"])
+                                  names=["doc_id", "row", "key", "seq", "start", "length", "digest"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return written(source.mapInArrow(cut, f"doc_id {kind}, row long, seq int, start long, length int, digest long"), "chunks")
+    return written(source.mapInArrow(cut, f"doc_id {kind}, row long, key long, seq int, start long, length int, digest long"), "chunks")
+
+
+# ---------------------------------------------------------------- windows of words
+
+def _stretches(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hash of the bytes from word i to the end of word i + n - 1, for every i; bytes are one text's."""
+    if len(starts) < n:
+        return np.zeros(0, np.uint64)
+    power, inverse = W._tables(len(data))
+    first, last = starts[:len(starts) - n + 1], ends[n - 1:]
+    with np.errstate(over="ignore"):
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE[data] * power[:len(data)], dtype=np.uint64)])
+        return W.mix((upto[last] - upto[first]) * inverse[first] + (last - first).astype(np.uint64))
+
+
+def sampled(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Places whose hash is the smallest of some ``width`` consecutive ones."""
+    if len(hashes) < width:
+        return np.zeros(0, np.int64)
+    least = _window_min(hashes, width)[:len(hashes) - width + 1]
+    pad = np.zeros(width - 1, np.uint64)
+    return np.flatnonzero(~_window_min(~np.concatenate([pad, least, pad]), width)[:len(hashes)] == hashes)
+
+
+def _texts(column: pa.Array):
+    """(bytes, word starts, word ends) of each text, places counted from its start."""
+    data, offsets = W.buffers(column)
+    _, bounds, starts, ends = W.hash_words(data, offsets, places=True)
+    for i, a in enumerate(offsets[:-1]):
+        own = slice(bounds[i], bounds[i + 1])
+        yield data[a:offsets[i + 1]], starts[own] - a, ends[own] - a
+
+
+def _word_windows(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """(doc_id, row, place, start, end, first_doc_id, digest): every repeated window of WORDS words outside ``spans`` (key, spans).
+
+    ``docs`` are (doc_id, text, key); equal keys are equal ids and texts.
+    """
+
+    def sample(batches):
+        for b in batches:
+            got = [np.zeros((0, 5), np.int64)]
+            for i, (data, starts, ends) in enumerate(_texts(b.column("text"))):
+                if len(starts) >= WORDS:
+                    h = _stretches(data, starts, ends, SEED)
+                    at = sampled(h, WORDS - SEED + 1)
+                    got.append(np.stack([np.full(len(at), i), h[at].view(np.int64), at, starts[at], ends[at + SEED - 1]], 1))
+            t = np.concatenate(got)
+            yield pa.record_batch([b.column("key").take(pa.array(t[:, 0])), *[pa.array(t[:, k].copy()) for k in range(1, 5)]],
+                                  names=["key", "seed", "place", "start", "end"])
+
+    def window(batches):
+        for b in batches:
+            got = [np.zeros((0, 5), np.int64)]
+            for i, ((data, starts, ends), places) in enumerate(zip(_texts(b.column("text")), b.column("places"))):
+                n = len(starts) - WORDS + 1
+                step = np.zeros(n + 1, np.int64)
+                p = np.asarray(places.values.to_numpy(zero_copy_only=False))
+                np.add.at(step, np.maximum(p - (WORDS - SEED), 0), 1)
+                np.add.at(step, np.minimum(p + 1, n), -1)
+                at = np.flatnonzero(np.cumsum(step[:-1]) > 0)
+                h = _stretches(data, starts, ends, WORDS)
+                got.append(np.stack([np.full(len(at), i), at, starts[at], ends[at + WORDS - 1], h[at].view(np.int64)], 1))
+            t = np.concatenate(got)
+            own = pa.array(t[:, 0])
+            yield pa.record_batch([*[b.column(c).take(own) for c in ("doc_id", "row", "key")], *[pa.array(t[:, k].copy()) for k in range(1, 5)]],
+                                  names=["doc_id", "row", "key", "place", "start", "end", "digest"])
+
+    touches = F.exists(F.coalesce("spans", F.array().cast("array<struct<a:bigint,b:bigint>>")),
+                       lambda x: (x["a"] < F.col("end")) & (x["b"] > F.col("start")))
+    seeds = written(docs.select("key", "text").mapInArrow(sample, "key long, seed long, place long, start long, end long"), "word-seeds")
+    often = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("seed")
+    again = written(seeds.join(often, "seed"), "repeated-seeds")
+    free = written(again.join(spans, "key", "left").filter(~touches).select("seed").distinct(), "free-seeds")
+    places = again.join(free, "seed").groupBy("key").agg(F.collect_set("place").alias("places"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = docs.join(places, "key").withColumn("row", F.monotonically_increasing_id())
+    windows = written(found.select("doc_id", "row", "key", "text", "places").mapInArrow(
+        window, f"doc_id {kind}, row long, key long, place long, start long, end long, digest long"), "word-windows")
+    twice = windows.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    return windows.join(twice, "digest").join(spans, "key", "left").filter(~touches).drop("spans", "key")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
@@ -133,7 +228,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``start`` and ``n_bytes`` count UTF-8 bytes.  ``first_doc_id`` is the smallest id
     that holds one of its chunks; ``removed`` says that this occurrence repeats
     an earlier one and goes (rows that repeat a document id count as that
-    document).  Rows without a repeated passage, null and empty texts give
+    document).  ``n_chunks`` is 0 for a passage found by its words.  Rows without a repeated passage, null and empty texts give
     none.  Other columns are not read.
     """
     chunks = chunk_table(docs, id_col, text_col)
@@ -143,10 +238,20 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     in_row = Window.partitionBy("row").orderBy("seq")
     of_digest = Window.partitionBy("row", "digest").orderBy("seq")
     stays = F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.row_number().over(of_digest) == 1)
-    runs = (again.withColumn("gone", F.when(stays, 0).otherwise(F.col("length")))
+    runs = written(again.withColumn("gone", F.when(stays, 0).otherwise(F.col("length")))
             .withColumn("run", F.col("seq") - F.row_number().over(in_row))
-            .groupBy("row", "run").agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.sum("length").alias("n_bytes"),
+            .groupBy("row", "run").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.min("start").alias("start"), F.sum("length").alias("n_bytes"),
                                        F.count(F.lit(1)).alias("n_chunks"), F.min("first_doc_id").alias("first_doc_id"),
                                        F.sum("gone").alias("removed_bytes"))
-            .filter(F.col("n_bytes") >= min_run))
+            .filter(F.col("n_bytes") >= min_run), "long-runs")
+    spans = runs.groupBy("key").agg(F.collect_set(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("n_bytes")).alias("b"))).alias("spans"))
+    in_row, of_digest = Window.partitionBy("row").orderBy("place"), Window.partitionBy("row", "digest").orderBy("place")
+    passages = (_word_windows(keyed(docs, id_col, text_col), written(spans, "spans"))
+                .withColumn("gone", ~(F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.row_number().over(of_digest) == 1)))
+                .withColumn("run", F.col("place") - F.row_number().over(in_row))
+                .groupBy("row", "run").agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"),
+                                           (F.max("end") - F.min("start")).alias("n_bytes"), F.lit(0).cast("long").alias("n_chunks"),
+                                           F.min("first_doc_id").alias("first_doc_id"), F.max("gone").alias("gone"))
+                .withColumn("removed_bytes", F.when(F.col("gone"), F.col("n_bytes")).otherwise(0)))
+    runs = runs.drop("key").unionByName(passages.drop("gone"))
     return runs.select("doc_id", "start", "n_bytes", "n_chunks", "first_doc_id", "removed_bytes", (F.col("removed_bytes") > 0).alias("removed"))
