@@ -11,9 +11,9 @@ from zonepace.session import ensure_checkpoint_dir, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Rows per Arrow batch handed to Python: with whole texts in the batch this
-# bounds a worker's memory (a few MB for ordinary documents).
-ARROW_ROWS = 512
+# Rows and bytes per Arrow batch handed to Python, whichever is reached first: whole
+# texts of any length then take a worker about this much (or one text, if that is longer).
+ARROW_ROWS, ARROW_BYTES = 512, 16 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Keep Arrow batches of whole texts small (see ``ARROW_ROWS``)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

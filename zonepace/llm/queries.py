@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonepace.llm.common import load
+from zonepace.llm.conversation_repair import repair_report
 from zonepace.llm.decontamination import find_matches
 from zonepace.llm.exact_dedup import exact_dedup
+from zonepace.llm.fill_in_middle import fim_digests
 from zonepace.llm.license_scan import scan_licenses
 from zonepace.llm.mixing import domain_labels, mixing_rates
 from zonepace.llm.near_dedup import near_classes
 from zonepace.llm.quality import fit_quality, score_quality
+from zonepace.llm.quality_rules import judge_rules
 from zonepace.llm.substring_dedup import repeated_passages
 from zonepace.llm.token_count import count_tokens
 from zonepace.llm.training_order import training_order
@@ -75,6 +78,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(load(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of every damaged conversation."""
+    return repair_report(load(spark, sf_dir, "conversations"), damage=True)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n, form, prefix_chars, middle_chars, output_sha256, restored_sha256 of every document."""
+    return fim_digests(load(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, counts, base_failed, kept, failed of every document."""
+    return judge_rules(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_token_counts, op3_quality_classifier, op4_near_dedup, op5_training_order, op6_mixing,
-    op7_exact_dedup, op8_decontamination, op9_license_scan, op10_substring_dedup)}
+    op7_exact_dedup, op8_decontamination, op9_license_scan, op10_substring_dedup, op11_conversation_repair, op12_fill_in_middle,
+    op13_quality_rules)}
