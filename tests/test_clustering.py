@@ -224,3 +224,19 @@ def test_row_numbers_across_partitions(spark):
     for g in range(3):
         vs = sorted(v for gg, v in got if gg == g)
         assert [got[(g, v)] for v in vs] == list(range(1, len(vs) + 1))
+
+
+def test_dbscan_of_dense_and_large_cells(spark):
+    """A sub-cell far above a pack, hot repeated points, noise, three features, a composite key: against brute force."""
+    rng = np.random.default_rng(11)
+    X = np.concatenate([np.repeat([[0.0, 0.0, 0.0]], 700, axis=0), rng.normal(0, 0.02, (300, 3)), rng.normal(2, 0.25, (120, 3)),
+                        rng.uniform(-6, 6, (60, 3))])
+    pdf = pd.DataFrame(X, columns=["f", "g", "h"])
+    pdf["a"], pdf["b"] = np.arange(len(X)) // 50, np.arange(len(X)) % 50
+    df = spark.createDataFrame(pdf).repartition(5)
+    want_n, want = _brute_dbscan(X, 0.3, 6)
+    got = DS.dbscan(df, ["a", "b"], ["f", "g", "h"], eps=0.3, min_samples=6).orderBy("a", "b").toPandas()
+    cnt = DS.neighbour_counts(df, ["a", "b"], ["f", "g", "h"], eps=0.3, min_samples=6).orderBy("a", "b").toPandas()
+    assert (cnt["neighbors"].to_numpy() == want_n).all()
+    assert (got["dbscan_label"].to_numpy() == want).all() and (want == -1).any() and want.max() > 1
+    assert DS.dbscan(df.limit(0), ["a", "b"], ["f", "g", "h"]).count() == 0

@@ -782,6 +782,39 @@ ORACLE["dbscan_core"] = EPS_NB + f"""
 select cast(count(*) filter (where neighbors >= {C.DBSCAN_MIN_SAMPLES}) as bigint) as n_core, cast(count(*) as bigint) as n_points,
        cast(sum(neighbors) as bigint) as n_pairs from nb"""
 
+# Clusters: core points of one cell of side just under eps / sqrt(5) are one node; smallest labels walk over the
+# distinct links between nodes until nothing changes.
+_SIDE = f"({_EPS!r}::double / sqrt(5) * (1 - 1e-8))"
+_NEAR = f"sqrt({' + '.join(f'(p.{f} - q.{f})^2' for f in _F)}) <= {_EPS!r}::double"
+_MET = " and ".join(f"q.b{i} = p.b{i} + o{i}" for i in range(5))
+DBSCAN = EPS_NB.replace("with ", "with recursive ", 1) + f""",
+allp as materialized (select pts.*, zone_id * 1000 + hour_of_day * 10 + day_of_week as id, neighbors >= {C.DBSCAN_MIN_SAMPLES} as core
+         from pts join nb using (zone_id, hour_of_day, day_of_week)),
+corep as materialized (select *, min(id) over (partition by {', '.join(f'floor({f} / {_SIDE})' for f in _F)}) as node from allp where core),
+links as materialized (select distinct p.node as i, q.node as j from corep p cross join offs join corep q on {_MET} where p.node <> q.node and {_NEAR}),
+walk(node, comp) using key (node) as (
+  select distinct node, node from corep
+  union
+  select l.i, min(w.comp) from walk w join links l on l.j = w.node join recurring.walk r on r.node = l.i where w.comp < r.comp group by l.i),
+numbered as materialized (select node, dense_rank() over (order by comp) - 1 as cluster from walk),
+inside as materialized (select corep.*, cluster from corep join numbered using (node)),
+edge as (select p.id, min(q.cluster) as cluster from (select * from allp where not core) p cross join offs join inside q on {_MET} where {_NEAR} group by p.id),
+lab as (select a.zone_id, a.hour_of_day, a.day_of_week, coalesce(i.cluster, e.cluster, -1) as dbscan_label
+        from allp a left join inside i on i.id = a.id left join edge e on e.id = a.id)"""
+
+ORACLE["dbscan_labels"] = DBSCAN + f"\nselect {_K3}, cast(dbscan_label as bigint) as dbscan_label from lab"
+
+ORACLE["dbscan_metrics"] = DBSCAN + f""",
+sizes as (select dbscan_label, count(*) as size from lab where dbscan_label <> -1 group by 1)
+select (select count(*) from sizes) as n_hotspots, cast(count(*) filter (dbscan_label = -1) as bigint) as n_noise,
+       round_even(count(*) filter (dbscan_label = -1) / count(*)::double * 10000, 0) / 10000 as noise_fraction,
+       count(*) filter (dbscan_label = -1) / count(*)::double > {C.DBSCAN_NOISE_WARN_FRACTION} as noise_fraction_warn,
+       {_EPS!r}::double as eps, cast({C.DBSCAN_MIN_SAMPLES} as bigint) as min_samples,
+       coalesce((select min(size) from sizes), 0) as hotspot_sizes_min, coalesce((select max(size) from sizes), 0) as hotspot_sizes_max,
+       coalesce((select median(size) from sizes), 0)::double as hotspot_sizes_median,
+       coalesce((select dbscan_label from sizes order by size desc, dbscan_label limit 1), -1) as largest_hotspot_label
+from lab"""
+
 FIXED_SWEEP = FEATM + SCALED + f""",
 ks as (select range as k from range({C.K_RANGE[0]}, {C.K_RANGE[1]})),
 lab as (select sc.*, ks.k, floor(hour_of_day * ks.k / 24) as band from sc cross join ks),
