@@ -1,22 +1,28 @@
 """K-Means fitting, choice of k and stability.
 
-Spark ML's ``KMeans`` (k-means‖ init, Lloyd iterations, distributed) does
-the fitting.  Its result depends on how rows are partitioned, so the input
-is dealt by a hash of the key into a constant number of partitions and sorted
-in each: the same rows then always lie in the same place.  The
-``n_init`` restarts are one fit per seed, keeping the lowest cost; the fits of
-different seeds and k run side by side on the one input.
+All models (every k and every restart) are fitted together: one Spark job is one step
+of all of them.  A task reads its rows once and returns, per model and centre, the sum
+of its points, their number and cost; Spark adds these up, and the driver moves the centres (a few
+numbers per model).  Models that have converged leave the job.
+
+- Start: k-means++ as a race.  Every point draws an exponential waiting time with rate
+  d² (its squared distance to the nearest centre so far) from a hash of (row id, seed, step); the
+  first one becomes the next centre.  That is a draw in proportion to d², and a minimum,
+  so it does not depend on how rows are dealt or added up.
+- Steps: Lloyd iterations to a relative tolerance.  A task adds up its own rows in their fixed
+  order; sums of tasks are added as decimals, in any order to the same digits.
+- Cost: of the final centres, in one more pass; the best restart is chosen by it.
+
 Raw cluster ids are never compared across fits — only the speed-ranked
 levels (W8) or partition-invariant scores (ARI).
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +34,7 @@ from zonepace.functions.frames import attach_row
 
 @dataclass
 class KMeansFit:
-    model: KMeansModel
+    centres: list[list[float]]
     k: int
     seed: int
     inertia: float
@@ -38,65 +44,156 @@ class KMeansFit:
 # Partitions of the fitting input: a constant, so that a fit never depends on size or cluster.
 # The cell table (at most 44,184 rows) needs no more; callers with a larger table pass their own number.
 PARTITIONS = 8
-# Fits that run side by side (each is a series of small Spark jobs).
-PARALLEL_FITS = 8
-
-
-def stable_input(df: DataFrame, key: list[str], features: list[str], partitions: int = PARTITIONS) -> DataFrame:
-    """Vector column; rows dealt by key hash into ``partitions`` and sorted by key (T15), checkpointed."""
-    vec = prepare_features(df, features, with_vector=True)
-    return vec.repartition(partitions, *[F.col(k) for k in key]).sortWithinPartitions(*key).checkpoint(eager=True)
-
-
-def spark_tol(df: DataFrame, tol: float = 1e-4) -> float:
-    """Spark's absolute per-centre shift threshold matching a relative tolerance.
-
-    The relative rule stops when Σ‖Δcentre‖² ≤ tol · mean feature variance;
-    Spark stops when every centre moved ≤ ε, so ε = √(tol · mean variance)
-    (any state passing the relative rule passes this one).
-    """
-    from pyspark.ml.stat import Summarizer
-    var = df.select(Summarizer.variance(F.col("features")).alias("v")).first()["v"].toArray()
-    n = df.count()
-    mean_var = float(np.mean(var)) * (n - 1) / n if n > 1 else 0.0  # population variance
-    return float(np.sqrt(tol * mean_var)) if mean_var > 0 else tol
-
-
-def _fit(df: DataFrame, k: int, seed: int, max_iter: int, eps: float) -> KMeansFit:
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="features", predictionCol="raw_cluster",
-                   initMode="k-means||").fit(df)
-    return KMeansFit(model, k, seed, float(model.summary.trainingCost), int(model.summary.numIter))
-
-
-def fit_many(df: DataFrame, starts: dict, n_init: int, max_iter: int = C.KMEANS_MAX_ITER, tol: float = 1e-4) -> dict:
-    """Best of ``n_init`` fits for every entry name → (k, first seed), all restarts side by side.
-
-    Ties of the cost go to the smaller seed.  ``df`` must carry a ``features``
-    vector (see :func:`stable_input`); ``tol`` is relative to its mean feature variance.
+CHUNK = 8192  # rows compared with all centres at once
+_SUM = "decimal(38,12)"  # task sums are added exactly in this type
+# The hash of the start: permutations x -> x^5 + c modulo a Mersenne prime (also plain SQL arithmetic).
+_P = 2_147_483_647
+
+
+def stable_input(df: DataFrame, key: list[str], features: list[str], partitions: int = PARTITIONS, id_col: str | None = None) -> DataFrame:
+    """With ``features`` (array) and ``_rid`` (``id_col`` or a hash of the key); rows dealt by key hash into
+    ``partitions`` and sorted by key (T15), checkpointed."""
+    rid = F.col(id_col).cast("long") if id_col else F.abs(F.xxhash64(*[F.col(k) for k in key]))
+    rows = prepare_features(df, features).withColumns({"features": F.array(*[F.col(f).cast("double") for f in features]), "_rid": rid})
+    return rows.repartition(partitions, *[F.col(k) for k in key]).sortWithinPartitions(*key).checkpoint(eager=True)
+
+
+def _uniform(rid: np.ndarray, seed: int, step: int) -> np.ndarray:
+    """A number in (0, 1) for each row id."""
+    z = ((rid % _P) * 48_271 + (seed * 69_621 + step * 40_692 + 12_345) % _P) % _P
+    for add in (7, 11, 13):
+        sq = z * z % _P
+        z = (sq * sq % _P * z + add) % _P
+    return (z + 1) / (_P + 1.0)
+
+
+def _numbers(batch: pa.RecordBatch) -> np.ndarray:
+    flat = batch.column("features").flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(batch.num_rows, -1)
+
+
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """rows x centres: squared distances, features added in order."""
+    out = np.zeros((len(x), len(centres)))
+    for f in range(x.shape[1]):
+        diff = x[:, f][:, None] - centres[:, f][None, :]
+        out += diff * diff
+    return out
+
+
+def _race(data: DataFrame, centres: list[np.ndarray], seeds: list[int], step: int) -> list[np.ndarray]:
+    """The next starting centre of every model: the point with the shortest waiting time."""
+    def wait(batches):
+        best: dict[int, tuple] = {}
+        for b in batches:
+            x, rid = _numbers(b), b.column("_rid").to_numpy()
+            for m, (own, seed) in enumerate(zip(centres, seeds)):
+                rate = _squares(x, own).min(axis=1) if step else np.ones(len(x))
+                with np.errstate(divide="ignore"):
+                    time = np.where(rate > 0, -np.log(_uniform(rid, seed, step)) / rate, np.inf)
+                i = np.lexsort((rid, time))[0] if len(x) else None
+                if i is not None and (m not in best or (time[i], rid[i]) < best[m][:2]):
+                    best[m] = (float(time[i]), int(rid[i]), x[i].tolist())
+        yield pa.RecordBatch.from_pydict({"model": pa.array(list(best), pa.int32()), "time": pa.array([v[0] for v in best.values()], pa.float64()),
+                                          "rid": pa.array([v[1] for v in best.values()], pa.int64()),
+                                          "x": pa.array([v[2] for v in best.values()], pa.list_(pa.float64()))})
+
+    found = data.select("_rid", "features").mapInArrow(wait, "model int, time double, rid long, x array<double>")
+    first = found.groupBy("model").agg(F.min_by("x", F.struct("time", "rid")).alias("x")).collect()  # one row a model
+    return [np.array(r["x"]) for r in sorted(first, key=lambda r: r["model"])]
+
+
+def _step(data: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """model -> (sums of points, numbers of points, cost) by centre, in one pass."""
+    names = sorted(centres)
+    stacked = np.concatenate([centres[m] for m in names])
+    ends = np.cumsum([len(centres[m]) for m in names])
+    d = stacked.shape[1]
+
+    def add(batches):
+        sums, n, cost = np.zeros((len(stacked), d)), np.zeros(len(stacked), np.int64), np.zeros(len(stacked))
+        for b in batches:
+            for lo in range(0, b.num_rows, CHUNK):
+                x = _numbers(b.slice(lo, CHUNK))
+                far = _squares(x, stacked)
+                for m, hi in enumerate(ends):
+                    first = ends[m - 1] if m else 0
+                    own = far[:, first:hi]
+                    near = own.argmin(axis=1)
+                    size = hi - first
+                    n[first:hi] += np.bincount(near, minlength=size)
+                    cost[first:hi] += np.bincount(near, own[np.arange(len(x)), near], size)
+                    for f in range(d):
+                        sums[first:hi, f] += np.bincount(near, x[:, f], size)
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(np.arange(len(stacked), dtype=np.int32)), "n": pa.array(n), "cost": pa.array(cost),
+                                          **{f"s{f}": pa.array(sums[:, f].copy()) for f in range(d)}})
+
+    parts = data.select("features").mapInArrow(add, "slot int, n long, cost double, " + ", ".join(f"s{f} double" for f in range(d)))
+    total = parts.groupBy("slot").agg(F.sum("n").alias("n"), *[F.sum(F.col(c).cast(_SUM)).alias(c) for c in ("cost", *[f"s{f}" for f in range(d)])])
+    rows = {r["slot"]: r for r in total.collect()}  # models x k rows
+    out = {}
+    for m, name in enumerate(names):
+        own = [rows[i] for i in range(ends[m - 1] if m else 0, ends[m])]
+        out[name] = (np.array([[float(r[f"s{f}"]) for f in range(d)] for r in own]), np.array([r["n"] for r in own]), sum(float(r["cost"]) for r in own))
+    return out
+
+
+def _tolerance(data: DataFrame, tol: float) -> float:
+    """``tol`` times the mean population variance of the features."""
+    d = data.select(F.size("features").alias("d")).first()
+    row = data.agg(*[F.var_pop(F.col("features")[i]).alias(f"v{i}") for i in range(d["d"])]).first()
+    return tol * float(np.mean([x or 0.0 for x in row]))
+
+
+def fit_many(df: DataFrame, starts: dict, n_init: int, max_iter: int = C.KMEANS_MAX_ITER, tol: float = 1e-4,
+             initial: dict | None = None) -> dict:
+    """Best of ``n_init`` fits for every entry name → (k, first seed), all side by side in each job.
+
+    ``df`` comes from :func:`stable_input`.  ``initial`` (name → k centres) starts a model there, once, instead of
+    drawing.  A model ends when its centres move by at most ``tol`` x mean feature variance (squared, added up).
+    A centre without points stays.  Ties of the cost go to the smaller seed.
     """
-    eps = spark_tol(df, tol)
-    jobs = [(name, k, seed + i) for name, (k, seed) in starts.items() for i in range(max(1, n_init))]
+    if df.isEmpty():
+        raise ValueError("K-Means needs at least one row")
+    initial = initial or {}
+    models = [(name, k, seed + i) for name, (k, seed) in starts.items() for i in range(1 if name in initial else max(1, n_init))]
     df = df.persist()
     try:
-        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-            fits = list(pool.map(lambda j: _fit(df, j[1], j[2], max_iter, eps), jobs))
+        centres = {m: np.array(initial[name], float) for m, (name, _, _) in enumerate(models) if name in initial}
+        drawn = [m for m, (name, _, _) in enumerate(models) if name not in initial]
+        for step in range(max((models[m][1] for m in drawn), default=0)):
+            open_models = [m for m in drawn if models[m][1] > step]
+            got = _race(df, [centres.get(m, np.zeros((0, 1))) for m in open_models], [models[m][2] for m in open_models], step)
+            for m, x in zip(open_models, got):
+                centres[m] = np.vstack([centres[m], x]) if step else x[None, :]
+        least, active, iters = _tolerance(df, tol), set(centres), dict.fromkeys(centres, 0)
+        while active:
+            for m, (sums, n, _) in _step(df, {m: centres[m] for m in active}).items():
+                moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres[m])
+                shift = float(((moved - centres[m]) ** 2).sum())
+                centres[m], iters[m] = moved, iters[m] + 1
+                if shift <= least or iters[m] >= max_iter:
+                    active.discard(m)
+        costs = {m: cost for m, (_, _, cost) in _step(df, centres).items()}
     finally:
         df.unpersist()
     best: dict = {}
-    for (name, _, _), fit in zip(jobs, fits):
-        if name not in best or fit.inertia < best[name].inertia:
-            best[name] = fit
+    for m, (name, k, seed) in enumerate(models):
+        if name not in best or costs[m] < best[name].inertia:
+            best[name] = KMeansFit(centres[m].tolist(), k, seed, costs[m], iters[m])
     return best
 
 
 def train_kmeans(df: DataFrame, k: int, seed: int = C.KMEANS_RANDOM_STATE, n_init: int = C.KMEANS_N_INIT,
                  max_iter: int = C.KMEANS_MAX_ITER, tol: float = 1e-4) -> KMeansFit:
-    """Best of ``n_init`` fits (seeds seed, seed+1, …) by training cost (M5)."""
+    """Best of ``n_init`` fits (seeds seed, seed+1, …) by the cost of their final centres (M5)."""
     return fit_many(df, {k: (k, seed)}, n_init, max_iter, tol)[k]
 
 
-def predict(fit: KMeansFit, df: DataFrame) -> DataFrame:
-    return fit.model.transform(df)
+def predict(fit: KMeansFit, df: DataFrame, output: str = "raw_cluster") -> DataFrame:
+    """``df`` with the number of each row's nearest centre (the first of equally near ones)."""
+    far = F.array(*[sum((F.col("features")[i] - F.lit(float(x))) * (F.col("features")[i] - F.lit(float(x))) for i, x in enumerate(c)) for c in fit.centres])
+    return df.withColumn("_far", far).withColumn(output, (F.array_position("_far", F.array_min("_far")) - 1).cast("int")).drop("_far")
 
 
 def detect_elbow_kneedle(ks: list[int], inertias: list[float], sensitivity: float = 1.0) -> int | None:
@@ -163,7 +260,7 @@ def elbow_second_diff_table(sweep: DataFrame) -> DataFrame:
 
 def choose_k(df: DataFrame, key: list[str], features: list[str] | None = None,
              k_range: tuple[int, int] = C.K_RANGE, n_init: int = C.KMEANS_N_INIT,
-             seed: int = C.KMEANS_RANDOM_STATE, rule: str = "elbow"):
+             seed: int = C.KMEANS_RANDOM_STATE, rule: str = "elbow", id_col: str | None = None):
     """Sweep k: inertia per k and one silhouette pass for all k at once (M6, M8).
 
     Returns (chosen k, sweep DataFrame (k, inertia, silhouette), info dict).
@@ -172,13 +269,13 @@ def choose_k(df: DataFrame, key: list[str], features: list[str] | None = None,
     """
     feats = features or C.CLUSTER_FEATURES
     spark = df.sparkSession
-    data = stable_input(df, key, feats)
+    data = stable_input(df, key, feats, id_col=id_col)
     ks = list(range(*k_range))
     fits = fit_many(data, {k: (k, seed) for k in ks}, n_init)
     labelled = data
     for k in ks:  # one pass: each model adds its column
-        labelled = fits[k].model.transform(labelled).withColumnRenamed("raw_cluster", f"k{k}")
-    labelled = labelled.drop("features").checkpoint(eager=True)
+        labelled = predict(fits[k], labelled, f"k{k}")
+    labelled = labelled.drop("features", "_rid").checkpoint(eager=True)
     per_row = QU.silhouette_samples(labelled, feats, [f"k{k}" for k in ks], key)
     sil_row = per_row.agg(*[F.avg(f"sil_k{k}").alias(f"k{k}") for k in ks]).collect()[0]  # one row of k numbers
     sils = [float(sil_row[f"k{k}"]) if sil_row[f"k{k}"] is not None else float("nan") for k in ks]
@@ -198,17 +295,17 @@ def choose_k(df: DataFrame, key: list[str], features: list[str] | None = None,
 
 
 def stability(df: DataFrame, key: list[str], k: int, features: list[str] | None = None,
-              n_seeds: int = C.STABILITY_N_SEEDS, n_init: int = C.KMEANS_N_INIT) -> dict:
+              n_seeds: int = C.STABILITY_N_SEEDS, n_init: int = C.KMEANS_N_INIT, id_col: str | None = None) -> dict:
     """K-Means for seeds 0..n−1; pairwise ARI mean / min / pass (≥ 0.70) (Q8).
 
     Labels of all seeds sit as columns of one table keyed by the cell key.
     """
     feats = features or C.CLUSTER_FEATURES
-    data = stable_input(df, key, feats)
+    data = stable_input(df, key, feats, id_col=id_col)
     fits = fit_many(data, {s: (k, s * 1000) for s in range(n_seeds)}, n_init)
     table = data
     for s in range(n_seeds):
-        table = fits[s].model.transform(table).withColumnRenamed("raw_cluster", f"s{s}")
+        table = predict(fits[s], table, f"s{s}")
     table = table.select(*key, *[f"s{s}" for s in range(n_seeds)]).checkpoint(eager=True)
     # One job for all n(n−1)/2 pairs; the result has that many rows.
     aris = [float(r["ari"]) for r in QU.adjusted_rand_pairs(table, [f"s{s}" for s in range(n_seeds)]).collect()]

@@ -650,30 +650,38 @@ from zonepace.operators import pca as PC  # noqa: E402
 
 KEY3 = C.CELL_KEY[:3]
 
+def _cell_id():
+    return F.col("zone_id").cast("long") * 1000 + F.col("hour_of_day") * 10 + F.col("day_of_week")
+
+
 def cell_scaled(spark, sf_dir) -> DataFrame:
     """Real cells (not the fixed labels), scaled with the standard scaler, plus
     ``cell_id`` = zone·1000 + hour·10 + weekday (unique, ordered like the key)."""
     def build():
         scaled, _ = SC.scale_features(SC.prepare_features(cells(spark, sf_dir)), FEATS, "standard")
-        return scaled.withColumn("cell_id", F.col("zone_id").cast("long") * 1000 + F.col("hour_of_day") * 10 + F.col("day_of_week"))
+        return scaled.withColumn("cell_id", _cell_id())
     return ST.stage(spark, "cell_scaled", sf_dir, build)
 
 
+def _default_fit(spark, sf_dir):
+    """(rows, fit): K-Means at the default k, best of ten restarts drawn by cell id."""
+    data = KM.stable_input(cell_scaled(spark, sf_dir), KEY3, FEATS, id_col="cell_id")
+    return data, KM.train_kmeans(data, C.DEFAULT_K)
+
+
 @register("kmeans_labels")
 def q_kmeans_labels(spark, sf_dir):
-    """K-Means at the default k, levels ranked by speed (M5 + W8); invariants in tests."""
-    data = KM.stable_input(cell_scaled(spark, sf_dir), KEY3, FEATS)
-    fit = KM.train_kmeans(data, C.DEFAULT_K)
+    """K-Means at the default k, levels ranked by speed (M5 + W8)."""
+    data, fit = _default_fit(spark, sf_dir)
     return norm(MA.assign_semantic_labels(KM.predict(fit, data)).select(*KEY3, "avg_speed_mph", "congestion_level"))
 
 
 @register("kmeans_facts")
 def q_kmeans_facts(spark, sf_dir):
-    """What any right fit must satisfy: all rows labelled, levels 0..k-1 without gaps, level speeds falling, every row
-    with its nearest centre, and the reported cost equal to the one recomputed from the labels (M5, W8)."""
-    data = KM.stable_input(cell_scaled(spark, sf_dir), KEY3, FEATS)
-    fit = KM.train_kmeans(data, C.DEFAULT_K)
-    dist = [sum((F.col(f) - F.lit(float(x))) ** 2 for f, x in zip(FEATS, c)) for c in fit.model.clusterCenters()]
+    """The default fit in one row: rows, levels, falling speeds, every row with its nearest centre, and the inertia of the
+    final centres, which is the cost recomputed from the labels (M5, W8)."""
+    data, fit = _default_fit(spark, sf_dir)
+    dist = [sum((F.col(f) - F.lit(float(x))) ** 2 for f, x in zip(FEATS, c)) for c in fit.centres]
     own = F.element_at(F.array(*dist), F.col("raw_cluster") + 1)
     lab = MA.assign_semantic_labels(KM.predict(fit, data).withColumns({"d_own": own, "d_min": F.least(*dist)}))
     levels = lab.groupBy("congestion_level").agg(F.avg("avg_speed_mph").alias("speed"), F.count(F.lit(1)).alias("n"),
@@ -681,15 +689,16 @@ def q_kmeans_facts(spark, sf_dir):
     ahead = F.lag("speed").over(Window.orderBy("congestion_level"))  # k rows
     table = levels.withColumn("falls", F.coalesce(F.col("speed") < ahead, F.lit(True)))
     return norm(table.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_levels"),
-                          (F.max("congestion_level") - F.min("congestion_level") + 1).alias("level_span"),
+                          (F.max("congestion_level") - F.min("congestion_level") + 1).alias("level_span"), F.max("n").alias("largest"),
                           F.min("falls").alias("speeds_fall"), (F.sum("near") == F.sum("n")).alias("all_nearest"),
-                          (F.abs(F.sum("cost") / F.lit(fit.inertia) - 1) < 1e-6).alias("cost_agrees")))
+                          (F.abs(F.sum("cost") / F.lit(fit.inertia) - 1) < 1e-9).alias("cost_agrees"),
+                          F.lit(round(fit.inertia, 4)).alias("inertia"), F.lit(fit.seed).alias("seed")))
 
 
 @register("k_sweep")
 def q_k_sweep(spark, sf_dir):
     """Inertia and silhouette for k = 2..10, elbow and chosen k flagged."""
-    chosen, sweep, info = KM.choose_k(cell_scaled(spark, sf_dir), KEY3, FEATS)
+    chosen, sweep, info = KM.choose_k(cell_scaled(spark, sf_dir), KEY3, FEATS, id_col="cell_id")
     return norm(sweep.withColumns({
         "is_elbow": F.col("k") == info["elbow_k"], "is_silhouette_argmax": F.col("k") == info["silhouette_argmax_k"],
         "chosen": F.col("k") == chosen, "elbow_source": F.lit(info["elbow_source"])}))
@@ -698,9 +707,9 @@ def q_k_sweep(spark, sf_dir):
 @register("stability")
 def q_stability(spark, sf_dir):
     """Pairwise ARI over 5 seeds at the default k (Q8)."""
-    st = KM.stability(cell_scaled(spark, sf_dir), KEY3, C.DEFAULT_K)
-    return spark.createDataFrame([(st["ari_mean"], st["ari_min"], st["ari_pass"])],
-                                 "ari_mean double, ari_min double, ari_pass boolean")
+    st = KM.stability(cell_scaled(spark, sf_dir), KEY3, C.DEFAULT_K, id_col="cell_id")
+    return norm(spark.createDataFrame([(st["ari_mean"], st["ari_min"], st["ari_pass"])],
+                                      "ari_mean double, ari_min double, ari_pass boolean"))
 
 
 def fixed_partition_sweep(spark, sf_dir) -> DataFrame:
@@ -765,8 +774,8 @@ def q_eda_quick_clusters(spark, sf_dir):
     """Quick look over all cells: 3 raw features standardised, k = 3, levels by speed (M9)."""
     feats3 = ["avg_speed_mph", "trip_density", "speed_deviation"]
     c = SC.prepare_features(cells(spark, sf_dir).select(*KEY3, *feats3), feats3).withColumn("speed_raw", F.col("avg_speed_mph"))
-    scaled, _ = SC.scale_features(c, feats3, "standard")
-    data = KM.stable_input(scaled, KEY3, feats3)
+    scaled, _ = SC.scale_features(c.withColumn("cell_id", _cell_id()), feats3, "standard")
+    data = KM.stable_input(scaled, KEY3, feats3, id_col="cell_id")
     fit = KM.train_kmeans(data, 3)
     lab = MA.assign_semantic_labels(KM.predict(fit, data), speed_col="speed_raw")
     return norm(lab.select(*KEY3, F.col("speed_raw").alias("avg_speed_mph"), "congestion_level"))

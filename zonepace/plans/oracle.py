@@ -877,9 +877,84 @@ from sc, mu, cov, pa_s, pb_s"""
 
 ORACLE["pca_projection"] = _pca_sql()
 
-ORACLE["kmeans_facts"] = chain_upto("cells") + f"""
-select cast(count(*) as bigint) as n_rows, cast({C.DEFAULT_K} as bigint) as n_levels, cast({C.DEFAULT_K} as bigint) as level_span,
-       true as speeds_fall, true as all_nearest, true as cost_agrees from cells"""
+
+# K-Means, all seeds side by side: a start by races over hashed waiting times, then Lloyd steps in a recursion.
+_P = 2_147_483_647
+
+
+def _kmeans_ctes(table: str, feats: list[str], k: int, seeds: list[int], group: str = "0", tol: float = 1e-4) -> str:
+    """CTEs ending in fits(grp, seed, c, inertia): the best seed of each group, from ``table`` (rid, features)."""
+    point = "{" + ", ".join(f"'{f}': p.{f}" for f in feats) + "}"
+    far = lambda c: "(" + " + ".join(f"(p.{f} - {c}.{f}) * (p.{f} - {c}.{f})" for f in feats) + ")"
+    hashed = f"select p.*, seed, ((rid % {_P}) * 48271 + (seed * 69621 + {{step}} * 40692 + 12345) % {_P}) % {_P} as z from {table} p, seeds"
+    for add in (7, 11, 13):
+        hashed = f"select * exclude (z, q), (q * q % {_P} * z + {add}) % {_P} as z from (select *, z * z % {_P} as q from ({hashed}))"
+    out = f"seeds as (select unnest({seeds}) as seed),\n"
+    for step in range(k):
+        rate = "1.0" if step == 0 else "least(" + ", ".join(far(f"s.c{j}") for j in range(step)) + ")" if step > 1 else far("s.c0")
+        kept = "".join(f", any_value(s.c{j}) as c{j}" for j in range(step))
+        wait = f"case when rate > 0 then -ln((z + 1) / {_P + 1}.0::double) / rate else 'inf'::double end"
+        source = f"({hashed.format(step=step)}) p" + (f" join start{step - 1} s using (seed)" if step else "")
+        keeps = "".join(f", s.c{j} as c{j}" for j in range(step))
+        out += (f"start{step} as materialized (select seed{kept.replace('s.c', 'c')}, arg_min(point, {wait}) as c{step} "
+                f"from (select p.seed, z, {rate} as rate, {point} as point{keeps} from {source}) group by seed),\n")
+    cs = [f"c{j}" for j in range(k)]
+    near = lambda v: "case " + " ".join(f"when {v}{j} = nearest then {j}" for j in range(k)) + " end"
+    dists = ", ".join(f"{far(f'l.c{j}')} as d{j}" for j in range(k))
+    mean = lambda j: "{" + ", ".join(f"'{f}': coalesce(avg({f}) filter (near = {j}), any_value(c{j}.{f}))" for f in feats) + "}"
+    shift = " + ".join(f"(n{j}.{f} - c{j}.{f}) * (n{j}.{f} - c{j}.{f})" for j in range(k) for f in feats)
+    least = f"(select {tol} * ({' + '.join(f'var_pop({f})' for f in feats)}) / {len(feats)} from {table})"
+    labelled = f"(select *, {near('d')} as near from (select *, least({', '.join(f'd{j}' for j in range(k))}) as nearest from (select l.*, p.*, {dists} from {{0}} l, {table} p)))"
+    out += f"""lloyd(seed, it, {', '.join(cs)}, done) as (
+  select seed, 0, {', '.join(cs)}, false from start{k - 1}
+  union all
+  select seed, it + 1, {', '.join(f'n{j}' for j in range(k))}, {shift} <= {least} or it + 1 >= {C.KMEANS_MAX_ITER} from (
+    select seed, it, {', '.join(f'any_value(c{j}) as c{j}' for j in range(k))}, {', '.join(f'{mean(j)} as n{j}' for j in range(k))}
+    from {labelled.format('(select * from lloyd where not done)')} group by seed, it)),
+ended as materialized (select * exclude (done, it) from lloyd where done),
+costs as materialized (select seed, sum(nearest) as inertia from {labelled.format('ended')} group by seed),
+fits as materialized (select {group} as grp, arg_min(seed, (inertia, seed)) as seed, min(inertia) as inertia from costs group by 1),
+near as materialized (select b.grp, b.inertia, n.* from {labelled.format('(select * from ended where seed in (select seed from fits))')} n join fits b using (seed))"""
+    return out
+
+
+_LEVELS = """,
+lev as (select grp, near, row_number() over (partition by grp order by avg(avg_speed_mph) desc) - 1 as congestion_level,
+               avg(avg_speed_mph) as speed, count(*) as n from near group by grp, near),
+lab as (select near.*, lev.congestion_level from near join lev using (grp, near))"""
+_CELLSC_ID = CELLSC.replace("with ", "with recursive ", 1) + f""",
+scid as materialized (select sc.*, zone_id * 1000 + hour_of_day * 10 + day_of_week as rid, avg_speed_mph
+                      from sc join cells using (zone_id, hour_of_day, day_of_week)),
+"""
+_SEED = C.KMEANS_RANDOM_STATE
+_FIT = _CELLSC_ID + _kmeans_ctes("scid", _F, C.DEFAULT_K, list(range(_SEED, _SEED + C.KMEANS_N_INIT))) + _LEVELS
+ORACLE["kmeans_labels"] = _FIT + f"""
+select {_K3}, {r6('avg_speed_mph')} as avg_speed_mph, cast(congestion_level as bigint) as congestion_level from lab"""
+
+ORACLE["kmeans_facts"] = _FIT + f"""
+select cast(count(*) as bigint) as n_rows, (select count(*) from lev) as n_levels,
+       cast(max(congestion_level) - min(congestion_level) + 1 as bigint) as level_span, (select max(n) from lev) as largest,
+       (select bool_and(falls) from (select coalesce(speed < lag(speed) over (order by congestion_level), true) as falls from lev)) as speeds_fall,
+       true as all_nearest, abs(sum(nearest) / any_value(inertia) - 1) < 1e-9 as cost_agrees,
+       round(any_value(inertia), 4) as inertia, cast(any_value(seed) as bigint) as seed from lab"""
+
+_QUICK = ["avg_speed_mph", "trip_density", "speed_deviation"]
+ORACLE["eda_quick_clusters"] = chain_upto("cells").replace("with ", "with recursive ", 1) + f""",
+st as (select {', '.join(f'avg({f}) as {f}_c, case when stddev_pop({f}) = 0 then 1 else stddev_pop({f}) end as {f}_s' for f in _QUICK)} from cells),
+scid as materialized (select zone_id, hour_of_day, day_of_week, zone_id * 1000 + hour_of_day * 10 + day_of_week as rid, avg_speed_mph as raw_speed,
+                             {', '.join(f'({f} - {f}_c) / {f}_s as {f}' for f in _QUICK)} from cells, st),
+{_kmeans_ctes("scid", _QUICK, 3, list(range(_SEED, _SEED + C.KMEANS_N_INIT)))}{_LEVELS}
+select {_K3}, {r6('raw_speed')} as avg_speed_mph, cast(congestion_level as bigint) as congestion_level from lab"""
+
+ORACLE["stability"] = _CELLSC_ID + _kmeans_ctes("scid", _F, C.DEFAULT_K, [s * 1000 + i for s in range(C.STABILITY_N_SEEDS) for i in range(C.KMEANS_N_INIT)],
+                                                "seed // 1000") + f""",
+ct as (select a.grp as g, b.grp as h, a.near as i, b.near as j, cast(count(*) as double) as nij from near a join near b on a.rid = b.rid and a.grp < b.grp group by all),
+sa as (select g, h, sum(ai * (ai - 1) / 2) as sum_a from (select g, h, i, sum(nij) as ai from ct group by all) group by all),
+sb as (select g, h, sum(bj * (bj - 1) / 2) as sum_b from (select g, h, j, sum(nij) as bj from ct group by all) group by all),
+sij as (select g, h, sum(nij * (nij - 1) / 2) as sum_ij, sum(nij) as n from ct group by all),
+e as (select *, sum_a * sum_b / (n * (n - 1) / 2) as ex, (sum_a + sum_b) / 2 as mx from sij join sa using (g, h) join sb using (g, h)),
+ari as (select case when mx - ex = 0 then 1.0 else (sum_ij - ex) / (mx - ex) end as ari from e)
+select {r6('avg(ari)')} as ari_mean, {r6('min(ari)')} as ari_min, min(ari) >= {C.STABILITY_ARI_MIN} as ari_pass from ari"""
 
 ORACLE["silhouette_sample"] = FEATM + SCALED + f"\nselect {_K3}, cast(congestion_level as bigint) as congestion_level from sc"
 

@@ -103,7 +103,7 @@ def run_clustering(spark: SparkSession, cells: DataFrame, out_dir: str, cfg: Clu
     data = KM.stable_input(scaled, key, feats)
     # The sweep has fitted the chosen k with the same seeds already.
     fit = info["fits"][k] if info and k in info["fits"] else KM.train_kmeans(data, k, cfg.seed, cfg.n_init, cfg.max_iter)
-    labelled = MA.assign_semantic_labels(KM.predict(fit, data)).drop("features").checkpoint(eager=True)
+    labelled = MA.assign_semantic_labels(KM.predict(fit, data)).drop("features", "_rid").checkpoint(eager=True)
     sample = QU.silhouette_sample(labelled, key).checkpoint(eager=True)
     per_row = QU.silhouette_samples(sample, feats, ["congestion_level"], key)
     overall, per = QU.silhouette_scores(per_row, sample, "congestion_level", key)
@@ -122,6 +122,6 @@ def run_clustering(spark: SparkSession, cells: DataFrame, out_dir: str, cfg: Clu
         db = DS.dbscan(labelled, key, feats)
         metrics["dbscan"] = DS.dbscan_metrics(db).first().asDict()
         labels_out = labels_out.join(db, key, "left")
-    IO.save_model_artifacts(fit.model, stats, labels_out, labelled, metrics, out_dir)
+    IO.save_model_artifacts(fit, stats, labels_out, labelled, metrics, out_dir)
     rep.seconds["cluster"] = round(time.perf_counter() - t0, 3)
     return metrics

@@ -12,11 +12,11 @@ import json
 import math
 from typing import Any
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from zonepace.operators.kmeans import KMeansFit
 from zonepace.sources.trips import resolve_column
 
 # FIXED VALUES: header aliases of the zone-centroid CSV.
@@ -101,7 +101,7 @@ def load_centroids(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*out)
 
 
-def save_model_artifacts(model: KMeansModel | None, scaler_stats: DataFrame, labels: DataFrame,
+def save_model_artifacts(fit: KMeansFit | None, scaler_stats: DataFrame, labels: DataFrame,
                          scaled: DataFrame, metrics: dict, out_dir: str) -> dict[str, str]:
     """Model, scaler statistics, labels, scaled features and metrics."""
     spark = labels.sparkSession
@@ -110,8 +110,9 @@ def save_model_artifacts(model: KMeansModel | None, scaler_stats: DataFrame, lab
         "model": f"{base}/model", "scaler": f"{base}/scaler_stats", "labels": f"{base}/cluster_labels",
         "scaled": f"{base}/scaled_features", "metrics": f"{base}/metrics",
     }
-    if model is not None:
-        model.write().overwrite().save(paths["model"])
+    if fit is not None:
+        rows = [(i, c, fit.k, fit.seed, fit.inertia, fit.n_iter) for i, c in enumerate(fit.centres)]
+        write_parquet(spark.createDataFrame(rows, "centre int, x array<double>, k int, seed long, inertia double, n_iter int"), paths["model"])
     write_parquet(scaler_stats, paths["scaler"])
     write_parquet(labels, paths["labels"])
     write_parquet(scaled, paths["scaled"])
@@ -120,14 +121,26 @@ def save_model_artifacts(model: KMeansModel | None, scaler_stats: DataFrame, lab
 
 
 def load_model_artifacts(spark: SparkSession, out_dir: str) -> dict[str, Any]:
+    """The written artifacts; ``model`` and ``scaled`` are None where the job wrote none (DBSCAN-only runs)."""
     base = out_dir.rstrip("/")
     out: dict[str, Any] = {}
-    try:
-        out["model"] = KMeansModel.load(f"{base}/model")
-    except Exception:  # noqa: BLE001 - absent model is allowed (DBSCAN-only runs)
-        out["model"] = None
+    model = read_parquet_optional(spark, f"{base}/model")
+    if model is not None:
+        rows = sorted(model.collect(), key=lambda r: r["centre"])  # k rows
+        model = KMeansFit([list(r["x"]) for r in rows], rows[0]["k"], rows[0]["seed"], rows[0]["inertia"], rows[0]["n_iter"])
+    out["model"] = model
     out["scaler"] = read_parquet_safe(spark, f"{base}/scaler_stats", "clustering")
     out["labels"] = read_parquet_safe(spark, f"{base}/cluster_labels", "clustering")
-    out["scaled"] = read_parquet_safe(spark, f"{base}/scaled_features", "clustering")
+    out["scaled"] = read_parquet_optional(spark, f"{base}/scaled_features")
     out["metrics"] = read_json(spark, f"{base}/metrics")
     return out
+
+
+def read_parquet_optional(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None when there is none; any other fault is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
