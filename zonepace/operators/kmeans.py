@@ -196,6 +196,21 @@ def predict(fit: KMeansFit, df: DataFrame, output: str = "raw_cluster") -> DataF
     return df.withColumn("_far", far).withColumn(output, (F.array_position("_far", F.array_min("_far")) - 1).cast("int")).drop("_far")
 
 
+def predict_many(fits: dict[str, KMeansFit], df: DataFrame) -> DataFrame:
+    """``df`` with one column of cluster numbers for every entry name → fit, in one pass."""
+    names = list(fits)
+    centres = [np.array(fits[n].centres) for n in names]
+
+    def label(batches):
+        for b in batches:
+            x = _numbers(b)
+            near = [pa.array(_squares(x, c).argmin(axis=1).astype(np.int32)) for c in centres]
+            yield pa.RecordBatch.from_arrays([*b.columns, *near], names=[*b.schema.names, *names])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"`{n}` int" for n in names]
+    return df.mapInArrow(label, ", ".join(fields))
+
+
 def detect_elbow_kneedle(ks: list[int], inertias: list[float], sensitivity: float = 1.0) -> int | None:
     """Kneedle (Satopää et al., 2011) for a convex, decreasing curve; None if no knee.
 
@@ -272,10 +287,7 @@ def choose_k(df: DataFrame, key: list[str], features: list[str] | None = None,
     data = stable_input(df, key, feats, id_col=id_col)
     ks = list(range(*k_range))
     fits = fit_many(data, {k: (k, seed) for k in ks}, n_init)
-    labelled = data
-    for k in ks:  # one pass: each model adds its column
-        labelled = predict(fits[k], labelled, f"k{k}")
-    labelled = labelled.drop("features", "_rid").checkpoint(eager=True)
+    labelled = predict_many({f"k{k}": fits[k] for k in ks}, data.select(*key, *feats, "features")).drop("features").checkpoint(eager=True)
     per_row = QU.silhouette_samples(labelled, feats, [f"k{k}" for k in ks], key)
     sil_row = per_row.agg(*[F.avg(f"sil_k{k}").alias(f"k{k}") for k in ks]).collect()[0]  # one row of k numbers
     sils = [float(sil_row[f"k{k}"]) if sil_row[f"k{k}"] is not None else float("nan") for k in ks]
@@ -303,9 +315,7 @@ def stability(df: DataFrame, key: list[str], k: int, features: list[str] | None
     feats = features or C.CLUSTER_FEATURES
     data = stable_input(df, key, feats, id_col=id_col)
     fits = fit_many(data, {s: (k, s * 1000) for s in range(n_seeds)}, n_init)
-    table = data
-    for s in range(n_seeds):
-        table = predict(fits[s], table, f"s{s}")
+    table = predict_many({f"s{s}": fits[s] for s in range(n_seeds)}, data.select(*key, "features"))
     table = table.select(*key, *[f"s{s}" for s in range(n_seeds)]).checkpoint(eager=True)
     # One job for all n(n−1)/2 pairs; the result has that many rows.
     aris = [float(r["ari"]) for r in QU.adjusted_rand_pairs(table, [f"s{s}" for s in range(n_seeds)]).collect()]

@@ -3,8 +3,8 @@
 Centroid-based scores (DB, CH, CV) are grouped aggregates plus k×k
 tables.  The silhouette needs, for every row, the sum of Euclidean
 distances to every cluster, over all rows: the points are dealt into blocks,
-each pair of blocks meets in one task, and a task returns one row of partial
-sums per point, which are added up.  Nothing is collected and no task holds
+each two blocks meet once in one task, which returns one row of partial
+sums for the points of both, and these are added up.  Nothing is collected and no task holds
 more than two blocks; the work stays quadratic in the number of points, so a
 caller may pass a sample (``silhouette_sample`` with a cap).
 """
@@ -52,24 +52,31 @@ def silhouette_samples(df: DataFrame, features: list[str], label_cols: list[str]
     sizes = {c: {r[0]: r[1] for r in df.groupBy(c).count().collect()} for c in label_cols}
     slots = [(c, lv) for c in label_cols for lv in sorted(sizes[c])]
     dealt = df.select(*cols).withColumn("_own", F.pmod(F.xxhash64(*key), F.lit(blocks)).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    rows = dealt.select(*cols, F.col("_own").alias("_a"), others.alias("_b"), F.lit(True).alias("_left")).unionByName(
-        dealt.select(*cols, others.alias("_a"), F.col("_own").alias("_b"), F.lit(False).alias("_left")))
+    # Each two blocks meet once: a point goes to the pair with every block, its own included.
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    rows = dealt.withColumn("_other", other).withColumns({"_a": F.least("_own", "_other"), "_b": F.greatest("_own", "_other")}).drop("_other")
     schema = ", ".join([f"`{k}` {t}" for k, t in df.select(*key).dtypes] + [f"_s{i} double" for i in range(len(slots))])
 
     def pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = pdf["_left"].to_numpy(bool)
-        left, right = pdf[side], pdf[~side]
+        low = (pdf["_own"] == pdf["_a"]).to_numpy()
+        same = bool(pdf["_a"].iloc[0] == pdf["_b"].iloc[0])
+        left, right = pdf[low], pdf if same else pdf[~low]
         x, y = left[features].to_numpy(np.float64), right[features].to_numpy(np.float64)
-        hot = np.column_stack([(right[c].to_numpy() == lv).astype(float) for c, lv in slots])
-        sums = np.empty((len(x), len(slots)))
+        hot = lambda part: np.column_stack([(part[c].to_numpy() == lv).astype(float) for c, lv in slots])
+        hot_x, hot_y = hot(left), hot(right)
+        sums, back = np.zeros((len(x), len(slots))), np.zeros((len(y), len(slots)))
         for s in range(0, len(x), 512):
-            d2 = (x[s:s + 512] ** 2).sum(axis=1)[:, None] + (y ** 2).sum(axis=1)[None, :] - 2.0 * x[s:s + 512] @ y.T
-            sums[s:s + 512] = np.sqrt(np.maximum(d2, 0.0)) @ hot
-        out = left[key].copy()
-        for i in range(len(slots)):
-            out[f"_s{i}"] = sums[:, i]
-        return out
+            d2 = np.zeros((len(x[s:s + 512]), len(y)))
+            for f in range(len(features)):
+                diff = x[s:s + 512, f][:, None] - y[:, f][None, :]
+                d2 += diff * diff
+            d = np.sqrt(d2)
+            sums[s:s + 512] = d @ hot_y
+            if not same:
+                back += d.T @ hot_x[s:s + 512]
+        out = left[key] if same else pd.concat([left[key], right[key]])
+        total = sums if same else np.concatenate([sums, back])
+        return out.assign(**{f"_s{i}": total[:, i] for i in range(len(slots))})
 
     parts = rows.groupBy("_a", "_b").applyInPandas(pair, schema)
     total = parts.groupBy(*key).agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(slots))])
@@ -221,16 +228,20 @@ def cluster_quality(scaled: DataFrame, labelled: DataFrame, features: list[str],
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    sil_ok = (silhouette.select((F.coalesce(~F.isnan("silhouette") & (F.col("silhouette") > C.TARGET_SILHOUETTE),
-                                            F.lit(False))).alias("sil_ok"))
-              if silhouette is not None else labelled.sparkSession.range(1).select(F.lit(False).alias("sil_ok")))
-    cv_ok = cv.agg(F.min(F.coalesce(~F.isnan("cv") & (F.col("cv") < C.TARGET_CVINTRA), F.lit(False)).cast("int")).alias("_c"))
-    gate = attach_row(sil_ok, cv_ok).select(
-        F.lit("kpi_pass").alias("metric"), F.lit(None).cast("long").alias("level"),
-        (F.col("sil_ok") & (F.col("_c") == 1)).cast("double").alias("value"))
+    if silhouette is None:
+        silhouette = labelled.sparkSession.range(1).select(F.lit(None).cast("double").alias("silhouette"))
+    gate = kpi_gate(silhouette, cv).select(F.lit("kpi_pass").alias("metric"), F.lit(None).cast("long").alias("level"),
+                                           F.col("kpi_pass").cast("double").alias("value"))
     return out.unionByName(gate)
 
 
+def kpi_gate(silhouette: DataFrame, cv: DataFrame) -> DataFrame:
+    """One row: sil_ok (overall silhouette > 0.5), cv_ok (every level's CV < 0.20), kpi_pass (both); null and NaN fail (Q9)."""
+    sil = silhouette.select(F.coalesce(~F.isnan("silhouette") & (F.col("silhouette") > C.TARGET_SILHOUETTE), F.lit(False)).alias("sil_ok"))
+    levels = cv.agg(F.coalesce(F.min(F.coalesce(~F.isnan("cv") & (F.col("cv") < C.TARGET_CVINTRA), F.lit(False))), F.lit(False)).alias("cv_ok"))
+    return attach_row(sil, levels).withColumn("kpi_pass", F.col("sil_ok") & F.col("cv_ok"))
+
+
 def level_window_rank(df: DataFrame, label: str, value: str, key: list[str]) -> DataFrame:
     """Rank of each row's silhouette within its level, largest first (for the sorted silhouette bands, Q3)."""
     ranked = row_numbers(df.withColumn("_down", -F.col(value)), [label], ["_down", *key], "band_rank")

@@ -630,15 +630,33 @@ def q_silhouette_per_cluster(spark, sf_dir):
 @register("silhouette_samples")
 def q_silhouette_samples(spark, sf_dir):
     sc, sample, per_row = _silhouette(spark, sf_dir)
+    # Ranked by the six digits shown, so equal values fall back to the key.
     j = per_row.join(sample.select(*C.CELL_KEY[:3], "congestion_level"), C.CELL_KEY[:3])
+    j = j.withColumn("sil_congestion_level", round6(F.col("sil_congestion_level"))).checkpoint(eager=True)
     return norm(QU.level_window_rank(j, "congestion_level", "sil_congestion_level", C.CELL_KEY[:3]))
 
 
 @register("cluster_quality")
 def q_cluster_quality(spark, sf_dir):
-    """Metrics document as a long table on the fixed labels, including the KPI gate (Q9)."""
-    sc = scaled_table(spark, sf_dir)
-    return norm(QU.cluster_quality(sc, labelled_cells(spark, sf_dir), FEATS, C.CELL_KEY[:3]))
+    """Metrics document as a long table on the fixed labels, with silhouettes and the KPI gate (Q9)."""
+    sc, sample, per_row = _silhouette(spark, sf_dir)
+    overall, per = QU.silhouette_scores(per_row.checkpoint(eager=True), sample, "congestion_level", C.CELL_KEY[:3])
+    return norm(QU.cluster_quality(sc, labelled_cells(spark, sf_dir), FEATS, C.CELL_KEY[:3], silhouette=overall, per_cluster_sil=per))
+
+
+@register("kpi_gate")
+def q_kpi_gate(spark, sf_dir):
+    """The KPI gate on two labelings of all cells: the fixed hour bands over the scaled features, and speed bands of a
+    quarter each over their band number, whose levels are tight by construction (Q9)."""
+    key = C.CELL_KEY[:3]
+    overall, _ = QU.silhouette_scores(*_silhouette(spark, sf_dir)[:0:-1], "congestion_level", key)
+    labelled = labelled_cells(spark, sf_dir)
+    band = F.floor(F.log("avg_speed_mph") / F.log(F.lit(1.25))).cast("int")
+    tight = labelled.select(*key, "avg_speed_mph", band.alias("congestion_level"), band.cast("double").alias("band")).checkpoint(eager=True)
+    tight_sil, _ = QU.silhouette_scores(QU.silhouette_samples(tight, ["band"], ["congestion_level"], key), tight, "congestion_level", key)
+    rows = [QU.kpi_gate(sil, QU.cv_intra(table)).select(F.lit(name).alias("labeling"), "sil_ok", "cv_ok", "kpi_pass")
+            for name, sil, table in (("hour_bands", overall, labelled), ("speed_bands", tight_sil, tight))]
+    return norm(rows[0].unionByName(rows[1]))
 
 
 # ---- steps 5–7: K-Means, DBSCAN, PCA, geometry, freshness -------------------
@@ -827,13 +845,13 @@ def q_silhouette_sample(spark, sf_dir):
 
 @register("scorecard")
 def q_scorecard(spark, sf_dir):
-    """Scorecard on the fixed labels; the ARI rows compare the levels with the
-    second labeling (zone + hour) mod 4, a stand-in for seed-to-seed agreement."""
-    sc = scaled_table(spark, sf_dir)
-    lc = labelled_cells(spark, sf_dir).withColumn("second", (F.col("zone_id") + F.col("hour_of_day")) % 4)
-    ari = QU.adjusted_rand(lc, "congestion_level", "second")
-    return norm(QU.scorecard(QU.davies_bouldin(sc, FEATS, "congestion_level"),
-                             QU.calinski_harabasz(sc, FEATS, "congestion_level"), ari, ari))
+    """Scorecard of the fixed labels; the ARI rows are the seed stability of K-Means at the default k."""
+    sc, sample, per_row = _silhouette(spark, sf_dir)
+    overall, _ = QU.silhouette_scores(per_row, sample, "congestion_level", C.CELL_KEY[:3])
+    st = KM.stability(cell_scaled(spark, sf_dir), KEY3, C.DEFAULT_K, id_col="cell_id")
+    ari = lambda x: spark.range(1).select(F.lit(x).alias("ari"))
+    return norm(QU.scorecard(QU.davies_bouldin(sc, FEATS, "congestion_level"), QU.calinski_harabasz(sc, FEATS, "congestion_level"),
+                             ari(st["ari_min"]), ari(st["ari_mean"]), silhouette=overall))
 
 
 

@@ -737,7 +737,24 @@ select {r6("case when mx - ex = 0 then 1.0 else (sum_ij - ex) / (mx - ex) end")}
 ORACLE["ari"] = _ari_sql("(zone_id + hour_of_day) % 4")
 ORACLE["ari_identical"] = _ari_sql("10 - congestion_level")
 
-ORACLE["cluster_quality"] = FEATM + SCALED + _CEN + f""",
+# Silhouettes over all pairs of rows: per row the sums of distances to every level.
+_PAIR = "sqrt(" + " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in _F) + ")"
+SIL = FEATM + SCALED + f""",
+sp as materialized (select *, row_number() over () as r, count(*) over (partition by congestion_level) as own_n from sc),
+pd as (select a.r, b.congestion_level as l, {_PAIR} as d from sp a, sp b),
+sums as materialized (select r, {', '.join(f'coalesce(sum(d) filter (l = {i}), 0) as s{i}' for i in range(4))} from pd group by r),
+ns as (select {', '.join(f'nullif(count(*) filter (congestion_level = {i}), 0) as n{i}' for i in range(4))} from sc),
+ab as (select sp.*, [s0, s1, s2, s3][congestion_level + 1] / nullif(own_n - 1, 0) as am,
+              least({', '.join(f'case when congestion_level <> {i} then s{i} / n{i} end' for i in range(4))}) as bm from sp join sums using (r), ns),
+sil as materialized (select *, case when own_n = 1 or greatest(am, bm) = 0 then 0 else (bm - am) / greatest(am, bm) end as s from ab)"""
+ORACLE["silhouette_overall"] = SIL + f"\nselect {r6('avg(s)')} as silhouette from sil"
+ORACLE["silhouette_per_cluster"] = SIL + f"""
+select cast(congestion_level as bigint) as congestion_level, {r6('avg(s)')} as silhouette from sil group by congestion_level"""
+ORACLE["silhouette_samples"] = SIL + f"""
+select {_K3}, {r6('s')} as sil_congestion_level, cast(congestion_level as bigint) as congestion_level,
+       cast(row_number() over (partition by congestion_level order by {r6('s')} desc, zone_id, hour_of_day, day_of_week) as bigint) as band_rank from sil"""
+
+ORACLE["cluster_quality"] = SIL + _CEN + f""",
 s as (select sc.congestion_level, avg(sqrt({_DIST})) as s from sc join cen on sc.congestion_level = cen.congestion_level group by 1),
 cs as (select cen.*, s.s from cen join s on cen.congestion_level = s.congestion_level),
 r as (select a.congestion_level, max((a.s + b.s) / sqrt({' + '.join(f'(a.c_{f} - b.c_{f})^2' for f in _F)})) as r
@@ -747,11 +764,23 @@ w as (select sum({_DIST}) as W from sc join cen on sc.congestion_level = cen.con
 b as (select sum(n * ({' + '.join(f'(c_{f} - m_{f})^2' for f in _F)})) as B, count(*) as k, sum(n) as n from cen cross join m),
 cv as (select congestion_level, case when avg(avg_speed_mph) > 0 then stddev_pop(avg_speed_mph) / avg(avg_speed_mph)
               else cast('nan' as double) end as cv from fm group by 1)
-select 'davies_bouldin' as metric, cast(null as bigint) as level, {r6('(select avg(r) from r)')} as value
+select 'silhouette' as metric, cast(null as bigint) as level, (select {r6('avg(s)')} from sil) as value
+union all select 'silhouette_cluster', cast(congestion_level as bigint), {r6('avg(s)')} from sil group by congestion_level
+union all select 'davies_bouldin', null, {r6('(select avg(r) from r)')}
 union all select 'calinski_harabasz', null, {r6('(B / (k - 1)) / (W / (n - k))')} from b cross join w
 union all select 'cv_intra', cast(congestion_level as bigint), {r6('cv')} from cv
 union all select 'cluster_size', cast(congestion_level as bigint), cast(count(*) as double) from fm group by congestion_level
-union all select 'kpi_pass', null, 0.0::double"""
+union all select 'kpi_pass', null, case when (select avg(s) from sil) > {C.TARGET_SILHOUETTE} and (select max(cv) from cv) < {C.TARGET_CVINTRA} then 1.0::double else 0.0 end"""
+
+ORACLE["kpi_gate"] = SIL + f""",
+tight as (select floor(ln(avg_speed_mph) / ln(1.25)) as l, avg_speed_mph as v from labelled),
+bands as (select l, count(*) as n, stddev_pop(v) / avg(v) as cv from tight group by l),
+-- rows of a band lie on one point: the silhouette is 1 for each, 0 for a band of one row
+t as (select sum(case when n > 1 then n else 0 end)::double / sum(n) > {C.TARGET_SILHOUETTE} and count(*) > 1 as sil_ok, max(cv) < {C.TARGET_CVINTRA} as cv_ok from bands),
+h as (select (select avg(s) from sil) > {C.TARGET_SILHOUETTE} as sil_ok,
+             (select max(cv) from (select stddev_pop(avg_speed_mph) / avg(avg_speed_mph) as cv from labelled group by congestion_level)) < {C.TARGET_CVINTRA} as cv_ok)
+select 'hour_bands' as labeling, sil_ok, cv_ok, sil_ok and cv_ok as kpi_pass from h
+union all select 'speed_bands', sil_ok, cv_ok, sil_ok and cv_ok from t"""
 
 
 # ---- steps 5–7 ------------------------------------------------------------------
@@ -985,27 +1014,16 @@ from clean"""
 
 
 _R3T = "printf('%.3f', floor(({x}) * cast(1000 as double) + cast(0.5 as double)) / cast(1000 as double))"
-ORACLE["scorecard"] = FEATM + SCALED + _CEN + f""",
-s as (select sc.congestion_level, avg(sqrt({_DIST})) as s from sc join cen on sc.congestion_level = cen.congestion_level group by 1),
-cs as (select cen.*, s.s from cen join s on cen.congestion_level = s.congestion_level),
-r as (select a.congestion_level, max((a.s + b.s) / sqrt({' + '.join(f'(a.c_{f} - b.c_{f})^2' for f in _F)})) as r
-      from cs a join cs b on a.congestion_level <> b.congestion_level group by 1),
-dbv as (select avg(r) as db from r),
-m as (select {', '.join(f'avg({f}) as m_{f}' for f in _F)} from sc),
-w as (select sum({_DIST}) as W from sc join cen on sc.congestion_level = cen.congestion_level),
-b as (select sum(n * ({' + '.join(f'(c_{f} - m_{f})^2' for f in _F)})) as B, count(*) as k, sum(n) as n from cen cross join m),
-chv as (select (B / (k - 1)) / (W / (n - k)) as ch from b cross join w),
-ct as (select congestion_level as a, (zone_id + hour_of_day) % 4 as bb, cast(count(*) as double) as nij from fm group by 1, 2),
-sa as (select sum(ai * (ai - 1) / 2) as sum_a from (select a, sum(nij) as ai from ct group by a) x),
-sb as (select sum(bj * (bj - 1) / 2) as sum_b from (select bb, sum(nij) as bj from ct group by bb) y),
-sij as (select sum(nij * (nij - 1) / 2) as sum_ij, sum(nij) as n from ct),
-e as (select sum_ij, sum_a * sum_b / (n * (n - 1) / 2) as ex, (sum_a + sum_b) / 2 as mx from sij, sa, sb),
-ariv as (select case when mx - ex = 0 then 1.0 else (sum_ij - ex) / (mx - ex) end as ari from e)
-select 2 as ord, 'Davies–Bouldin' as metric, '< 1.00' as target, {_R3T.format(x='db')} as observed, db < 1.0 as pass from dbv
-union all select 3, 'Calinski–Harabasz', 'higher better', format('{{:,.0f}}', floor(ch + 0.5)), cast(null as boolean) from chv
-union all select 4, 'ARI seed stability (min)', '≥ 0.80', {_R3T.format(x='ari')}, ari >= 0.8 from ariv
-union all select 5, 'ARI seed stability (mean)', '≥ 0.90', {_R3T.format(x='ari')}, ari >= 0.9 from ariv
-union all select 6, 'Stability gate', 'PASS', case when ari >= {C.STABILITY_ARI_MIN} then 'PASS' else 'FAIL' end, ari >= {C.STABILITY_ARI_MIN} from ariv"""
+_STAB_BODY = ORACLE["stability"][:ORACLE["stability"].rindex("\nselect ")].replace("with recursive ", "with recursive\n", 1)
+ORACLE["scorecard"] = f"""with kst as materialized ({_STAB_BODY}
+select avg(ari) as ari_mean, min(ari) as ari_min from ari),
+qual as materialized ({ORACLE["cluster_quality"]})
+select 1 as ord, 'Silhouette' as metric, '> 0.50' as target, {_R3T.format(x='value')} as observed, value > {C.TARGET_SILHOUETTE} as pass from qual where metric = 'silhouette'
+union all select 2, 'Davies–Bouldin', '< 1.00', {_R3T.format(x='value')}, value < 1.0 from qual where metric = 'davies_bouldin'
+union all select 3, 'Calinski–Harabasz', 'higher better', format('{{:,.0f}}', floor(value + 0.5)), cast(null as boolean) from qual where metric = 'calinski_harabasz'
+union all select 4, 'ARI seed stability (min)', '≥ 0.80', {_R3T.format(x='ari_min')}, ari_min >= 0.8 from kst
+union all select 5, 'ARI seed stability (mean)', '≥ 0.90', {_R3T.format(x='ari_mean')}, ari_mean >= 0.9 from kst
+union all select 6, 'Stability gate', 'PASS', case when ari_min >= {C.STABILITY_ARI_MIN} then 'PASS' else 'FAIL' end, ari_min >= {C.STABILITY_ARI_MIN} from kst"""
 
 ORACLE["load_centroids"] = chain_upto("cells") + f"""
 select cast(zone_id as bigint) as zone_id, {r6('40.5::double + zone_id * 0.002::double')} as latitude,
