@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,10 +33,10 @@ def test_scores_do_not_depend_on_batches_or_cache(monkeypatch):
     rng = np.random.default_rng(0)
     logits = rng.normal(size=(1 << M.BITS, 2)).astype(np.float32)
     texts = ["", "a b a", "Wort wort é 漢字", "x" * 4000, "y y y z"] * 3
-    want = M.Scorer(logits).score(texts)
+    want, sizes = M.Scorer(logits).score(pa.array(texts))
     monkeypatch.setattr(M, "CACHE_WORDS", 1)
     one = M.Scorer(logits)
-    assert np.allclose(np.concatenate([one.score([t]) for t in texts]), want, atol=1e-12)
+    assert np.allclose(np.concatenate([one.score(pa.array([t]))[0] for t in texts]), want, atol=1e-12)
     # A text's logits are the mean over its features.
     feature, share = M.text_features("y y y z")
     direct = share @ logits[feature]

@@ -58,8 +58,15 @@ def test_encoder_equals_library(texts, odd):
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     encoder = O.Encoder(path)
     some = [t or "" for t in texts if len(t or "") < 100_000] + odd + ["a\0b", "\0", "x \0\0! y\0"]
-    for t, got in zip(some, encoder.encode(some)):
-        assert np.frombuffer(got, "<u2").tolist() == [*library.encode_ordinary(t), 50256]
+    some += [a + b + c for a in ("", " ", "\n", "  ", "\t ") for b in ("ab", "ab's 'd1 2x", "é!?ß 漢字") for c in ("", " ", " \n", "\n\n", " \n x", "\r\ny", "  z")]
+    want = [[*library.encode_ordinary(t), 50256] for t in some]
+    together, sizes = encoder.encode(pa.array(some))  # holds white space beyond ASCII: cut by the pattern
+    assert [x.tolist() for x in np.split(together, np.cumsum(sizes)[:-1])] == want
+    for _ in range(2):  # each on its own, new and known words
+        assert [encoder.encode(pa.array([t]))[0].tolist() for t in some] == want
+    plain = [i for i, t in enumerate(some) if t.isascii() or not O.WIDE_WHITE.search(t.encode())]
+    together, sizes = O.Encoder(path).encode(pa.array([some[i] for i in plain]))
+    assert [x.tolist() for x in np.split(together, np.cumsum(sizes)[:-1])] == [want[i] for i in plain]
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 1000, 4097])
@@ -85,11 +92,14 @@ def test_shards_round_trip(spark, docs, texts, tmp_path):
     ends = np.flatnonzero(stream == 50256)
     encoder = O.Encoder(path)
     found = sorted(x.tobytes() for x in np.split(stream, ends + 1) if len(x))
-    assert found == sorted(encoder.encode([t or "" for t in texts if len(t or "") < 200_000]))
+    ids, sizes = encoder.encode(pa.array([t or "" for t in texts if len(t or "") < 200_000]))
+    assert found == sorted(x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1]))
     assert {d for r in rows for d in r.doc_ids} == {i for i, t in enumerate(texts) if len(t or "") < 200_000}
     resumed = O.read_slots(spark, str(tmp_path / "shards"), 30, 40, per_shard=32).collect()
     assert [r.slot for r in resumed] == list(range(30, 70))
     assert O.training_order(docs.limit(0), path).count() == 0
+    again = spark.createDataFrame([(7, "a b")] * 1300, "doc_id long, text string").coalesce(1)
+    assert sum(len(r.doc_ids) for r in O.training_order(again, path, length=3900).collect()) == 1300
 
 
 @pytest.mark.parametrize("block", [64, 1 << 20])

@@ -12,8 +12,8 @@ from zonepace.session import ensure_checkpoint_dir, scratch_path
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Rows and bytes per Arrow batch handed to Python, whichever is reached first: whole
-# texts of any length then take a worker about this much (or one text, if that is longer).
-ARROW_ROWS, ARROW_BYTES = 512, 16 << 20
+# texts of any length then take a worker a few times this much (or one text, if that is longer).
+ARROW_ROWS, ARROW_BYTES = 512, 4 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -49,12 +49,11 @@ def with_posteriors(docs: DataFrame, logits: np.ndarray, text_col: str = "text")
     shared = docs.sparkSession.sparkContext.broadcast(logits)
 
     def score(batches):
-        scorer = M.Scorer(shared.value)
+        scorer = M.scorer_of(shared.value)
         for b in batches:
-            texts = ["" if t is None else t for t in b.column(text_col).to_pylist()]
-            p = scorer.score(texts)
-            tokens = pa.array([float(len(t.split())) for t in texts], pa.float64())
-            rows = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * p.shape[1]), pa.array(p.ravel()))
+            p, words = scorer.score(b.column(text_col))
+            tokens = pa.array(words.astype(np.float64))
+            rows = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * p.shape[1]), pa.array(p.ravel()))
             yield pa.RecordBatch.from_arrays([*b.columns, tokens, rows], names=[*b.schema.names, _T, _P])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

@@ -34,9 +34,9 @@ def score_quality(docs: DataFrame, logits: np.ndarray, threshold: float = THRESH
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def score(batches):
-        scorer = M.Scorer(shared.value)
+        scorer = M.scorer_of(shared.value)
         for b in batches:
-            yield pa.record_batch([b.column("doc_id"), pa.array(scorer.score(b.column("text").to_pylist())[:, 1])], names=["doc_id", "score"])
+            yield pa.record_batch([b.column("doc_id"), pa.array(scorer.score(b.column("text"))[0][:, 1])], names=["doc_id", "score"])
 
     return (source.mapInArrow(score, f"doc_id {kind}, score double")
             .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")))
@@ -48,9 +48,8 @@ def keep_quality(docs: DataFrame, logits: np.ndarray, threshold: float = THRESHO
     shared = docs.sparkSession.sparkContext.broadcast(logits)
 
     def keep(batches):
-        scorer = M.Scorer(shared.value)
+        scorer = M.scorer_of(shared.value)
         for b in batches:
-            texts = ["" if t is None else t for t in b.column(text_col).to_pylist()]
-            yield b.filter(pa.array(scorer.score(texts)[:, 1] >= threshold))
+            yield b.filter(pa.array(scorer.score(b.column(text_col))[0][:, 1] >= threshold))
 
     return docs.mapInArrow(keep, docs.schema)

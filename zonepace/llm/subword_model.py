@@ -10,11 +10,14 @@ sample of at most ``MAX_TRAIN`` labelled texts: Spark tasks build the features,
 hashed counts (a bounded number of rows) and trains, and the finished logits come to the driver.
 
 A text's logits are means of per-feature numbers, so scoring needs one row of
-logits per distinct word and no embedding: words are looked up in a bounded cache.
+logits per distinct word and no embedding.  Words are hashed straight from the Arrow buffer and
+looked up in a bounded table of fixed-width entries.
 """
 
 from __future__ import annotations
 
+import re
+import zlib
 from itertools import islice
 from operator import eq
 
@@ -23,12 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonepace.llm import words as W
 from zonepace.llm.words import U, mix
 
 BITS, DIM, GRAMS = 18, 8, (3, 4, 5)
 MAX_TRAIN = 4000
 EPOCHS, LEAST_STEPS, RATE, SEED = 4, 12_000, 0.1, 11
 CACHE_WORDS = 500_000
+LEARN_CHARS = 1_000_000  # characters of new words taken at once
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 END, AGAIN = "\n", "\n\n"  # the end and repetition marks: no white-space word can be equal to them
 
 
@@ -62,7 +68,7 @@ def repetitions(words: list[str]) -> int:
 
 def text_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(feature, share): the distinct features of a text with their share of all its features."""
-    words = text.split()
+    words = WORD.findall(text)
     count: dict[str, int] = {END: 1, AGAIN: repetitions(words)}
     for w in words:
         count[w] = count.get(w, 0) + 1
@@ -112,43 +118,76 @@ class Scorer:
     """Class probabilities of whole texts; one per worker."""
 
     def __init__(self, logits: np.ndarray):
-        self.logits, self.known = logits, {}
-        self.sums = np.zeros((0, logits.shape[1]))
-        self.sizes = np.zeros(0)
-        self.learn([END, AGAIN])
+        self.logits = logits
+        self.marks, self.mark_sizes = self._sums([END, AGAIN])
+        self._reset()
 
-    def learn(self, words: list[str]) -> None:
+    def _reset(self) -> None:
+        self.known = W.Known()
+        self.sums, self.sizes = np.zeros((0, self.logits.shape[1])), np.zeros(0)
+
+    def _sums(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sum of logits and number of features of each word."""
         owner, feature = word_features(words)
         got = self.logits[feature].astype(np.float64)
-        sums = np.column_stack([np.bincount(owner, got[:, k], minlength=len(words)) for k in range(got.shape[1])])
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        self.sums = np.concatenate([self.sums, sums])
-        self.sizes = np.concatenate([self.sizes, np.bincount(owner, minlength=len(words))])
-
-    def score(self, texts: list[str]) -> np.ndarray:
-        """texts x classes."""
-        if len(self.known) > CACHE_WORDS:
-            self.__init__(self.logits)
-        known = self.known
-        split = [t.split() for t in texts]
-        new = dict.fromkeys(w for words in split for w in words if w not in known)
-        if new:
-            self.learn(list(new))
-        out = np.empty((len(texts), self.logits.shape[1]))
-        for i, words in enumerate(split):
-            at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            again = repetitions(words)
-            logit = ((self.sums[at].sum(axis=0) + self.sums[0] + again * self.sums[1])
-                     / (self.sizes[at].sum() + self.sizes[0] + again * self.sizes[1]))
-            p = np.exp(logit - logit.max())
-            out[i] = p / p.sum()
-        return out
+        return (np.column_stack([np.bincount(owner, got[:, k], minlength=len(words)) for k in range(got.shape[1])]),
+                np.bincount(owner, minlength=len(words)).astype(float))
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        upto = np.cumsum(ends - starts)
+        lo = 0
+        while lo < len(hashes):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + LEARN_CHARS, side="right")))
+            sums, sizes = self._sums([data[a:b].tobytes().decode() for a, b in zip(starts[lo:hi], ends[lo:hi])])
+            self.known.add(hashes[lo:hi], np.arange(len(self.sizes), len(self.sizes) + hi - lo))
+            self.sums, self.sizes = np.concatenate([self.sums, sums]), np.concatenate([self.sizes, sizes])
+            lo = hi
+
+    def score(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(texts x classes, words of each text); nulls are empty texts."""
+        data, offsets = W.buffers(column)
+        hashes, bounds, starts, ends = W.hash_words(data, offsets, True, W.SPACED)
+        kinds, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+        at = self.known.find(kinds)
+        if len(self.known) + np.count_nonzero(at < 0) > CACHE_WORDS and len(self.known):
+            self._reset()
+            at = np.full(len(kinds), -1)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            self._learn(kinds[new], data, starts[first[new]], ends[first[new]])
+            at = self.known.find(kinds)
+        words = at[place]
+        n = np.diff(bounds)
+        full = np.flatnonzero(n)
+        logit, size = np.tile(self.marks[0], (len(n), 1)), np.full(len(n), self.mark_sizes[0])
+        if len(full):
+            logit[full] += np.add.reduceat(self.sums[words], bounds[full])
+            size[full] += np.add.reduceat(self.sizes[words], bounds[full])
+            text = np.repeat(np.arange(len(n)), n)
+            again = np.bincount(text[1:][(hashes[1:] == hashes[:-1]) & (text[1:] == text[:-1])], minlength=len(n))
+            logit += again[:, None] * self.marks[1]
+            size += again * self.mark_sizes[1]
+        logit /= size[:, None]
+        p = np.exp(logit - logit.max(axis=1, keepdims=True))
+        return p / p.sum(axis=1, keepdims=True), n
+
+
+_SCORERS: dict[int, Scorer] = {}
+
+
+def scorer_of(logits: np.ndarray) -> Scorer:
+    """The worker's scorer of these logits: what one task has learnt serves the next; other logits replace it."""
+    key = zlib.crc32(logits.tobytes())
+    if key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = Scorer(logits)
+    return _SCORERS[key]
 
 
 def fit(docs: DataFrame, labels: DataFrame, classes: int, max_train: int = MAX_TRAIN, **options) -> np.ndarray:
     """Per-feature logits from (doc_id, text) and (doc_id, label): labels of one id are averaged and rounded half up.
 
-    At most ``max_train`` labelled ids, those with the smallest hash, are used; the bound
+    At most ``max_train`` labelled ids, those with the smallest hash, are used, each with one text; the bound
     also bounds the broadcast id list and the training task.
     """
     one = (labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id")
@@ -163,13 +202,15 @@ def fit(docs: DataFrame, labels: DataFrame, classes: int, max_train: int = MAX_T
                                    "share": pa.array([s.tobytes() for _, s in made], pa.binary())})
 
     def learn(batches):
-        # A repeated row counts once, and the order of rows must not matter.
-        rows = sorted({row for b in batches for row in zip(*(c.to_pylist() for c in b.columns))})[:max_train]
+        # The order of rows must not matter.
+        rows = sorted(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
         logits = train([(np.frombuffer(f, np.int32), np.frombuffer(s, np.float32)) for _, _, f, s in rows],
                        np.array([label for _, label, _, _ in rows], np.int64), classes, **options)
         yield pa.record_batch({"logits": pa.array([logits.tobytes()], pa.binary())})
 
-    sample = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
+    # One text an id, whatever the number of rows that repeat it: the one with the smallest hash.
+    sample = (docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label")
+              .agg(F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text")))
     made = (sample.mapInArrow(build, "doc_id string, label int, feature binary, share binary")
             .repartition(1).mapInArrow(learn, "logits binary").collect())
     if not made:

@@ -16,6 +16,8 @@
 from __future__ import annotations
 
 import base64
+import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +27,12 @@ from pyspark.sql import functions as F
 
 from zonepace.llm.common import at_most, small_batches, text_of, written
 from zonepace.llm.token_count import Pieces
-from zonepace.llm.words import U, mix
+from zonepace.llm.words import SPACED, Known, U, buffers, hash_words, mix
 
 LENGTH, PER_SHARD, KEY, ROUNDS = 2048, 2048, 20240601, 6
-CACHE_TOKENS = 500_000
+CACHE_TOKENS = 1_000_000  # entries of fixed width; four times as many ids
+# The white space beyond ASCII, in UTF-8.
+WIDE_WHITE = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 MAX_PARTS = 2_000_000
 
 
@@ -59,7 +63,14 @@ def permute(index: np.ndarray, n: int, key: int = KEY, inverse: bool = False) ->
 # ---------------------------------------------------------------- tokens
 
 class Encoder:
-    """Token ids of whole texts as little-endian 16-bit bytes; one per worker."""
+    """Token ids of whole texts as little-endian 16-bit numbers; one per worker.
+
+    In the vocabulary's pattern, what lies between ASCII white space is cut without regard to its
+    neighbours; only whether a single space goes before it matters.  So each distinct (word, space before)
+    is encoded once, found again by its hash, and a text's ids are gathered from the stored ones.  Other white
+    space (line feeds, runs) is a pre-token or two of its own.  Batches with white space beyond ASCII, which may
+    join such runs, are cut by the pattern itself.
+    """
 
     def __init__(self, path: str):
         import tiktoken
@@ -69,35 +80,98 @@ class Encoder:
         # The vocabulary's pre-token pattern.
         self.pieces = Pieces("'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{white}{letters}{numbers}]+"
                              "|[{white}]+(?![^{white}])|[{white}]+")
-        self.end = (max(ranks.values()) + 1).to_bytes(2, "little")
+        self.end = max(ranks.values()) + 1
         self.stop = ranks[b"\0"]
         # Two ways to encode given pre-tokens: many at once between zero bytes, or one that holds such a byte.
         self.many = tiktoken.Encoding("many", pat_str=r"\x00|[^\x00]+", mergeable_ranks=ranks, special_tokens={})
         self.one = tiktoken.Encoding("one", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, bytes] = {}
+        self._reset()
+
+    def _reset(self) -> None:
+        """Entry 0 is empty, entry 1 the end of a text."""
+        self.known, self.gaps = Known(), {}
+        self.flat = np.array([self.end], "<u2")
+        self.begin, self.size = np.array([0, 0]), np.array([0, 1])
 
-    def learn(self, pieces: set[str]) -> None:
+    def _encoded(self, pieces: set[str]) -> dict[str, bytes]:
         plain = [p for p in pieces if "\0" not in p]
         ids = np.array(self.many.encode_ordinary("\0".join(plain)), "<u2")
         stops = np.flatnonzero(ids == self.stop)
         raw = ids.tobytes()
         starts, ends = [0, *(2 * stops + 2).tolist()], [*(2 * stops).tolist(), len(raw)]
-        self.known.update(zip(plain, [raw[a:b] for a, b in zip(starts, ends)]))
-        for p in pieces:
-            if "\0" in p:
-                self.known[p] = np.array(self.one.encode_ordinary(p), "<u2").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text and the end-of-text id."""
-        if len(self.known) > CACHE_TOKENS:
-            self.known.clear()
-        known = self.known
-        split = list(map(self.pieces, texts))
-        got = [list(map(known.get, pieces)) for pieces in split]
-        new = {p for pieces, ids in zip(split, got) if None in ids for p, i in zip(pieces, ids) if i is None}
-        if new:
-            self.learn(new)
-        return [b"".join(ids if None not in ids else map(known.__getitem__, pieces)) + self.end for pieces, ids in zip(split, got)]
+        out = dict(zip(plain, [raw[a:b] for a, b in zip(starts, ends)]))
+        out.update((p, np.array(self.one.encode_ordinary(p), "<u2").tobytes()) for p in pieces if "\0" in p)
+        return out
+
+    def _enter(self, cut: list[list[str]]) -> np.ndarray:
+        """New entries, one per list of pre-tokens."""
+        got = self._encoded({p for pieces in cut for p in pieces})
+        raw = [b"".join(map(got.__getitem__, pieces)) for pieces in cut]
+        size = np.array([len(r) // 2 for r in raw])
+        first = len(self.size)
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(raw), "<u2")])
+        return np.arange(first, first + len(cut))
+
+    def _gap(self, gap: bytes, last: bool) -> int:
+        """The entry of white space before a word (less the space that goes with the word) or at a text's end."""
+        if (gap, last) not in self.gaps:
+            text = gap.decode()
+            cut = [text] if last else [text[:-1]] if text.endswith(" ") else [text[:-1], text[-1]]
+            self.gaps[gap, last] = int(self._enter([[p for p in cut if p]])[0])
+        return self.gaps[gap, last]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, number of each text's), each text closed by the end-of-text id; nulls are empty."""
+        data, offsets = buffers(column)
+        if len(offsets) < 2:
+            return np.zeros(0, "<u2"), np.zeros(0, np.int64)
+        if len(self.size) > CACHE_TOKENS or len(self.flat) > 4 * CACHE_TOKENS:
+            self._reset()
+        if WIDE_WHITE.search(data[offsets[0]:offsets[-1]]):
+            texts = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:])]
+            cut = list(map(self.pieces, texts))
+            got = self._encoded({p for pieces in cut for p in pieces})
+            raw = [b"".join(map(got.__getitem__, pieces)) + np.array([self.end], "<u2").tobytes() for pieces in cut]
+            return np.frombuffer(b"".join(raw), "<u2"), np.array([len(r) // 2 for r in raw])
+        hashes, bounds, starts, ends = hash_words(data, offsets, True, SPACED)
+        n, texts = np.diff(bounds), len(bounds) - 1
+        text = np.repeat(np.arange(texts), n)
+        before = np.concatenate([[0], ends[:-1]])
+        heads = bounds[:-1][n > 0]
+        before[heads] = offsets[:-1][n > 0]
+        spaced = (starts > before) & (data[np.maximum(starts - 1, 0)] == 32)
+        entries = np.zeros(2 * len(starts) + 2 * texts, np.int64)
+        word_at = 2 * np.arange(len(starts)) + 2 * text + 1
+        kinds, first, place = np.unique(mix(hashes + spaced.astype(np.uint64)), return_index=True, return_inverse=True)
+        at = self.known.find(kinds)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            own = first[new]
+            cut = [self.pieces((" " if s else "") + data[a:b].tobytes().decode()) for s, a, b in zip(spaced[own], starts[own], ends[own])]
+            at[new] = self._enter(cut)
+            self.known.add(kinds[new], at[new])
+        entries[word_at] = at[place]
+        # White space that is more than the one space of the word behind it.
+        for i in np.flatnonzero(starts - before > spaced):
+            entries[word_at[i] - 1] = self._gap(data[before[i]:starts[i]].tobytes(), False)
+        tail = offsets[:-1].copy()
+        tail[n > 0] = ends[bounds[1:][n > 0] - 1]
+        end_at = 2 * bounds[1:] + 2 * np.arange(texts)
+        for t in np.flatnonzero(offsets[1:] > tail):
+            entries[end_at[t]] = self._gap(data[tail[t]:offsets[t + 1]].tobytes(), True)
+        entries[end_at + 1] = 1
+        size = self.size[entries]
+        upto = np.cumsum(size)
+        ids = self.flat[np.repeat(self.begin[entries] - (upto - size), size) + np.arange(int(upto[-1]))]
+        return ids, np.diff(np.concatenate([[0], upto[end_at + 1]]))
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder: what one task has learnt serves the next."""
+    return Encoder(path)
 
 
 def tokenised(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,14 +181,14 @@ def tokenised(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def encode(batches):
-        encoder, part, at = Encoder(vocabulary), TaskContext.get().partitionId(), 0
+        encoder, part, at = encoder_of(vocabulary), TaskContext.get().partitionId(), 0
         for b in batches:
-            ids = encoder.encode(b.column("text").to_pylist())
-            n = np.array([len(x) // 2 for x in ids], np.int64)
-            starts = at + np.cumsum(n) - n
-            at += int(n.sum())
-            yield pa.record_batch({"part": pa.array(np.full(len(ids), part)), "at": pa.array(starts), "n": pa.array(n),
-                                   "doc_id": b.column("doc_id"), "ids": pa.array(ids, pa.binary())})
+            ids, n = encoder.encode(b.column("text"))
+            bounds = np.concatenate([[0], np.cumsum(n)])
+            raw = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(2 * bounds), pa.py_buffer(ids)]).cast(pa.binary())
+            yield pa.record_batch({"part": pa.array(np.full(len(n), part)), "at": pa.array(at + bounds[:-1]), "n": pa.array(n),
+                                   "doc_id": b.column("doc_id"), "ids": raw})
+            at += int(bounds[-1])
 
     return written(source.mapInArrow(encode, f"part long, at long, n long, doc_id {kind}, ids binary"), "tokens")
 
@@ -199,7 +273,7 @@ def training_order(docs: DataFrame, vocabulary: str, length: int = LENGTH, per_s
                                        b.column("payload").to_pylist()):
                 if s == slot:
                     held.append(body)
-                    doc_ids.extend(ids if ids[0] != doc_ids[-1] else ids[1:])
+                    doc_ids.extend(ids)
                     continue
                 if slot is not None:
                     rows.append(record())

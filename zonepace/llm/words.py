@@ -34,7 +34,9 @@ with np.errstate(over="ignore"):
     _BYTE[65:91] = _BYTE[97:123]
     RADIX = U(0x9E3779B97F4A7C55)
     INVERSE = U(pow(int(RADIX), -1, 1 << 64))
-IS_WORD = _BYTE != 0
+# The same for words between ASCII white space, case kept.
+SPACED = mix(np.arange(1, 257, dtype=np.uint64) * U(0xC2B2AE3D27D4EB4F)) | U(1)
+SPACED[[9, 10, 11, 12, 13, 32]] = 0
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -69,9 +71,9 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), offsets
 
 
-def _block(data: np.ndarray, heads: np.ndarray, places: bool):
+def _block(data: np.ndarray, heads: np.ndarray, places: bool, table: np.ndarray):
     """Word hashes and word starts of one block; ``heads`` are text starts inside it."""
-    value = _BYTE[data]
+    value = table[data]
     inside = value != 0
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -93,18 +95,19 @@ def _block(data: np.ndarray, heads: np.ndarray, places: bool):
     return hashes, starts, np.flatnonzero(last) + 1
 
 
-def _pieces(data: np.ndarray, offsets: np.ndarray):
+def _pieces(data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
     """Cuts (begin, end) of about BLOCK bytes that split no word."""
+    is_word = table != 0
     at, end = int(offsets[0]), int(offsets[-1])
     while at < end:
         stop = min(at + BLOCK, end)
         if stop < end:
-            back = np.flatnonzero(~IS_WORD[data[at:stop]][::-1])
+            back = np.flatnonzero(~is_word[data[at:stop]][::-1])
             if len(back):
                 stop -= int(back[0])
             else:  # one word fills the block: take it whole
                 while stop < end:
-                    ahead = np.flatnonzero(~IS_WORD[data[stop:stop + BLOCK]])
+                    ahead = np.flatnonzero(~is_word[data[stop:stop + BLOCK]])
                     if len(ahead):
                         stop += int(ahead[0]) + 1
                         break
@@ -113,15 +116,15 @@ def _pieces(data: np.ndarray, offsets: np.ndarray):
         at = stop
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, places: bool = False):
-    """(hashes, bounds) of all words; text i has hashes[bounds[i]:bounds[i + 1]].
+def hash_words(data: np.ndarray, offsets: np.ndarray, places: bool = False, table: np.ndarray = _BYTE):
+    """(hashes, bounds) of all words; text i has hashes[bounds[i]:bounds[i + 1]].  ``table`` says which bytes make words.
 
     With ``places`` also the byte positions (starts, ends), counted from the buffer's start.
     """
     parts, begins, ends = [], [], []
-    for a, b in _pieces(data, offsets):
+    for a, b in _pieces(data, offsets, table):
         heads = offsets[np.searchsorted(offsets, a):np.searchsorted(offsets, b)] - a
-        h, s, e = _block(data[a:b], heads, places)
+        h, s, e = _block(data[a:b], heads, places, table)
         parts.append(h)
         begins.append(s + a)
         ends.append(e + a)
@@ -152,3 +155,25 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.nda
             part = hashes[bounds[i]:bounds[i + 1]]
             out[to[i]] = mix((part * weight[:len(part)]).sum(dtype=np.uint64, keepdims=True) + U(len(part)))[0]
     return out, to
+
+
+class Known:
+    """Numbers of 64-bit hashes; fixed-width entries, looked up by sorted arrays."""
+
+    def __init__(self):
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for a new one."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.numbers[at], -1)
+
+    def add(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """``hashes`` rise and are new."""
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.numbers = np.insert(self.hashes, at, hashes), np.insert(self.numbers, at, numbers)
