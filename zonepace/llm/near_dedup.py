@@ -3,21 +3,20 @@
 Shingles are runs of five words (``words.py``; all words of a shorter text).
 The weight of a shingle in a text is tf x idf with
 ``idf = ln(N / max(df, FLOOR N)) / ln(1 / FLOOR)``: 1 for every shingle in at most 2 %
-of all texts, falling to 0 for one that is in all.  df is counted over all
-texts in a two-row count sketch of fixed size; its noise (shingles per text /
-2^18 of N) lies far below FLOOR at any N.  As copies raise the df of their own
-shingles, idf alone loses the links inside large groups; with ``plain`` a
-pair is also linked when its Jaccard without idf (tf only) reaches the
-threshold, however often its shingles occur elsewhere.
+of all texts, falling to 0 for one that is in all.  N and df count provisional classes
+of copies, not rows: a group of near copies, however large, must not lower the weights of its own text.
+Two min-hashes of the plain shingles place a text: its class is the second hash that most texts
+with its first hash have, so a copy leaves its group only where an edit moved both.
+
+df is counted over all texts in two passes: a two-row count sketch of fixed size over rows finds
+the cells that may lie above FLOOR (its noise, shingles per text / 2^18 of N, lies
+far below FLOOR at any N), then the classes that hold shingles of such cells are counted.
 
 Method:
 
 1. Texts with the same word sequence (128-bit digest) collapse to one node.
 2. 36 ICWS samples per node, in 12 bands of 3: texts of similarity 0.8 share a
-   band with probability 0.9998, of 0.3 with 0.28.  With ``plain``, nodes that hold
-   a shingle of idf below 1 get 120 min-hashes of their tf-weighted shingles too, in 24
-   bands of 5 (0.8: 0.9999, 0.3: 0.06).  Where one text of a pair has none, the shared
-   shingles weigh 1 and the weighted similarity is at least the plain one.
+   band with probability 0.9998, of 0.3 with 0.28.
 3. Every node of a shared bucket is compared with the bucket's smallest node
    (its leader); similarity is the exact weighted Jaccard.
 4. Buckets whose other members are still in several components are compared in
@@ -45,10 +44,9 @@ from zonepace.llm.components import components
 
 WIDTH, THRESHOLD, BANDS, ROWS = 5, 0.8, 12, 3
 FLOOR, SKETCH_BITS, SKETCH_ROWS, CELLS = 0.02, 18, 2, 4096
-PLAIN_BANDS, PLAIN_ROWS = 24, 5
 BLOCK_NODES, BLOCK_SHINGLES, TILE = 1024, 1_000_000, 4096
 U = W.U
-_GOLD, _MINHASH = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+_GOLD, _MINHASH = 0x9E3779B97F4A7C15, (U(0xD1342543DE82EF95), U(0xAF251AF3B0F025B5))
 _SKETCH_SEED = [U(0x243F6A8885A308D3), U(0x13198A2E03707344)]
 
 
@@ -109,6 +107,47 @@ def frequency_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
     return flat.reshape(SKETCH_ROWS, 1 << SKETCH_BITS), n
 
 
+def class_counts(docs: DataFrame, width: int, hot: np.ndarray) -> tuple[np.ndarray, int]:
+    """(counts[row, cell] of provisional classes by shingle in the ``hot`` cells, number of classes), over all rows of (id, text)."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+    size = 1 << SKETCH_BITS
+
+    def place(batches):
+        marks = shared.value
+        for b in batches:
+            text, shing, _, at = counted(b.column("text"), width)
+            full = np.flatnonzero(np.diff(at))
+            with np.errstate(over="ignore"):
+                one, two = (np.minimum.reduceat(W.mix(shing ^ m), at[full]) if len(full) else np.zeros(0, np.uint64) for m in _MINHASH)
+            group, own = np.unique(np.stack([one, two], 1).view(np.int64), axis=0, return_inverse=True)
+            cells = [cell(shing, r) for r in range(SKETCH_ROWS)]
+            often = np.flatnonzero(marks[0][cells[0]] & marks[1][cells[1]])
+            of_text = np.full(len(at) - 1, -1)
+            of_text[full] = own
+            pairs = np.unique(np.concatenate([of_text[text[often]] * (SKETCH_ROWS * size) + r * size + cells[r][often] for r in range(SKETCH_ROWS)]))
+            bounds = np.searchsorted(pairs // (SKETCH_ROWS * size), np.arange(len(group) + 1))
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((pairs % (SKETCH_ROWS * size)).astype(np.int32)))
+            yield pa.record_batch({"m1": pa.array(group[:, 0].copy()), "m2": pa.array(group[:, 1].copy()),
+                                   "texts": pa.array(np.bincount(own, minlength=len(group)).astype(np.int64)), "cells": lists})
+
+    groups = written(docs.select("text").mapInArrow(place, "m1 long, m2 long, texts long, cells array<int>"), "text-groups")
+    lead = written(groups.groupBy("m1", "m2").agg(F.sum("texts").alias("texts")).groupBy("m1")
+                   .agg(F.max_by("m2", F.struct("texts", "m2")).alias("class")), "text-classes")
+    n = lead.select("class").distinct().count()
+    held = groups.select("m1", F.explode("cells").alias("cell")).distinct().join(lead, "m1").select("class", "cell").distinct()
+    counts = np.zeros(SKETCH_ROWS * size, np.int64)
+    for r in held.groupBy("cell").count().collect():  # at most one row a sketch cell
+        counts[r["cell"]] = r["count"]
+    return counts.reshape(SKETCH_ROWS, size), n
+
+
+def frequencies(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
+    """(counts[row, cell] of classes by shingle, number of classes): exact where a shingle may be in over FLOOR of them."""
+    rows, n = frequency_sketch(docs, width)
+    hot = rows > FLOOR * n
+    return class_counts(docs, width, hot) if hot.any(axis=1).all() else (np.zeros_like(rows), n)
+
+
 def idf_tables(counts: np.ndarray, n: int, floor: float = FLOOR) -> np.ndarray:
     """idf by sketch cell; a shingle's idf is the largest of its cells' (their counts only err upwards)."""
     share = np.clip(counts / max(n, 1), floor, None)
@@ -167,20 +206,6 @@ def occurrences(shing: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return times, shing[times] + W.mix(nth.astype(np.uint64)) * (nth > 0)
 
 
-def plain_keys(shing: np.ndarray, tf: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """texts x PLAIN_BANDS: band keys of the min-hashes of tf-weighted shingles; no text is empty."""
-    times, value = occurrences(shing, tf)
-    first = np.searchsorted(times, heads)
-    keys = np.empty((PLAIN_BANDS, len(heads)), np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(PLAIN_BANDS):
-            key = np.full(len(heads), U(k + 1))
-            for j in range(k * PLAIN_ROWS, (k + 1) * PLAIN_ROWS):
-                key = W.mix(key * U(31) + np.minimum.reduceat(W.mix(value + U((j + 1) * _MINHASH & (2**64 - 1))), first))
-            keys[k] = key
-    return keys.T
-
-
 def digests(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128-bit digest of each text's word sequence."""
     n = len(bounds) - 1
@@ -196,11 +221,8 @@ def digests(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
-def signatures(docs: DataFrame, tables, width: int, bands: int, rows: int, plain: bool = False) -> DataFrame:
-    """(doc_id, row, h1, h2, n, plain, b0..): digest, number of shingles and band keys of every row of (doc_id, text).
-
-    ``plain`` holds the keys without idf; null without the option or where every idf is 1.
-    """
+def signatures(docs: DataFrame, tables, width: int, bands: int, rows: int) -> DataFrame:
+    """(doc_id, row, h1, h2, n, b0..): digest, number of shingles and band keys of every row of (doc_id, text)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tables)
 
@@ -214,7 +236,6 @@ def signatures(docs: DataFrame, tables, width: int, bands: int, rows: int, plain
             count = np.diff(at)
             keys = np.zeros((bands, len(count)), np.uint64)
             full = np.flatnonzero(count)
-            more: list = [None] * len(count)
             start = 0
             while start < len(full):  # tiles that stay in the processor's cache
                 stop = start + 1
@@ -229,20 +250,13 @@ def signatures(docs: DataFrame, tables, width: int, bands: int, rows: int, plain
                         for x in sig[k * rows:(k + 1) * rows]:
                             key = W.mix(key * U(31) + x)
                         keys[k, part] = key
-                if plain:
-                    part = part[np.add.reduceat((weight[lo:hi] < tf[lo:hi]).astype(np.int64), at[part] - lo) > 0]
-                    if len(part):
-                        inner = np.concatenate([np.arange(at[i], at[i + 1]) for i in part])
-                        heads = np.cumsum(count[part]) - count[part]
-                        for i, own in zip(part, plain_keys(shing[inner], tf[inner], heads)):
-                            more[i] = own.view(np.int64)
                 start = stop
             yield pa.record_batch([b.column("doc_id"), b.column("text_hash"), pa.array(h1), pa.array(h2), pa.array(count.astype(np.int32)),
-                                   pa.array(more, pa.list_(pa.int64())), *[pa.array(k.view(np.int64)) for k in keys]],
-                                  names=["doc_id", "text_hash", "h1", "h2", "n", "plain", *[f"b{k}" for k in range(bands)]])
+                                   *[pa.array(k.view(np.int64)) for k in keys]],
+                                  names=["doc_id", "text_hash", "h1", "h2", "n", *[f"b{k}" for k in range(bands)]])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text_hash long, h1 long, h2 long, n int, plain array<long>, " + ", ".join(f"b{k} long" for k in range(bands))
+    schema = f"doc_id {kind}, text_hash long, h1 long, h2 long, n int, " + ", ".join(f"b{k} long" for k in range(bands))
     return written(docs.mapInArrow(sign, schema).withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
@@ -310,29 +324,27 @@ def link_block(texts: pa.Array, comp: np.ndarray, focus: np.ndarray, member: np.
 
 # ---------------------------------------------------------------- the operator
 
-def _candidate_texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, text) of the wanted nodes (node, k, h1, h2), found by id and confirmed by digest."""
+def _candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the wanted nodes (node, k, text_hash, h1, h2), found by id and text hash and confirmed by digest."""
 
     def confirm(batches):
         for b in batches:
             h1, h2 = digests(*W.hash_words(*W.buffers(b.column("text"))))
             same = (h1 == b.column("h1").to_numpy()) & (h2 == b.column("h2").to_numpy())
-            yield b.select(["k", "node", "text"]).filter(pa.array(same))
+            yield b.select(["node", "text"]).filter(pa.array(same))
 
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k"), "text")
-    found = keyed.join(wanted, "k").mapInArrow(confirm, "k string, node long, text string")
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k"), "text_hash", "text")
+    found = keyed.join(wanted, ["k", "text_hash"]).mapInArrow(confirm, "node long, text string")
     return written(found.groupBy("node").agg(F.first("text").alias("text")), "candidate-texts")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, tables, width: int, threshold: float, plain: bool) -> DataFrame:
-    """The pairs (node, leader) whose similarity, or with ``plain`` the one without idf, reaches the threshold."""
+def _verified(pairs: DataFrame, texts: DataFrame, tables, width: int, threshold: float) -> DataFrame:
+    """The pairs (node, leader) whose similarity reaches the threshold."""
     shared = pairs.sparkSession.sparkContext.broadcast(tables)
 
     def compare(batches):
         for b in batches:
             sim = pair_similarity(b.column("text"), b.column("other"), shared.value, width)
-            if plain:
-                sim = np.maximum(sim, pair_similarity(b.column("text"), b.column("other"), np.ones_like(shared.value), width))
             yield b.select(["node", "leader"]).filter(pa.array(sim >= threshold - 1e-9))
 
     leaders = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"))
@@ -340,7 +352,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, tables, width: int, threshold:
             .mapInArrow(compare, "node long, leader long"))
 
 
-def _block_links(members: DataFrame, texts: DataFrame, tables, width: int, threshold: float, plain: bool) -> DataFrame:
+def _block_links(members: DataFrame, texts: DataFrame, tables, width: int, threshold: float) -> DataFrame:
     """Links of step 4; ``members`` are (band, key, node, n, leader, comp) with the leaders' own rows left out."""
     shared = members.sparkSession.sparkContext.broadcast(tables)
     key = ["band", "key"]
@@ -372,20 +384,15 @@ def _block_links(members: DataFrame, texts: DataFrame, tables, width: int, thres
         focus = pdf["focus"].to_numpy(bool)
         block = pa.array(pdf["text"], pa.string()), pdf["comp"].to_numpy(np.int64), focus, ~focus
         got = link_block(*block, shared.value, width, threshold)
-        if plain:
-            got += link_block(*block, np.ones_like(shared.value), width, threshold)
         return pd.DataFrame(got, columns=["node", "leader"]).astype("int64")
 
     return rows.groupBy(*key, "mp", "fp").applyInPandas(link, "node long, leader long")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                 threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, plain: bool = False) -> DataFrame:
+                 threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, class_id, class_size, kept, text_hash): one row per row of ``docs``.
 
-    With ``plain`` texts are linked when the weighted or the plain Jaccard reaches the
-    threshold, so a class does not fall apart because it is large; without it by the weighted one alone.
-
     ``class_id`` is the smallest id in the class; rows that have it stay.  Texts
     without a word (null, empty, signs only) are classes of their own.  Rows with
     the same word sequence are in one class.  ``text_hash`` (xxhash64) tells rows
@@ -394,31 +401,27 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    counts, n = frequency_sketch(docs, width)
-    tables = idf_tables(counts, n)
-    sig = signatures(docs, tables, width, bands, rows, plain)
+    tables = idf_tables(*frequencies(docs, width))
+    sig = signatures(docs, tables, width, bands, rows)
 
     names = [f"b{k}" for k in range(bands)]
     nodes = written(sig.filter("n > 0").groupBy("h1", "h2").agg(
-        F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
+        F.min("row").alias("node"), F.min(F.struct("doc_id", "text_hash")).alias("least_row"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
         *[F.max(b).alias(b) for b in names]), "nodes")
     keyed = nodes.select("node", "n", F.inline(F.array(*[F.struct(F.lit(k).alias("band"), F.col(b).alias("key")) for k, b in enumerate(names)])))
-    if plain:
-        own = sig.filter("plain IS NOT NULL").select(F.col("row").alias("node"), "plain").join(nodes.select("node", "n"), "node")
-        keyed = written(keyed.unionByName(own.select("node", "n", F.posexplode("plain").alias("band", "key"))
-                                          .withColumn("band", F.col("band") + bands)), "keys")
     buckets = written(keyed.groupBy("band", "key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("c")).filter("c > 1")
                       .select("band", "key", "leader"), "buckets")
     members = written(keyed.join(buckets, ["band", "key"]), "members")
 
     wanted = members.select("node").distinct().join(
-        nodes.select("node", F.coalesce(F.col("least").cast("string"), F.lit("")).alias("k"), "h1", "h2"), "node")
-    texts = _candidate_texts(docs, wanted, width)
+        nodes.select("node", F.coalesce(F.col("least_row.doc_id").cast("string"), F.lit("")).alias("k"), F.col("least_row.text_hash").alias("text_hash"),
+                     "h1", "h2"), "node")
+    texts = _candidate_texts(docs, wanted)
     others = members.filter("node <> leader")
-    links = written(_verified(others.select("node", "leader").distinct(), texts, tables, width, threshold, plain), "links-1")
+    links = written(_verified(others.select("node", "leader").distinct(), texts, tables, width, threshold), "links-1")
     first = written(components(links, "node", "leader"), "components-1")
     placed = written(others.join(first, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "placed")
-    more = _block_links(placed, texts, tables, width, threshold, plain)
+    more = _block_links(placed, texts, tables, width, threshold)
     rooted = first.select("node", F.col("root").alias("leader"))
     final = written(components(rooted.unionByName(more), "node", "leader"), "components")
 
