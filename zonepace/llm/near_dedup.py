@@ -8,9 +8,9 @@ of copies, not rows: a group of near copies, however large, must not lower the w
 Two min-hashes of the plain shingles place a text: its class is the second hash that most texts
 with its first hash have, so a copy leaves its group only where an edit moved both.
 
-df is counted over all texts in two passes: a two-row count sketch of fixed size over rows finds
-the cells that may lie above FLOOR (its noise, shingles per text / 2^18 of N, lies
-far below FLOOR at any N), then the classes that hold shingles of such cells are counted.
+df is counted over all texts in two passes: a two-row sketch of fixed size that counts every occurrence finds
+the cells that may lie above FLOOR, then the classes that hold shingles of such cells are counted, cell by
+cell (the cells' noise, shingles per text / 2^18 of N, lies far below FLOOR at any N).
 
 Method:
 
@@ -73,20 +73,16 @@ def cell(shing: np.ndarray, row: int) -> np.ndarray:
         return (W.mix(shing ^ _SKETCH_SEED[row]) >> U(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def frequency_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
-    """(counts[row, cell] of texts by shingle, number of texts), over all rows of (id, text)."""
-    blocks = (1 << SKETCH_BITS) // CELLS
+def _blocks(counts: np.ndarray) -> pa.RecordBatch:
+    """A count table as its blocks of CELLS that are not all zero."""
+    flat = counts.reshape(-1, CELLS)
+    some = np.flatnonzero(flat.any(axis=1))
+    return pa.record_batch({"block": pa.array(some.astype(np.int32)), "counts": pa.array([flat[k].astype("<i8").tobytes() for k in some], pa.binary())})
 
-    def count(batches):
-        sums, n = np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), np.int64), 0
-        for b in batches:
-            n += b.num_rows
-            _, shing, _, _ = counted(b.column("text"), width)
-            for r in range(SKETCH_ROWS):
-                sums[r] += np.bincount(cell(shing, r), minlength=1 << SKETCH_BITS)
-        flat = sums.reshape(SKETCH_ROWS * blocks, CELLS)
-        yield pa.record_batch({"block": pa.array([*range(len(flat)), -1], pa.int32()),
-                               "counts": pa.array([x.astype("<i8").tobytes() for x in [*flat, np.array([n])]], pa.binary())})
+
+def _summed(parts: DataFrame) -> np.ndarray:
+    """The sum of tasks' count tables (``_blocks``): [SKETCH_ROWS, cells]; parts are added as they stream by."""
+    n = SKETCH_ROWS * (1 << SKETCH_BITS) // CELLS
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
@@ -96,56 +92,77 @@ def frequency_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
         yield pa.record_batch({"block": pa.array(list(sums), pa.int32()),
                                "counts": pa.array([v.tobytes() for v in sums.values()], pa.binary())})
 
-    kind = "block int, counts binary"
-    # A block's partial counts are added as they stream by; 129 rows of fixed size come back.
-    rows = docs.select("text").mapInArrow(count, kind).repartition(SKETCH_ROWS * blocks // 8, "block").mapInArrow(add, kind).collect()
-    got = {r["block"]: np.frombuffer(r["counts"], "<i8") for r in rows}
-    n = int(got.pop(-1, np.zeros(1, np.int64))[0])
-    flat = np.zeros((SKETCH_ROWS * blocks, CELLS), np.int64)
-    for k, v in got.items():
-        flat[k] = v
-    return flat.reshape(SKETCH_ROWS, 1 << SKETCH_BITS), n
+    out = np.zeros((n, CELLS), np.int64)
+    for r in parts.repartition(n // 8, "block").mapInArrow(add, "block int, counts binary").collect():  # at most n rows of fixed size
+        out[r["block"]] = np.frombuffer(r["counts"], "<i8")
+    return out.reshape(SKETCH_ROWS, -1)
+
+
+def occurrence_sketch(docs: DataFrame, width: int) -> np.ndarray:
+    """counts[row, cell] of shingles, every occurrence counted, over all rows of (id, text): no shingle is in more texts."""
+
+    def count(batches):
+        sums = np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), np.int64)
+        for b in batches:
+            shing, _ = W.shingles(*W.hash_words(*W.buffers(b.column("text"))), width)
+            for r in range(SKETCH_ROWS):
+                sums[r] += np.bincount(cell(shing, r), minlength=1 << SKETCH_BITS)
+        yield _blocks(sums)
+
+    return _summed(docs.select("text").mapInArrow(count, "block int, counts binary"))
 
 
 def class_counts(docs: DataFrame, width: int, hot: np.ndarray) -> tuple[np.ndarray, int]:
     """(counts[row, cell] of provisional classes by shingle in the ``hot`` cells, number of classes), over all rows of (id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
     size = 1 << SKETCH_BITS
+    span = SKETCH_ROWS * size
 
     def place(batches):
         marks = shared.value
         for b in batches:
-            text, shing, _, at = counted(b.column("text"), width)
+            shing, at = W.shingles(*W.hash_words(*W.buffers(b.column("text"))), width)
             full = np.flatnonzero(np.diff(at))
-            with np.errstate(over="ignore"):
-                one, two = (np.minimum.reduceat(W.mix(shing ^ m), at[full]) if len(full) else np.zeros(0, np.uint64) for m in _MINHASH)
+            one, two = (np.minimum.reduceat(W.mix(shing ^ m), at[full]) if len(full) else np.zeros(0, np.uint64) for m in _MINHASH)
             group, own = np.unique(np.stack([one, two], 1).view(np.int64), axis=0, return_inverse=True)
             cells = [cell(shing, r) for r in range(SKETCH_ROWS)]
             often = np.flatnonzero(marks[0][cells[0]] & marks[1][cells[1]])
-            of_text = np.full(len(at) - 1, -1)
-            of_text[full] = own
-            pairs = np.unique(np.concatenate([of_text[text[often]] * (SKETCH_ROWS * size) + r * size + cells[r][often] for r in range(SKETCH_ROWS)]))
-            bounds = np.searchsorted(pairs // (SKETCH_ROWS * size), np.arange(len(group) + 1))
-            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((pairs % (SKETCH_ROWS * size)).astype(np.int32)))
+            holder = own[np.searchsorted(full, np.searchsorted(at, often, side="right") - 1)] if len(often) else np.zeros(0, np.int64)
+            pairs = np.unique(np.concatenate([holder * span + r * size + cells[r][often] for r in range(SKETCH_ROWS)]))
+            bounds = np.searchsorted(pairs // span, np.arange(len(group) + 1))
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((pairs % span).astype(np.int32)))
             yield pa.record_batch({"m1": pa.array(group[:, 0].copy()), "m2": pa.array(group[:, 1].copy()),
                                    "texts": pa.array(np.bincount(own, minlength=len(group)).astype(np.int64)), "cells": lists})
 
+    def count(batches):
+        # The rows of a class follow one another; each cell counts once for it.
+        sums, last, held = np.zeros(span, np.int64), None, []
+        for b in batches:
+            ids, cells = b.column("class").to_numpy(), b.column("cells")
+            for i in range(len(ids)):
+                if ids[i] != last:
+                    if held:
+                        sums[np.unique(np.concatenate(held))] += 1
+                    last, held = ids[i], []
+                held.append(cells[i].values.to_numpy())
+                if len(held) > 256:
+                    held = [np.unique(np.concatenate(held))]
+        if held:
+            sums[np.unique(np.concatenate(held))] += 1
+        yield _blocks(sums)
+
     groups = written(docs.select("text").mapInArrow(place, "m1 long, m2 long, texts long, cells array<int>"), "text-groups")
     lead = written(groups.groupBy("m1", "m2").agg(F.sum("texts").alias("texts")).groupBy("m1")
                    .agg(F.max_by("m2", F.struct("texts", "m2")).alias("class")), "text-classes")
     n = lead.select("class").distinct().count()
-    held = groups.select("m1", F.explode("cells").alias("cell")).distinct().join(lead, "m1").select("class", "cell").distinct()
-    counts = np.zeros(SKETCH_ROWS * size, np.int64)
-    for r in held.groupBy("cell").count().collect():  # at most one row a sketch cell
-        counts[r["cell"]] = r["count"]
-    return counts.reshape(SKETCH_ROWS, size), n
+    held = groups.filter(F.size("cells") > 0).select("m1", "cells").join(lead, "m1").select("class", "cells")
+    return _summed(held.repartition("class").sortWithinPartitions("class").mapInArrow(count, "block int, counts binary")), n
 
 
 def frequencies(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
-    """(counts[row, cell] of classes by shingle, number of classes): exact where a shingle may be in over FLOOR of them."""
-    rows, n = frequency_sketch(docs, width)
-    hot = rows > FLOOR * n
-    return class_counts(docs, width, hot) if hot.any(axis=1).all() else (np.zeros_like(rows), n)
+    """(counts[row, cell] of classes by shingle, number of classes): counted where a shingle may be in over FLOOR of all texts."""
+    seen = occurrence_sketch(docs, width)
+    return class_counts(docs, width, seen > FLOOR * docs.count())
 
 
 def idf_tables(counts: np.ndarray, n: int, floor: float = FLOOR) -> np.ndarray:
