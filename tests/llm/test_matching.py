@@ -282,3 +282,27 @@ def test_passages_of_51_short_words_are_all_found(spark):
         assert text[r.doc_id][r.start:r.start + r.n_bytes] in text[r.first_doc_id]
         assert r.n_chunks or (a, b) == (r.start, r.start + r.n_bytes)
         assert r.removed == (r.removed_bytes > 0) == (r.doc_id != r.first_doc_id)
+
+
+def test_removed_passages_are_left_once(spark):
+    """Passages of several owners in one run: what goes is exactly what an earlier document keeps."""
+    rng = random.Random(21)
+    for draw in range(3):
+        width = [1, 5, 9][draw]
+        word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöüß") for _ in range(width))  # noqa: E731, B023
+        passage = [" ".join(word() for _ in range(n)) for n in (53, 53, 90, 60)]
+        x, y, z, u = passage
+        own = lambda n=8: " ".join(f"{word()}{rng.randrange(10**6)}" for _ in range(n))
+        texts = {1: f"{x}", 5: f"{y} {x}", 9: f"{y} {x}", 12: f"{own()} {z} {own()}", 13: f"{z} {x} {own()}", 14: f"{own()} {u} {y}", 15: f"{u} {own()}"}
+        df = spark.createDataFrame([(i, t, "k") for i, t in texts.items()], "doc_id long, text string, key string")
+        found = S.repeated_passages(df)
+        rows = found.collect()
+        assert all(r.removed == (r.removed_bytes > 0) and r.start + r.n_bytes <= len(texts[r.doc_id].encode()) for r in rows)
+        for r in rows:  # a removed stretch stands in the document it repeats
+            piece = texts[r.doc_id].encode()[r.start:r.start + r.n_bytes]
+            assert not r.removed or piece in texts[r.first_doc_id].encode()
+        left = {r.doc_id: r.text for r in S.without_passages(df, found).collect()}
+        assert left.keys() == texts.keys()
+        middle = lambda p: " ".join(p.split()[20:33])
+        for p in passage:
+            assert [i for i, t in left.items() if middle(p) in t] == [min(i for i, t in texts.items() if p in t)]

@@ -219,39 +219,79 @@ def _word_windows(docs: DataFrame, spans: DataFrame) -> DataFrame:
     windows = written(found.select("doc_id", "row", "key", "text", "places").mapInArrow(
         window, f"doc_id {kind}, row long, key long, place long, start long, end long, digest long"), "word-windows")
     twice = windows.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    return windows.join(twice, "digest").join(spans, "key", "left").filter(~touches).drop("spans", "key")
+    return windows.join(twice, "digest").join(spans, "key", "left").filter(~touches).drop("spans")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """doc_id, start, n_bytes, n_chunks, first_doc_id, removed_bytes, removed: one row per repeated passage of a row of ``docs``.
-
-    ``start`` and ``n_bytes`` count UTF-8 bytes.  ``first_doc_id`` is the smallest id
-    that holds one of its chunks; ``removed`` says that this occurrence repeats
-    an earlier one and goes (rows that repeat a document id count as that
-    document).  ``n_chunks`` is 0 for a passage found by its words.  Rows without a repeated passage, null and empty texts give
+    """doc_id, start, n_bytes, n_chunks, first_doc_id, removed_bytes, removed, key: the repeated passages of each row of ``docs``.
+
+    One row per stretch with one owner: ``start`` and ``n_bytes`` (UTF-8 bytes) are exactly the bytes that repeat
+    ``first_doc_id``, the smallest id that holds them.  ``removed`` says that this occurrence
+    repeats an earlier one and goes (rows that repeat a document id count as that
+    document).  A byte goes only with a chunk or window whose first occurrence is earlier in (id, place), so
+    some occurrence of it always stays, whatever goes around it.  ``n_chunks`` is 0 for a passage found by its words;
+    ``key`` is equal for equal ids and texts.  Rows without a repeated passage, null and empty texts give
     none.  Other columns are not read.
     """
     chunks = chunk_table(docs, id_col, text_col)
     twice = written(chunks.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("c"))
                     .filter("c > 1").select("digest", "first_doc_id"), "repeated-chunks")
-    again = chunks.join(twice, "digest")
     in_row = Window.partitionBy("row").orderBy("seq")
     of_digest = Window.partitionBy("row", "digest").orderBy("seq")
+    of_run, of_owner = Window.partitionBy("row", "run"), Window.partitionBy("row", "run", "first_doc_id", "gone").orderBy("seq")
     stays = F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.row_number().over(of_digest) == 1)
-    runs = written(again.withColumn("gone", F.when(stays, 0).otherwise(F.col("length")))
-            .withColumn("run", F.col("seq") - F.row_number().over(in_row))
-            .groupBy("row", "run").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.min("start").alias("start"), F.sum("length").alias("n_bytes"),
-                                       F.count(F.lit(1)).alias("n_chunks"), F.min("first_doc_id").alias("first_doc_id"),
-                                       F.sum("gone").alias("removed_bytes"))
-            .filter(F.col("n_bytes") >= min_run), "long-runs")
-    spans = runs.groupBy("key").agg(F.collect_set(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("n_bytes")).alias("b"))).alias("spans"))
-    in_row, of_digest = Window.partitionBy("row").orderBy("place"), Window.partitionBy("row", "digest").orderBy("place")
+    runs = written(chunks.join(twice, "digest").withColumn("gone", ~stays)
+                   .withColumn("run", F.col("seq") - F.row_number().over(in_row))
+                   .withColumns({"run_bytes": F.sum("length").over(of_run), "run_start": F.min("start").over(of_run)})
+                   .filter(F.col("run_bytes") >= min_run)
+                   .withColumn("part", F.col("seq") - F.row_number().over(of_owner))
+                   .groupBy("row", "run", "first_doc_id", "gone", "part")
+                   .agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.min("start").alias("start"), F.sum("length").alias("n_bytes"),
+                        F.count(F.lit(1)).alias("n_chunks"), F.min("run_start").alias("a"), F.min(F.col("run_start") + F.col("run_bytes")).alias("b")), "long-runs")
+    spans = runs.groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    of_digest = Window.partitionBy("row", "digest").orderBy("place")
+    of_owner = Window.partitionBy("row", "first_doc_id", "gone").orderBy("place")
     passages = (_word_windows(keyed(docs, id_col, text_col), written(spans, "spans"))
                 .withColumn("gone", ~(F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.row_number().over(of_digest) == 1)))
-                .withColumn("run", F.col("place") - F.row_number().over(in_row))
-                .groupBy("row", "run").agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"),
-                                           (F.max("end") - F.min("start")).alias("n_bytes"), F.lit(0).cast("long").alias("n_chunks"),
-                                           F.min("first_doc_id").alias("first_doc_id"), F.max("gone").alias("gone"))
-                .withColumn("removed_bytes", F.when(F.col("gone"), F.col("n_bytes")).otherwise(0)))
-    runs = runs.drop("key").unionByName(passages.drop("gone"))
-    return runs.select("doc_id", "start", "n_bytes", "n_chunks", "first_doc_id", "removed_bytes", (F.col("removed_bytes") > 0).alias("removed"))
+                .withColumn("part", F.col("place") - F.row_number().over(of_owner))
+                .groupBy("row", "first_doc_id", "gone", "part")
+                .agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.min("start").alias("start"),
+                     (F.max("end") - F.min("start")).alias("n_bytes"), F.lit(0).cast("long").alias("n_chunks")))
+    columns = ["doc_id", "start", "n_bytes", "n_chunks", "first_doc_id", "gone", "key"]
+    return runs.select(*columns).unionByName(passages.select(*columns)).select(
+        "doc_id", "start", "n_bytes", "n_chunks", "first_doc_id", F.when(F.col("gone"), F.col("n_bytes")).otherwise(0).alias("removed_bytes"),
+        F.col("gone").alias("removed"), "key")
+
+
+def without_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with the removed stretches of ``passages`` cut out of the texts.
+
+    A stretch is narrowed to whole characters.  Texts that lose nothing, nulls included, pass unchanged.
+    """
+    gone = (passages.filter("removed").groupBy(F.col("key").alias("cut__key"))
+            .agg(F.collect_set(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("n_bytes")).alias("b"))).alias("cut__spans")))
+    rows = docs.withColumn("cut__key", F.xxhash64(docs[id_col].isNull(), docs[id_col], text_of(docs, text_col)))
+    met = rows.join(gone, "cut__key", "left").drop("cut__key").select(*docs.columns, "cut__spans")
+    names, place = docs.columns, docs.columns.index(text_col)
+
+    def cut(batches):
+        for b in batches:
+            texts = b.column(place).to_pylist()
+            for i, spans in enumerate(b.column("cut__spans").to_pylist()):
+                if not spans:
+                    continue
+                raw = texts[i].encode()
+                data = np.frombuffer(raw, np.uint8)
+                keep = np.ones(len(raw), bool)
+                for span in spans:
+                    a, z = span["a"], span["b"]
+                    while a < z and data[a] & 0xC0 == 0x80:
+                        a += 1
+                    while z > a and z < len(raw) and data[z] & 0xC0 == 0x80:
+                        z -= 1
+                    keep[a:z] = False
+                texts[i] = data[keep].tobytes().decode()
+            columns = [pa.array(texts, b.column(k).type) if k == place else b.column(k) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return met.mapInArrow(cut, docs.schema)
