@@ -157,3 +157,17 @@ def day_name_short(dow: str | Column = "day_of_week") -> Column:
 def hex_channel(hex_col: str | Column, i: int) -> Column:
     """Integer value of the i-th colour byte of ``#rrggbb`` (0=r,1=g,2=b)."""
     return F.conv(F.substring(col(hex_col), 2 + 2 * i, 2), 16, 10).cast("int")
+
+
+# One unit of the order-free sums: 2^-30.
+UNITS = 1 << 30
+
+
+def exact_sum(c: Column) -> Column:
+    """Aggregate: the sum in whole units of 2^-30, the same in any order of the rows (a decimal)."""
+    return F.sum(F.floor(c * F.lit(float(UNITS)) + F.lit(0.5)).cast("decimal(20,0)"))
+
+
+def exact_mean(c: Column) -> Column:
+    """Aggregate: the mean of ``exact_sum``, off the true one by less than 2^-30."""
+    return exact_sum(c).cast("double") / F.count(c) / F.lit(float(UNITS))

@@ -42,12 +42,13 @@ def aggregate_zone_hour(trips: DataFrame) -> DataFrame:
 
     A hash aggregate with a map-side partial step: a busy zone's trips are
     folded to one partial row per task before the shuffle, so skew in
-    zones does not reach the reducers.
+    zones does not reach the reducers.  Sums are whole numbers of 2^-30, so a mean is the same
+    however tasks and shuffles order the rows.
     """
     return trips.groupBy(*C.CELL_KEY).agg(
-        F.avg("speed_mph").alias("avg_speed_mph"),
+        S.exact_mean(F.col("speed_mph")).alias("avg_speed_mph"),
         F.count("speed_mph").alias("trip_density"),
-        F.avg("trip_duration").alias("avg_trip_duration"),
+        S.exact_mean(F.col("trip_duration")).alias("avg_trip_duration"),
     )
 
 
@@ -62,7 +63,7 @@ def compute_speed_deviation(cells: DataFrame, weighted: bool = False) -> DataFra
     if weighted:
         base = F.sum(F.col("avg_speed_mph") * F.col("trip_density")).over(w) / F.sum("trip_density").over(w)
     else:
-        base = F.avg("avg_speed_mph").over(w)
+        base = (S.exact_sum(F.col("avg_speed_mph")).over(w).cast("double") / F.count("avg_speed_mph").over(w)) / F.lit(float(S.UNITS))
     return cells.withColumn("speed_deviation", F.col("avg_speed_mph") - base)
 
 
@@ -85,9 +86,13 @@ def add_zone_attributes(cells: DataFrame) -> DataFrame:
 
 def build_cells(clean: DataFrame) -> DataFrame:
     """Cleaned trips → the full zone-hour cell table (L3)."""
+    return cells_of(engineer_features(clean))
+
+
+def cells_of(trips: DataFrame) -> DataFrame:
+    """Trips with features → the full zone-hour cell table."""
     return (
-        engineer_features(clean)
-        .transform(aggregate_zone_hour)
+        trips.transform(aggregate_zone_hour)
         .transform(compute_speed_deviation)
         .transform(add_cyclic_hour)
         .transform(add_log_density)

@@ -74,6 +74,13 @@ def cluster_distribution(viz: DataFrame) -> DataFrame:
     })
 
 
+def level_distribution(view: DataFrame, levels: DataFrame) -> DataFrame:
+    """Cells of a filtered view per level of the palette ``levels``, zero where the view has none."""
+    counts = view.groupBy("congestion_level").agg(F.count(F.lit(1)).alias("count"))
+    return levels.select("congestion_level", "label", F.col("hex").alias("color")).join(F.broadcast(counts), "congestion_level", "left").select(
+        "congestion_level", F.coalesce("count", F.lit(0)).alias("count"), "label", "color")
+
+
 def day_hour_heatmap(viz: DataFrame, value: str = "congestion_level") -> DataFrame:
     """Weekday × hour matrix of the mean ``value`` (W1, W2); hours are fixed, no distinct pass."""
     p = viz.groupBy("day_of_week").pivot("hour_of_day", list(range(24))).agg(F.avg(value))
@@ -278,3 +285,9 @@ def density_deviation_points(viz: DataFrame) -> DataFrame:
         *C.CELL_KEY, "congestion_level",
         F.least(F.greatest(F.col("trip_density").cast("double"), F.lit(0.0)), F.col("_p99")).alias("density_clipped"),
         "speed_deviation")
+
+
+def density_deviation_clipped(cells: DataFrame, density: float = 500.0, deviation: float = 20.0) -> DataFrame:
+    """The exploratory scatter: density clipped to [0, 500], deviation to ±20 (H7)."""
+    return cells.select(*C.CELL_KEY, S.clip(F.col("trip_density").cast("double"), 0.0, density).alias("density_clipped"),
+                        S.clip(F.col("speed_deviation"), -deviation, deviation).alias("deviation_clipped"))

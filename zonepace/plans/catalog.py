@@ -129,12 +129,30 @@ def _renamed_raw(spark, sf_dir, mapping: dict[str, str], drop: list[str] = ()):
     return raw.withColumnsRenamed(mapping).drop(*drop)
 
 
+def drifting_files(spark, sf_dir) -> str:
+    """The trips as monthly raw files of three vintages: tpep_ names with double passengers, lpep_ names with long ones, and one
+    without fares; written once per session and state of the input."""
+    from zonepace.session import scratch_path
+    path = scratch_path(spark, f"raw_trips/{ST.source_digest(spark, sf_dir)}")
+    if path not in _WRITTEN:
+        raw = FX.raw_trips(spark, sf_dir)
+        month = F.substring("file_ym", 6, 2).cast("int") % 3
+        for i, (prefix, kind) in enumerate((("tpep", "double"), ("lpep", "long"), ("tpep", "long"))):
+            one = raw.where(month == i).withColumn("passenger_count", F.col("passenger_count").cast(kind))
+            one = one.withColumnsRenamed({c: f"{prefix}_{c}" for c in ("pickup_datetime", "dropoff_datetime")}).drop("_row_index")
+            IO.save_monthly(one.drop("fare_amount") if i == 2 else one, f"{path}/vintage_{i}")
+        _WRITTEN.add(path)
+    return path
+
+
+_WRITTEN: set[str] = set()
+
+
 @register("scan_trips")
 def q_scan_trips(spark, sf_dir):
-    """A yellow-cab vintage (tpep_ names) resolved, coerced and given durations."""
-    raw = _renamed_raw(spark, sf_dir, {"pickup_datetime": "tpep_pickup_datetime",
-                                       "dropoff_datetime": "tpep_dropoff_datetime"})
-    return norm(TR.add_trip_duration(TR.cast_dtypes(TR.standardize_columns(raw))))
+    """Drifting monthly files listed, read a vintage at a time, aligned, coerced, stamped and united."""
+    trips = TR.scan_raw_trips(spark, drifting_files(spark, sf_dir))
+    return norm(trips.withColumn("has_fare", F.col("_has_fare")))
 
 
 @register("standardize_columns")
@@ -221,6 +239,18 @@ def q_clean_trips_iqr(spark, sf_dir):
     return norm(CL.remove_iqr_speed_outliers_by_zone(c, k=1.5, min_trips_per_zone=100, scope=[]))
 
 
+@register("iqr_fence_monthly")
+def q_iqr_fence_monthly(spark, sf_dir):
+    """The default scope: fences per month file and zone, here for zones with 3 trips in a month."""
+    return norm(CL.iqr_fences(clean_trips(spark, sf_dir), min_trips_per_zone=3))
+
+
+@register("clean_trips_iqr_monthly")
+def q_clean_trips_iqr_monthly(spark, sf_dir):
+    """The chain with its own IQR option on."""
+    return norm(clean_trips(spark, sf_dir, CleanConfig(use_iqr_filter=True, iqr_k=1.5, iqr_min_trips=3)))
+
+
 @register("clean_retention")
 def q_clean_retention(spark, sf_dir):
     """Kept / input percent per month file."""
@@ -341,6 +371,13 @@ def q_cluster_distribution(spark, sf_dir):
     return norm(MA.cluster_distribution(mart(spark, sf_dir)))
 
 
+@register("cluster_distribution_view")
+def q_cluster_distribution_view(spark, sf_dir):
+    """The dashboard's level bars at 8 o'clock: every level of the palette, zero where the view has none."""
+    m = mart(spark, sf_dir)
+    return norm(MA.level_distribution(DB.apply_filters(m, DB.ViewParams(hour=8)), DB.severity_dim(m)))
+
+
 @register("day_hour_heatmap")
 def q_day_hour_heatmap(spark, sf_dir):
     return norm(MA.day_hour_heatmap(mart(spark, sf_dir)))
@@ -461,6 +498,11 @@ def q_density_deviation_points(spark, sf_dir):
     return norm(MA.density_deviation_points(mart(spark, sf_dir)))
 
 
+@register("density_deviation_eda")
+def q_density_deviation_eda(spark, sf_dir):
+    return norm(MA.density_deviation_clipped(cells(spark, sf_dir)))
+
+
 @register("monthly_trend")
 def q_monthly_trend(spark, sf_dir):
     return norm(MA.monthly_trend(features_df(spark, sf_dir)))

@@ -93,17 +93,23 @@ feat as (
   from clean where {SPEED} is not null
 )"""
 
-CELLS0 = """
+def mean_sql(x: str, over: str = "") -> str:
+    """The order-free mean: whole units of 2^-30 added as integers."""
+    units = f"sum(cast(floor({x} * 1073741824.0::double + 0.5::double) as bigint)){over}"
+    return f"(cast({units} as double) / count({x}){over} / 1073741824.0::double)"
+
+
+CELLS0 = f"""
 cells0 as (
   select zone_id, hour_of_day, day_of_week, is_weekend,
-         avg(speed_mph) as avg_speed_mph, count(speed_mph) as trip_density,
-         avg(trip_duration) as avg_trip_duration
+         {mean_sql('speed_mph')} as avg_speed_mph, count(speed_mph) as trip_density,
+         {mean_sql('trip_duration')} as avg_trip_duration
   from feat group by zone_id, hour_of_day, day_of_week, is_weekend
 )"""
 
 CELLS = f"""
 cells as (
-  select *, avg_speed_mph - avg(avg_speed_mph) over (partition by zone_id, hour_of_day) as speed_deviation,
+  select *, avg_speed_mph - {mean_sql('avg_speed_mph', ' over (partition by zone_id, hour_of_day)')} as speed_deviation,
          sin(2 * pi() * hour_of_day / cast(24 as double)) as hour_sin,
          cos(2 * pi() * hour_of_day / cast(24 as double)) as hour_cos,
          ln(1 + cast(trip_density as double)) as log_trip_density,
@@ -192,7 +198,9 @@ from cells order by speed_deviation asc, zone_id, hour_of_day, day_of_week, is_w
 
 # ---- step 2 -----------------------------------------------------------------
 
-ORACLE["scan_trips"] = chain_upto("trips") + f"\nselect {CLEAN_COLS} from trips"
+ORACLE["scan_trips"] = chain_upto("trips") + f"""
+select {CLEAN_COLS.replace(r6('fare_amount'), r6("case when cast(substr(file_ym, 6, 2) as int) % 3 = 2 then null else fare_amount end"))},
+       cast(substr(file_ym, 6, 2) as int) % 3 <> 2 as has_fare from trips"""
 
 ORACLE["standardize_columns"] = chain_upto("trips_raw") + f"""
 select {ts('pickup_datetime')}, {ts('dropoff_datetime')}, {r6('trip_distance')} as trip_distance,
@@ -243,14 +251,23 @@ for _k, _w in RULE_SQL.items():
 ORACLE["remove_duplicates"] = chain_upto("dedup") + f"\nselect {CLEAN_COLS} from dedup"
 
 
-def fences_sql(k: float, min_n: int) -> str:
+def _rank_q(p: float) -> str:
+    """Linear interpolation between the two ranks of a sorted list ``l`` of ``n`` values, spelled out."""
+    h = f"((n - 1) * {p}::double)"
+    low = f"l[cast(floor({h}) as bigint) + 1]"
+    return f"{low} + (l[least(cast(floor({h}) as bigint) + 2, n)] - {low}) * ({h} - floor({h}))"
+
+
+def fences_sql(k: float, min_n: int, scope: str = "") -> str:
+    """Fences per zone, with ``scope`` ("file_ym, ") per month and zone."""
     return f"""
 fences as (
-  select PULocationID, q1, q3, n, q1 - cast({k!r} as double) * (q3 - q1) as lower,
+  select {scope}PULocationID, q1, q3, n, q1 - cast({k!r} as double) * (q3 - q1) as lower,
          q3 + cast({k!r} as double) * (q3 - q1) as upper
-  from (select PULocationID, quantile_cont(s, 0.25) as q1, quantile_cont(s, 0.75) as q3, count(*) as n
-        from (select PULocationID, {SPEED} as s from clean) x where s is not null and not isnan(s)
-        group by PULocationID) q
+  from (select *, {_rank_q(0.25)} as q1, {_rank_q(0.75)} as q3
+        from (select {scope}PULocationID, list(s order by s) as l, count(*) as n
+              from (select {scope}PULocationID, {SPEED} as s from clean) x where s is not null and not isnan(s)
+              group by {scope}PULocationID) r) q
   where n >= {min_n}
 )"""
 
@@ -264,6 +281,15 @@ select {CLEAN_COLS} from (
 ) j
 where {SPEED} is null or ({SPEED} >= coalesce(lower, cast('-inf' as double)) and {SPEED} <= coalesce(upper, cast('inf' as double)))"""
 
+ORACLE["iqr_fence_monthly"] = chain_upto("clean") + "," + fences_sql(C.IQR_FENCE_K, 3, "file_ym, ") + f"""
+select file_ym, cast(PULocationID as bigint) as PULocationID, {r6('lower')} as lower, {r6('upper')} as upper from fences"""
+
+ORACLE["clean_trips_iqr_monthly"] = chain_upto("clean") + "," + fences_sql(1.5, 3, "file_ym, ") + f"""
+select {CLEAN_COLS} from (
+  select c.*, f.lower, f.upper from clean c left join fences f on c.PULocationID = f.PULocationID and c.file_ym = f.file_ym
+) j
+where {SPEED} is null or ({SPEED} >= coalesce(lower, cast('-inf' as double)) and {SPEED} <= coalesce(upper, cast('inf' as double)))"""
+
 ORACLE["clean_retention"] = chain_upto("clean") + f"""
 select i.file_ym, cast(i.n as bigint) as rows_in, cast(coalesce(k.n, 0) as bigint) as rows_kept,
        {r6('100.0::double * coalesce(k.n, 0) / i.n')} as retention_pct
@@ -413,6 +439,11 @@ select cast(congestion_level as bigint) as congestion_level, cast(count(*) as bi
        {LEVEL_LABEL} as label, {LEVEL_HEX} as color
 from mart group by congestion_level"""
 
+ORACLE["cluster_distribution_view"] = with_mart() + PALETTE + f""",
+c as (select congestion_level, count(*) as n from mart where hour_of_day = 8 group by 1)
+select cast(p.congestion_level as bigint) as congestion_level, cast(coalesce(n, 0) as bigint) as count, p.label as label, p.hex as color
+from palette p left join c using (congestion_level)"""
+
 
 def _pivot24(value: str, src: str, key: str) -> str:
     cols = ", ".join(f"{r6(f'avg({value}) filter (where hour_of_day = {h})')} as h{h:02d}" for h in range(24))
@@ -552,6 +583,10 @@ select {CELL_KEY_SQL}, cast(congestion_level as bigint) as congestion_level,
        {r6('speed_deviation')} as speed_deviation
 from mart cross join q"""
 
+ORACLE["density_deviation_eda"] = chain_upto("cells") + f"""
+select {CELL_KEY_SQL}, {r6('least(greatest(cast(trip_density as double), 0), 500)')} as density_clipped,
+       {r6('least(greatest(speed_deviation, -20), 20)')} as deviation_clipped from cells"""
+
 ORACLE["monthly_trend"] = chain_upto("feat") + f"""
 select file_ym, {r6('avg(speed_mph)')} as avg_speed, cast(count(speed_mph) as bigint) as n_trips,
        {r6('quantile_cont(speed_mph, 0.5)')} as median_speed

@@ -62,7 +62,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str, flags: StageF
     """Run the stages not skipped; returns timings, row counts and the metrics document (L1)."""
     rep = RunReport()
     w = work_dir.rstrip("/")
-    p = {k: f"{w}/{k}" for k in ("raw_trips", "clean_trips", "cells", "model", "viz")}
+    p = {k: f"{w}/{k}" for k in ("raw_trips", "clean_trips", "trip_features", "cells", "model", "viz")}
     if flags.only_viz:
         flags = StageFlags(True, True, True, True, False)
 
@@ -76,7 +76,9 @@ def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str, flags: StageF
         _timed_write(rep, "clean", cleaned, p["clean_trips"], ["file_ym"])
     if not flags.skip_features:
         cleaned = IO.read_parquet_safe(spark, p["clean_trips"], "clean")
-        _timed_write(rep, "features", FE.build_cells(cleaned), p["cells"])
+        # Per-trip features, a folder a month; the cells are folded from the written table.
+        IO.save_monthly(FE.engineer_features(cleaned), p["trip_features"])
+        _timed_write(rep, "features", FE.cells_of(IO.read_parquet_safe(spark, p["trip_features"], "features")), p["cells"])
     if not flags.skip_cluster:
         cells = IO.read_parquet_safe(spark, p["cells"], "features")
         rep.metrics = run_clustering(spark, cells, p["model"], cluster_cfg, rep)

@@ -24,15 +24,14 @@ _BUILT: dict[tuple[str, str, str], str] = {}
 
 
 def source_state(spark: SparkSession, source: str) -> str:
-    """The files under ``source`` (two levels, as tables are laid out) with size and modification time, as one digest."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(source)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    seen = []
-    for entry in fs.listStatus(path):
-        inner = fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
-        seen += [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in inner]
-    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()
+    """The files under ``source`` with size and modification time, as one digest (listed by Spark's file source, unread)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).select("path", "modificationTime", "length")
+    return hashlib.sha1("\n".join(sorted(map(str, files.collect()))).encode()).hexdigest()
+
+
+def source_digest(spark: SparkSession, source: str) -> str:
+    """A short name for this state of ``source``."""
+    return hashlib.sha1((source + source_state(spark, source)).encode()).hexdigest()[:12]
 
 
 def stage(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:

@@ -39,9 +39,20 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def save_monthly(df: DataFrame, path: str) -> None:
-    """One directory per month file: ``file_ym=YYYY-MM/``."""
-    write_parquet(df, path, ["file_ym"])
+def save_monthly(df: DataFrame, path: str, rows_per_file: int = 5_000_000, replace_months_only: bool = False) -> None:
+    """One directory per month, ``file_ym=YYYY-MM/``, in files of about ``rows_per_file`` rows.
+
+    Months are counted first (one small row each); rows then meet by (month, salt), with as many salts as the month
+    needs files, so no month is one task's and no task writes a sliver of every month.  With
+    ``replace_months_only`` the months in ``df`` replace their own folders and the others stay.
+    """
+    files = df.groupBy("file_ym").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(rows_per_file))).cast("int").alias("_files"))
+    total = int(files.agg(F.coalesce(F.sum("_files"), F.lit(1))).first()[0])
+    spread = df.join(F.broadcast(files), df["file_ym"].eqNullSafe(files["file_ym"])).drop(files["file_ym"])
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_files"))
+    dealt = spread.withColumn("_salt", salt).repartition(total, "file_ym", "_salt").drop("_files", "_salt")
+    w = dealt.write.mode("overwrite").partitionBy("file_ym")
+    w.option("partitionOverwriteMode", "dynamic" if replace_months_only else "static").parquet(path)
 
 
 def read_parquet_safe(spark: SparkSession, path: str, label: str | None = None) -> DataFrame:

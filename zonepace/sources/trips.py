@@ -17,6 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from zonepace import config as C
 from zonepace.functions import scalar as S
@@ -177,15 +178,15 @@ def modal_month(df: DataFrame, group_col: str) -> DataFrame:
 
 
 def _list_parquet_files(spark: SparkSession, raw_dir: str) -> list[str]:
-    """Sorted list of ``*.parquet`` under ``raw_dir`` via the Hadoop FS (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(raw_dir)
-    fs = path.getFileSystem(hconf)
-    if not fs.exists(path):
-        return []
-    statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(raw_dir.rstrip("/") + "/*.parquet"))
-    return sorted(str(s.getPath().toString()) for s in (statuses or []))
+    """Sorted list of ``*.parquet`` files at any depth under ``raw_dir``: listed by Spark's own file source, contents unread."""
+    try:
+        listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+                  .load(raw_dir).select("path"))
+        return sorted(r["path"] for r in listed.collect())  # one row a file
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
 
 
 def scan_raw_trips(spark: SparkSession, raw_dir: str | list[str],
