@@ -824,8 +824,9 @@ def q_pca_covariance(spark, sf_dir):
 
 @register("pca_projection")
 def q_pca_projection(spark, sf_dir):
-    """2-D projection of all scaled cells, with levels."""
+    """2-D projection of all scaled cells, with levels (M10); scores to four digits, as two eigen-solvers agree to about twelve."""
     proj, ratio, _ = PC.pca_projection(scaled_table(spark, sf_dir), FEATS, keep=[*KEY3, "congestion_level"])
+    proj = proj.withColumns({c: F.floor(F.col(c) * F.lit(1e4) + F.lit(0.5)).cast("double") / F.lit(1e4) for c in ("pc1", "pc2")})
     return norm(proj.withColumns({"explained_pc1": F.lit(ratio[0]), "explained_pc2": F.lit(ratio[1])}))
 
 

@@ -899,6 +899,10 @@ ORACLE["pca_covariance"] = FEATM + SCALED + "\n" + "\nunion all\n".join(
 
 
 
+def _r4(x: str) -> str:
+    return r6(f"cast(floor(({x}) * 10000.0::double + 0.5::double) as double) / 10000.0::double")
+
+
 def _pca_sql(squarings: int = 45) -> str:
     """Two components by repeated squaring of the covariance matrix (power 2^45), the second after deflation;
     sign by the largest loading."""
@@ -934,7 +938,7 @@ def _pca_sql(squarings: int = 45) -> str:
 cov as (select {cov} from sc),
 mu as (select {', '.join(f'avg({f}) as m{i}' for i, f in enumerate(_F))} from sc),{iterate('pa', 'cov')},
 cov2 as (select {deflated} from cov c, pa a),{iterate('pb', 'cov2')}
-select {_K3}, cast(congestion_level as bigint) as congestion_level, {r6(score('pa_s'))} as pc1, {r6(score('pb_s'))} as pc2,
+select {_K3}, cast(congestion_level as bigint) as congestion_level, {_r4(score('pa_s'))} as pc1, {_r4(score('pb_s'))} as pc2,
        {r6(f'pa_s.lambda / ({trace})')} as explained_pc1, {r6(f'pb_s.lambda / ({trace})')} as explained_pc2
 from sc, mu, cov, pa_s, pb_s"""
 
