@@ -65,6 +65,18 @@ def test_streaming_ingest_matches_batch(spark):
     assert spark.read.parquet(f"{out}/clean").count() == 300
 
 
+def test_streaming_feeds_keep_their_own_progress(spark):
+    from zonepace.streaming.ingest import ingest_new_files
+    out = tempfile.mkdtemp(prefix="zp-stream3-out-")
+    for feed, n in (("a", 40), ("b", 30)):
+        raw = tempfile.mkdtemp(prefix=f"zp-stream3-{feed}-")
+        make_trips(n, seed=n).drop(columns=["trip_duration"]).to_parquet(
+            os.path.join(raw, "yellow_tripdata_2023-01.parquet"), index=False, coerce_timestamps="us")
+        q = ingest_new_files(spark, raw, spark.read.parquet(raw).schema, f"{out}/{feed}")
+        q.awaitTermination(120)
+        assert spark.read.parquet(f"{out}/{feed}").count() == n
+
+
 def test_streaming_ingest_one_file_per_batch(spark):
     """Two monthly files, one per micro-batch: per-file dedup and month rule stay exact."""
     from datetime import timedelta

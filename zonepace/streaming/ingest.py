@@ -13,6 +13,8 @@ not a new operator; it needs one raw vintage (one schema) per folder.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -43,6 +45,8 @@ def ingest_new_files(spark: SparkSession, raw_dir: str, raw_schema: StructType,
         (out.drop("_src_file", "_src_path", "_row_index").write.mode("overwrite").partitionBy("file_ym")
          .parquet(f"{out_path}/batch={epoch_id}"))
 
-    ck = checkpoint or scratch_path(spark, "streams/ingest")
+    # Each feed (source and target) has progress of its own.
+    feed = hashlib.sha1(f"{raw_dir}\n{out_path}".encode()).hexdigest()[:16]
+    ck = checkpoint or scratch_path(spark, f"streams/ingest-{feed}")
     return (raw.writeStream.foreachBatch(clean_batch).option("checkpointLocation", ck)
             .trigger(availableNow=True).start())
