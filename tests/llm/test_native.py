@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import textwrap
 
 import duckdb
 import pytest
@@ -79,27 +80,69 @@ def _grams(unit):
     return {(a, b) for a, b in zip(w, w[1:])}
 
 
+def _best(words, templates, spans):
+    """Highest Dice of each template over the given spans of words."""
+    best = {}
+    for lo, hi in spans:
+        g = set(zip(words[lo:hi], words[lo + 1:hi]))
+        for no, m in templates:
+            best[no] = max(best.get(no, 0), round(2 * len(g & m) / (len(g) + len(m)), 9) if g else 0)
+    return best
+
+
+def _wrap(text, width=60):
+    return "\n".join(textwrap.wrap(text, width))
+
+
 def test_license_scan_against_python(spark, docs, texts):
-    notices = ["Released under the MIT License.", "licensed UNDER the mit-license", "x\nLicensed under CC BY-NC 4.0.\ny", "All rights reserved",
-               "This work is licensed under the GNU General Public License, version 2!", "\n".join(["Licensed under", "the MIT License."])]
-    rows = list(enumerate([*texts, *notices]))
-    norm = lambda t: re.sub(r"[^0-9a-z\n\x80-\U0010ffff]+", " ", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
-    templates = [(i, a, b, _grams(norm(c).replace("\n", " "))) for i, (a, b, c) in enumerate(L.TEMPLATES)]
-    want = {}
+    """Every template that brute force over all lines, paragraphs, texts and all whole windows of its length finds is found."""
+    mit, gpl = (next(c for a, _, c in L.TEMPLATES if a == name and len(c) > 450) for name in ("MIT", "GPL"))
+    mit = max((c for a, _, c in L.TEMPLATES if a == "MIT"), key=len)
+    prose = [t for t in texts if t and 200 < len(t) < 2000]
+    rows = list(enumerate([
+        None, "", "!!!", "one", prose[0],
+        "Released under the MIT License.", "licensed UNDER the mit-license", "x\nLicensed under CC BY-NC 4.0.\ny", "All rights reserved",
+        "This work is licensed under the GNU General Public License, version 3!", "Licensed under\nthe MIT License.",
+        "Some prose. Released under the MIT License. More prose.", mit, _wrap(mit), f"{prose[1]}\n\n{_wrap(mit)}\n\n{prose[2]}",
+        f"{prose[1]} {mit} {prose[2]}", _wrap(gpl, 40) + "\r\n\r\n" + prose[3], " * " + _wrap(gpl).replace("\n", "\n * "),
+        mit.replace("without restriction", "with some added words here and no restriction"), mit[:len(mit) // 4], mit[:-60],
+        "rights reserved", "All rights\nreserved, all rights reserved."]))
+    lower = lambda t: re.sub("[A-Z]", lambda m: m.group().lower(), t or "")
+    words = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", lower(t))
+    sized = [(no, len(words(c)), _grams(" ".join(words(c)))) for no, (_, _, c) in enumerate(L.TEMPLATES)]
+    templates = [(no, m) for no, _, m in sized]
+    df = spark.createDataFrame([(i, t, "clash", 1) for i, t in rows], "doc_id long, text string, license string, kind int")
+    found = {i: {} for i, _ in rows}
+    for r in L.find_licenses(df).collect():
+        found[r.doc_id][r.t_no] = max(found[r.doc_id].get(r.t_no, 0), r.dice)
     for i, t in rows:
-        n = norm(t)
-        units = list(enumerate(n.split("\n"))) + ([(-1, n.replace("\n", " "))] if "\n" in n else [])
-        hits = []
-        for k, u in units:
-            g = _grams(u)
-            for no, a, b, m in templates:
-                dice = round(2 * len(g & m) / (len(g) + len(m)), 9) if g else 0
-                if dice >= L.THRESHOLD:
-                    hits.append((-dice, no, k, a, b))
-        best = min(hits, default=None)
-        want[i] = (best and best[3], best and best[4], best and -best[0], best and best[2], ",".join(sorted({h[3] for h in hits})), len(hits))
-    df = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, license string")
-    assert {r[0]: tuple(r[1:]) for r in L.scan_licenses(df).collect()} == want
-    assert sum(v[0] is not None for v in want.values()) >= 6
+        flat = re.sub(r"[^0-9a-z\n\x80-\U0010ffff]+", " ", lower(t))
+        want = {}
+        for unit in [*flat.split("\n"), *re.split("\n ?\n[ \n]*", flat), flat]:
+            for no, dice in _best(words(unit), templates, [(0, len(words(unit)))]).items():
+                want[no] = max(want.get(no, 0), dice)
+        w = words(t)
+        clipped = dict(want)
+        for no, size, m in sized:
+            for most, spans in ((want, range(len(w) - size + 1)), (clipped, range(1 - size, len(w)))):
+                most[no] = max(most.get(no, 0), _best(w, [(no, m)], [(max(0, s), s + size) for s in spans]).get(no, 0))
+        want = {no: dice for no, dice in want.items() if dice >= L.THRESHOLD}
+        assert set(want) <= set(found[i]), (i, t)
+        assert all(L.THRESHOLD <= dice <= clipped[no] for no, dice in found[i].items()), (i, t)
+        if i in (12, 13, 14, 15):
+            assert found[i][max(want, key=want.get)] == 1
+    table = {r.doc_id: r for r in L.scan_licenses(df).collect()}
+    bsd = {a: c for a, _, c in L.TEMPLATES if a in ("BSD-2-Clause", "BSD-3-Clause")}
+    full = spark.createDataFrame([(a, f"{prose[0]}\n{_wrap(c)}\n{prose[1]}") for a, c in bsd.items()], "doc_id string, text string")
+    assert all(r.license == r.doc_id and r.unit == "window" and r.dice == 1 for r in L.scan_licenses(full).collect())
+    assert [table[i].license for i in (5, 7, 9, 10, 11, 12, 13, 14, 15, 16, 17)] == [
+        "MIT", "CC-BY-NC-4.0", "GPL-3.0", "MIT", "MIT", "MIT", "MIT", "MIT", "MIT", "GPL", "GPL"]
+    assert all(table[i].license is None and table[i].licenses == "" and table[i].n_hits == 0 for i in range(5))
+    assert table[14].unit == "paragraph" and table[15].unit == "window"
+    assert L.scan_licenses(docs).filter("license IS NOT NULL").isEmpty()
+    # Repeated rows and null ids share their findings; a very long text is read to its end.
+    more = [(None, mit), (None, "x"), (7, mit), (7, mit), (8, "word " * 400_000 + mit)]
+    got = L.scan_licenses(spark.createDataFrame(more, "doc_id long, text string")).collect()
+    assert len(got) == 5 and {r.license for r in got} == {"MIT"} and len({r.n_hits for r in got if r.doc_id == 7}) == 1
     assert L.scan_licenses(df.limit(0)).count() == 0
     assert L.scan_licenses(df, templates=[]).filter("license IS NOT NULL").isEmpty()

@@ -1,15 +1,23 @@
 """Licence scans: Dice coefficient over word bigrams, with size bounds.
 
 A text is normalised (ASCII lower case; every run of other characters than
-letters, digits and line feeds is one space).  Its units are its lines and,
-where it has several lines, the whole text.  Each unit's set of word bigrams A is
-compared with each template's set B by Dice = 2|A and B| / (|A| + |B|).
-
-Dice >= t needs |A| between |B| t/(2-t) and |B| (2-t)/t, so a template is
-listed under each admissible |A| and units meet candidates in an equi-join on
-their size; most units have no candidate and go before any comparison.  The
-size table has (templates x admissible sizes) rows, known before the scan, and is
-broadcast.  Only built-in functions; hits, not texts, are shuffled.
+letters, digits and line feeds is one space).  Its units are
+
+- ``line``: its lines,
+- ``paragraph``: its paragraphs (parted by blank lines) of several lines,
+- ``text``: the whole text, where it has several lines,
+- ``window``: stretches of as many words as a template has, laid over the text, line breaks
+  ignored, so that one of the template's anchors stands at its own place; clipped at the ends of the text.
+
+A unit's set of word bigrams A is compared with a template's set B by
+Dice = 2|A and B| / (|A| + |B|).  Dice >= t needs |A| between |B| t/(2-t) and
+|B| (2-t)/t, and at least |B| t/(2-t) common bigrams; so a unit that reaches t holds at least one of
+any |B| - ceil(|B| t/(2-t)) + 1 bigrams of B.  The longest ones are the template's
+anchors.  Lines, paragraphs and texts without a word of an anchor go unread; the others meet the
+templates whose size bounds admit them in an equi-join on their size.  Windows come from an
+equi-join of the text's word pairs with the anchors.  Both tables have (templates x
+sizes) and (templates x words) rows, known before the scan, and are broadcast.  Only built-in
+functions; hits, not texts, are shuffled.
 """
 
 from __future__ import annotations
@@ -24,7 +32,10 @@ from zonepace.llm.license_templates import TEMPLATES
 
 THRESHOLD = 0.8
 NOT_WORD = r"[^0-9a-z\n\x{80}-\x{10FFFF}]+"
+BREAK = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
+BLANK_LINE = r"\n ?\n[ \n]*"
 BIGRAM = r"(?=(?:^| )([^ ]+ [^ ]+))"
+KINDS = ["line", "paragraph", "text", "window"]
 MAX_SIZES = 100_000
 
 
@@ -32,86 +43,125 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(ascii_lower(text), NOT_WORD, " ")
 
 
+def words_of(text: Column) -> Column:
+    """All words of a text, in order, across its lines."""
+    return F.array_remove(F.split(ascii_lower(text), BREAK), "")
+
+
 def bigrams(unit: Column) -> Column:
     """Distinct word bigrams of a normalised, trimmed unit."""
     return F.array_distinct(F.regexp_extract_all(unit, F.lit(BIGRAM), F.lit(1)))
 
 
 def bounds(size: int, threshold: float) -> tuple[int, int]:
-    """Least and largest number of bigrams that can reach the threshold against ``size``."""
+    """Least and largest number of bigrams that can reach the threshold against ``size``; the least is also that of common ones."""
     ratio = threshold / (2 - threshold)
     return math.ceil(size * ratio - 1e-9), math.floor(size / ratio + 1e-9)
 
 
-def template_rows(spark: SparkSession, templates: list[tuple[str, str, str]]) -> list[tuple]:
-    """(number, id, family, bigrams) of each template that has a bigram."""
+def template_rows(spark: SparkSession, templates: list[tuple[str, str, str]]) -> list[tuple[int, list[str], list[str]]]:
+    """(number, words, bigrams) of each template that has a bigram."""
     if not templates:
         return []
-    rows = [F.struct(F.lit(i).alias("t_no"), F.lit(a).alias("t_id"), F.lit(b).alias("t_family"), F.lit(c).alias("t_text"))
-            for i, (a, b, c) in enumerate(templates)]
-    table = spark.range(1).select(F.inline(F.array(*rows)))
-    unit = F.trim(F.translate(normalised(F.col("t_text")), "\n", " "))
-    return [tuple(r) for r in table.select("t_no", "t_id", "t_family", bigrams(unit)).collect() if r[3]]
+    rows = [F.struct(F.lit(i).alias("t_no"), F.lit(c).alias("t_text")) for i, (_, _, c) in enumerate(templates)]
+    table = spark.range(1).select(F.inline(F.array(*rows))).withColumn("words", words_of(F.col("t_text")))
+    return [tuple(r) for r in table.select("t_no", "words", bigrams(F.array_join("words", " "))).collect() if r[2]]
+
+
+def anchors_of(grams: list[str], threshold: float) -> list[str]:
+    """The longest bigrams of a template, so many that a unit reaching the threshold holds one of them."""
+    return sorted(grams, key=lambda g: (-len(g), g))[:len(grams) - bounds(len(grams), threshold)[0] + 1]
+
+
+def _literal(values: list[str]) -> Column:
+    return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
+
+
+def _dice(size: Column) -> Column:
+    return F.round(2.0 * F.size(F.array_intersect("grams", "t_grams")) / (size + F.size("t_grams")), 9)
 
 
 def find_licenses(docs: DataFrame, templates: list[tuple[str, str, str]] | None = None, threshold: float = THRESHOLD,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, unit, t_no, t_id, t_family, dice): every unit that reaches the threshold against a template.
+    """(doc_id, kind, place, t_no, dice): the distinct units that reach the threshold against a template.
 
-    ``unit`` is the line number from 0, or -1 for the whole text.
+    ``kind`` is a place in ``KINDS``; ``place`` counts lines and paragraphs from 0, is 0 for
+    a text and the place of the template's first word for a window (negative where the
+    window is clipped).  ``t_no`` is the place of the template in the list.
     """
     spark = docs.sparkSession
     rows = template_rows(spark, TEMPLATES if templates is None else templates)
-    sizes = [(n, t) for t in rows for n in range(bounds(len(t[3]), threshold)[0], bounds(len(t[3]), threshold)[1] + 1)]
-    if len(sizes) > MAX_SIZES:
-        raise ValueError(f"{len(sizes)} template sizes; split the templates into several scans")
-    if not sizes:
+    sizes = [bounds(len(grams), threshold) for _, _, grams in rows]
+    if sum(most - least + 1 for least, most in sizes) > MAX_SIZES:
+        raise ValueError("too many template sizes; split the templates into several scans")
+    if not rows:
         return docs.select(docs[id_col].alias("doc_id")).limit(0).selectExpr(
-            "doc_id", "0 AS unit", "0 AS t_no", "'' AS t_id", "'' AS t_family", "cast(0 AS double) AS dice")
-    least, most = min(n for n, _ in sizes), max(n for n, _ in sizes)
-    packed = F.array(*[F.struct(F.lit(no).alias("t_no"), F.lit(lid).alias("t_id"), F.lit(fam).alias("t_family"),
-                                F.array(*map(F.lit, grams)).alias("t_grams")) for no, lid, fam, grams in rows])
+            "doc_id", "0 AS kind", "0 AS place", "0 AS t_no", "cast(0 AS double) AS dice")
+    least, most = min(n for n, _ in sizes), max(n for _, n in sizes)
+    chosen = {no: anchors_of(grams, threshold) for no, _, grams in rows}
+    anchor_words = sorted({max(g.split(" "), key=len) for gs in chosen.values() for g in gs})
+    first_words = sorted({g.split(" ")[0] for gs in chosen.values() for g in gs})
+    packed = F.array(*[F.struct(F.lit(no).alias("t_no"), _literal(words).alias("t_words"), _literal(grams).alias("t_grams"),
+                                _literal(chosen[no]).alias("t_anchors")) for no, words, grams in rows])
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    table = (spark.range(1).select(F.inline(packed)).withColumn("t_size", F.size("t_grams"))
-             .withColumn("size", F.explode(F.sequence(F.ceil(F.col("t_size") * low - 1e-9).cast("int"),
-                                                      F.floor(F.col("t_size") * high + 1e-9).cast("int")))))
-
-    norm = docs.select(docs[id_col].alias("doc_id"), normalised(text_of(docs, text_col)).alias("norm"))
-    lines = norm.select("doc_id", F.posexplode(F.split("norm", "\n")).alias("unit", "line"))
-    whole = (norm.filter(F.instr("norm", "\n") > 0)
-             .select("doc_id", F.lit(-1).alias("unit"), F.translate("norm", "\n", " ").alias("line")))
-    units = lines.unionByName(whole).withColumn("line", F.trim(F.regexp_replace("line", " +", " ")))
+    table = spark.range(1).select(F.inline(packed))
+    by_size = table.select("t_no", "t_grams", F.explode(F.sequence(
+        F.ceil(F.size("t_grams") * low - 1e-9).cast("int"), F.floor(F.size("t_grams") * high + 1e-9).cast("int"))).alias("size"))
+    by_anchor = (table.select("t_no", "t_grams", "t_anchors", "t_words", F.posexplode("t_words").alias("offset", "t_word"))
+                 .withColumn("anchor", F.concat("t_word", F.lit(" "), F.get("t_words", F.col("offset") + 1)))
+                 .filter(F.array_contains("t_anchors", F.col("anchor")))
+                 .select("anchor", "t_no", "t_grams", "offset", F.size("t_words").alias("length")))
+
+    texts = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text"))
+    # Outer: an inner explode would add a filter that splits each text a second time.
+    pairs = (texts.select("doc_id", words_of(F.col("text")).alias("words"))
+             .select("doc_id", "words", F.posexplode_outer("words").alias("at", "word"))
+             .filter(F.col("word").isin(first_words))
+             .withColumn("anchor", F.concat("word", F.lit(" "), F.get("words", F.col("at") + 1))))
+    begin = F.col("at") - F.col("offset")
+    windows = (pairs.join(F.broadcast(by_anchor), "anchor")
+               .select("doc_id", "t_no", "t_grams", begin.alias("place"),
+                       bigrams(F.array_join(F.slice("words", F.greatest(begin, F.lit(0)) + 1,
+                                                    F.col("length") + F.least(begin, F.lit(0))), " ")).alias("grams"))
+               .select("doc_id", F.lit(3).alias("kind"), "place", "t_no", _dice(F.size("grams")).alias("dice")))
+
+    norm = normalised(F.col("text"))
+    layers = (texts.filter(F.arrays_overlap(F.split(ascii_lower(F.col("text")), BREAK), _literal(anchor_words)))
+              .select("doc_id", F.posexplode(F.array(F.split(norm, "\n"), F.split(norm, BLANK_LINE), F.array(norm))).alias("kind", "layer")))
+    units = (layers.select("doc_id", "kind", F.posexplode("layer").alias("place", "unit"))
+             .filter((F.col("kind") == 0) | F.contains("unit", F.lit("\n")))
+             .withColumn("unit", F.trim(F.regexp_replace(F.translate("unit", "\n", " "), " +", " ")))
+             .withColumn("words", F.split("unit", " ")))
     # A unit with d distinct words has at least d - 1 and with w words at most w - 1 distinct bigrams.
-    words = F.split("line", " ")
-    units = units.filter((F.size(words) - 1 >= least) & (F.size(F.array_distinct(words)) - 1 <= most))
-    units = units.withColumn("grams", bigrams(F.col("line"))).withColumn("size", F.size("grams"))
-    dice = 2.0 * F.size(F.array_intersect("grams", "t_grams")) / (F.col("size") + F.col("t_size"))
-    return (units.join(F.broadcast(table), "size").withColumn("dice", F.round(dice, 9)).filter(F.col("dice") >= threshold)
-            .select("doc_id", "unit", "t_no", "t_id", "t_family", "dice"))
+    units = (units.filter((F.size("words") - 1 >= least) & F.arrays_overlap("words", _literal(anchor_words)))
+             .filter(F.size(F.array_distinct("words")) - 1 <= most)
+             .select("doc_id", "kind", "place", bigrams(F.col("unit")).alias("grams")))
+    whole = (units.withColumn("size", F.size("grams")).join(F.broadcast(by_size), "size")
+             .select("doc_id", "kind", "place", "t_no", _dice(F.col("size")).alias("dice")))
+    return windows.unionByName(whole).filter(F.col("dice") >= threshold).distinct()
 
 
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str, str]] | None = None, threshold: float = THRESHOLD,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, license, family, dice, line, licenses, n_hits: one row per row of ``docs``.
+    """doc_id, license, family, dice, unit, place, licenses, n_hits: one row per row of ``docs``.
 
-    The best hit decides ``license`` (highest Dice, then the earlier template,
-    then the earlier unit); ``licenses`` lists all ids found, sorted.  Without a
-    hit: nulls, an empty list and 0; null and empty texts have none.  Rows that share
-    an id share their findings.  Other columns are not read.
+    The best hit decides ``license`` (highest Dice, then the longer template, then the earlier one, then line
+    before paragraph before text before window, then the earlier place); ``licenses`` lists all ids
+    found, sorted; ``n_hits`` counts distinct hits.  Without a hit: nulls, an empty list and 0; null and empty texts have
+    none.  Rows that share an id, null included, share their findings.  A very long text is split
+    into words whole, in one task.  Other columns are not read, whatever their names.
     """
-    hits = find_licenses(docs, templates, threshold, id_col, text_col)
-    # Fixed-width rank: Dice in billionths, then template and unit in falling order.
-    score = F.round(F.col("dice") * 1e9).cast("long") * 100_000 + (99_999 - F.col("t_no"))
-    per_template = hits.groupBy("doc_id", "t_no", "t_id", "t_family").agg(
-        F.max(score).alias("score"), F.count(F.lit(1)).alias("hits"), F.max("dice").alias("dice"),
-        F.max_by(-F.col("unit"), F.struct("dice", -F.col("unit"))).alias("minus"))
-    found = per_template.groupBy("doc_id").agg(
-        F.max_by(F.struct("t_id", "t_family", "dice", (-F.col("minus")).alias("line")), "score").alias("best"),
-        F.array_sort(F.collect_set("t_id")).alias("licenses"), F.sum("hits").alias("n_hits"))
-    ids = docs.select(docs[id_col].alias("doc_id"))
-    found = found.withColumnRenamed("doc_id", "f_id")
-    return (ids.join(found, ids.doc_id.eqNullSafe(found.f_id), "left")
-            .select("doc_id", F.col("best.t_id").alias("license"), F.col("best.t_family").alias("family"),
-                    F.col("best.dice").alias("dice"), F.col("best.line").cast("int").alias("line"),
-                    F.array_join(F.coalesce("licenses", F.array().cast("array<string>")), ",").alias("licenses"),
-                    F.coalesce("n_hits", F.lit(0).cast("long")).alias("n_hits")))
+    known = TEMPLATES if templates is None else templates
+    ids, families = (_literal([t[i] for t in known]) for i in (0, 1))
+    shorter = F.array(*[F.lit(-len(text)) for _, _, text in known]) if known else F.array().cast("array<int>")
+    rank = F.struct((-F.col("dice")).alias("less"), F.get(shorter, F.col("t_no")).alias("shorter"), "t_no", "kind", "place")
+    found = find_licenses(docs, templates, threshold, id_col, text_col).groupBy(F.col("doc_id").alias("f_id")).agg(
+        F.min(rank).alias("best"), F.collect_set("t_no").alias("t_nos"), F.count(F.lit(1)).alias("hits"))
+    found = found.withColumn("names", F.array_join(F.array_sort(F.array_distinct(
+        F.transform("t_nos", lambda n: F.get(ids, n)))), ","))
+    rows = docs.select(docs[id_col].alias("doc_id"))
+    return (rows.join(found, rows.doc_id.eqNullSafe(found.f_id), "left")
+            .select("doc_id", F.get(ids, F.col("best.t_no")).alias("license"), F.get(families, F.col("best.t_no")).alias("family"),
+                    (-F.col("best.less")).alias("dice"), F.get(_literal(KINDS), F.col("best.kind")).alias("unit"),
+                    F.col("best.place").alias("place"), F.coalesce("names", F.lit("")).alias("licenses"),
+                    F.coalesce("hits", F.lit(0).cast("long")).alias("n_hits")))

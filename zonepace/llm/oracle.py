@@ -44,31 +44,55 @@ FROM g
 """
 
 _NORM = f"regexp_replace(translate(%s, '{UPPER}', '{LOWER}'), '[^0-9a-z\\n\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g')"
-_GRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+_PAIRS = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
+_GRAMS = f"list_distinct({_PAIRS})"
 _VALUES = ",\n    ".join(f"({i}, {_text(a)}, {_text(b)}, {_text(c)})" for i, (a, b, c) in enumerate(TEMPLATES))
 OP9 = f"""
 WITH t0(t_no, t_id, t_family, t_text) AS (VALUES
     {_VALUES}),
 t AS (
-  SELECT t_no, t_id, t_family, {_GRAMS} AS tg
+  SELECT t_no, t_id, t_family, w, {_GRAMS} AS tg
   FROM (SELECT *, string_split(trim(replace({_NORM % 't_text'}, chr(10), ' ')), ' ') AS w FROM t0)),
 n AS (SELECT doc_id, {_NORM % "coalesce(text, '')"} AS norm FROM documents),
 l AS (
-  SELECT doc_id, unnest(range(0, len(string_split(norm, chr(10))))) AS unit, unnest(string_split(norm, chr(10))) AS line FROM n
+  SELECT doc_id, 0 AS kind, unnest(range(0, len(string_split(norm, chr(10))))) AS place, unnest(string_split(norm, chr(10))) AS line FROM n
   UNION ALL
-  SELECT doc_id, -1, replace(norm, chr(10), ' ') FROM n WHERE contains(norm, chr(10))),
-u AS (SELECT doc_id, unit, string_split(trim(regexp_replace(line, ' +', ' ', 'g')), ' ') AS w FROM l),
-g AS (SELECT doc_id, unit, {_GRAMS} AS ug FROM u),
+  SELECT doc_id, 1, unnest(range(0, len(p))), unnest(p) FROM (SELECT doc_id, string_split_regex(norm, '\\n ?\\n[ \\n]*') AS p FROM n)
+  UNION ALL
+  SELECT doc_id, 2, 0, norm FROM n),
+u AS (
+  SELECT doc_id, kind, place, string_split(trim(regexp_replace(replace(line, chr(10), ' '), ' +', ' ', 'g')), ' ') AS w
+  FROM l WHERE kind = 0 OR contains(line, chr(10))),
+g AS (SELECT doc_id, kind, place, {_GRAMS} AS ug FROM u),
 h AS (
-  SELECT doc_id, unit, t_no, t_id, t_family,
-         round(2.0 * len(list_intersect(ug, tg))::DOUBLE / (len(ug) + len(tg)), 9) AS dice
+  SELECT doc_id, kind, place, t_no, round(2.0 * len(list_intersect(ug, tg))::DOUBLE / (len(ug) + len(tg)), 9) AS dice
   FROM g, t WHERE len(ug) > 0 AND 2.0 * least(len(ug), len(tg)) / (len(ug) + len(tg)) >= {THRESHOLD} - 1e-9),
-k AS (SELECT * FROM h WHERE dice >= {THRESHOLD}),
-b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, t_no, unit) AS rn FROM k),
-s AS (SELECT doc_id, string_agg(DISTINCT t_id, ',' ORDER BY t_id) AS licenses, count(*) AS n_hits FROM k GROUP BY doc_id)
-SELECT d.doc_id, b.t_id AS license, b.t_family AS family, b.dice AS dice, CAST(b.unit AS INTEGER) AS line,
-       coalesce(s.licenses, '') AS licenses, CAST(coalesce(s.n_hits, 0) AS BIGINT) AS n_hits
-FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id AND b.rn = 1 LEFT JOIN s ON s.doc_id = d.doc_id
+a AS (
+  SELECT t_no, anchor FROM (
+    SELECT t_no, anchor, row_number() OVER (PARTITION BY t_no ORDER BY length(anchor) DESC, anchor) AS rn, count(*) OVER (PARTITION BY t_no) AS c
+    FROM (SELECT t_no, unnest(tg) AS anchor FROM t))
+  WHERE rn <= c - ceil(c * {THRESHOLD} / (2 - {THRESHOLD}) - 1e-9) + 1),
+o AS (
+  SELECT t_no, anchor, o FROM (SELECT t_no, o, w[o] || ' ' || w[o + 1] AS anchor FROM (SELECT t_no, w, unnest(range(1, len(w))) AS o FROM t))
+  JOIN a USING (t_no, anchor)),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
+c AS (
+  SELECT DISTINCT doc_id, t_no, p - o AS place
+  FROM (SELECT doc_id, unnest(range(1, len(w))) AS p, unnest({_PAIRS}) AS anchor FROM d WHERE len(w) > 1) JOIN o USING (anchor)),
+y AS (
+  SELECT doc_id, t_no, place, {_GRAMS} AS ug
+  FROM (SELECT c.*, list_slice(d.w, greatest(place, 0) + 1, place + len(t.w)) AS w FROM c JOIN d USING (doc_id) JOIN t USING (t_no))),
+k AS (
+  SELECT * FROM h WHERE dice >= {THRESHOLD}
+  UNION ALL
+  SELECT * FROM (SELECT doc_id, 3, place, t_no, round(2.0 * len(list_intersect(ug, tg))::DOUBLE / (len(ug) + len(tg)), 9) AS dice
+                 FROM y JOIN t USING (t_no)) WHERE dice >= {THRESHOLD}),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, length(t_text) DESC, t_no, kind, place) AS rn FROM k JOIN t0 USING (t_no)),
+s AS (SELECT doc_id, string_agg(DISTINCT t_id, ',' ORDER BY t_id) AS licenses, count(*) AS n_hits FROM k JOIN t USING (t_no) GROUP BY doc_id)
+SELECT d.doc_id, t.t_id AS license, t.t_family AS family, b.dice AS dice,
+       CASE b.kind WHEN 0 THEN 'line' WHEN 1 THEN 'paragraph' WHEN 2 THEN 'text' WHEN 3 THEN 'window' END AS unit,
+       CAST(b.place AS INTEGER) AS place, coalesce(s.licenses, '') AS licenses, CAST(coalesce(s.n_hits, 0) AS BIGINT) AS n_hits
+FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id AND b.rn = 1 LEFT JOIN t ON t.t_no = b.t_no LEFT JOIN s ON s.doc_id = d.doc_id
 """
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
