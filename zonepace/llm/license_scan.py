@@ -12,8 +12,8 @@ letters, digits and line feeds is one space).  Its units are
 A unit's set of word bigrams A is compared with a template's set B by
 Dice = 2|A and B| / (|A| + |B|).  Dice >= t needs |A| between |B| t/(2-t) and
 |B| (2-t)/t, and at least |B| t/(2-t) common bigrams; so a unit that reaches t holds at least one of
-any |B| - ceil(|B| t/(2-t)) + 1 bigrams of B.  The longest ones are the template's
-anchors.  Lines, paragraphs and texts without a word of an anchor go unread; the others meet the
+any |B| - ceil(|B| t/(2-t)) + 1 bigrams of B.  The longest ones without a common word, then the
+longest others, are the template's anchors.  Texts, and then lines and paragraphs, without an anchor go unread; the others meet the
 templates whose size bounds admit them in an equi-join on their size.  Windows come from an
 equi-join of the text's word pairs with the anchors.  Both tables have (templates x
 sizes) and (templates x words) rows, known before the scan, and are broadcast.  Only built-in
@@ -37,6 +37,9 @@ BLANK_LINE = r"\n ?\n[ \n]*"
 BIGRAM = r"(?=(?:^| )([^ ]+ [^ ]+))"
 KINDS = ["line", "paragraph", "text", "window"]
 MAX_SIZES = 100_000
+# Common words, poor anchors.
+COMMON = ["a", "all", "an", "and", "any", "are", "as", "at", "be", "by", "for", "from", "has", "have", "if", "in", "is", "it", "no", "not",
+          "of", "on", "or", "shall", "so", "such", "that", "the", "this", "to", "under", "was", "which", "will", "with", "you"]
 
 
 def normalised(text: Column) -> Column:
@@ -69,14 +72,28 @@ def template_rows(spark: SparkSession, templates: list[tuple[str, str, str]]) ->
 
 
 def anchors_of(grams: list[str], threshold: float) -> list[str]:
-    """The longest bigrams of a template, so many that a unit reaching the threshold holds one of them."""
-    return sorted(grams, key=lambda g: (-len(g), g))[:len(grams) - bounds(len(grams), threshold)[0] + 1]
+    """So many bigrams of a template, common words and short ones last, that a unit reaching the threshold holds one of them."""
+    order = sorted(grams, key=lambda g: (any(w in COMMON for w in g.split(" ")), -len(g), g))
+    return order[:len(grams) - bounds(len(grams), threshold)[0] + 1]
+
+
+def word_of(anchor: str) -> str:
+    """The word that texts are searched for before their word pairs are formed: the longest, common ones last."""
+    return max(anchor.split(" "), key=lambda w: (w not in COMMON, len(w)))
 
 
 def _literal(values: list[str]) -> Column:
     return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
 
 
+def _holds_anchor(words: Column, anchors: list[str]) -> Column:
+    """True where two neighbouring words are an anchor; pairs are formed only where a word of one occurs."""
+    known, members = _literal(anchors), _literal(sorted({word_of(a) for a in anchors}))
+    pairs = lambda w: F.zip_with(w, F.slice(w, F.lit(2), F.size(w)), lambda a, b: F.concat(a, F.lit(" "), b))
+    # One array as the only element of another: the text is split once, not for each mention.
+    return F.exists(F.array(words), lambda w: F.arrays_overlap(w, members) & F.arrays_overlap(pairs(w), known))
+
+
 def _dice(size: Column) -> Column:
     return F.round(2.0 * F.size(F.array_intersect("grams", "t_grams")) / (size + F.size("t_grams")), 9)
 
@@ -99,8 +116,8 @@ def find_licenses(docs: DataFrame, templates: list[tuple[str, str, str]] | None
             "doc_id", "0 AS kind", "0 AS place", "0 AS t_no", "cast(0 AS double) AS dice")
     least, most = min(n for n, _ in sizes), max(n for _, n in sizes)
     chosen = {no: anchors_of(grams, threshold) for no, _, grams in rows}
-    anchor_words = sorted({max(g.split(" "), key=len) for gs in chosen.values() for g in gs})
-    first_words = sorted({g.split(" ")[0] for gs in chosen.values() for g in gs})
+    anchors = sorted({g for gs in chosen.values() for g in gs})
+    first_words = sorted({a.split(" ")[0] for a in anchors})
     packed = F.array(*[F.struct(F.lit(no).alias("t_no"), _literal(words).alias("t_words"), _literal(grams).alias("t_grams"),
                                 _literal(chosen[no]).alias("t_anchors")) for no, words, grams in rows])
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
@@ -126,14 +143,14 @@ def find_licenses(docs: DataFrame, templates: list[tuple[str, str, str]] | None
                .select("doc_id", F.lit(3).alias("kind"), "place", "t_no", _dice(F.size("grams")).alias("dice")))
 
     norm = normalised(F.col("text"))
-    layers = (texts.filter(F.arrays_overlap(F.split(ascii_lower(F.col("text")), BREAK), _literal(anchor_words)))
-              .select("doc_id", F.posexplode(F.array(F.split(norm, "\n"), F.split(norm, BLANK_LINE), F.array(norm))).alias("kind", "layer")))
+    layers = texts.filter(_holds_anchor(words_of(F.col("text")), anchors)).select("doc_id", F.posexplode(
+        F.array(F.split(norm, "\n"), F.split(norm, BLANK_LINE), F.array(norm))).alias("kind", "layer"))
     units = (layers.select("doc_id", "kind", F.posexplode("layer").alias("place", "unit"))
              .filter((F.col("kind") == 0) | F.contains("unit", F.lit("\n")))
              .withColumn("unit", F.trim(F.regexp_replace(F.translate("unit", "\n", " "), " +", " ")))
              .withColumn("words", F.split("unit", " ")))
     # A unit with d distinct words has at least d - 1 and with w words at most w - 1 distinct bigrams.
-    units = (units.filter((F.size("words") - 1 >= least) & F.arrays_overlap("words", _literal(anchor_words)))
+    units = (units.filter((F.size("words") - 1 >= least) & _holds_anchor(F.col("words"), anchors))
              .filter(F.size(F.array_distinct("words")) - 1 <= most)
              .select("doc_id", "kind", "place", bigrams(F.col("unit")).alias("grams")))
     whole = (units.withColumn("size", F.size("grams")).join(F.broadcast(by_size), "size")

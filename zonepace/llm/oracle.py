@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from zonepace.llm.license_scan import THRESHOLD
+from zonepace.llm.license_scan import COMMON, THRESHOLD
 from zonepace.llm.license_templates import TEMPLATES
 from zonepace.llm.quality_rules import BASE, STOP_WORDS, THRESHOLDS
 
@@ -69,7 +69,7 @@ h AS (
   FROM g, t WHERE len(ug) > 0 AND 2.0 * least(len(ug), len(tg)) / (len(ug) + len(tg)) >= {THRESHOLD} - 1e-9),
 a AS (
   SELECT t_no, anchor FROM (
-    SELECT t_no, anchor, row_number() OVER (PARTITION BY t_no ORDER BY length(anchor) DESC, anchor) AS rn, count(*) OVER (PARTITION BY t_no) AS c
+    SELECT t_no, anchor, row_number() OVER (PARTITION BY t_no ORDER BY list_has_any(string_split(anchor, ' '), {COMMON}), length(anchor) DESC, anchor) AS rn, count(*) OVER (PARTITION BY t_no) AS c
     FROM (SELECT t_no, unnest(tg) AS anchor FROM t))
   WHERE rn <= c - ceil(c * {THRESHOLD} / (2 - {THRESHOLD}) - 1e-9) + 1),
 o AS (
