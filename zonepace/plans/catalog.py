@@ -361,6 +361,19 @@ def q_severity_dim(spark, sf_dir):
     return norm(DB.severity_dim(mart(spark, sf_dir)))
 
 
+def _severity_of(hours: int):
+    """The palette of a mart whose levels are blocks of ``hours`` hours: 24 / hours levels."""
+    def query(spark, sf_dir):
+        m = mart(spark, sf_dir)
+        return norm(DB.severity_dim(m.withColumn("congestion_level", F.floor(F.col("hour_of_day") / hours).cast("int"))))
+    return query
+
+
+register("severity_dim_3")(_severity_of(8))
+register("severity_dim_6")(_severity_of(4))
+register("severity_dim_24")(_severity_of(1))
+
+
 @register("hourly_trend")
 def q_hourly_trend(spark, sf_dir):
     return norm(MA.hourly_trend(mart(spark, sf_dir)))
@@ -830,16 +843,30 @@ def q_pca_projection(spark, sf_dir):
     return norm(proj.withColumns({"explained_pc1": F.lit(ratio[0]), "explained_pc2": F.lit(ratio[1])}))
 
 
+QUICK = ["avg_speed_mph", "trip_density", "speed_deviation"]
+
+
+def _quick_clusters(spark, sf_dir) -> DataFrame:
+    c = SC.prepare_features(cells(spark, sf_dir).select(*KEY3, *QUICK), QUICK).withColumn("speed_raw", F.col("avg_speed_mph"))
+    scaled, _ = SC.scale_features(c.withColumn("cell_id", _cell_id()), QUICK, "standard")
+    data = KM.stable_input(scaled, KEY3, QUICK, id_col="cell_id")
+    fit = KM.train_kmeans(data, 3)
+    return MA.assign_semantic_labels(KM.predict(fit, data), speed_col="speed_raw")
+
+
 @register("eda_quick_clusters")
 def q_eda_quick_clusters(spark, sf_dir):
     """Quick look over all cells: 3 raw features standardised, k = 3, levels by speed (M9)."""
-    feats3 = ["avg_speed_mph", "trip_density", "speed_deviation"]
-    c = SC.prepare_features(cells(spark, sf_dir).select(*KEY3, *feats3), feats3).withColumn("speed_raw", F.col("avg_speed_mph"))
-    scaled, _ = SC.scale_features(c.withColumn("cell_id", _cell_id()), feats3, "standard")
-    data = KM.stable_input(scaled, KEY3, feats3, id_col="cell_id")
-    fit = KM.train_kmeans(data, 3)
-    lab = MA.assign_semantic_labels(KM.predict(fit, data), speed_col="speed_raw")
-    return norm(lab.select(*KEY3, F.col("speed_raw").alias("avg_speed_mph"), "congestion_level"))
+    return norm(_quick_clusters(spark, sf_dir).select(*KEY3, F.col("speed_raw").alias("avg_speed_mph"), "congestion_level"))
+
+
+@register("eda_quick_silhouette")
+def q_eda_quick_silhouette(spark, sf_dir):
+    """The silhouette figure of the quick look, over all cells (M9)."""
+    # The rows feed the counts and the scoring pass: cut them once.
+    lab = _quick_clusters(spark, sf_dir).select(*KEY3, *QUICK, "congestion_level").checkpoint(eager=True)
+    per_row = QU.silhouette_samples(lab, QUICK, ["congestion_level"], KEY3)
+    return norm(per_row.agg(F.avg("sil_congestion_level").alias("silhouette")))
 
 
 def zone_vertices(spark, sf_dir) -> DataFrame:

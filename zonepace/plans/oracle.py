@@ -429,6 +429,11 @@ ORACLE["severity_dim"] = with_mart() + PALETTE + """
 select cast(congestion_level as bigint) as congestion_level, label, hex, cast(r as bigint) as r, cast(g as bigint) as g,
        cast(b as bigint) as b, cast(a as bigint) as a from palette"""
 
+for _key, _level in (("severity_dim_3", "hour_of_day // 8"), ("severity_dim_6", "hour_of_day // 4"), ("severity_dim_24", "hour_of_day")):
+    ORACLE[_key] = with_mart() + PALETTE.replace("distinct congestion_level from mart", f"distinct {_level} as congestion_level from mart") + """
+select cast(congestion_level as bigint) as congestion_level, label, hex, cast(r as bigint) as r, cast(g as bigint) as g,
+       cast(b as bigint) as b, cast(a as bigint) as a from palette"""
+
 ORACLE["hourly_trend"] = with_mart() + f"""
 select cast(hour_of_day as bigint) as hour_of_day, {r6('avg(avg_speed_mph)')} as avg_speed,
        {r6('avg(trip_density)')} as avg_density, {r6('avg(speed_deviation)')} as avg_deviation
@@ -773,15 +778,20 @@ ORACLE["ari"] = _ari_sql("(zone_id + hour_of_day) % 4")
 ORACLE["ari_identical"] = _ari_sql("10 - congestion_level")
 
 # Silhouettes over all pairs of rows: per row the sums of distances to every level.
-_PAIR = "sqrt(" + " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in _F) + ")"
-SIL = FEATM + SCALED + f""",
-sp as materialized (select *, row_number() over () as r, count(*) over (partition by congestion_level) as own_n from sc),
-pd as (select a.r, b.congestion_level as l, {_PAIR} as d from sp a, sp b),
-sums as materialized (select r, {', '.join(f'coalesce(sum(d) filter (l = {i}), 0) as s{i}' for i in range(4))} from pd group by r),
-ns as (select {', '.join(f'nullif(count(*) filter (congestion_level = {i}), 0) as n{i}' for i in range(4))} from sc),
-ab as (select sp.*, [s0, s1, s2, s3][congestion_level + 1] / nullif(own_n - 1, 0) as am,
-              least({', '.join(f'case when congestion_level <> {i} then s{i} / n{i} end' for i in range(4))}) as bm from sp join sums using (r), ns),
+def _sil_ctes(table: str, feats: list[str], k: int) -> str:
+    """CTEs ending in sil: ``table`` with its silhouettes s over levels 0..k-1."""
+    pair = "sqrt(" + " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in feats) + ")"
+    return f"""
+sp as materialized (select *, row_number() over () as r, count(*) over (partition by congestion_level) as own_n from {table}),
+pd as (select a.r, b.congestion_level as l, {pair} as d from sp a, sp b),
+sums as materialized (select r, {', '.join(f'coalesce(sum(d) filter (l = {i}), 0) as s{i}' for i in range(k))} from pd group by r),
+ns as (select {', '.join(f'nullif(count(*) filter (congestion_level = {i}), 0) as n{i}' for i in range(k))} from {table}),
+ab as (select sp.*, [{', '.join(f's{i}' for i in range(k))}][congestion_level + 1] / nullif(own_n - 1, 0) as am,
+              least({', '.join(f'case when congestion_level <> {i} then s{i} / n{i} end' for i in range(k))}) as bm from sp join sums using (r), ns),
 sil as materialized (select *, case when own_n = 1 or greatest(am, bm) = 0 then 0 else (bm - am) / greatest(am, bm) end as s from ab)"""
+
+
+SIL = FEATM + SCALED + "," + _sil_ctes("sc", _F, 4)
 ORACLE["silhouette_overall"] = SIL + f"\nselect {r6('avg(s)')} as silhouette from sil"
 ORACLE["silhouette_per_cluster"] = SIL + f"""
 select cast(congestion_level as bigint) as congestion_level, {r6('avg(s)')} as silhouette from sil group by congestion_level"""
@@ -1007,12 +1017,14 @@ select cast(count(*) as bigint) as n_rows, (select count(*) from lev) as n_level
        round(any_value(inertia), 4) as inertia, cast(any_value(seed) as bigint) as seed from lab"""
 
 _QUICK = ["avg_speed_mph", "trip_density", "speed_deviation"]
-ORACLE["eda_quick_clusters"] = chain_upto("cells").replace("with ", "with recursive ", 1) + f""",
+_QUICK_LAB = chain_upto("cells").replace("with ", "with recursive ", 1) + f""",
 st as (select {', '.join(f'avg({f}) as {f}_c, case when stddev_pop({f}) = 0 then 1 else stddev_pop({f}) end as {f}_s' for f in _QUICK)} from cells),
 scid as materialized (select zone_id, hour_of_day, day_of_week, zone_id * 1000 + hour_of_day * 10 + day_of_week as rid, avg_speed_mph as raw_speed,
                              {', '.join(f'({f} - {f}_c) / {f}_s as {f}' for f in _QUICK)} from cells, st),
-{_kmeans_ctes("scid", _QUICK, 3, list(range(_SEED, _SEED + C.KMEANS_N_INIT)))}{_LEVELS}
+{_kmeans_ctes("scid", _QUICK, 3, list(range(_SEED, _SEED + C.KMEANS_N_INIT)))}{_LEVELS}"""
+ORACLE["eda_quick_clusters"] = _QUICK_LAB + f"""
 select {_K3}, {r6('raw_speed')} as avg_speed_mph, cast(congestion_level as bigint) as congestion_level from lab"""
+ORACLE["eda_quick_silhouette"] = _QUICK_LAB + "," + _sil_ctes("lab", _QUICK, 3) + f"\nselect {r6('avg(s)')} as silhouette from sil"
 
 ORACLE["stability"] = _CELLSC_ID + _kmeans_ctes("scid", _F, C.DEFAULT_K, [s * 1000 + i for s in range(C.STABILITY_N_SEEDS) for i in range(C.KMEANS_N_INIT)],
                                                 "seed // 1000") + f""",
