@@ -35,46 +35,56 @@ URL_RULES = [
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict of every page; null urls and urls without :// have empty host and path."""
     return judge_urls(load(spark, sf_dir, "pages"), rules_table(spark, URL_RULES))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit of every document; a null text counts as empty."""
     return count_tokens(load(spark, sf_dir, "documents"), COUNT_VOCABULARY)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document, learned from labels outside the held-out fold."""
     docs = load(spark, sf_dir, "documents")
     return score_quality(docs, fit_quality(docs, load(spark, sf_dir, "labels")))
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, class_id, class_size, kept, text_hash of every document."""
     return near_classes(load(spark, sf_dir, "documents"))
 
 
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every packed token sequence of the documents at its slot of the keyed training order."""
     return training_order(load(spark, sf_dir, "documents"), ID_VOCABULARY)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, posteriors of the languages, rate, copies of every document."""
     docs = load(spark, sf_dir, "documents")
     return mixing_rates(docs, domain_labels(docs, load(spark, sf_dir, "labels")))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 of every document, dropped ones too."""
     return exact_dedup(load(spark, sf_dir, "documents"))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
     found = find_matches(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, license, family, dice, unit, place, licenses, n_hits of every document; nulls and 0 without a licence."""
     return scan_licenses(load(spark, sf_dir, "documents"))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_bytes, n_chunks, first_doc_id, removed_bytes, removed, key of every repeated passage of the documents."""
     return repeated_passages(load(spark, sf_dir, "documents"))
 
 
