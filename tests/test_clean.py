@@ -84,6 +84,29 @@ def test_duplicates_keep_first_in_file_order(spark, trips_pdf):
         CL.remove_duplicates(df.drop("_row_index"))
 
 
+def test_duplicates_are_dealt_before_they_are_folded(spark, trips_pdf):
+    """No hash table holds a whole split: both folds lie behind the one shuffle, which deals whole rows by the key."""
+    import re
+    p = trips_pdf.assign(file_ym="2023-01", fare_amount=5.0)
+    plan = CL.remove_duplicates(_numbered(spark, p))._jdf.queryExecution().executedPlan().toString()
+    steps = re.findall(r"Exchange hashpartitioning|SortAggregate|HashAggregate", plan)  # the last step first
+    assert steps == ["HashAggregate", "HashAggregate", "Exchange hashpartitioning"]
+
+
+def test_duplicates_of_odd_keys_meet(spark):
+    """0.0 and -0.0, NaN and null are one key each; a row without an order never displaces one with it."""
+    at = F.lit("2023-01-02 08:00:00").cast("timestamp_ntz")
+    rows = [(1, 0.0, 3, 30.0), (1, -0.0, 2, 20.0), (2, float("nan"), 5, 50.0), (2, float("nan"), 4, 40.0),
+            (None, None, 7, 70.0), (None, None, 6, 60.0), (3, 1.0, None, 80.0), (3, 1.0, 9, 90.0), (4, 1.0, None, 95.0)]
+    df = spark.createDataFrame(rows, "PULocationID int, trip_distance double, _row_index long, fare_amount double").repartition(5)
+    df = df.withColumns({"DOLocationID": F.col("PULocationID"), "pickup_datetime": at, "dropoff_datetime": at, "file_ym": F.lit("2023-01")})
+    for out, extra in ((CL.remove_duplicates(df), []), (CL.remove_duplicates(df, with_copies=True), ["_copies"])):
+        got = {r["PULocationID"]: (r["_row_index"], r["fare_amount"], *[r[c] for c in extra]) for r in out.collect()}
+        copies = {1: 2, 2: 2, None: 2, 3: 2, 4: 1}
+        want = {1: (2, 20.0), 2: (4, 40.0), None: (6, 60.0), 3: (9, 90.0), 4: (None, None)}
+        assert got == {k: (*v, *([copies[k]] if extra else [])) for k, v in want.items()} and out.count() == 5
+
+
 def test_duplicates_are_per_file(spark, trips_pdf):
     p = pd.concat([trips_pdf.iloc[:1], trips_pdf.iloc[:1]], ignore_index=True)
     p["file_ym"], p["_row_index"], p["_src_file"] = "2023-01", [0, 0], ["yellow.parquet", "green.parquet"]
